@@ -1,0 +1,42 @@
+"""Many-keyword substring matching: one Aho-Corasick pass per text, per Arrow batch.
+
+(No ``from __future__ import annotations`` here: the pandas UDF reads real type hints.)
+"""
+
+import pandas as pd
+from pyspark.sql import functions as F
+
+_AUTOMATA: dict = {}
+
+
+def _automaton(keywords: tuple):
+    """Built once per Python worker and keyword set."""
+    auto = _AUTOMATA.get(keywords)
+    if auto is None:
+        import ahocorasick
+
+        auto = ahocorasick.Automaton()
+        for k in keywords:
+            auto.add_word(k, k)
+        auto.make_automaton()
+        _AUTOMATA[keywords] = auto
+    return auto
+
+
+def any_substring(keywords: tuple):
+    """A boolean pandas UDF: does the lower-cased text contain any of ``keywords``?"""
+
+    @F.pandas_udf("boolean")
+    def match(texts: pd.Series) -> pd.Series:
+        auto = _automaton(keywords)
+
+        def hit(t):
+            if t is None:
+                return False
+            for _ in auto.iter(t.lower()):
+                return True
+            return False
+
+        return texts.map(hit).astype(bool)
+
+    return match

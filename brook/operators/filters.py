@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from brook.functions.json import has_key
+from brook.functions.keywords import any_substring
 from brook.functions.text import contains_ci, is_blank
 
 # Above this many keywords the OR-chain of substring tests is replaced by one
@@ -37,7 +38,7 @@ def any_keyword(text: str, keywords: Sequence[str]) -> Column:
         return F.lit(False)
     if len(kws) <= MAX_INLINE_KEYWORDS:
         return reduce(lambda a, b: a | b, [contains_ci(text, k) for k in kws])
-    return _automaton_match(tuple(sorted(set(kws))))(F.col(text))
+    return any_substring(tuple(sorted(set(kws))))(F.col(text))
 
 
 def track_filter(df: DataFrame, text: str, topics: Sequence[str]) -> DataFrame:
@@ -53,41 +54,3 @@ def classify_by_key(df: DataFrame, payload: str, key: str, out: str = "is_extend
 def class_counts(classified: DataFrame, flag: str = "is_extended", out: str = "n") -> DataFrame:
     """A4: number of records per class (the ``+``/``-`` tallies)."""
     return classified.groupBy(flag).agg(F.count(F.lit(1)).alias(out))
-
-
-def _automaton_match(keywords: tuple[str, ...]):
-    import pandas as pd
-
-    @F.pandas_udf("boolean")
-    def match(texts: pd.Series) -> pd.Series:
-        auto = _automaton(keywords)
-        out = []
-        for t in texts:
-            if t is None:
-                out.append(False)
-                continue
-            hit = False
-            for _ in auto.iter(t.lower()):
-                hit = True
-                break
-            out.append(hit)
-        return pd.Series(out, dtype=bool)
-
-    return match
-
-
-_AUTOMATA: dict = {}
-
-
-def _automaton(keywords: tuple[str, ...]):
-    """Built once per Python worker and keyword set."""
-    auto = _AUTOMATA.get(keywords)
-    if auto is None:
-        import ahocorasick
-
-        auto = ahocorasick.Automaton()
-        for k in keywords:
-            auto.add_word(k, k)
-        auto.make_automaton()
-        _AUTOMATA[keywords] = auto
-    return auto
