@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from brook.operators.running import global_index
+from brook.operators.sizing import MAX_BROADCAST_ROWS, is_bounded
 from brook.operators.windows import tumbling_counts
 
 
@@ -47,6 +48,11 @@ def order_key(cols: Sequence[str]) -> Column:
 _SPREAD = 1 << 20
 
 
+def _number(firsts: DataFrame, token: str, order: Sequence[str], out: str, n_blocks: int | None) -> DataFrame:
+    keys = [f"_f_{c}" for c in order]
+    return global_index(firsts, keys + [token], out, block_key=order_key(keys), n_blocks=n_blocks).select(token, out)
+
+
 def first_seen_index(
     df: DataFrame,
     token: str,
@@ -66,8 +72,7 @@ def first_seen_index(
     firsts = first_seen(df, token, order)
     if materialize:
         firsts = firsts.checkpoint(eager=True)
-    keys = [f"_f_{c}" for c in order]
-    return global_index(firsts, keys + [token], out, block_key=order_key(keys), n_blocks=n_blocks).select(token, out)
+    return _number(firsts, token, order, out, n_blocks)
 
 
 def indexed_counts(
@@ -77,14 +82,18 @@ def indexed_counts(
     ts: str,
     size: str = "5 seconds",
     out: str = "n",
-    index: DataFrame | None = None,
+    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
 ) -> DataFrame:
     """``'{token}_{idx}'`` per occurrence, counted per fixed window.
 
-    The index (one row per distinct token) is joined back by token.  Spark broadcasts
-    it only when its estimated or (with AQE) measured size is under the broadcast
-    threshold; otherwise it is a shuffle join and AQE splits a hot token's partition.
+    The index (one row per distinct token) is joined back by token: broadcast when
+    the distinct-token table passes the row bound (counted on its checkpoint), else a
+    shuffle join in which AQE splits a hot token's partition.
     """
-    idx = index if index is not None else first_seen_index(df, token, order)
+    order = list(order)
+    firsts = first_seen(df, token, order).checkpoint(eager=True)
+    idx = _number(firsts, token, order, "idx", None)
+    if is_bounded(firsts, max_broadcast_rows):
+        idx = F.broadcast(idx)
     tagged = df.join(idx, token).withColumn("token_idx", F.concat_ws("_", F.col(token), F.col("idx").cast("string")))
     return tumbling_counts(tagged, ts, ["token_idx"], size=size, out=out)

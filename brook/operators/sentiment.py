@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from brook.functions.text import WORD, tokens
+from brook.operators.sizing import broadcast_if_bounded
 
 CLASSES = ("positive", "neutral", "negative")
 
@@ -37,11 +38,11 @@ def lexicon_sentiment(
 
     Tokens are the reference's word tokens of the lower-cased text.  The exploded
     tokens never leave their partition: the lexicon join is a broadcast when the
-    lexicon's size is under Spark's threshold (it is a small table by nature), and
+    lexicon passes the row-count bound (it is a small table by nature), and
     the per-record aggregate is collapsed map-side to one row per record before its
     single shuffle.  ``keep`` carries further record columns (taken with ``first``).
     """
-    lex = lexicon.groupBy(F.col(word).alias("_w")).agg(F.min(cls).alias("_cls"))
+    lex = broadcast_if_bounded(lexicon.groupBy(F.col(word).alias("_w")).agg(F.min(cls).alias("_cls")))
     toks = df.select(F.col(id_col), *[F.col(c) for c in keep], F.explode_outer(tokens(F.lower(F.col(text)), WORD)).alias("_w"))
     hits = toks.join(lex, "_w", "left")
     agg = hits.groupBy(id_col).agg(

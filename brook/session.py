@@ -23,6 +23,7 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
@@ -30,10 +31,13 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", "16g")
+        # streaming state off the JVM heap (large keyed state at scale); changelog
+        # checkpointing commits only the changes of each micro-batch
         .config(
             "spark.sql.streaming.stateStore.providerClass",
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
         )
+        .config("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -78,4 +82,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A fixture table, spread over the cores when it is stored in fewer files than that."""
+    return spread_small_input(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+
+
+def spread_small_input(df: DataFrame) -> DataFrame:
+    """Round-robin ``df`` over ``defaultParallelism`` tasks if it comes from fewer files.
+
+    A parquet file with one row group is read by a single task, so per-row work (regex
+    tokenising, JSON parsing) would run on one core.  Filters and column pruning are
+    still pushed below the exchange into the scan.  At cluster scale a table has far
+    more files than cores and this is a no-op (no extra shuffle).
+    """
+    n = df.sparkSession.sparkContext.defaultParallelism
+    if len(df.inputFiles()) < n:
+        return df.repartition(n)
+    return df

@@ -49,12 +49,16 @@ class FirstSeenIndexer:
         if earlier is not None:
             firsts = firsts.join(earlier.select(self.token), self.token, "left_anti")
             offset = earlier.count()
-        firsts = firsts.checkpoint(eager=True)
-        keys = [f"_f_{c}" for c in self.order]
-        ids = global_index(firsts, keys + [self.token], self.out, block_key=order_key(keys)).withColumn(self.out, F.col(self.out) + F.lit(offset))
-        ids.select(self.token, self.out, *[f"_f_{c}" for c in self.order]).write.mode("overwrite").parquet(
-            f"{self.path}/batch_id={batch_id}"
-        )
+        # the batch's new tokens are read three times (quantiles, block sizes, numbering);
+        # cached for the life of this call only, and recomputable from the batch's input
+        firsts = firsts.persist()
+        try:
+            keys = [f"_f_{c}" for c in self.order]
+            ids = global_index(firsts, keys + [self.token], self.out, block_key=order_key(keys))
+            ids = ids.withColumn(self.out, F.col(self.out) + F.lit(offset))
+            ids.select(self.token, self.out, *keys).write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")
+        finally:
+            firsts.unpersist()
 
     def dictionary(self, spark: SparkSession) -> DataFrame:
         """``(token, idx)`` for every token seen so far."""
