@@ -17,7 +17,7 @@ from brook.operators.filters import (
     lang_filter,
     track_filter,
 )
-from brook.operators.index import first_seen_index, indexed_counts
+from brook.operators.index import first_seen_index, indexed_counts, indexed_tag_counts
 from brook.operators.records import decode_json, format_line_event, format_tweet, split_bad
 from brook.operators.running import global_index, running_counts_batch
 from brook.operators.sentiment import (
@@ -51,6 +51,7 @@ __all__ = [
     "format_tweet",
     "global_index",
     "indexed_counts",
+    "indexed_tag_counts",
     "keyword_filter",
     "lang_filter",
     "lexicon_sentiment",

@@ -14,8 +14,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from brook.functions.text import TAG
+from brook.operators.aggregate import ranked_list
 from brook.operators.running import global_index
 from brook.operators.sizing import MAX_BROADCAST_ROWS, is_bounded
+from brook.operators.tokens import explode_tokens
 from brook.operators.windows import tumbling_counts
 
 
@@ -97,3 +100,20 @@ def indexed_counts(
         idx = F.broadcast(idx)
     tagged = df.join(idx, token).withColumn("token_idx", F.concat_ws("_", F.col(token), F.col("idx").cast("string")))
     return tumbling_counts(tagged, ts, ["token_idx"], size=size, out=out)
+
+
+def indexed_tag_counts(
+    df: DataFrame,
+    text: str,
+    ts: str,
+    order: Sequence[str],
+    size: str = "5 seconds",
+    k: int | None = None,
+    pattern: str = TAG,
+) -> DataFrame:
+    """E3 in batch: tags of ``text`` -> first-seen index (by ``order`` then position in
+    the text) -> ``'{tag}_{idx}'`` counted per fixed window -> ranked list per window."""
+    order = list(order)
+    toks = explode_tokens(df, text, pattern, keep=[*order, ts], out="token", pos="_pos")
+    counts = indexed_counts(toks, "token", [*order, "_pos"], ts, size)
+    return ranked_list(counts, token="token_idx", by=["ws"], k=k)

@@ -95,6 +95,11 @@ ORACLE: dict[str, str] = {
     "ranked_list_window": f"""
         SELECT ws, string_agg(event_type || ':' || n, ',' ORDER BY n DESC, event_type) AS ranked
         FROM (SELECT {U} AS ws, event_type, count(*) AS n FROM events GROUP BY 1, 2) GROUP BY ws""",
+    "ranked_list_window_stream": f"""
+        SELECT ws, string_agg(event_type || ':' || n, ',' ORDER BY n DESC, event_type) AS ranked
+        FROM (SELECT {U} AS ws, event_type, count(*) AS n FROM events GROUP BY 1, 2)
+        WHERE ws + INTERVAL 5 SECOND <= (SELECT max(ts) FROM events) - INTERVAL 10 SECOND
+        GROUP BY ws""",
     "ranked_list_global": """
         SELECT string_agg(event_type || ':' || n, ',' ORDER BY n DESC, event_type) AS ranked
         FROM (SELECT event_type, count(*) AS n FROM events GROUP BY 1) HAVING count(*) > 0""",
@@ -110,6 +115,13 @@ ORACLE: dict[str, str] = {
         SELECT {U} AS ws, e.event_type || '_' || idx.idx AS token_idx, count(*) AS n
         FROM events e JOIN idx ON e.event_type = idx.event_type GROUP BY 1, 2""",
     "first_seen_index_stream": _first_seen(WORD_RE, "word"),
+    "indexed_counts_stream": f"""
+        WITH idx AS (
+            SELECT event_type, row_number() OVER (ORDER BY min(event_id), event_type) - 1 AS idx
+            FROM events WHERE event_type IS NOT NULL GROUP BY 1)
+        SELECT {U} AS ws, e.event_type || '_' || idx.idx AS token_idx, count(*) AS n
+        FROM events e JOIN idx ON e.event_type = idx.event_type GROUP BY 1, 2
+        HAVING {U} + INTERVAL 5 SECOND <= (SELECT max(ts) FROM events) - INTERVAL 10 SECOND""",
     "lexicon_sentiment": f"""
         WITH lex(w, cls) AS (VALUES {_LEXICON}),
         toks AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), {WORD_RE})) AS w FROM documents),

@@ -30,6 +30,7 @@ from brook.sources.feed import tracked_feed
 from brook.sources.lines import lines_of, read_lines
 from brook.sources.replay import replay_cycle
 from brook.streaming.index import FirstSeenIndexer
+from brook.streaming.ranked import windowed_ranked_lists
 from brook.streaming.runner import run_to_table, stage_files, stream_files
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -182,8 +183,13 @@ def q_sliding_counts(spark, sf):
     return sliding_counts(_events(spark, sf), "ts", ["event_type"], SLIDE_SIZE, SLIDE_STEP)
 
 
+def _raw(spark, sf, name):
+    """The table as stored (staging reads it once per split; no spreading shuffle)."""
+    return spark.read.parquet(f"{sf.rstrip('/')}/{name}.parquet")
+
+
 def _event_stream(spark, sf, name):
-    ev = _events(spark, sf).select("event_id", "ts", "user_id", "event_type")
+    ev = _raw(spark, sf, "events").select("event_id", "ts", "user_id", "event_type")
     path = stage_files(ev, "ts", STREAM_SPLITS, name)
     return stream_files(spark, path, ev.schema)
 
@@ -213,6 +219,11 @@ def q_running_counts_stream(spark, sf):
 # -- A2 ----------------------------------------------------------------------------
 
 
+def q_ranked_list_window_stream(spark, sf):
+    lists = windowed_ranked_lists(_event_stream(spark, sf, "ranked"), "ts", "event_type", WINDOW, DELAY)
+    return run_to_table(lists.select("ws", render_ranked("ranked").alias("ranked")), "ranked_lists")
+
+
 def q_ranked_list_window(spark, sf):
     counts = tumbling_counts(_events(spark, sf), "ts", ["event_type"], WINDOW)
     ranked = ranked_list(counts, token="event_type", by=["ws"])
@@ -248,9 +259,9 @@ def q_indexed_counts(spark, sf):
 
 
 def q_first_seen_index_stream(spark, sf):
-    docs = _documents(spark, sf).select("doc_id", "text")
+    docs = _raw(spark, sf, "documents").select("doc_id", "text")
     path = stage_files(docs, "doc_id", STREAM_SPLITS, "fsi-docs")
-    stream = stream_files(spark, path, docs.schema)
+    stream = stream_files(spark, path, docs.schema, spread=True)
     toks = explode_tokens(stream, "text", WORD, keep=["doc_id"], out="word", pos="pos")
     indexer = FirstSeenIndexer(scratch_path(spark, "fsi-dict"), token="word", order=["doc_id", "pos"])
     q = indexer.start(toks, scratch_path(spark, "fsi-ckpt"))
@@ -260,6 +271,24 @@ def q_first_seen_index_stream(spark, sf):
     return indexer.dictionary(spark)
 
 
+def q_indexed_counts_stream(spark, sf):
+    """Event stream -> first-seen index (foreachBatch) -> indexed occurrences ->
+    5 s windowed counts with a watermark (second streaming query)."""
+    stream = _event_stream(spark, sf, "indexed")
+    occ = scratch_path(spark, "idx-occ")
+    indexer = FirstSeenIndexer(
+        scratch_path(spark, "idx-dict"), token="event_type", order=["event_id"], occurrences_path=occ, carry=["ts"]
+    )
+    q = indexer.start(stream, scratch_path(spark, "idx-ckpt"))
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    schema = "ts timestamp_ntz, token_idx string, batch_id int"
+    occurrences = spark.readStream.schema(schema).parquet(occ)
+    counts = tumbling_counts(occurrences, "ts", ["token_idx"], WINDOW, delay=DELAY)
+    return run_to_table(counts, "indexed_counts")
+
+
 # -- M1 / U5 -----------------------------------------------------------------------
 
 
@@ -307,12 +336,14 @@ QUERIES: dict[str, Query] = {
     "running_counts_batch": q_running_counts_batch,
     "running_counts_stream": q_running_counts_stream,
     "ranked_list_window": q_ranked_list_window,
+    "ranked_list_window_stream": q_ranked_list_window_stream,
     "ranked_list_global": q_ranked_list_global,
     "first_seen_index": q_first_seen_index,
     "first_seen_index_words": q_first_seen_index_words,
     "first_seen_index_tags": q_first_seen_index_tags,
     "indexed_counts": q_indexed_counts,
     "first_seen_index_stream": q_first_seen_index_stream,
+    "indexed_counts_stream": q_indexed_counts_stream,
     "lexicon_sentiment": q_lexicon_sentiment,
     "model_sentiment": q_model_sentiment,
     "replay_lines": q_replay_lines,

@@ -28,11 +28,29 @@ from brook.operators.running import global_index
 
 
 class FirstSeenIndexer:
-    def __init__(self, dictionary_path: str, token: str = "token", order: Sequence[str] = ("ord",), out: str = "idx"):
+    """Maintain the first-seen dictionary of a token stream (see module docstring).
+
+    With ``occurrences_path``, every micro-batch also writes its occurrences as
+    ``'{token}_{idx}'`` (column ``token_idx``) with the ``carry`` columns, into the
+    folder ``batch_id=<id>`` (overwritten on retry) — the reference's indexed output,
+    ready for windowed counting.
+    """
+
+    def __init__(
+        self,
+        dictionary_path: str,
+        token: str = "token",
+        order: Sequence[str] = ("ord",),
+        out: str = "idx",
+        occurrences_path: str | None = None,
+        carry: Sequence[str] = (),
+    ):
         self.path = dictionary_path.rstrip("/")
         self.token = token
         self.order = list(order)
         self.out = out
+        self.occurrences = occurrences_path.rstrip("/") if occurrences_path else None
+        self.carry = list(carry)
 
     def _earlier(self, spark: SparkSession, batch_id: int) -> DataFrame | None:
         try:
@@ -42,6 +60,25 @@ class FirstSeenIndexer:
         return d.where(F.col("batch_id") < batch_id)
 
     def process_batch(self, batch: DataFrame, batch_id: int) -> None:
+        if self.occurrences:
+            batch = batch.persist()
+        try:
+            self._index(batch, batch_id)
+            if self.occurrences:
+                self._emit(batch, batch_id)
+        finally:
+            if self.occurrences:
+                batch.unpersist()
+
+    def _emit(self, batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        known = spark.read.parquet(self.path).where(F.col("batch_id") <= batch_id).select(self.token, self.out)
+        tagged = batch.join(known, self.token).select(
+            *self.carry, F.concat_ws("_", F.col(self.token), F.col(self.out).cast("string")).alias("token_idx")
+        )
+        tagged.write.mode("overwrite").parquet(f"{self.occurrences}/batch_id={batch_id}")
+
+    def _index(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         firsts = first_seen(batch, self.token, self.order)
         earlier = self._earlier(spark, batch_id)

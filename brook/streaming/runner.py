@@ -81,5 +81,12 @@ def stage_files(df: DataFrame, order: str, n_files: int, name: str) -> str:
     return path
 
 
-def stream_files(spark: SparkSession, path: str, schema, files_per_trigger: int = 1) -> DataFrame:
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(path)
+def stream_files(spark: SparkSession, path: str, schema, files_per_trigger: int = 1, spread: bool = False) -> DataFrame:
+    """File stream over a staged folder; ``spread`` round-robins each micro-batch over
+    the cores (for per-row heavy work such as tokenising, when a batch is few files)."""
+    df = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(path)
+    if spread:
+        n = spark.sparkContext.defaultParallelism
+        if files_per_trigger < n:
+            df = df.repartition(n)
+    return df

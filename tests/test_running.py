@@ -57,3 +57,14 @@ def test_indexed_counts(spark):
     ).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
     got = rows(indexed_counts(ev, "tok", ["id"], "ts", "5 seconds"), "token_idx", "n")
     assert got == [("x_0", 1), ("x_0", 1), ("y_1", 1)]
+
+
+def test_indexed_tag_counts_ranked_per_window(spark):
+    from brook import indexed_tag_counts
+
+    posts = spark.createDataFrame(
+        [(1, "2024-01-01 00:00:01", "#b #a #b"), (2, "2024-01-01 00:00:02", "@c #a"), (3, "2024-01-01 00:00:07", "#a1 #b")],
+        "id long, ts string, text string",
+    ).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    got = {r.ws.second: [(e.n, e.token) for e in r.ranked] for r in indexed_tag_counts(posts, "text", "ts", ["id"]).collect()}
+    assert got == {0: [(2, "#a_1"), (2, "#b_0"), (1, "@c_2")], 5: [(1, "#a_1"), (1, "#b_0")]}

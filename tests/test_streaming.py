@@ -57,3 +57,40 @@ def test_first_seen_indexer_across_batches_and_restart(spark, tmp_dir):
     q.awaitTermination()
     d = dict(rows(idx.dictionary(spark)))
     assert d["zz"] == len(d) - 1 and d["a"] == dict(rows(batch))["a"]
+
+
+def test_windowed_ranked_lists_stream_matches_batch(spark):
+    from brook import ranked_list, render_ranked
+    from brook.streaming.ranked import windowed_ranked_lists
+
+    ev = spark.read.parquet(f"{SF}/events.parquet").select("event_id", "ts", "event_type")
+    path = stage_files(ev, "ts", 3, "t-ranked")
+    lists = windowed_ranked_lists(stream_files(spark, path, ev.schema), "ts", "event_type", "1 hour", "0 seconds")
+    got = run_to_table(lists.select("ws", render_ranked("ranked").alias("r")), "t_ranked")
+    batch = ranked_list(tumbling_counts(ev, "ts", ["event_type"], "1 hour"), token="event_type", by=["ws"])
+    cut = ev.agg(F.max("ts")).first()[0]
+    closed = batch.where(F.col("ws") + F.expr("INTERVAL 1 HOUR") <= F.lit(cut)).select("ws", render_ranked("ranked").alias("r"))
+    assert rows(got) == rows(closed)
+
+
+def test_indexer_emits_indexed_occurrences(spark, tmp_dir):
+    ev = spark.createDataFrame(
+        [(1, "x"), (2, "y"), (3, "x"), (4, "z"), (5, "y")], "event_id long, tok string"
+    ).withColumn("ts", F.timestamp_seconds(F.col("event_id")))
+    path = stage_files(ev, "event_id", 2, "t-occ")
+    occ = os.path.join(tmp_dir, "occ")
+    idx = FirstSeenIndexer(os.path.join(tmp_dir, "d"), token="tok", order=["event_id"], occurrences_path=occ, carry=["event_id"])
+    q = idx.start(stream_files(spark, path, ev.schema), os.path.join(tmp_dir, "ck"))
+    q.awaitTermination()
+    got = rows(spark.read.parquet(occ).select("event_id", "token_idx"))
+    assert got == [(1, "x_0"), (2, "y_1"), (3, "x_0"), (4, "z_2"), (5, "y_1")]
+
+
+def test_ranked_running_table_complete_mode(spark):
+    from brook import rank_counts
+
+    ev = spark.read.parquet(f"{SF}/events.parquet").select("event_id", "ts", "event_type")
+    path = stage_files(ev, "event_id", 2, "t-rank-run")
+    ranked = rank_counts(count_by(stream_files(spark, path, ev.schema), ["event_type"]), token="event_type")
+    got = run_to_table(ranked, "t_rank_run", mode="complete")
+    assert rows(got) == rows(count_by(ev, ["event_type"]))
