@@ -87,7 +87,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread_small_input(df: DataFrame) -> DataFrame:
-    """Round-robin ``df`` over ``defaultParallelism`` tasks if it comes from fewer files.
+    """Round-robin ``df`` over ``defaultParallelism`` tasks if its scan has fewer splits.
 
     A parquet file with one row group is read by a single task, so per-row work (regex
     tokenising, JSON parsing) would run on one core.  Filters and column pruning are
@@ -95,6 +95,6 @@ def spread_small_input(df: DataFrame) -> DataFrame:
     more files than cores and this is a no-op (no extra shuffle).
     """
     n = df.sparkSession.sparkContext.defaultParallelism
-    if len(df.inputFiles()) < n:
+    if df.rdd.getNumPartitions() < n:  # planning only: file splits, no job
         return df.repartition(n)
     return df
