@@ -35,7 +35,7 @@ def ranked_list(
     The list holds one entry per distinct token of the group, so it is bounded by the
     group's key cardinality, not by its row count (counts are aggregated first).  With
     ``k`` only the top ``k`` entries are kept (a top-k report).  An empty input gives
-    no row, like ``CombineGlobally(...).without_defaults()``.
+    no row (a global combine without a default value).
     """
     src = counts
     if k is not None:

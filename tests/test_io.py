@@ -22,7 +22,7 @@ from conftest import rows
 
 
 def test_read_lines_blank_and_no_final_newline(spark, tmp_dir):
-    p = os.path.join(tmp_dir, "in.txt")
+    p = os.path.join(tmp_dir, "lines.txt")
     with open(p, "w") as f:
         f.write("first line\n\n  second  \nlast")
     got = [r.value for r in read_lines(spark, p).collect()]
