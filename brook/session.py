@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -76,8 +75,6 @@ def _is_context_subdir(path: str) -> bool:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder (never machine-local on a cluster)."""
     base = ensure_checkpoint_dir(spark)
-    if "://" not in base:
-        os.makedirs(base, exist_ok=True)
     return f"{base.rstrip('/')}/brook-{name}-{uuid.uuid4().hex[:12]}"
 
 
