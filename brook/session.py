@@ -50,18 +50,26 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     The cluster names it in ``spark.checkpoint.dir``; only when that is unset (local
     tests) is a fresh temporary folder taken.
     """
-    sc = spark.sparkContext
+    sc = _context(spark)
+    if sc is None:  # Spark Connect: the server owns the checkpoint folder
+        return spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="brook-ckpt-")
     current = sc.getCheckpointDir()
     if current:
         return current.rsplit("/", 1)[0] if _is_context_subdir(current) else current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         configured = tempfile.mkdtemp(prefix="brook-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", configured)
     sc.setCheckpointDir(configured)
     return configured
 
 
+def _context(spark: SparkSession):
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - no SparkContext on Spark Connect
+        return None
+
+
 def _is_context_subdir(path: str) -> bool:
     # SparkContext appends a random UUID folder to the configured directory.
     tail = path.rstrip("/").rsplit("/", 1)[-1]
@@ -91,7 +99,10 @@ def spread_small_input(df: DataFrame) -> DataFrame:
     still pushed below the exchange into the scan.  At cluster scale a table has far
     more files than cores and this is a no-op (no extra shuffle).
     """
-    n = df.sparkSession.sparkContext.defaultParallelism
+    sc = _context(df.sparkSession)
+    if sc is None:
+        return df
+    n = sc.defaultParallelism
     if df.rdd.getNumPartitions() < n:  # planning only: file splits, no job
         return df.repartition(n)
     return df
