@@ -47,6 +47,27 @@ _LEXICON = ", ".join(
     ]
 )
 
+def _track_many() -> str:
+    from brook.plans.queries import TOPICS_MANY
+
+    ors = " OR ".join(f"contains(lower(text), '{t}')" for t in TOPICS_MANY)
+    return f"SELECT doc_id FROM documents WHERE lang IN ('en') AND ({ors})"
+
+
+_LEXICON_SQL = f"""
+        WITH lex(w, cls) AS (VALUES {_LEXICON}),
+        toks AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), {WORD_RE})) AS w FROM documents),
+        hits AS (
+            SELECT doc_id, count(*) AS nt,
+                   count(*) FILTER (WHERE lex.cls = 'positive') AS p,
+                   count(*) FILTER (WHERE lex.cls = 'negative') AS ng
+            FROM toks LEFT JOIN lex USING (w) GROUP BY 1)
+        SELECT d.doc_id, coalesce(nt, 0) AS n_tokens, coalesce(p, 0) AS pos_hits, coalesce(ng, 0) AS neg_hits,
+               CASE WHEN coalesce(nt, 0) = 0 THEN 0.0 ELSE p / nt END AS positive,
+               CASE WHEN coalesce(nt, 0) = 0 THEN 1.0 ELSE (nt - p - ng) / nt END AS neutral,
+               CASE WHEN coalesce(nt, 0) = 0 THEN 0.0 ELSE ng / nt END AS negative
+        FROM documents d LEFT JOIN hits USING (doc_id)"""
+
 _SLIDING = f"""
     SELECT {U} - to_seconds(5 * r.i) AS ws, event_type, ts
     FROM events, (SELECT unnest(range(12)) AS i) r"""
@@ -64,6 +85,7 @@ ORACLE: dict[str, str] = {
     "track_filter": """
         SELECT doc_id FROM documents
         WHERE lang IN ('en') AND (contains(lower(text), 'the') OR contains(lower(text), 'worthless'))""",
+    "track_filter_many": _track_many(),
     "decode_json": "SELECT event_id, (props::JSON ->> 'k')::BIGINT AS k FROM events",
     "classify_by_key": "SELECT event_id, json_exists(props, '$.k') AS is_extended FROM events",
     "classify_counts": "SELECT json_exists(props, '$.k') AS is_extended, count(*) AS n FROM events GROUP BY 1",
@@ -122,19 +144,8 @@ ORACLE: dict[str, str] = {
         SELECT {U} AS ws, e.event_type || '_' || idx.idx AS token_idx, count(*) AS n
         FROM events e JOIN idx ON e.event_type = idx.event_type GROUP BY 1, 2
         HAVING {U} + INTERVAL 5 SECOND <= (SELECT max(ts) FROM events) - INTERVAL 10 SECOND""",
-    "lexicon_sentiment": f"""
-        WITH lex(w, cls) AS (VALUES {_LEXICON}),
-        toks AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), {WORD_RE})) AS w FROM documents),
-        hits AS (
-            SELECT doc_id, count(*) AS nt,
-                   count(*) FILTER (WHERE lex.cls = 'positive') AS p,
-                   count(*) FILTER (WHERE lex.cls = 'negative') AS ng
-            FROM toks LEFT JOIN lex USING (w) GROUP BY 1)
-        SELECT d.doc_id, coalesce(nt, 0) AS n_tokens, coalesce(p, 0) AS pos_hits, coalesce(ng, 0) AS neg_hits,
-               CASE WHEN coalesce(nt, 0) = 0 THEN 0.0 ELSE p / nt END AS positive,
-               CASE WHEN coalesce(nt, 0) = 0 THEN 1.0 ELSE (nt - p - ng) / nt END AS neutral,
-               CASE WHEN coalesce(nt, 0) = 0 THEN 0.0 ELSE ng / nt END AS negative
-        FROM documents d LEFT JOIN hits USING (doc_id)""",
+    "lexicon_sentiment": _LEXICON_SQL,
+    "python_model_sentiment": f"SELECT doc_id, positive, neutral, negative FROM ({_LEXICON_SQL})",
     "replay_lines": f"""
         SELECT (row_number() OVER (ORDER BY doc_id, line_no) - 1)::BIGINT AS tick,
                (row_number() OVER (ORDER BY doc_id, line_no) - 1)::BIGINT AS event_time,

@@ -19,7 +19,7 @@ from brook.operators.filters import class_counts, classify_by_key, drop_blank, k
 from brook.operators.index import first_seen_index, indexed_counts
 from brook.operators.records import decode_json, format_line_event, format_tweet, split_bad
 from brook.operators.running import running_counts_batch
-from brook.operators.sentiment import lexicon_sentiment, model_sentiment, train_sentiment
+from brook.operators.sentiment import lexicon_sentiment, model_sentiment, score_with_model, train_sentiment
 from brook.operators.tokens import explode_tokens
 from brook.operators.windows import assign_window, sliding_counts, tumbling_counts
 from brook.schemas import FILE_EVENT, PROPS, TWEET
@@ -39,6 +39,14 @@ Query = Callable[[SparkSession, str], DataFrame]
 KEYWORD = "tion"  # the reference's 'bit' has no hit in the fixture documents
 TOPICS = ("the", "worthless")  # F4
 LANGS = ("en",)  # F5
+# F4 with a long keyword list (above the inline limit: one automaton pass per text)
+TOPICS_MANY = (
+    "bitcoin", "worthless", "market", "price", "crypto", "blockchain", "wallet", "token",
+    "exchange", "mining", "coin", "trade", "invest", "money", "bank", "finance",
+    "stock", "bond", "fund", "profit", "loss", "risk", "growth", "value",
+    "asset", "capital", "credit", "debt", "dollar", "euro", "yen", "gold",
+    "silver", "oil", "energy", "tech", "startup", "venture", "equity", "tionou",
+)
 JSON_KEY = "k"  # key whose presence classifies a payload
 WINDOW = "5 seconds"  # W1/W3 fixed window (reference value)
 SLIDE_SIZE, SLIDE_STEP = "60 seconds", "5 seconds"  # W2 (reference's alternate)
@@ -115,6 +123,10 @@ def q_track_filter(spark, sf):
     return tracked_feed(_documents(spark, sf), "text", "lang", TOPICS, LANGS).select("doc_id")
 
 
+def q_track_filter_many(spark, sf):
+    return tracked_feed(_documents(spark, sf), "text", "lang", TOPICS_MANY, LANGS).select("doc_id")
+
+
 # -- P1-P4 / F3 / A4 / K3 ---------------------------------------------------------
 
 
@@ -306,6 +318,35 @@ def q_model_sentiment(spark, sf):
     return model_sentiment(docs, model)
 
 
+def _lexicon_model():
+    """U5 loader: the lexicon as a Python dict, built once per Python worker."""
+    return dict(LEXICON)
+
+
+def _lexicon_scores(model, texts):
+    import re
+
+    import pandas as pd
+
+    word = re.compile(WORD)
+    pos, neu, neg = [], [], []
+    for t in texts:
+        toks = word.findall(t.lower()) if t is not None else []
+        n = len(toks)
+        p = sum(1 for w in toks if model.get(w) == "positive")
+        q = sum(1 for w in toks if model.get(w) == "negative")
+        pos.append(p / n if n else 0.0)
+        neu.append((n - p - q) / n if n else 1.0)
+        neg.append(q / n if n else 0.0)
+    return pd.DataFrame({"positive": pos, "neutral": neu, "negative": neg})
+
+
+def q_python_model_sentiment(spark, sf):
+    return score_with_model(
+        _documents(spark, sf), "text", _lexicon_model, _lexicon_scores, keep=["doc_id"], cache_key="brook.lexicon"
+    )
+
+
 # -- S4 ----------------------------------------------------------------------------
 
 
@@ -321,6 +362,7 @@ QUERIES: dict[str, Query] = {
     "tag_count": q_tag_count,
     "keyword_filter": q_keyword_filter,
     "track_filter": q_track_filter,
+    "track_filter_many": q_track_filter_many,
     "decode_json": q_decode_json,
     "classify_by_key": q_classify_by_key,
     "classify_counts": q_classify_counts,
@@ -346,5 +388,6 @@ QUERIES: dict[str, Query] = {
     "indexed_counts_stream": q_indexed_counts_stream,
     "lexicon_sentiment": q_lexicon_sentiment,
     "model_sentiment": q_model_sentiment,
+    "python_model_sentiment": q_python_model_sentiment,
     "replay_lines": q_replay_lines,
 }

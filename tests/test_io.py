@@ -88,3 +88,20 @@ def test_replay_lines_rate_source_cycles(spark, tmp_dir):
     got = spark.read.parquet(out)
     assert set(r.data for r in got.collect()) == {"one", "two"}
     assert got.where(F.col("event_time") > 0).count() == got.count()
+
+
+def test_write_lines_streaming(spark, tmp_dir):
+    src = os.path.join(tmp_dir, "src")
+    spark.createDataFrame([("x",), ("y z",)], "value string").write.text(src)
+    out, ckpt = os.path.join(tmp_dir, "out"), os.path.join(tmp_dir, "ck")
+    q = write_lines(read_lines(spark, src, streaming=True), out, checkpoint=ckpt)
+    q.processAllAvailable()
+    q.stop()
+    assert rows(spark.read.text(out)) == [("x",), ("y z",)]
+
+
+def test_log_sink_batch(spark, capsys):
+    from brook import log_sink
+
+    log_sink(spark.createDataFrame([("hello",)], "value string"))
+    assert "hello" in capsys.readouterr().out
