@@ -225,7 +225,7 @@ def q_running_counts_batch(spark, sf):
 
 def q_running_counts_stream(spark, sf):
     stream = _event_stream(spark, sf, "running")
-    return run_to_table(count_by(stream, ["event_type"]), "running_counts", mode="complete")
+    return run_to_table(count_by(stream, ["event_type"]), "running_counts", mode="update", keys=["event_type"])
 
 
 # -- A2 ----------------------------------------------------------------------------

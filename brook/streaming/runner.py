@@ -23,8 +23,17 @@ def run_to_table(
     path: str | None = None,
     trigger: dict | None = None,
     timeout_s: float | None = None,
+    keys: list[str] | None = None,
 ) -> DataFrame:
-    """Start ``df`` (streaming) with sink ``path``, wait until it has drained, read the result."""
+    """Start ``df`` (streaming) with sink ``path``, wait until it has drained, read the result.
+
+    ``append``: file sink.  ``complete``: each batch's whole table into its own
+    ``batch_id=`` folder, the last one is the result.  ``update`` (needs ``keys``): each
+    batch writes only the keys it changed, and the result is the latest row per key,
+    so no batch rewrites the whole table.
+    """
+    if mode == "update" and not keys:
+        raise ValueError("update mode needs the key columns")
     spark = df.sparkSession
     path = path or scratch_path(spark, f"{name}-out")
     checkpoint = checkpoint or scratch_path(spark, f"{name}-ckpt")
@@ -46,9 +55,22 @@ def run_to_table(
         raise RuntimeError(f"streaming query {name} failed: {q.exception()}")
     if mode == "append":
         return spark.read.schema(df.schema).parquet(path)
+    if mode == "update":
+        return latest_per_key(spark, path, df.schema, keys)
     return latest_batch(spark, path, df.schema)
 
 
+def latest_per_key(spark: SparkSession, path: str, schema, keys: list[str]) -> DataFrame:
+    """Current table of an update-mode result: per key, the row of the highest batch id."""
+    try:
+        changes = spark.read.parquet(path)
+    except Exception:  # nothing was ever written: empty input
+        return spark.createDataFrame([], schema)
+    values = [c for c in schema.fieldNames() if c not in keys]
+    latest = F.max_by(F.struct(*values), F.col("batch_id")).alias("_v")
+    return changes.groupBy(*keys).agg(latest).select(*keys, *[F.col(f"_v.{c}").alias(c) for c in values])
+
+
 def latest_batch(spark: SparkSession, path: str, schema) -> DataFrame:
     """The last written ``batch_id`` folder of a complete-mode result."""
     try:

@@ -94,3 +94,10 @@ def test_ranked_running_table_complete_mode(spark):
     ranked = rank_counts(count_by(stream_files(spark, path, ev.schema), ["event_type"]), token="event_type")
     got = run_to_table(ranked, "t_rank_run", mode="complete")
     assert rows(got) == rows(count_by(ev, ["event_type"]))
+
+
+def test_running_counts_update_mode_latest_per_key(spark):
+    ev = spark.read.parquet(f"{SF}/events.parquet").select("event_id", "ts", "user_id")
+    path = stage_files(ev, "event_id", 3, "t-update")
+    got = run_to_table(count_by(stream_files(spark, path, ev.schema), ["user_id"]), "t_update", mode="update", keys=["user_id"])
+    assert rows(got) == rows(count_by(ev, ["user_id"]))
