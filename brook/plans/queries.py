@@ -31,7 +31,7 @@ from brook.sources.lines import lines_of, read_lines
 from brook.sources.replay import replay_cycle
 from brook.streaming.index import FirstSeenIndexer
 from brook.streaming.ranked import windowed_ranked_lists
-from brook.streaming.runner import run_to_table, stage_files, stream_files
+from brook.streaming.runner import replay_splits, replay_to_table, run_to_table, spread_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -200,22 +200,28 @@ def _raw(spark, sf, name):
     return spark.read.parquet(f"{sf.rstrip('/')}/{name}.parquet")
 
 
-def _event_stream(spark, sf, name):
-    ev = _raw(spark, sf, "events").select("event_id", "ts", "user_id", "event_type")
-    path = stage_files(ev, "ts", STREAM_SPLITS, name)
-    return stream_files(spark, path, ev.schema)
+def _events_for_replay(spark, sf):
+    return _raw(spark, sf, "events").select("event_id", "ts", "user_id", "event_type")
+
+
+def _replay_events(spark, sf, name, build, mode="append", keys=None):
+    """Replay the events table as STREAM_SPLITS micro-batches in time order through ``build``."""
+    return replay_to_table(_events_for_replay(spark, sf), "ts", STREAM_SPLITS, name, build, mode=mode, keys=keys)
 
 
 def q_tumbling_counts_stream(spark, sf):
-    stream = _event_stream(spark, sf, "tumbling")
-    counts = tumbling_counts(stream, "ts", ["event_type"], WINDOW, delay=DELAY)
-    return run_to_table(counts, "tumbling_counts")
+    return _replay_events(
+        spark, sf, "tumbling_counts", lambda s: tumbling_counts(s, "ts", ["event_type"], WINDOW, delay=DELAY)
+    )
 
 
 def q_sliding_counts_stream(spark, sf):
-    stream = _event_stream(spark, sf, "sliding")
-    counts = sliding_counts(stream, "ts", ["event_type"], SLIDE_SIZE, SLIDE_STEP, delay=DELAY)
-    return run_to_table(counts, "sliding_counts")
+    return _replay_events(
+        spark,
+        sf,
+        "sliding_counts",
+        lambda s: sliding_counts(s, "ts", ["event_type"], SLIDE_SIZE, SLIDE_STEP, delay=DELAY),
+    )
 
 
 def q_running_counts_batch(spark, sf):
@@ -224,16 +230,20 @@ def q_running_counts_batch(spark, sf):
 
 
 def q_running_counts_stream(spark, sf):
-    stream = _event_stream(spark, sf, "running")
-    return run_to_table(count_by(stream, ["event_type"]), "running_counts", mode="update", keys=["event_type"])
+    return _replay_events(
+        spark, sf, "running_counts", lambda s: count_by(s, ["event_type"]), mode="update", keys=["event_type"]
+    )
 
 
 # -- A2 ----------------------------------------------------------------------------
 
 
 def q_ranked_list_window_stream(spark, sf):
-    lists = windowed_ranked_lists(_event_stream(spark, sf, "ranked"), "ts", "event_type", WINDOW, DELAY)
-    return run_to_table(lists.select("ws", render_ranked("ranked").alias("ranked")), "ranked_lists")
+    def build(stream):
+        lists = windowed_ranked_lists(stream, "ts", "event_type", WINDOW, DELAY)
+        return lists.select("ws", render_ranked("ranked").alias("ranked"))
+
+    return _replay_events(spark, sf, "ranked_lists", build)
 
 
 def q_ranked_list_window(spark, sf):
@@ -272,29 +282,32 @@ def q_indexed_counts(spark, sf):
 
 def q_first_seen_index_stream(spark, sf):
     docs = _raw(spark, sf, "documents").select("doc_id", "text")
-    path = stage_files(docs, "doc_id", STREAM_SPLITS, "fsi-docs")
-    stream = stream_files(spark, path, docs.schema, spread=True)
-    toks = explode_tokens(stream, "text", WORD, keep=["doc_id"], out="word", pos="pos")
     indexer = FirstSeenIndexer(scratch_path(spark, "fsi-dict"), token="word", order=["doc_id", "pos"])
-    q = indexer.start(toks, scratch_path(spark, "fsi-ckpt"))
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
+    ckpt = scratch_path(spark, "fsi-ckpt")
+    for source in replay_splits(docs, "doc_id", STREAM_SPLITS, "fsi-docs"):
+        stream = spread_stream(spark.readStream.schema(docs.schema).parquet(source))
+        toks = explode_tokens(stream, "text", WORD, keep=["doc_id"], out="word", pos="pos")
+        _await(indexer.start(toks, ckpt))
     return indexer.dictionary(spark)
 
 
+def _await(query):
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise RuntimeError(str(query.exception()))
+
+
 def q_indexed_counts_stream(spark, sf):
     """Event stream -> first-seen index (foreachBatch) -> indexed occurrences ->
     5 s windowed counts with a watermark (second streaming query)."""
-    stream = _event_stream(spark, sf, "indexed")
+    ev = _events_for_replay(spark, sf)
     occ = scratch_path(spark, "idx-occ")
     indexer = FirstSeenIndexer(
         scratch_path(spark, "idx-dict"), token="event_type", order=["event_id"], occurrences_path=occ, carry=["ts"]
     )
-    q = indexer.start(stream, scratch_path(spark, "idx-ckpt"))
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
+    ckpt = scratch_path(spark, "idx-ckpt")
+    for source in replay_splits(ev, "ts", STREAM_SPLITS, "indexed"):
+        _await(indexer.start(spark.readStream.schema(ev.schema).parquet(source), ckpt))
     schema = "ts timestamp_ntz, token_idx string, batch_id int"
     occurrences = spark.readStream.schema(schema).parquet(occ)
     counts = tumbling_counts(occurrences, "ts", ["token_idx"], WINDOW, delay=DELAY)

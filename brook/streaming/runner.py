@@ -8,6 +8,8 @@ stream; a live deployment passes its own trigger.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,6 +26,7 @@ def run_to_table(
     trigger: dict | None = None,
     timeout_s: float | None = None,
     keys: list[str] | None = None,
+    no_data_batches: bool = True,
 ) -> DataFrame:
     """Start ``df`` (streaming) with sink ``path``, wait until it has drained, read the result.
 
@@ -40,14 +43,16 @@ def run_to_table(
     trig = trigger or {"availableNow": True}
     w = df.writeStream.queryName(f"{name}_{abs(hash(path)) % 10**8}").option("checkpointLocation", checkpoint)
     if mode == "append":
-        q = w.format("parquet").outputMode("append").trigger(**trig).start(path)
+        w = w.format("parquet").outputMode("append").trigger(**trig)
+        q = _start(spark, lambda: w.start(path), no_data_batches)
     else:
         # complete/update results are whole tables or changed keys per batch: overwrite
         # a folder per batch id so a retried batch rewrites the same files.
         def write(batch: DataFrame, batch_id: int) -> None:
             batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
-        q = w.outputMode(mode).foreachBatch(write).trigger(**trig).start()
+        w = w.outputMode(mode).foreachBatch(write).trigger(**trig)
+        q = _start(spark, w.start, no_data_batches)
     q.awaitTermination(timeout_s)
     if q.isActive:
         q.stop()
@@ -60,6 +65,24 @@ def run_to_table(
     return latest_batch(spark, path, df.schema)
 
 
+_NO_DATA = "spark.sql.streaming.noDataMicroBatches.enabled"
+
+
+def _start(spark: SparkSession, start: Callable, no_data_batches: bool):
+    """Start a query; without ``no_data_batches`` it runs only batches that have new data
+    (windows closed by the watermark are then emitted by the next data batch).  A query
+    copies the session configuration when it starts, so the setting is only changed
+    around ``start``."""
+    if no_data_batches:
+        return start()
+    before = spark.conf.get(_NO_DATA, "true")
+    spark.conf.set(_NO_DATA, "false")
+    try:
+        return start()
+    finally:
+        spark.conf.set(_NO_DATA, before)
+
+
 def latest_per_key(spark: SparkSession, path: str, schema, keys: list[str]) -> DataFrame:
     """Current table of an update-mode result: per key, the row of the highest batch id."""
     try:
@@ -81,34 +104,58 @@ def latest_batch(spark: SparkSession, path: str, schema) -> DataFrame:
     return all_batches.where(F.col("batch_id") == last).drop("batch_id")
 
 
-def stage_files(df: DataFrame, order: str, n_files: int, name: str) -> str:
-    """Write ``df`` as ``n_files`` parquet files, in ascending ``order`` ranges, one per
-    append so that their modification times follow the order.  A file stream over the
-    folder with ``maxFilesPerTrigger=1`` then replays the table in ``n_files`` micro-batches.
+def replay_splits(df: DataFrame, order: str, n_splits: int, name: str) -> Iterator[str]:
+    """Append ``df`` to a source folder in ``n_splits`` ascending ``order`` ranges.
 
-    Test and replay scaffolding: a production stream arrives from its own source.
+    Yields the folder after each range is written (a normal, parallel write: any number
+    of files).  Draining a file stream over the folder with ``availableNow`` from one
+    checkpoint after every step processes exactly the new range.  So the table is
+    replayed one whole range per micro-batch, in event-time order, and every step is also
+    a restart from the checkpoint.  Test and replay scaffolding: a production stream
+    arrives from its own source.
     """
     spark = df.sparkSession
-    path = scratch_path(spark, f"{name}-staged")
+    path = scratch_path(spark, f"{name}-source")
     key = epoch_micros(df, order) if df.schema[order].dataType.typeName().startswith("timestamp") else F.col(order)
     keyed = df.withColumn("_k", key)
     lo, hi = keyed.agg(F.min("_k"), F.max("_k")).first()
-    if lo is None:
+    if lo is None:  # empty input: an empty source, once per step
         df.limit(0).write.mode("append").parquet(path)
-        return path
-    span = hi - lo + 1
-    split = F.floor((F.col("_k") - F.lit(lo)) * F.lit(n_files) / F.lit(span))
-    for i in range(n_files):
-        keyed.where(split == i).drop("_k").coalesce(1).write.mode("append").parquet(path)
-    return path
-
-
-def stream_files(spark: SparkSession, path: str, schema, files_per_trigger: int = 1, spread: bool = False) -> DataFrame:
-    """File stream over a staged folder; ``spread`` round-robins each micro-batch over
-    the cores (for per-row heavy work such as tokenising, when a batch is few files)."""
-    df = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(path)
-    if spread:
-        n = spark.sparkContext.defaultParallelism
-        if files_per_trigger < n:
-            df = df.repartition(n)
-    return df
+        for _ in range(n_splits):
+            yield path
+        return
+    split = F.floor((F.col("_k") - F.lit(lo)) * F.lit(n_splits) / F.lit(hi - lo + 1))
+    for i in range(n_splits):
+        keyed.where(split == i).drop("_k").write.mode("append").parquet(path)
+        yield path
+
+
+def replay_to_table(
+    df: DataFrame,
+    order: str,
+    n_splits: int,
+    name: str,
+    build: Callable[[DataFrame], DataFrame],
+    mode: str = "append",
+    keys: list[str] | None = None,
+) -> DataFrame:
+    """Replay ``df`` as a stream of ``n_splits`` micro-batches through ``build`` and
+    return the drained result (see :func:`replay_splits` and :func:`run_to_table`)."""
+    spark = df.sparkSession
+    checkpoint, out = scratch_path(spark, f"{name}-ckpt"), scratch_path(spark, f"{name}-out")
+    result = None
+    for i, source in enumerate(replay_splits(df, order, n_splits, name)):
+        stream = spark.readStream.schema(df.schema).parquet(source)
+        # only the last run needs the closing no-data batch: earlier closed windows are
+        # emitted by the following data batch, so the final table is the same
+        last = i == n_splits - 1
+        result = run_to_table(
+            build(stream), name, mode=mode, checkpoint=checkpoint, path=out, keys=keys, no_data_batches=last
+        )
+    return result
+
+
+def spread_stream(stream: DataFrame) -> DataFrame:
+    """Round-robin each micro-batch over the cores (per-row heavy work such as
+    tokenising, when a micro-batch arrives in fewer files than cores)."""
+    return stream.repartition(stream.sparkSession.sparkContext.defaultParallelism)
