@@ -13,6 +13,12 @@ work runs serially on one worker.  Here each micro-batch:
 A retried batch reads the same earlier partitions and rewrites its own partition with
 the same ids, so ids are exactly-once without a transactional store.  Only new
 distinct tokens are ever numbered; nothing passes through the driver.
+
+Layout under the dictionary folder: ``parts/batch_id=<id>`` (the new tokens of each
+batch) and, every ``compact_every`` batches, ``snapshots/through=<id>`` (all tokens up
+to that batch).  A batch reads the latest snapshot plus the few ``parts`` folders after
+it by explicit path, so its cost does not grow with the number of batches run.
+Snapshots are rewritten identically on retry.
 """
 
 from __future__ import annotations
@@ -44,20 +50,58 @@ class FirstSeenIndexer:
         out: str = "idx",
         occurrences_path: str | None = None,
         carry: Sequence[str] = (),
+        compact_every: int = 32,
     ):
         self.path = dictionary_path.rstrip("/")
+        self.parts = f"{self.path}/parts"
+        self.snapshots = f"{self.path}/snapshots"
+        self.compact_every = max(1, compact_every)
         self.token = token
         self.order = list(order)
         self.out = out
         self.occurrences = occurrences_path.rstrip("/") if occurrences_path else None
         self.carry = list(carry)
 
-    def _earlier(self, spark: SparkSession, batch_id: int) -> DataFrame | None:
+    def _latest_snapshot(self, spark: SparkSession, before: int) -> int | None:
         try:
-            d = spark.read.parquet(self.path)
+            snaps = spark.read.parquet(self.snapshots).select("through").where(F.col("through") < before)
         except AnalysisException:
             return None
-        return d.where(F.col("batch_id") < batch_id)
+        return snaps.agg(F.max("through")).first()[0]
+
+    def _known(self, spark: SparkSession, before: int) -> DataFrame | None:
+        """Dictionary rows of all batches with id < ``before`` (token, idx, first-seen keys)."""
+        if before <= 0:
+            return None
+        through = self._latest_snapshot(spark, before)
+        frames = []
+        if through is not None:
+            frames.append(spark.read.parquet(f"{self.snapshots}/through={through}").drop("through"))
+        first = 0 if through is None else through + 1
+        if first < before:
+            paths = [f"{self.parts}/batch_id={b}" for b in range(first, before)]
+            try:
+                recent = spark.read.option("basePath", self.parts).parquet(*paths)
+            except AnalysisException:  # a batch folder is missing: fall back to listing
+                try:
+                    recent = spark.read.parquet(self.parts).where(
+                        (F.col("batch_id") >= first) & (F.col("batch_id") < before)
+                    )
+                except AnalysisException:
+                    recent = None
+            if recent is not None:
+                frames.append(recent.drop("batch_id"))
+        if not frames:
+            return None
+        out = frames[0]
+        for f in frames[1:]:
+            out = out.unionByName(f)
+        return out
+
+    def _compact(self, spark: SparkSession, through: int) -> None:
+        known = self._known(spark, through + 1)
+        if known is not None:
+            known.write.mode("overwrite").parquet(f"{self.snapshots}/through={through}")
 
     def process_batch(self, batch: DataFrame, batch_id: int) -> None:
         if self.occurrences:
@@ -72,7 +116,7 @@ class FirstSeenIndexer:
 
     def _emit(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        known = spark.read.parquet(self.path).where(F.col("batch_id") <= batch_id).select(self.token, self.out)
+        known = self._known(spark, batch_id + 1).select(self.token, self.out)
         tagged = batch.join(known, self.token).select(
             *self.carry, F.concat_ws("_", F.col(self.token), F.col(self.out).cast("string")).alias("token_idx")
         )
@@ -81,7 +125,7 @@ class FirstSeenIndexer:
     def _index(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         firsts = first_seen(batch, self.token, self.order)
-        earlier = self._earlier(spark, batch_id)
+        earlier = self._known(spark, batch_id)
         offset = 0
         if earlier is not None:
             firsts = firsts.join(earlier.select(self.token), self.token, "left_anti")
@@ -93,13 +137,15 @@ class FirstSeenIndexer:
             keys = [f"_f_{c}" for c in self.order]
             ids = global_index(firsts, keys + [self.token], self.out, block_key=order_key(keys))
             ids = ids.withColumn(self.out, F.col(self.out) + F.lit(offset))
-            ids.select(self.token, self.out, *keys).write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")
+            ids.select(self.token, self.out, *keys).write.mode("overwrite").parquet(f"{self.parts}/batch_id={batch_id}")
         finally:
             firsts.unpersist()
+        if (batch_id + 1) % self.compact_every == 0:
+            self._compact(spark, batch_id)
 
     def dictionary(self, spark: SparkSession) -> DataFrame:
         """``(token, idx)`` for every token seen so far."""
-        return spark.read.parquet(self.path).select(self.token, self.out)
+        return spark.read.parquet(self.parts).select(self.token, self.out)
 
     def start(self, stream: DataFrame, checkpoint: str, trigger: dict | None = None):
         """Start the indexing query on ``stream`` (which must carry token and order columns)."""

@@ -73,7 +73,7 @@ def test_first_seen_indexer_across_batches_and_restart(spark, tmp_dir):
         [(1, "b a b"), (2, "c a"), (3, "d b e"), (4, "a f"), (5, "g c h"), (6, "i")], "doc_id long, text string"
     )
     dict_path, ckpt = os.path.join(tmp_dir, "dict"), os.path.join(tmp_dir, "ckpt")
-    idx = FirstSeenIndexer(dict_path, token="w", order=["doc_id", "pos"])
+    idx = FirstSeenIndexer(dict_path, token="w", order=["doc_id", "pos"], compact_every=2)
     source = None
     for source in replay_splits(docs, "doc_id", 3, "t-fsi"):
         q = idx.start(_tokens(spark.readStream.schema(docs.schema).parquet(source)), ckpt)
@@ -82,8 +82,9 @@ def test_first_seen_indexer_across_batches_and_restart(spark, tmp_dir):
     batch = first_seen_index(_tokens(docs), "w", ["doc_id", "pos"])
     assert rows(idx.dictionary(spark)) == rows(batch)
     # re-running a batch id rewrites its partition with the same ids (exactly-once)
-    batch_ids = sorted(int(d.split("=")[1]) for d in os.listdir(dict_path) if d.startswith("batch_id="))
+    batch_ids = sorted(int(d.split("=")[1]) for d in os.listdir(os.path.join(dict_path, "parts")) if d.startswith("batch_id="))
     assert len(batch_ids) >= 3
+    assert any(d.startswith("through=") for d in os.listdir(os.path.join(dict_path, "snapshots")))
     idx.process_batch(_tokens(docs.where("doc_id >= 5")), batch_ids[-1])
     assert rows(idx.dictionary(spark)) == rows(batch)
     # a new file after a restart: only its new tokens get new ids
