@@ -20,6 +20,7 @@ from brook.operators.running import global_index
 from brook.operators.sizing import MAX_BROADCAST_ROWS, is_bounded
 from brook.operators.tokens import explode_tokens
 from brook.operators.windows import tumbling_counts
+from brook.session import materialize as materialize_table
 
 
 def first_seen(df: DataFrame, token: str, order: Sequence[str]) -> DataFrame:
@@ -68,13 +69,13 @@ def first_seen_index(
 
     Partial aggregation collapses repeats map-side, so a token that is a third of all
     rows costs one row per input partition before the shuffle.  The distinct-token
-    table is checkpointed (``materialize``) to the shared checkpoint folder, so the
+    table is written once (``materialize``) as parquet in the shared checkpoint folder, so the
     full scan and aggregation run once for the quantile pass and the numbering.
     """
     order = list(order)
     firsts = first_seen(df, token, order)
     if materialize:
-        firsts = firsts.checkpoint(eager=True)
+        firsts = materialize_table(firsts, "first-seen")
     return _number(firsts, token, order, out, n_blocks)
 
 
@@ -94,7 +95,7 @@ def indexed_counts(
     shuffle join in which AQE splits a hot token's partition.
     """
     order = list(order)
-    firsts = first_seen(df, token, order).checkpoint(eager=True)
+    firsts = materialize_table(first_seen(df, token, order), "first-seen")
     idx = _number(firsts, token, order, "idx", None)
     if is_bounded(firsts, max_broadcast_rows):
         idx = F.broadcast(idx)

@@ -91,6 +91,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/brook-{name}-{uuid.uuid4().hex[:12]}"
 
 
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as a parquet table in the shared checkpoint folder and read it back.
+
+    Cuts the lineage like ``checkpoint()``; the table is columnar and the planner sees
+    its real file size when it chooses a join.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A fixture table, spread over the cores when it is stored in fewer files than that."""
     return spread_small_input(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))

@@ -18,6 +18,7 @@ from brook.functions.text import strip
 from brook.operators.filters import drop_blank
 from brook.operators.index import order_key
 from brook.operators.running import global_index
+from brook.session import materialize
 
 
 def indexed_lines(lines: DataFrame, line: str, order: Sequence[str]) -> DataFrame:
@@ -48,7 +49,7 @@ def replay_lines(
     Stream-static join on ``tick % n``; Spark broadcasts the line table when it is
     small and shuffles otherwise.
     """
-    idx = indexed_lines(lines, line, order).checkpoint()
+    idx = materialize(indexed_lines(lines, line, order), "replay-lines")
     n = idx.count()
     if n == 0:
         raise ValueError("no non-blank line to replay")
