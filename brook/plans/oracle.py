@@ -78,10 +78,15 @@ ORACLE: dict[str, str] = {
     "word_count": f"""
         SELECT word, count(*) AS n
         FROM (SELECT unnest(regexp_extract_all(text, {WORD_RE})) AS word FROM documents) GROUP BY 1""",
+    "word_count_stream": f"""
+        SELECT word, count(*) AS n
+        FROM (SELECT unnest(regexp_extract_all(text, {WORD_RE})) AS word FROM documents) GROUP BY 1""",
     "tag_count": f"""
         SELECT tag, count(*) AS n
         FROM (SELECT unnest(regexp_extract_all(text, {TAG_RE})) AS tag FROM documents) GROUP BY 1""",
     "keyword_filter": "SELECT doc_id FROM documents WHERE contains(lower(text), 'tion')",
+    "keyword_filter_stream": f"""
+        SELECT event_id, event_type AS text, {U} AS ws FROM events WHERE contains(lower(event_type), 'ic')""",
     "track_filter": """
         SELECT doc_id FROM documents
         WHERE lang IN ('en') AND (contains(lower(text), 'the') OR contains(lower(text), 'worthless'))""",

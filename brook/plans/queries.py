@@ -37,6 +37,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 # Fixed parameters of the registered queries.
 KEYWORD = "tion"  # the reference's 'bit' has no hit in the fixture documents
+STREAM_KEYWORD = "ic"  # F1 on the event stream (event types as post text)
 TOPICS = ("the", "worthless")  # F4
 LANGS = ("en",)  # F5
 # F4 with a long keyword list (above the inline limit: one automaton pass per text)
@@ -180,6 +181,28 @@ def q_format_line_event(spark, sf):
     return format_line_event(good, keep=["event_id"])
 
 
+def q_keyword_filter_stream(spark, sf):
+    """Posts stream: decode -> reshape -> 5 s window tag -> keyword filter (stateless)."""
+    messages = _tweet_messages(spark, sf).withColumn("ts", F.col("timestamp"))
+
+    def build(stream):
+        good, _bad = split_bad(decode_json(stream, "value", TWEET))
+        posts = format_tweet(good, keep=["event_id", "ts"])
+        return keyword_filter(assign_window(posts, "ts", WINDOW), "text", STREAM_KEYWORD).select("event_id", "text", "ws")
+
+    return replay_to_table(messages, "ts", STREAM_SPLITS, "keyword_stream", build)
+
+
+def q_word_count_stream(spark, sf):
+    """Streaming word count: running count per word (update mode) over replayed documents."""
+    docs = _raw(spark, sf, "documents").select("doc_id", "text")
+
+    def build(stream):
+        return count_by(explode_tokens(spread_stream(stream), "text", WORD, out="word"), ["word"])
+
+    return replay_to_table(docs, "doc_id", STREAM_SPLITS, "word_count", build, mode="update", keys=["word"])
+
+
 # -- W1-W5 -------------------------------------------------------------------------
 
 
@@ -372,8 +395,10 @@ QUERIES: dict[str, Query] = {
     "read_lines": q_read_lines,
     "drop_blank": q_drop_blank,
     "word_count": q_word_count,
+    "word_count_stream": q_word_count_stream,
     "tag_count": q_tag_count,
     "keyword_filter": q_keyword_filter,
+    "keyword_filter_stream": q_keyword_filter_stream,
     "track_filter": q_track_filter,
     "track_filter_many": q_track_filter_many,
     "decode_json": q_decode_json,

@@ -1,4 +1,4 @@
-"""Run a streaming query to completion into a table, and stage a table as a file stream.
+"""Run a streaming query to completion into a table, and replay a table as a stream.
 
 Results are written to a file sink in the shared checkpoint folder (exactly-once via
 the sink's metadata log), never collected in driver memory.  ``availableNow`` drains
