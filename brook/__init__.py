@@ -35,8 +35,12 @@ from brook.sources.feed import tracked_feed
 from brook.sources.lines import lines_of, read_lines
 from brook.sources.messages import read_messages
 from brook.sources.replay import replay_cycle, replay_lines
+from brook.streaming.index import FirstSeenIndexer
+from brook.streaming.ranked import windowed_ranked_lists
+from brook.streaming.runner import replay_splits, replay_to_table, run_to_table
 
 __all__ = [
+    "FirstSeenIndexer",
     "TAG",
     "WORD",
     "assign_window",
@@ -67,6 +71,9 @@ __all__ = [
     "render_ranked",
     "replay_cycle",
     "replay_lines",
+    "replay_splits",
+    "replay_to_table",
+    "run_to_table",
     "running_counts_batch",
     "score_with_model",
     "sliding_counts",
@@ -76,5 +83,6 @@ __all__ = [
     "tracked_feed",
     "train_sentiment",
     "tumbling_counts",
+    "windowed_ranked_lists",
     "write_lines",
 ]
