@@ -97,19 +97,24 @@ def sliding_counts(
     start: str = "ws",
     end: str | None = None,
     out: str = "n",
+    preaggregate: bool = False,
 ) -> DataFrame:
     """W2 (+W5): rows per (sliding window, keys); each row counts in size/slide windows.
 
-    Batch, with ``size`` a multiple of ``slide``: rows are first counted per
-    slide-wide bucket (one hash-aggregate pass over the raw rows, combined map-side),
-    and only those bucket counts are expanded into the size/slide windows that cover
-    them and summed.  Spark's own sliding ``window`` would expand every raw row
-    size/slide times before aggregating.  Streaming uses the single windowed
-    aggregate, which the watermark can close.
+    Default: Spark's sliding ``window`` — each row is expanded into its size/slide
+    windows and combined by the map-side partial aggregate, one shuffle.
+
+    ``preaggregate=True`` (batch, ``size`` a multiple of ``slide``): rows are first
+    counted per slide-wide bucket, and only the bucket counts are expanded into the
+    covering windows.  That saves size/slide hash updates per raw row when a bucket
+    holds many rows per key (dense event streams at scale), at the price of a second
+    shuffle.  With about one row per bucket and key, as in the fixtures, it is slower
+    (2.0 s vs 0.9 s at sf0.1).
     """
     keys = list(keys)
     size_us, slide_us = duration_micros(size), duration_micros(slide)
-    if delay is not None or df.isStreaming or not size_us or not slide_us or size_us % slide_us:
+    plain = not preaggregate or delay is not None or df.isStreaming
+    if plain or not size_us or not slide_us or size_us % slide_us:
         return _windowed_counts(df, ts, keys, size, slide, delay, start, end, out)
     k = size_us // slide_us
     buckets = df.groupBy(F.window(F.col(ts), slide).start.alias("_b"), *keys).agg(F.count(F.lit(1)).alias("_c"))

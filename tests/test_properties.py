@@ -47,7 +47,7 @@ def test_word_counts_sum_to_token_count(spark, texts):
 def test_sliding_preaggregation_equals_plain_sliding_window(spark, secs):
     base = dt.datetime(2024, 1, 1)
     df = spark.createDataFrame([(base + dt.timedelta(seconds=s), "k") for s in secs], "ts timestamp_ntz, k string")
-    fast = sliding_counts(df, "ts", ["k"], "60 seconds", "5 seconds")
+    fast = sliding_counts(df, "ts", ["k"], "60 seconds", "5 seconds", preaggregate=True)
     plain = _windowed_counts(df, "ts", ["k"], "60 seconds", "5 seconds", None, "ws", None, "n")
     assert rows(fast) == rows(plain)
     assert fast.agg(F.sum("n")).first()[0] == 12 * len(secs)
