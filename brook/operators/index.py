@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from brook.functions.text import TAG
 from brook.operators.aggregate import ranked_list
 from brook.operators.running import global_index
-from brook.operators.sizing import MAX_BROADCAST_ROWS, is_bounded
+from brook.operators.sizing import MAX_BROADCAST_BYTES, MAX_BROADCAST_ROWS, is_bounded
 from brook.operators.tokens import explode_tokens
 from brook.operators.windows import tumbling_counts
 from brook.session import materialize as materialize_table
@@ -87,17 +87,20 @@ def indexed_counts(
     size: str = "5 seconds",
     out: str = "n",
     max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+    max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
     """``'{token}_{idx}'`` per occurrence, counted per fixed window.
 
     The index (one row per distinct token) is joined back by token: broadcast when
-    the distinct-token table passes the row bound (counted on its checkpoint), else a
-    shuffle join in which AQE splits a hot token's partition.
+    its ``(token, idx)`` rows pass the row and byte bounds (measured on the
+    materialized distinct-token table), else a shuffle join in which AQE splits a hot
+    token's partition.
     """
     order = list(order)
     firsts = materialize_table(first_seen(df, token, order), "first-seen")
     idx = _number(firsts, token, order, "idx", None)
-    if is_bounded(firsts, max_broadcast_rows):
+    sized = firsts.select(token, F.lit(0).cast("long").alias("idx"))
+    if is_bounded(sized, max_broadcast_rows, max_broadcast_bytes):
         idx = F.broadcast(idx)
     tagged = df.join(idx, token).withColumn("token_idx", F.concat_ws("_", F.col(token), F.col("idx").cast("string")))
     return tumbling_counts(tagged, ts, ["token_idx"], size=size, out=out)

@@ -38,7 +38,7 @@ def lexicon_sentiment(
 
     Tokens are the reference's word tokens of the lower-cased text.  The exploded
     tokens never leave their partition: the lexicon join is a broadcast when the
-    lexicon passes the row-count bound (it is a small table by nature), and
+    lexicon passes the row and byte bounds (it is a small table by nature), and
     the per-record aggregate is collapsed map-side to one row per record before its
     single shuffle.  ``keep`` carries further record columns (taken with ``first``).
     """
