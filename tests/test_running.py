@@ -57,6 +57,10 @@ def test_indexed_counts(spark):
     ).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
     got = rows(indexed_counts(ev, "tok", ["id"], "ts", "5 seconds"), "token_idx", "n")
     assert got == [("x_0", 1), ("x_0", 1), ("y_1", 1)]
+    # past the size bound the index is joined by a shuffle join, with the same result
+    for bounds in ({"max_broadcast_rows": 0}, {"max_broadcast_bytes": 0}):
+        shuffled = indexed_counts(ev, "tok", ["id"], "ts", "5 seconds", **bounds)
+        assert rows(shuffled, "token_idx", "n") == got
 
 
 def test_indexed_tag_counts_ranked_per_window(spark):
