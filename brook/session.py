@@ -52,17 +52,23 @@ def local_session(
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, registering it with the SparkContext.
 
-    The cluster names it in ``spark.checkpoint.dir``; only when that is unset (local
-    tests) is a fresh temporary folder taken.
+    The cluster names it in ``spark.checkpoint.dir``; only when that is unset on a
+    local session (tests) is a fresh temporary folder taken.  A Spark Connect session
+    is remote by definition, so there the setting is required.
     """
     sc = _context(spark)
     if sc is None:  # Spark Connect: the server owns the checkpoint folder
-        return spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="brook-ckpt-")
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current.rsplit("/", 1)[0] if _is_context_subdir(current) else current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         configured = tempfile.mkdtemp(prefix="brook-ckpt-")
     sc.setCheckpointDir(configured)
     return configured
