@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from brook.functions.text import WORD, tokens
-from brook.operators.sizing import broadcast_if_bounded
+from brook.operators.sizing import MAX_BROADCAST_BYTES, MAX_BROADCAST_ROWS, broadcast_if_bounded
 
 CLASSES = ("positive", "neutral", "negative")
 
@@ -33,6 +33,8 @@ def lexicon_sentiment(
     word: str = "w",
     cls: str = "cls",
     keep: Sequence[str] = (),
+    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+    max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
     """Per record: token count, positive/negative lexicon hits and their shares.
 
@@ -42,7 +44,9 @@ def lexicon_sentiment(
     the per-record aggregate is collapsed map-side to one row per record before its
     single shuffle.  ``keep`` carries further record columns (taken with ``first``).
     """
-    lex = broadcast_if_bounded(lexicon.groupBy(F.col(word).alias("_w")).agg(F.min(cls).alias("_cls")))
+    lex = broadcast_if_bounded(
+        lexicon.groupBy(F.col(word).alias("_w")).agg(F.min(cls).alias("_cls")), max_broadcast_rows, max_broadcast_bytes
+    )
     toks = df.select(F.col(id_col), *[F.col(c) for c in keep], F.explode_outer(tokens(F.lower(F.col(text)), WORD)).alias("_w"))
     hits = toks.join(lex, "_w", "left")
     agg = hits.groupBy(id_col).agg(

@@ -16,6 +16,9 @@ def test_lexicon_shares(spark):
     for i in (2, 3):
         assert (got[i].n_tokens, got[i].positive, got[i].neutral, got[i].negative) == (0, 0.0, 1.0, 0.0)
     assert got[4].neutral == 1.0
+    # past the size bound the lexicon is joined by a shuffle join, with the same scores
+    shuffled = lexicon_sentiment(docs, "doc_id", "text", lex, max_broadcast_rows=0)
+    assert rows(shuffled) == rows(lexicon_sentiment(docs, "doc_id", "text", lex))
 
 
 def test_model_scores_are_probabilities(spark):
