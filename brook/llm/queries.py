@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from brook.llm import mixing, packing
+from brook.llm import mixing, packing, toxicity
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,6 +16,15 @@ def q_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read(spark, sf_dir, "documents"))
 
 
+def q_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    model = toxicity.fit_model(docs, read(spark, sf_dir, "labels"))
+    scored = toxicity.score_documents(docs.select("doc_id", "text"), model)
+    return scored.select(
+        "doc_id", toxicity.held_out("doc_id").alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
 def q_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(read(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -22,6 +32,7 @@ def q_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_pack_sequences": q_pack_sequences,
+    "op2_toxicity": q_toxicity,
     "op9_mix_sources": q_mix_sources,
 }
 
