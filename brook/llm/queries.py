@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brook.llm import mixing, packing, toxicity
+from brook.llm import mixing, oracle, packing, quality, toxicity
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +25,12 @@ def q_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality.judge_documents(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    fields = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+    return judged.select("doc_id", *[f"quality.{f}" for f in fields])
+
+
 def q_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(read(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -33,7 +39,8 @@ def q_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_pack_sequences": q_pack_sequences,
     "op2_toxicity": q_toxicity,
+    "op4_quality_rules": q_quality_rules,
     "op9_mix_sources": q_mix_sources,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = oracle.ORACLE
