@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brook.llm import mixing, oracle, packing, quality, toxicity
+from brook.llm import mixing, oracle, packing, quality, secrets, toxicity
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,6 +31,11 @@ def q_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *[f"quality.{f}" for f in fields])
 
 
+def q_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.find_secrets(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", *secrets.digest(found))
+
+
 def q_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(read(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -40,6 +45,7 @@ QUERIES = {
     "op1_pack_sequences": q_pack_sequences,
     "op2_toxicity": q_toxicity,
     "op4_quality_rules": q_quality_rules,
+    "op6_secrets": q_secrets,
     "op9_mix_sources": q_mix_sources,
 }
 

@@ -1,0 +1,75 @@
+import hashlib
+import re
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from brook.llm import secrets
+
+DOCS = "doc_id long, text string, findings string, start int"
+
+
+def brute_base(text):
+    """The contract's rules read literally."""
+    out = []
+    for m in re.finditer(r"""(?ai:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", text):
+        if len(m.group(2)) >= 6:
+            out.append(("assign", *m.span()))
+    out += [("access", *m.span()) for m in re.finditer(r"AKIA[A-Z0-9]+", text) if len(m.group()) >= 20]
+    out += [("hex", *m.span()) for m in re.finditer(r"[0-9a-f]+", text) if len(m.group()) >= 24]
+    return out
+
+
+PART = st.sampled_from(["password", "PassWD", "api_key", "token", "\u017fecret", "=", ":", " ", '"', "abc123", "AKIA", "ABCDEFGH12345678", "deadbeef" * 3, "\n\n", "é", "x.y"])
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(PART, max_size=14).map("".join))
+def test_base_spans_match_brute_force(text):
+    found = [x for x in secrets.scan(text) if x[0] in secrets.KINDS[:3]]
+    assert sorted(found) == sorted(brute_base(text))
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 60), st.integers(1, 8)), max_size=12), st.lists(st.tuples(st.integers(0, 60), st.integers(1, 8)), max_size=12), st.lists(st.integers(0, 70), max_size=4).map(sorted), st.integers(0, 20))
+def test_interval_join_matches_all_pairs(a, b, scopes, reach):
+    left = sorted({("l", s, s + n) for s, n in a}, key=lambda x: x[1:])
+    right = sorted({("r", s, s + n) for s, n in b}, key=lambda x: x[1:])
+    want = set()
+    for x in left:
+        for y in right:
+            lo, hi = min(x[2], y[2]), max(x[1], y[1])
+            if hi - lo <= reach and not any(lo <= s < hi for s in scopes):
+                want.add((x, y))
+    assert set(secrets.interval_join(left, right, scopes, reach)) == want
+
+
+def test_weak_parts_need_each_other():
+    key = "Zx9Kq2Lm8Pw4Rt6Yv1Bn3Cd5"
+    assert secrets.scan(f"a word {key} alone") == []
+    assert secrets.scan("user: alice and nothing else at https://db.example.com/x") == []
+    both = secrets.scan(f"user: alice {key} at https://db.example.com/x")
+    assert [x[0] for x in both] == ["identifier", "opaque", "endpoint"]
+    assert secrets.scan(f"user: alice\n\n{key}") == []  # another scope
+    assert secrets.scan(f"user: alice {'w ' * 200}{key}") == []  # out of reach
+
+
+def test_rows_and_digest(spark):
+    text = "é token = \"0123456789abcdef0123456789abcdef\" end"
+    rows = [(1, text, "x", 0), (1, text, "x", 0), (None, None, None, None), (2, "", "y", 1), (3, "w " * 200_000 + "AKIA" + "A" * 16, "z", 2)]
+    found = secrets.find_secrets(spark.createDataFrame(rows, DOCS), findings="found")
+    got = found.select("doc_id", *secrets.digest(found, "found")).collect()
+    one = [r for r in got if r["doc_id"] == 1]
+    want = "assign:2:43,hex:11:43"
+    assert len(one) == 2 and {r["spans"] for r in one} == {want}
+    assert one[0]["base_sha256"] == hashlib.sha256(want.encode()).hexdigest()
+    rest = {r["doc_id"]: r for r in got}
+    assert rest[None]["spans"] == "" and rest[2]["base_sha256"] == hashlib.sha256(b"").hexdigest()
+    assert rest[3]["n_access"] == 1 and rest[3]["spans"] == "access:400000:400020"
+    assert secrets.find_secrets(spark.createDataFrame([], DOCS), findings="f").count() == 0
+
+
+def test_redaction(spark):
+    docs = spark.createDataFrame([(1, "my password=abcdef123 ok", "x", 0), (2, None, "x", 0)], DOCS)
+    got = {r["doc_id"]: r["text"] for r in secrets.redact_documents(docs).collect()}
+    assert got == {1: "my [SECRET] ok", 2: None}
