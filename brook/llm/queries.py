@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brook.llm import mixing, oracle, packing, quality, secrets, toxicity
+from brook.llm import mixing, neardup, oracle, packing, quality, secrets, toxicity
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +25,10 @@ def q_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(read(spark, sf_dir, "documents"))
+
+
 def q_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.judge_documents(read(spark, sf_dir, "documents").select("doc_id", "text"))
     fields = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -44,6 +48,7 @@ def q_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_pack_sequences": q_pack_sequences,
     "op2_toxicity": q_toxicity,
+    "op3_near_duplicates": q_near_duplicates,
     "op4_quality_rules": q_quality_rules,
     "op6_secrets": q_secrets,
     "op9_mix_sources": q_mix_sources,
