@@ -7,18 +7,21 @@
    collide and are dropped.  *Prefix*: with a class's pairs in order of frequency, two
    classes that agree in at least ``T`` of ``K`` coordinates share one of the first
    K - T + 1, so only those are posted; the frequent values stay out of the lists.
-3. *Skip*, round one: each list only pairs its members with the list's first class (the hub).
-   Pairs with at least ``T`` collisions are confirmed on their full sets, and confirmed
-   links merge classes into components.
-4. *Skip*, round two: a list whose members are all in one component is done.  In the others,
+3. *Skip*, round one: each list only pairs its members with its most central class (the hub,
+   whose values are the most frequent).  Pairs with at least ``T`` collisions are
+   confirmed on their full sets, and confirmed links merge classes into components.
+4. *Skip*, round two: a list whose members are all in one component is done.  In the other lists,
    members outside the list's largest component are paired with the members of other
-   components - each pair that round one left open, and none inside a component, so a large group
-   of near copies is never expanded into its pairs.  Collisions are counted and links confirmed as before.
+   components - every pair that round one left open, and none inside a component, so a
+   large group of near copies is never expanded into its pairs.  Before that the shingles of these
+   lists' classes are counted: with u of a class's n shingles its own, a pair's similarity is at most
+   min(na - ua, nb - ub) / max(na + ub, nb + ua), which rules out most pairs (and whole classes with
+   u > n / 4) without looking at them.  Collisions are counted and links confirmed as before.
 
-With K = 40 and T = 19 a pair of similarity 0.75 passes the count with probability
-1 - 5e-5 (more similar ones more surely); the confirmation makes every link exact up to 64-bit hash
-collisions.  Confirmation reads the documents of the pairs once more and sends each
-set to its hub's group; a hub's members are dealt over groups of about 64.
+A pair of similarity 0.75 passes 19 of 40 collisions with probability 1 - 5e-5, more
+similar ones more surely; the confirmation makes every link exact up to 64-bit hash
+collisions.  Confirmation reads the documents of the pairs once more and sends each set to
+its hub's group; a hub's members are dealt over groups of about 64.
 
 Defined cases: null, empty and wordless texts have no shingles and are linked with nothing; fewer
 than five words are one shingle; null doc_ids are linked with nothing, get a null component
@@ -39,8 +42,8 @@ from brook.session import materialize
 
 SHINGLE = 5
 K, T = 40, 19
-#: Rows of (document, group) up to which the second read finds its documents by a broadcast (about 100 bytes each).
-MAX_BROADCAST_ROUTES = 200_000
+#: Routes (a document and the groups that want its set) up to which the second read finds its documents by a broadcast (up to 256 groups each, about 30 bytes a group).
+MAX_BROADCAST_ROUTES = 20_000
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -51,8 +54,8 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 
 _STEPS = _mix(np.arange(1, SHINGLE + 1, dtype=np.uint64) * _GOLD) | np.uint64(1)
-_XOR = _mix(np.arange(101, 101 + K, dtype=np.uint64) * _GOLD)
-_MUL = _mix(np.arange(301, 301 + K, dtype=np.uint64) * _GOLD) | np.uint64(1)
+_XOR = _mix(np.arange(1001, 1001 + K, dtype=np.uint64) * _GOLD)
+_MUL = _mix(np.arange(5001, 5001 + K, dtype=np.uint64) * _GOLD) | np.uint64(1)
 
 
 class WordHashes(dict):
@@ -89,8 +92,8 @@ def shingle_set(text: str | None, hashes: WordHashes) -> np.ndarray:
 def signature(shingles: np.ndarray) -> np.ndarray:
     """``K`` (coordinate, value) pairs as 64-bit numbers, the coordinate mixed in."""
     best = np.full(K, np.iinfo(np.uint64).max, dtype=np.uint64)
-    for k in range(0, len(shingles), 2048):
-        part = (shingles[k : k + 2048, None] ^ _XOR) * _MUL
+    for k in range(0, len(shingles), 1024):
+        part = (shingles[k : k + 1024, None] ^ _XOR) * _MUL
         best = np.minimum(best, part.min(axis=0))
     return _mix(best + _XOR)
 
@@ -118,49 +121,69 @@ def signatures(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
 
 
 def postings(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(fp, shared) of the classes that can reach ``T`` collisions, and their prefix postings (tok, fp)."""
-    pairs = classes.select("fp", F.explode("sig").alias("tok"))
+    """(fp, n, shared) of the classes that can reach ``T`` collisions, and their prefix postings (tok, fp, weight)."""
+    pairs = classes.select("fp", "n", F.explode("sig").alias("tok"))
     frequent = pairs.groupBy("tok").agg(F.count(F.lit(1)).alias("f")).filter("f > 1")
     shared = (
         pairs.join(frequent, "tok")
-        .groupBy("fp")
+        .groupBy("fp", "n")
         .agg(F.sort_array(F.collect_list(F.struct("f", "tok"))).alias("s"))  # at most K
         .filter(F.size("s") >= T)
-        .select("fp", F.transform("s", lambda x: x["tok"]).alias("shared"))
+        .select("fp", "n", F.transform("s", lambda x: x["tok"]).alias("shared"), F.aggregate("s", F.lit(0).cast("long"), lambda a, x: a + x["f"]).alias("weight"))
     )
     shared = materialize(shared, "dup-shared")
     # K - size(shared) pairs are unique to the class and come first in the order of frequency
     prefix = F.slice("shared", F.lit(1), F.size("shared") - F.lit(T - 1))
-    return shared, materialize(shared.select("fp", F.explode(prefix).alias("tok")), "dup-postings")
+    return shared, materialize(shared.select("fp", "weight", F.explode(prefix).alias("tok")), "dup-postings")
 
 
-def colliding(pairs: DataFrame, shared: DataFrame) -> DataFrame:
-    """The pairs (a, b) that agree in at least ``T`` coordinates."""
-    a = shared.select(F.col("fp").alias("a"), F.col("shared").alias("sa"))
-    b = shared.select(F.col("fp").alias("b"), F.col("shared").alias("sb"))
-    both = pairs.join(a, "a").join(b, "b")
+def colliding(pairs: DataFrame, shared: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that agree in at least ``T`` coordinates and whose sizes allow a link."""
+    a = shared.select(F.col("fp").alias("a"), F.col("n").alias("na"), F.col("shared").alias("sa"))
+    b = shared.select(F.col("fp").alias("b"), F.col("n").alias("nb"), F.col("shared").alias("sb"))
+    both = pairs.join(a, "a").join(b, "b").filter(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
     return both.filter(F.size(F.array_intersect("sa", "sb")) >= T).select("a", "b")
 
 
+def with_sets(routes: DataFrame, docs: DataFrame, text: str, doc_id: str, schema: str, make) -> DataFrame:
+    """Read the texts of ``routes`` (route_id, fp, ...) again: ``make(row, set)`` frames, without texts of another set."""
+    texts = docs.select(F.col(doc_id).cast("long").alias("route_id"), F.col(text).alias("text"))
+    sent = texts.join(F.broadcast(routes) if routes.count() <= MAX_BROADCAST_ROUTES else routes, "route_id")
+    hashes = WordHashes()
+
+    def again(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            frames, held = [], 0
+            for row in batch.itertuples(index=False):
+                shingles = shingle_set(row.text, hashes)
+                if fingerprint(shingles) != bytes(row.fp):
+                    continue
+                frames.append(make(row, shingles))
+                held += len(frames[-1]) * max(1, len(shingles))
+                if held > 1_000_000:  # keep what a worker holds small
+                    yield pd.concat(frames)
+                    frames, held = [], 0
+            if frames:
+                yield pd.concat(frames)
+
+    return sent.mapInPandas(again, schema)
+
+
 def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, text: str, doc_id: str, percent: int) -> DataFrame:
     """Links among the pairs (a, b), by their documents' full sets."""
     degree = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / 64).alias("groups"))
     dealt = pairs.join(degree, "a").select("a", "b", F.pmod(F.xxhash64("b"), "groups").alias("grp"))
     member = dealt.select("a", "grp", F.col("b").alias("fp"))
     hub = dealt.select("a", "grp", F.col("a").alias("fp")).distinct()
-    routes = member.union(hub).join(classes.select("fp", "min_id"), "fp").select(F.col("min_id").alias("route_id"), "a", "grp", "fp")
-    routes = materialize(routes, "dup-routes")
-    texts = docs.select(F.col(doc_id).cast("long").alias("route_id"), F.col(text).alias("text"))
-    n = routes.count()
-    sent = texts.join(F.broadcast(routes) if n <= MAX_BROADCAST_ROUTES else routes, "route_id")
-    hashes = WordHashes()
+    # a text goes out once for up to about 256 of the groups that want its set
+    goals = member.union(hub)
+    parts = goals.groupBy("fp").agg(F.ceil(F.count(F.lit(1)) / 256).alias("parts"))
+    goals = goals.join(parts, "fp").groupBy("fp", F.pmod(F.xxhash64("a", "grp"), "parts").alias("part")).agg(F.collect_list(F.struct("a", "grp")).alias("goals"))
+    routes = goals.join(classes.select("fp", "min_id"), "fp").select(F.col("min_id").alias("route_id"), "fp", "goals")
 
-    def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            found = [shingle_set(t, hashes) for t in batch["text"]]
-            same = [fingerprint(s) == bytes(f) for s, f in zip(found, batch["fp"], strict=True)]  # else another text of that id
-            out = batch[["a", "grp", "fp"]].assign(shingles=[s.tobytes() for s in found])
-            yield out[same]
+    def send(row, shingles: np.ndarray) -> pd.DataFrame:
+        of = [(g["a"], g["grp"]) for g in row.goals]
+        return pd.DataFrame({"a": [x for x, _ in of], "grp": [x for _, x in of], "fp": [row.fp] * len(of), "shingles": [shingles.tobytes()] * len(of)})
 
     def link(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         hub = bytes(key[0])
@@ -168,15 +191,13 @@ def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, text: str,
         own = by.pop(hub)
         out = []
         for fp, s in by.items():
-            if 100 * min(len(s), len(own)) < percent * max(len(s), len(own)):
-                continue
             common = len(np.intersect1d(own, s, assume_unique=True))
             if 100 * common >= percent * (len(own) + len(s) - common):
                 out.append((hub, fp))
         return pd.DataFrame(out, columns=["a", "b"])
 
-    with_sets = sent.mapInPandas(sets, "a binary, grp long, fp binary, shingles binary")
-    return materialize(with_sets.groupBy("a", "grp").applyInPandas(link, "a binary, b binary"), "dup-links")
+    sets = with_sets(materialize(routes, "dup-routes"), docs, text, doc_id, "a binary, grp long, fp binary, shingles binary", send)
+    return materialize(sets.groupBy("a", "grp").applyInPandas(link, "a binary, b binary"), "dup-links")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -205,36 +226,67 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def hub_pairs(posted: DataFrame) -> DataFrame:
-    """Each list's first class with each other member."""
-    hubs = posted.groupBy("tok").agg(F.min("fp").alias("a"), F.count(F.lit(1)).alias("f")).filter("f > 1").select("tok", "a")
-    return posted.withColumnRenamed("fp", "b").join(hubs, "tok").filter("a <> b").select("a", "b").distinct()
+    """Each list's most central class with each other member."""
+    hubs = posted.groupBy("tok").agg(F.max(F.struct("weight", "fp")).alias("hub"), F.count(F.lit(1)).alias("f")).filter("f > 1")
+    pairs = posted.withColumnRenamed("fp", "b").join(hubs.select("tok", F.col("hub.fp").alias("a")), "tok")
+    return pairs.filter("a <> b").select("a", "b").distinct()
 
 
-def open_pairs(posted: DataFrame, comps: DataFrame) -> DataFrame:
-    """Pairs of one list in different components."""
+def open_postings(posted: DataFrame, comps: DataFrame) -> DataFrame:
+    """(tok, fp, comp) of the lists with members of several components."""
     own = posted.join(comps, "fp", "left").select("tok", "fp", F.coalesce("comp", "fp").alias("comp"))
     lists = own.groupBy("tok").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("tok")
-    own = materialize(own.join(lists, "tok"), "dup-open")
-    largest = own.groupBy("tok", "comp").agg(F.count(F.lit(1)).alias("n")).groupBy("tok").agg(F.max(F.struct("n", "comp"))["comp"].alias("main"))
-    minor = own.join(largest, "tok").filter("comp <> main").select("tok", F.col("fp").alias("x"), F.col("comp").alias("cx"), "main")
-    pairs = minor.join(own.withColumnRenamed("fp", "y"), "tok").filter("cx <> comp and (comp = main or x < y)")
-    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    return own.join(lists, "tok")
+
+
+def own_shingles(classes: DataFrame, docs: DataFrame, text: str, doc_id: str) -> DataFrame:
+    """(owner, u): how many shingles each of ``classes`` shares with no other of them (0: no row)."""
+
+    def rows(row, shingles: np.ndarray) -> pd.DataFrame:
+        return pd.DataFrame({"owner": row.owner, "sh": shingles.view(np.int64)})
+
+    found = with_sets(classes, docs, text, doc_id, "owner long, sh long", rows)
+    once = found.groupBy("sh").agg(F.count(F.lit(1)).alias("f"), F.min("owner").alias("owner")).filter("f = 1")
+    return once.groupBy("owner").agg(F.count(F.lit(1)).alias("u"))
+
+
+def open_pairs(own: DataFrame, percent: int) -> DataFrame:
+    """Pairs of one list in different components, as far as n and u allow a link."""
+    largest = own.groupBy("tok", "comp").agg(F.count(F.lit(1)).alias("c")).groupBy("tok").agg(F.max(F.struct("c", "comp"))["comp"].alias("main"))
+    x = own.join(largest, "tok").filter("comp <> main").select("tok", "main", *[F.col(c).alias(f"{c}_x") for c in ("fp", "comp", "n", "u")])
+    y = own.select(F.col("tok").alias("of"), *[F.col(c).alias(f"{c}_y") for c in ("fp", "comp", "n", "u")])
+    pairs = x.join(y, F.expr(
+        f"""tok = of AND comp_x <> comp_y AND (comp_y = main OR fp_x < fp_y)
+            AND 100 * least(n_x - u_x, n_y - u_y) >= {percent} * greatest(n_x + u_y, n_y + u_x)"""
+    ))
+    return pairs.select(F.least("fp_x", "fp_y").alias("a"), F.greatest("fp_x", "fp_y").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", percent: int = 75) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) per row of ``docs``."""
     signed = materialize(signatures(docs, text, doc_id), "dup-signatures")
     usable = signed.filter("sig is not null")
-    classes = materialize(usable.groupBy("fp").agg(F.min("doc_id").alias("min_id"), F.first("sig").alias("sig")), "dup-classes")
+    classes = usable.groupBy("fp").agg(F.min("doc_id").alias("min_id"), F.first("n").alias("n"), F.first("sig").alias("sig"))
+    classes = materialize(classes, "dup-classes")
+
     shared, posted = postings(classes)
-    first = materialize(colliding(hub_pairs(posted), shared), "dup-pairs")
+    first = materialize(colliding(hub_pairs(posted), shared, percent), "dup-pairs")
     links = confirmed(first, classes, docs, text, doc_id, percent)
     comps = components(links)
-    rest = colliding(open_pairs(posted, comps), shared).join(first, ["a", "b"], "left_anti")
-    rest = materialize(rest, "dup-rest")
-    if not rest.isEmpty():
-        more = confirmed(rest, classes, docs, text, doc_id, percent)
-        comps = components(links.union(more))
+
+    owner = F.xxhash64("fp").alias("owner")
+    left = open_postings(posted, comps).select("fp").distinct().join(classes, "fp").select("fp", "n", F.col("min_id").alias("route_id"), owner)
+    left = materialize(left, "dup-open")
+    if not left.isEmpty():
+        u = own_shingles(left, docs, text, doc_id)
+        able = left.join(u, "owner", "left").select("fp", "n", F.coalesce("u", F.lit(0)).alias("u")).filter(100 * (F.col("n") - F.col("u")) >= percent * F.col("n"))
+        able = materialize(able, "dup-able")
+        lists = open_postings(posted.join(able.select("fp"), "fp"), comps).join(able, "fp")
+        rest = colliding(open_pairs(materialize(lists, "dup-lists"), percent), shared, percent).join(first, ["a", "b"], "left_anti")
+        rest = materialize(rest, "dup-rest")
+        if not rest.isEmpty():
+            comps = components(links.union(confirmed(rest, classes, docs, text, doc_id, percent)))
+
     ids = classes.select("fp", "min_id").join(comps, "fp")
     lowest = ids.groupBy("comp").agg(F.min("min_id").alias("lowest"))
     of_class = classes.select("fp", "min_id").join(ids.select("fp", "comp").join(lowest, "comp"), "fp", "left")
