@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brook.llm import mixing, neardup, oracle, packing, quality, secrets, toxicity
+from brook.llm import licenses, mixing, neardup, oracle, packing, quality, secrets, toxicity
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,6 +40,11 @@ def q_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *secrets.digest(found))
 
 
+def q_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan_licenses(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", *licenses.digest())
+
+
 def q_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(read(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -51,6 +56,7 @@ QUERIES = {
     "op3_near_duplicates": q_near_duplicates,
     "op4_quality_rules": q_quality_rules,
     "op6_secrets": q_secrets,
+    "op8_licenses": q_licenses,
     "op9_mix_sources": q_mix_sources,
 }
 
