@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brook.llm import licenses, mixing, neardup, oracle, packing, quality, secrets, toxicity
+from brook.llm import licenses, mixing, neardup, oracle, packing, quality, secrets, toxicity, warc
+
+
+from brook.session import scratch_path
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,6 +48,12 @@ def q_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *licenses.digest())
 
 
+def q_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    whole = warc.write_archives(read(spark, sf_dir, "pages"), scratch_path(spark, "warc-monolithic"))
+    normal = warc.normalise(spark, whole, scratch_path(spark, "warc"))
+    return warc.read_archives(spark, normal).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def q_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(read(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -56,6 +65,7 @@ QUERIES = {
     "op3_near_duplicates": q_near_duplicates,
     "op4_quality_rules": q_quality_rules,
     "op6_secrets": q_secrets,
+    "op7_warc": q_warc,
     "op8_licenses": q_licenses,
     "op9_mix_sources": q_mix_sources,
 }
