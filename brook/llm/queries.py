@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brook.llm import licenses, mixing, neardup, oracle, packing, quality, secrets, toxicity, warc
+from brook.llm import htmltext, licenses, mixing, neardup, oracle, packing, quality, secrets, toxicity, warc
 
 
 from brook.session import scratch_path
@@ -54,6 +54,11 @@ def q_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_archives(spark, normal).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def q_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = htmltext.extract_text(read(spark, sf_dir, "pages"))
+    return texts.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
 def q_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(read(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -65,6 +70,7 @@ QUERIES = {
     "op3_near_duplicates": q_near_duplicates,
     "op4_quality_rules": q_quality_rules,
     "op6_secrets": q_secrets,
+    "op5_html_text": q_html_text,
     "op7_warc": q_warc,
     "op8_licenses": q_licenses,
     "op9_mix_sources": q_mix_sources,
