@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brook.llm import htmltext, licenses, mixing, neardup, oracle, packing, quality, secrets, toxicity, warc
+from brook.llm import ann, htmltext, licenses, mixing, neardup, oracle, packing, quality, secrets, toxicity, warc
 
 
 from brook.session import scratch_path
@@ -64,6 +64,10 @@ def q_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def q_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest_neighbours(read(spark, sf_dir, "embeddings"), F.pmod("vec_id", F.lit(50)) == 0)
+
+
 QUERIES = {
     "op1_pack_sequences": q_pack_sequences,
     "op2_toxicity": q_toxicity,
@@ -74,6 +78,7 @@ QUERIES = {
     "op7_warc": q_warc,
     "op8_licenses": q_licenses,
     "op9_mix_sources": q_mix_sources,
+    "op10_neighbours": q_neighbours,
 }
 
 ORACLE: dict[str, str] = oracle.ORACLE
