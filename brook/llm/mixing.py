@@ -215,15 +215,17 @@ def mix(
         word_count(text).alias("size"),
         key.alias("h"),
     )
+    small = materialize(sized if not carry else sized.select("sk", F.struct("row.doc_id", "row.source").alias("row"), "size", "h"), "mix-sizes")
     if not carry:
-        sized = materialize(sized, "mix-sizes")
-    counts = sized.groupBy("sk").agg(F.first("row.source").alias("source"), F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("rows"))
+        sized = small
+    counts = small.groupBy("sk").agg(F.first("row.source").alias("source"), F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("rows"))
     counts = materialize(counts, "mix-sources")  # one row per source
     n, n_sources = counts.agg(F.coalesce(F.sum("rows"), F.lit(0)), F.count(F.lit(1))).first()
     buckets = max(256, math.ceil(n / 1024))
-    sized = sized.withColumn("bucket", F.floor(F.conv(F.substring("h", 1, 8), 16, 10).cast("double") * (buckets / 2.0**32)).cast("int"))
+    bucket = F.floor(F.conv(F.substring("h", 1, 8), 16, 10).cast("double") * (buckets / 2.0**32)).cast("int")
+    sized = sized.withColumn("bucket", bucket)
     plan = materialize(draw_plan(counts.drop("rows"), weights, share, cap, blocks, shards, seed), "mix-plan")
-    offsets = sized.groupBy("sk", "bucket").agg(F.sum("size").alias("bucket_size"))
+    offsets = small.withColumn("bucket", bucket).groupBy("sk", "bucket").agg(F.sum("size").alias("bucket_size"))
     before = Window.partitionBy("sk").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = offsets.select("sk", "bucket", F.coalesce(F.sum("bucket_size").over(before), F.lit(0)).alias("offset"))
     inside = Window.partitionBy("sk", "bucket").orderBy("h", "row.doc_id").rowsBetween(Window.unboundedPreceding, 0)
@@ -275,3 +277,9 @@ def mixed_texts(mixed: DataFrame, text: str, columns: list[str], seed: str = "mi
         F.element_at("parts", 1)["shard"].alias("shard"),
         F.md5(F.concat_ws(":", F.lit(seed), F.element_at("parts", 1)["shard"], F.element_at("parts", 1)["block"], F.col("epoch"), F.element_at("parts", 1)["from_word"], F.col("size"))).alias("shuffle_key"),
     )
+
+
+def shuffled(rows: DataFrame, columns: list[str], slices: int = 8) -> DataFrame:
+    """The rows of ``mixed_texts`` in shards, each in ``slices`` parts by hash, shuffled inside a part."""
+    part = F.pmod(F.xxhash64("shuffle_key"), F.lit(slices))
+    return rows.withColumn("slice", part).repartition("shard", "slice").sortWithinPartitions("shard", "slice", "shuffle_key").select(*columns)

@@ -44,6 +44,8 @@ SHINGLE = 5
 K, T = 40, 19
 #: Routes (a document and the groups that want its set) up to which the second read finds its documents by a broadcast (up to 256 groups each, about 30 bytes a group).
 MAX_BROADCAST_ROUTES = 20_000
+#: Dropped ids that are broadcast at most (8 bytes each).
+MAX_BROADCAST_IDS = 1_000_000
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -297,3 +299,11 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id")).withColumn(
         "kept", F.col("doc_id").eqNullSafe(F.col("component_id"))
     )
+
+
+def drop_near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", percent: int = 75) -> DataFrame:
+    """``docs`` with one document of each component: the one with the smallest id (rows sharing an id stay together)."""
+    found = near_duplicates(docs, text, doc_id, percent)
+    out = materialize(found.filter(~F.col("kept")).select(F.col("doc_id").alias("dropped_id")).distinct(), "dup-dropped")
+    small = out.count() <= MAX_BROADCAST_IDS
+    return docs.join(F.broadcast(out) if small else out, F.col(doc_id).cast("long") == F.col("dropped_id"), "left_anti")
