@@ -10,13 +10,14 @@
 3. *Skip*, round one: each list only pairs its members with its most central class (the hub,
    whose values are the most frequent).  Pairs with at least ``T`` collisions are
    confirmed on their full sets, and confirmed links merge classes into components.
-4. *Skip*, round two: a list whose members are all in one component is done.  In the other lists,
-   members outside the list's largest component are paired with the members of other
-   components - every pair that round one left open, and none inside a component, so a
-   large group of near copies is never expanded into its pairs.  Before that the shingles of these
-   lists' classes are counted: with u of a class's n shingles its own, a pair's similarity is at most
-   min(na - ua, nb - ub) / max(na + ub, nb + ua), which rules out most pairs (and whole classes with
-   u > n / 4) without looking at them.  Collisions are counted and links confirmed as before.
+4. *Skip*, round two: a list whose members are all in one component is done.  In the other lists
+   the members of different components are compared - every pair that round one left open, none
+   inside a component.  A list's members are dealt into blocks of about ``BLOCK`` and meet block by
+   block: a pair is taken up in its first common list only, its collisions are counted,
+   its sizes and own shingles must allow a link (with u of a class's n shingles its own, the similarity is at
+   most min(na - ua, nb - ub) / max(na + ub, nb + ua)), and its sets, cut to 32 bits (which can
+   only raise the overlap), must reach the threshold.  Only pairs that pass leave the block and are
+   confirmed as before, so a large group of near copies is never expanded into its pairs.
 
 A pair of similarity 0.75 passes 19 of 40 collisions with probability 1 - 5e-5, more
 similar ones more surely; the confirmation makes every link exact up to 64-bit hash
@@ -42,8 +43,10 @@ from brook.session import materialize
 
 SHINGLE = 5
 K, T = 40, 19
-#: Routes (a document and the groups that want its set) up to which the second read finds its documents by a broadcast (up to 256 groups each, about 30 bytes a group).
-MAX_BROADCAST_ROUTES = 20_000
+#: Members of a list that meet at once in round two.
+BLOCK = 512
+#: Routes (documents and the groups that want their sets, about 30 bytes each) up to which the second read finds its documents by a broadcast.
+MAX_BROADCAST_ROUTES = 1_000_000
 #: Dropped ids that are broadcast at most (8 bytes each).
 MAX_BROADCAST_IDS = 1_000_000
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
@@ -150,7 +153,8 @@ def colliding(pairs: DataFrame, shared: DataFrame, percent: int) -> DataFrame:
 def with_sets(routes: DataFrame, docs: DataFrame, text: str, doc_id: str, schema: str, make) -> DataFrame:
     """Read the texts of ``routes`` (route_id, fp, ...) again: ``make(row, set)`` frames, without texts of another set."""
     texts = docs.select(F.col(doc_id).cast("long").alias("route_id"), F.col(text).alias("text"))
-    sent = texts.join(F.broadcast(routes) if routes.count() <= MAX_BROADCAST_ROUTES else routes, "route_id")
+    entries = routes.agg(F.sum(F.size("goals") + 1) if "goals" in routes.columns else F.count(F.lit(1))).first()[0] or 0
+    sent = texts.join(F.broadcast(routes) if entries <= MAX_BROADCAST_ROUTES else routes, "route_id")
     hashes = WordHashes()
 
     def again(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -241,27 +245,79 @@ def open_postings(posted: DataFrame, comps: DataFrame) -> DataFrame:
     return own.join(lists, "tok")
 
 
-def own_shingles(classes: DataFrame, docs: DataFrame, text: str, doc_id: str) -> DataFrame:
-    """(owner, u): how many shingles each of ``classes`` shares with no other of them (0: no row)."""
+def open_sets(classes: DataFrame, docs: DataFrame, text: str, doc_id: str, percent: int) -> DataFrame:
+    """(fp, n, u, cut) of the classes that can have a link to another of them.
+
+    ``u``: how many of its ``n`` shingles no other of them has; ``cut``: the shingles' last 32 bits.
+    """
 
     def rows(row, shingles: np.ndarray) -> pd.DataFrame:
-        return pd.DataFrame({"owner": row.owner, "sh": shingles.view(np.int64)})
+        return pd.DataFrame({"fp": [row.fp], "n": [row.n], "shingles": [shingles.view(np.int64)]})
 
-    found = with_sets(classes, docs, text, doc_id, "owner long, sh long", rows)
-    once = found.groupBy("sh").agg(F.count(F.lit(1)).alias("f"), F.min("owner").alias("owner")).filter("f = 1")
-    return once.groupBy("owner").agg(F.count(F.lit(1)).alias("u"))
+    sets = materialize(with_sets(classes, docs, text, doc_id, "fp binary, n long, shingles array<long>", rows).dropDuplicates(["fp"]), "dup-sets")
+    owner = F.xxhash64("fp").alias("owner")
+    once = sets.select(owner, F.explode("shingles").alias("sh")).groupBy("sh").agg(F.count(F.lit(1)).alias("f"), F.min("owner").alias("owner")).filter("f = 1")
+    u = once.groupBy("owner").agg(F.count(F.lit(1)).alias("u"))
+    cut = F.transform("shingles", lambda x: x.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")).alias("cut")
+    able = sets.withColumn("owner", owner).join(u, "owner", "left").withColumn("u", F.coalesce("u", F.lit(0)))
+    return able.filter(100 * (F.col("n") - F.col("u")) >= percent * F.col("n")).select("fp", "n", "u", cut)
+
+
+def _meet(percent: int):
+    """Compare the members of one list's two blocks; gives the pairs that seem linked."""
+
+    def incidence(lists: list[np.ndarray], vocabulary: dict[int, int]) -> np.ndarray:
+        out = np.zeros((len(lists), len(vocabulary)), dtype=np.float32)
+        for k, tokens in enumerate(lists):
+            out[k, [vocabulary[t] for t in tokens]] = 1
+        return out
+
+    def words(tokens) -> dict[int, int]:
+        return {t: k for k, t in enumerate(sorted({x for y in tokens for x in y}))}
+
+    def meet(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        tok, lo, hi = (int(x) for x in key)
+        first, second = rows[rows["blk"] == lo], rows[rows["blk"] == hi]
+        n, u, comp = (lambda d: d["n"].to_numpy(float)), (lambda d: d["u"].to_numpy(float)), (lambda d: d["comp"].map(bytes).to_numpy(object))
+        na, nb, ua, ub = n(first)[:, None], n(second)[None], u(first)[:, None], u(second)[None]
+        open_ = comp(first)[:, None] != comp(second)[None]
+        open_ &= 100 * np.minimum(na - ua, nb - ub) >= percent * np.maximum(na + ub, nb + ua)
+        if lo == hi:
+            open_ &= np.tri(len(first), len(second), -1, dtype=bool)
+        if open_.any():
+            shared = words(rows["shared"])
+            open_ &= incidence(list(first["shared"]), shared) @ incidence(list(second["shared"]), shared).T >= T
+        if open_.any():  # the pair's first common list takes it up
+            earlier = [[[t for t in tokens if t < tok] for tokens in d["posted"]] for d in (first, second)]
+            seen = words(earlier[0] + earlier[1])
+            open_ &= incidence(earlier[0], seen) @ incidence(earlier[1], seen).T == 0
+        a, b = np.nonzero(open_)
+        cuts = {}
+        out = []
+        for i, j in zip(a.tolist(), b.tolist(), strict=True):
+            sides = []
+            for d, k, side in ((first, i, 0), (second, j, 1)):
+                if (side, k) not in cuts:
+                    cuts[side, k] = np.unique(d["cut"].iat[k])
+                sides.append(cuts[side, k])
+            x, y = float(na[i, 0]), float(nb[0, j])
+            common = len(np.intersect1d(*sides, assume_unique=True)) + x - len(sides[0]) + y - len(sides[1])
+            if 100 * common >= percent * (x + y - common):
+                out.append(tuple(sorted((bytes(first["fp"].iat[i]), bytes(second["fp"].iat[j])))))
+        return pd.DataFrame(out, columns=["a", "b"])
+
+    return meet
 
 
-def open_pairs(own: DataFrame, percent: int) -> DataFrame:
-    """Pairs of one list in different components, as far as n and u allow a link."""
-    largest = own.groupBy("tok", "comp").agg(F.count(F.lit(1)).alias("c")).groupBy("tok").agg(F.max(F.struct("c", "comp"))["comp"].alias("main"))
-    x = own.join(largest, "tok").filter("comp <> main").select("tok", "main", *[F.col(c).alias(f"{c}_x") for c in ("fp", "comp", "n", "u")])
-    y = own.select(F.col("tok").alias("of"), *[F.col(c).alias(f"{c}_y") for c in ("fp", "comp", "n", "u")])
-    pairs = x.join(y, F.expr(
-        f"""tok = of AND comp_x <> comp_y AND (comp_y = main OR fp_x < fp_y)
-            AND 100 * least(n_x - u_x, n_y - u_y) >= {percent} * greatest(n_x + u_y, n_y + u_x)"""
-    ))
-    return pairs.select(F.least("fp_x", "fp_y").alias("a"), F.greatest("fp_x", "fp_y").alias("b")).distinct()
+def open_pairs(lists: DataFrame, able: DataFrame, shared: DataFrame, percent: int) -> DataFrame:
+    """Pairs of one list in different components that seem linked, from ``lists`` (tok, fp, comp)."""
+    sizes = lists.groupBy("tok").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
+    posted = lists.groupBy("fp").agg(F.collect_list("tok").alias("posted"))  # at most K
+    about = able.join(shared.select("fp", "shared"), "fp").join(posted, "fp")
+    dealt = lists.join(sizes, "tok").withColumn("blk", F.pmod(F.xxhash64("fp"), "blocks"))
+    sent = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - F.lit(1).cast("long"))))
+    sent = sent.select("tok", "fp", "comp", "blk", F.least("blk", "other").alias("lo"), F.greatest("blk", "other").alias("hi")).join(about, "fp")
+    return sent.groupBy("tok", "lo", "hi").applyInPandas(_meet(percent), "a binary, b binary").distinct()
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", percent: int = 75) -> DataFrame:
@@ -276,16 +332,12 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     links = confirmed(first, classes, docs, text, doc_id, percent)
     comps = components(links)
 
-    owner = F.xxhash64("fp").alias("owner")
-    left = open_postings(posted, comps).select("fp").distinct().join(classes, "fp").select("fp", "n", F.col("min_id").alias("route_id"), owner)
+    left = open_postings(posted, comps).select("fp").distinct().join(classes, "fp").select("fp", "n", F.col("min_id").alias("route_id"))
     left = materialize(left, "dup-open")
     if not left.isEmpty():
-        u = own_shingles(left, docs, text, doc_id)
-        able = left.join(u, "owner", "left").select("fp", "n", F.coalesce("u", F.lit(0)).alias("u")).filter(100 * (F.col("n") - F.col("u")) >= percent * F.col("n"))
-        able = materialize(able, "dup-able")
-        lists = open_postings(posted.join(able.select("fp"), "fp"), comps).join(able, "fp")
-        rest = colliding(open_pairs(materialize(lists, "dup-lists"), percent), shared, percent).join(first, ["a", "b"], "left_anti")
-        rest = materialize(rest, "dup-rest")
+        able = materialize(open_sets(left, docs, text, doc_id, percent), "dup-able")
+        lists = materialize(open_postings(posted.join(able.select("fp"), "fp"), comps), "dup-lists")
+        rest = materialize(open_pairs(lists, able, shared, percent), "dup-rest")
         if not rest.isEmpty():
             comps = components(links.union(confirmed(rest, classes, docs, text, doc_id, percent)))
 
