@@ -1,5 +1,7 @@
 """DuckDB SQL of the queries that SQL can express."""
 
+from brook.llm import licenses
+
 WORD = r"[^\x20\x09-\x0D]+"
 
 QUALITY = rf"""
@@ -30,6 +32,93 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM f
 """
 
+WARC = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+d AS (SELECT page_id, octet_length(encode(html))::BIGINT AS payload_bytes, sha1(html) AS hex FROM p),
+b AS (SELECT *, array_to_string(list_transform(range(8), lambda k: list_transform(range(4), lambda j:
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((('0x' || substr(hex, 5 * k + 1, 5))::BIGINT >> (15 - 5 * j)) & 31)::INT, 1)).list_aggregate('string_agg', '')), '') AS payload_digest FROM d),
+g AS (SELECT *, count(*) OVER (PARTITION BY payload_digest) AS copies, max(page_id) OVER (PARTITION BY payload_digest) AS first FROM b)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN copies > 1 AND page_id IS DISTINCT FROM first THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN copies > 1 AND page_id IS DISTINCT FROM first THEN first END AS refers_to
+FROM g
+"""
+
+
+def _licenses() -> str:
+    known = licenses.template_words()
+    words = ", ".join(f"({t}, {p}, '{w}', {str(a <= p < b).lower()}, '{label}', {len(ws)})" for t, (label, ws, a, b) in enumerate(known) for p, w in enumerate(ws))
+    index = ", ".join(f"'{w}'" for w in licenses.index_words())
+    base = " UNION ALL ".join(
+        f"SELECT k, '{label}' AS label, i FROM n WHERE " + " AND ".join(f"ws[i + {j}] = '{w}'" for j, w in enumerate(phrase.split()))
+        for phrase, label in licenses.BASE.items()
+    )
+    return rf"""
+WITH t(t, p, w, key, label, size) AS (VALUES {words}),
+d AS (SELECT row_number() OVER () AS k, doc_id, list_filter(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS ws FROM documents),
+n AS (SELECT k, ws, unnest(range(1, len(ws) + 1)) AS i FROM d),
+df AS (SELECT ws[i] AS w, count(DISTINCT k) AS docs FROM n WHERE ws[i] IN ({index}) GROUP BY 1),
+rare AS (SELECT w FROM df WHERE docs <= 0.05 * (SELECT count(*) FROM d)),
+v AS (SELECT n.k, t.t, n.i - 1 - t.p AS s FROM n JOIN t ON n.ws[n.i] = t.w WHERE t.w IN (SELECT w FROM rare)),
+c AS (SELECT k, t, s FROM v GROUP BY ALL HAVING count(*) > 1),
+m AS (SELECT c.k, t.label, c.t, c.s, avg(CASE WHEN c.s + t.p >= 0 AND d.ws[c.s + t.p + 1] = t.w THEN 1.0 ELSE 0.0 END) AS score,
+    bool_and(NOT t.key OR coalesce(c.s + t.p >= 0 AND d.ws[c.s + t.p + 1] = t.w, false)) AS ok
+  FROM c JOIN t USING (t) JOIN d USING (k) GROUP BY ALL),
+b AS ({base}),
+bb AS (SELECT k, count(*) AS n_base, min(i) - 1 AS first_word, max(i) - 1 AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM b GROUP BY k),
+f AS (SELECT k, max(score) AS score FROM m WHERE ok GROUP BY k),
+l AS (SELECT k, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM (SELECT k, label FROM b UNION ALL SELECT k, label FROM m WHERE ok) GROUP BY k)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word::BIGINT AS first_word, last_word::BIGINT AS last_word,
+  coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, CASE WHEN n_base > 0 THEN 1.0 ELSE coalesce(f.score, 0.0) END::DOUBLE AS score
+FROM d LEFT JOIN bb USING (k) LEFT JOIN f USING (k) LEFT JOIN l USING (k)
+"""
+
+
+#: Sources as lines of words in hash order, cut into blocks, blocks in hash order; the shards don't change what is taken.
+MIX = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS k, doc_id, source, coalesce('s' || source, 'n') AS sk, coalesce(len(regexp_extract_all(text, '{WORD}')), 0)::BIGINT AS size,
+    md5('mix:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+s0 AS (SELECT sk, any_value(source) AS source, sum(size)::BIGINT AS source_size FROM d GROUP BY sk),
+s1 AS (SELECT *, [3.0, 1.0, 2.0][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT]::DOUBLE AS w, source_size * 2.0::DOUBLE AS cap FROM s0),
+s2 AS (SELECT *, row_number() OVER fill AS place,
+    (sum(source_size) OVER () * 1.5::DOUBLE - coalesce(sum(cap) OVER (fill ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0.0))
+      / sum(w) OVER (fill ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+  FROM s1 WINDOW fill AS (ORDER BY cap / w, source NULLS LAST)),
+s3 AS (SELECT *, min(CASE WHEN level * w <= cap THEN place END) OVER () AS first FROM s2),
+s4 AS (SELECT *, CASE WHEN first IS NULL OR place < first THEN cap ELSE max(CASE WHEN place = first THEN level END) OVER () * w END AS target FROM s3),
+s AS (SELECT sk, source_size, target, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END::BIGINT AS passes,
+    greatest(ceil(source_size / 256.0), 1)::BIGINT AS block FROM s4),
+b0 AS (SELECT sk, block, source_size, round(target - passes * source_size)::BIGINT AS rest,
+    unnest(range(0, ceil(source_size / block::DOUBLE)::BIGINT)) AS b FROM s),
+b1 AS (SELECT *, least(block, source_size - b * block) AS len, md5('mix:' || sk || ':' || b) AS key FROM b0),
+b AS (SELECT sk, b * block AS lo, b * block + greatest(0, least(len, rest - sum(len) OVER (PARTITION BY sk ORDER BY key, b) + len)) AS hi FROM b1),
+p AS (SELECT d.*, s.source_size, s.target, s.passes,
+    sum(size) OVER (PARTITION BY sk ORDER BY h, doc_id NULLS FIRST ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - size AS start FROM d JOIN s USING (sk)),
+o AS (SELECT k, sum(least(p.start + p.size, b.hi) - greatest(p.start, b.lo)) AS part FROM p JOIN b ON p.sk = b.sk AND b.hi > p.start AND b.lo < p.start + p.size AND b.hi > b.lo GROUP BY k)
+SELECT doc_id, size, source_size, target::DOUBLE AS target, (passes * size + coalesce(part, 0))::BIGINT AS taken FROM p LEFT JOIN o USING (k)
+"""
+
+#: All pairs with a common shingle: exact, for tables as small as the correctness check's.
+NEAR_DUPLICATES = rf"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS k, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{WORD}') AS ws FROM documents),
+sh AS (SELECT DISTINCT k, unnest(CASE WHEN len(ws) >= 5 THEN list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' '))
+    WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END) AS s FROM d),
+n AS (SELECT k, count(*) AS n FROM sh GROUP BY k),
+p AS (SELECT a.k AS x, b.k AS y, count(*) AS c FROM sh a JOIN sh b USING (s) WHERE a.k <> b.k GROUP BY ALL),
+e AS (SELECT x, y FROM p JOIN n nx ON nx.k = x JOIN n ny ON ny.k = y WHERE 100 * c >= 75 * (nx.n + ny.n - c)),
+r(k, other) AS (SELECT k, k FROM d UNION SELECT r.k, e.y FROM r JOIN e ON e.x = r.other),
+m AS (SELECT r.k, min(o.doc_id) AS component_id FROM r JOIN d o ON o.k = r.other GROUP BY r.k)
+SELECT doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, component_id, doc_id IS NOT DISTINCT FROM component_id AS kept
+FROM d JOIN m USING (k) LEFT JOIN n USING (k)
+"""
+
 ORACLE = {
+    "op3_near_duplicates": NEAR_DUPLICATES,
+    "op7_warc": WARC,
+    "op8_licenses": _licenses(),
+    "op9_mix_sources": MIX,
     "op4_quality_rules": QUALITY,
 }
