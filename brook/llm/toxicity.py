@@ -23,6 +23,7 @@ fine; with labels of one class only every score is the same side of 0.5; an empt
 
 from __future__ import annotations
 
+import math
 import re
 from dataclasses import dataclass
 
@@ -33,6 +34,8 @@ from pyspark.sql import functions as F
 
 WORD = re.compile(r"[^\W_]+")
 GRAMS = (3, 4, 5)
+#: Minibatches a round of learning takes at least, for small training sets.
+MIN_STEPS = 300
 #: Words whose score a worker keeps; beyond it the store starts anew.
 MAX_KEPT_WORDS = 400_000
 
@@ -193,7 +196,7 @@ def _learn(texts: list[str], toxic: np.ndarray, window: int, buckets: int, dim:
 
     def fit(which: np.ndarray, label: np.ndarray, weight: np.ndarray, rounds: int):
         nonlocal step
-        for _ in range(rounds):
+        for _ in range(max(rounds, math.ceil(MIN_STEPS * batch / max(len(which), 1)))):
             order = rng.permutation(len(which))
             for k in range(0, len(order), batch):
                 part = order[k : k + batch]
