@@ -28,7 +28,7 @@ from brook.operators.sentiment import (
 )
 from brook.operators.tokens import explode_tokens
 from brook.operators.windows import assign_window, sliding_counts, tumbling_counts
-from brook.sinks.log import log_sink
+from brook.sinks.log import log_sink, preview
 from brook.sinks.messages import publish_json, publish_raw
 from brook.sinks.text import write_lines
 from brook.sources.feed import tracked_feed
@@ -61,6 +61,7 @@ __all__ = [
     "lexicon_sentiment",
     "lines_of",
     "log_sink",
+    "preview",
     "model_sentiment",
     "publish_json",
     "publish_raw",

@@ -3,19 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from brook.functions.json import has_key
-from brook.functions.keywords import any_substring
 from brook.functions.text import contains_ci, is_blank
 
-# Above this many keywords the OR-chain of substring tests is replaced by one
-# Aho-Corasick pass per Arrow batch (linear in text length, not in keyword count).
-MAX_INLINE_KEYWORDS = 32
-
 
 def keyword_filter(df: DataFrame, text: str, keyword: str) -> DataFrame:
     """rows whose ``text`` contains ``keyword`` case-insensitively (null text: dropped)."""
@@ -33,12 +27,16 @@ def lang_filter(df: DataFrame, langs: Sequence[str], lang: str = "lang") -> Data
 
 
 def any_keyword(text: str, keywords: Sequence[str]) -> Column:
-    kws = [k.lower() for k in keywords if k]
+    """One quoted alternation over the lower-cased text, however many keywords there are."""
+    kws = sorted({k.lower() for k in keywords if k})
     if not kws:
         return F.lit(False)
-    if len(kws) <= MAX_INLINE_KEYWORDS:
-        return reduce(lambda a, b: a | b, [contains_ci(text, k) for k in kws])
-    return any_substring(tuple(sorted(set(kws))))(F.col(text))
+    return F.lower(F.col(text)).rlike("|".join(_quoted(k) for k in kws))
+
+
+def _quoted(keyword: str) -> str:
+    """``keyword`` as a regular expression that matches just itself."""
+    return "".join(c if c.isalnum() else f"\\x{{{ord(c):x}}}" for c in keyword)
 
 
 def track_filter(df: DataFrame, text: str, topics: Sequence[str]) -> DataFrame:

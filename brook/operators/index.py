@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from brook.functions.text import TAG
@@ -35,26 +35,9 @@ def first_seen(df: DataFrame, token: str, order: Sequence[str]) -> DataFrame:
     return firsts
 
 
-def order_key(cols: Sequence[str]) -> Column:
-    """A numeric key that never decreases along the lexicographic order of ``cols``.
-
-    ``(a, b)`` integral maps to ``a * 2^20 + min(b, 2^20 - 1)``: positions inside a
-    huge record still spread over blocks.  Only block balance depends on it, never
-    the result.
-    """
-    first = F.col(cols[0]).cast("double")
-    if len(cols) == 1:
-        return first
-    second = F.least(F.greatest(F.col(cols[1]).cast("double"), F.lit(0.0)), F.lit(float(_SPREAD - 1)))
-    return first * F.lit(float(_SPREAD)) + second
-
-
-_SPREAD = 1 << 20
-
-
 def _number(firsts: DataFrame, token: str, order: Sequence[str], out: str, n_blocks: int | None) -> DataFrame:
     keys = [f"_f_{c}" for c in order]
-    return global_index(firsts, keys + [token], out, block_key=order_key(keys), n_blocks=n_blocks).select(token, out)
+    return global_index(firsts, keys + [token], out, n_blocks=n_blocks).select(token, out)
 
 
 def first_seen_index(
@@ -70,7 +53,7 @@ def first_seen_index(
     Partial aggregation collapses repeats map-side, so a token that is a third of all
     rows costs one row per input partition before the shuffle.  The distinct-token
     table is written once (``materialize``) as parquet in the shared checkpoint folder, so the
-    full scan and aggregation run once for the quantile pass and the numbering.
+    full scan and aggregation run once for the range bounds and the numbering.
     """
     order = list(order)
     firsts = first_seen(df, token, order)

@@ -1,75 +1,51 @@
 """Order-dependent numbering without a single-task window.
 
 A ``Window`` with ``orderBy`` but no (or a skewed) ``partitionBy`` moves every row of
-a group into one task.  Both helpers here cut the order into *blocks*: contiguous
-ranges of a numeric key that is monotone in the order, with equi-depth split points
-from ``approxQuantile`` (a distributed sketch; only ``n_blocks`` numbers reach the
-driver).  The block of a row is a pure function of the row (a JVM binary search over
-the fixed split points), so every branch of the plan, and every recomputation after a
-lost executor, puts a row in the same block.  Rows are then numbered inside their
-block, plus an offset from a prefix sum over block sizes.
-
-Range-partitioning with ``spark_partition_id`` instead would need both branches to
-read one shuffle output, which Spark does not guarantee (they are pruned
-differently, so the exchange is not reused and each samples its own bounds).
+a group into one task.  Both helpers here cut the order into *blocks*: the partitions of a
+range partitioning by the order columns, of any types.  A row's block is stored beside it in a
+table in the shared checkpoint folder, so every branch of the plan, and every recomputation
+after a lost executor, reads the same blocks.  Rows are numbered inside their block,
+plus an offset from a prefix sum over block sizes.
+
+The number of blocks follows the number of rows (about ``ROWS_PER_BLOCK`` each).
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-BLOCK = "_blk"
-_KEY = "_bk"
-
+from brook.session import materialize
 
-def _n_blocks(df: DataFrame, n_blocks: int | None) -> int:
-    if n_blocks:
-        return n_blocks
-    return 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+BLOCK = "_blk"
+ROWS_PER_BLOCK = 1_000_000
 
 
-def with_blocks(df: DataFrame, key: Column, n_blocks: int) -> DataFrame:
-    """Add integer column ``_blk``: the equi-depth block of ``key`` (monotone in ``key``).
+def with_blocks(df: DataFrame, order: Sequence[str], n_blocks: int | None = None) -> DataFrame:
+    """``df`` as a stored table with integer column ``_blk``, which never decreases along ``order``.
 
-    Null keys go to block 0 (they sort first).  One action computes the quantiles.
+    Rows with equal order columns share a block; nulls sort first.
     """
-    keyed = df.withColumn(_KEY, F.coalesce(key.cast("double"), F.lit(float("-inf"))))
-    probs = [i / n_blocks for i in range(1, n_blocks)]
-    qs = keyed.approxQuantile(_KEY, probs, 1.0 / (4 * n_blocks)) if probs else []
-    inner = sorted({q for q in qs if q is not None and math.isfinite(q)})
-    if not inner:
-        return keyed.withColumn(BLOCK, F.lit(0)).drop(_KEY)
-    from pyspark.ml.feature import Bucketizer
-
-    splits = [float("-inf")] + inner + [float("inf")]
-    out = Bucketizer(splits=splits, inputCol=_KEY, outputCol="_blkd", handleInvalid="keep").transform(keyed)
-    return out.withColumn(BLOCK, F.col("_blkd").cast("int")).drop(_KEY, "_blkd")
+    if n_blocks is None:
+        df = materialize(df, "numbered")  # counted from its footers, read once more to be ranged
+        n_blocks = max(1, -(-df.count() // ROWS_PER_BLOCK))
+    ranged = df.repartitionByRange(n_blocks, *order).withColumn(BLOCK, F.spark_partition_id())
+    return materialize(ranged, "blocks")
 
 
-def global_index(
-    df: DataFrame,
-    order: Sequence[str],
-    out: str = "idx",
-    block_key: Column | None = None,
-    n_blocks: int | None = None,
-) -> DataFrame:
+def global_index(df: DataFrame, order: Sequence[str], out: str = "idx", n_blocks: int | None = None) -> DataFrame:
     """Dense 0-based position of each row in the order ``order`` (ties: any order).
 
-    Equivalent to ``row_number() OVER (ORDER BY order) - 1``.  ``block_key`` is a
-    numeric expression that never decreases along ``order`` (default: the first order
-    column); the finer it is, the better hot values of the first column are split.
-    The offset table has one row per block, so broadcasting it is bounded by
-    ``n_blocks``, not by the data.
+    Equivalent to ``row_number() OVER (ORDER BY order) - 1`` for order columns of any types.
+    The offset table has one row per block, so broadcasting it is bounded by the block
+    count (rows / ``ROWS_PER_BLOCK``), not by the data.
     """
     order = list(order)
-    nb = _n_blocks(df, n_blocks)
-    blocked = with_blocks(df, block_key if block_key is not None else F.col(order[0]), nb)
+    blocked = with_blocks(df, order, n_blocks)
     sizes = blocked.groupBy(BLOCK).agg(F.count(F.lit(1)).alias("_c"))
-    before = Window.orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)  # <= n_blocks rows
+    before = Window.orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)  # one row per block
     offsets = sizes.select(BLOCK, F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_off"))
     local = Window.partitionBy(BLOCK).orderBy(*order)
     return (
@@ -84,7 +60,6 @@ def running_counts_batch(
     key: str,
     order: Sequence[str] | str,
     out: str = "n",
-    block_key: Column | None = None,
     n_blocks: int | None = None,
 ) -> DataFrame:
     """W4 batch view: for each row, the number of rows with the same ``key`` up to and
@@ -93,16 +68,13 @@ def running_counts_batch(
     UNBOUNDED PRECEDING)``, without sending a hot key to one task: rows are grouped by
     (key, order block), so a key holding a third of the data is spread over all blocks.
 
-    One shuffle of the data (hash on key, block), shared by the offset join and the
-    window; the per-(key, block) counts are aggregated map-side first.
+    One shuffle by ranges into a stored table and one by (key, block), shared by the offset
+    join and the window; the per-(key, block) counts are aggregated map-side first.
     """
     order = [order] if isinstance(order, str) else list(order)
-    nb = _n_blocks(df, n_blocks)
     # struct(key) is never null, so null keys form one group under plain equality and
     # the offset join stays an equi-join on the window's own partitioning.
-    blocked = with_blocks(df, block_key if block_key is not None else F.col(order[0]), nb).withColumn(
-        "_k", F.struct(F.col(key))
-    )
+    blocked = with_blocks(df, order, n_blocks).withColumn("_k", F.struct(F.col(key)))
     per_block = blocked.groupBy("_k", BLOCK).agg(F.count(F.lit(1)).alias("_c"))
     earlier = Window.partitionBy("_k").orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_block.select("_k", BLOCK, F.coalesce(F.sum("_c").over(earlier), F.lit(0)).alias("_off"))

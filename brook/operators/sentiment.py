@@ -20,11 +20,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from brook.functions.text import WORD, tokens
-from brook.operators.sizing import MAX_BROADCAST_BYTES, MAX_BROADCAST_ROWS, broadcast_if_bounded
+from brook.session import materialize
 
 CLASSES = ("positive", "neutral", "negative")
 
 
+#: Lexicon words that become literals of the expression; a larger lexicon is joined.
+MAX_LITERAL_WORDS = 20_000
+
+
 def lexicon_sentiment(
     df: DataFrame,
     id_col: str,
@@ -33,33 +37,35 @@ def lexicon_sentiment(
     word: str = "w",
     cls: str = "cls",
     keep: Sequence[str] = (),
-    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
-    max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
+    max_literal_words: int = MAX_LITERAL_WORDS,
 ) -> DataFrame:
     """Per record: token count, positive/negative lexicon hits and their shares.
 
-    Tokens are the reference's word tokens of the lower-cased text.  The exploded
-    tokens never leave their partition: the lexicon join is a broadcast when the
-    lexicon passes the row and byte bounds (it is a small table by nature), and
-    the per-record aggregate is collapsed map-side to one row per record before its
-    single shuffle.  ``keep`` carries further record columns (taken with ``first``).
+    Tokens are the reference's word tokens of the lower-cased text.  A lexicon of up to
+    ``max_literal_words`` words becomes part of a column expression: one map over the records, batch or
+    stream, in which equal ids stay records of their own.  A larger one is joined to the
+    exploded tokens of a batch frame, whose records then get a key of their own.
+    ``keep`` carries further record columns, the text too if named.
     """
-    lex = broadcast_if_bounded(
-        lexicon.groupBy(F.col(word).alias("_w")).agg(F.min(cls).alias("_cls")), max_broadcast_rows, max_broadcast_bytes
-    )
-    toks = df.select(F.col(id_col), *[F.col(c) for c in keep], F.explode_outer(tokens(F.lower(F.col(text)), WORD)).alias("_w"))
-    hits = toks.join(lex, "_w", "left")
-    agg = hits.groupBy(id_col).agg(
-        *[F.first(c).alias(c) for c in keep],
-        F.count("_w").alias("n_tokens"),
-        F.count_if(F.col("_cls") == "positive").alias("pos_hits"),
-        F.count_if(F.col("_cls") == "negative").alias("neg_hits"),
-    )
+    classes = lexicon.groupBy(F.col(word).alias("_w")).agg(F.min(cls).alias("_cls"))
+    found = classes.limit(max_literal_words + 1).collect()
+    columns = list(dict.fromkeys([id_col, *keep]))
+    toks = tokens(F.lower(F.col(text)), WORD)
+    if len(found) <= max_literal_words:
+        of = {c: [r["_w"] for r in found if r["_cls"] == c and r["_w"] is not None] for c in ("positive", "negative")}
+        hits = lambda c: F.size(F.filter("_tok", lambda w: w.isin(of[c]) if of[c] else F.lit(False)))
+        agg = df.select(*columns, toks.alias("_tok")).select(
+            *columns,
+            F.size("_tok").cast("long").alias("n_tokens"),
+            hits("positive").cast("long").alias("pos_hits"),
+            hits("negative").cast("long").alias("neg_hits"),
+        )
+    else:
+        agg = _joined_hits(df, columns, toks, classes)
     nt = F.col("n_tokens")
     share = lambda c: F.when(nt == 0, F.lit(0.0)).otherwise(c / nt)
     return agg.select(
-        id_col,
-        *keep,
+        *columns,
         "n_tokens",
         "pos_hits",
         "neg_hits",
@@ -69,6 +75,18 @@ def lexicon_sentiment(
     )
 
 
+def _joined_hits(df: DataFrame, columns: Sequence[str], toks, classes: DataFrame) -> DataFrame:
+    # stored once, so that a record's key is the same wherever the plan reads it
+    records = materialize(df.select(F.monotonically_increasing_id().alias("_id"), *columns, toks.alias("_tok")), "records")
+    hits = records.select("_id", F.explode("_tok").alias("_w")).join(classes, "_w", "left").groupBy("_id").agg(
+        F.count("_w").alias("n_tokens"),
+        F.count_if(F.col("_cls") == "positive").alias("pos_hits"),
+        F.count_if(F.col("_cls") == "negative").alias("neg_hits"),
+    )
+    counts = [F.coalesce(c, F.lit(0)).alias(c) for c in ("n_tokens", "pos_hits", "neg_hits")]
+    return records.drop("_tok").join(hits, "_id", "left").select(*columns, *counts)
+
+
 def sentiment_labels(labels: DataFrame) -> DataFrame:
     """Class index from the fixture's labels: toxic -> negative, quality -> positive, else neutral."""
     label = (
@@ -98,44 +116,52 @@ def model_sentiment(df: DataFrame, model, text: str = "text", keep: Sequence[str
     """Score ``df`` with a fitted :func:`train_sentiment` model; JVM-side, no Python rows."""
     from pyspark.ml.functions import vector_to_array
 
-    scored = model.transform(df.select(*keep, F.coalesce(F.col(text), F.lit("")).alias(text)))
+    # the model reads a copy of the text, so that the record can keep its own
+    scored = model.transform(df.select(F.struct(*[F.col(c) for c in keep]).alias("_keep"), F.coalesce(F.col(text), F.lit("")).alias(text)))
     prob = vector_to_array(F.col("probability"))
     cols = [F.when(F.size(prob) > i, prob[i]).otherwise(F.lit(0.0)).alias(name) for i, name in enumerate(CLASSES)]
-    return scored.select(*keep, *cols)
+    return scored.select(*[F.col(f"_keep.{c}").alias(c) for c in keep], *cols)
 
 
 _MODELS: dict = {}
 
 
+def worker_model(key: str, loader: Callable[[], object]) -> object:
+    """The model of ``key`` in this Python worker, loaded at its first use."""
+    if key not in _MODELS:
+        _MODELS[key] = loader()
+    return _MODELS[key]
+
+
 def score_with_model(
     df: DataFrame,
     text: str,
     loader: Callable[[], object],
     score: Callable[[object, "pd.Series"], "pd.DataFrame"],  # noqa: F821
+    cache_key: str,
     out_schema: str = "positive double, neutral double, negative double",
     keep: Sequence[str] = (),
-    cache_key: str | None = None,
 ) -> DataFrame:
     """Apply a Python model per Arrow batch, loading it once per Python worker.
 
     ``loader()`` builds the model (the reference's ``setup``); ``score(model, texts)``
-    returns a pandas frame matching ``out_schema`` for a batch of texts.
+    returns a pandas frame matching ``out_schema`` for a batch of texts.  ``cache_key`` names
+    the model: two models need two keys.  ``keep`` may name the text.
     """
     import pandas as pd
 
-    key = cache_key or f"{loader.__module__}.{getattr(loader, '__qualname__', id(loader))}"
-    in_cols = list(keep) + [text]
+    keep = list(keep)
     out_fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.select(*keep).schema.fields)
     schema = f"{out_fields}, {out_schema}" if out_fields else out_schema
 
     def run(batches):
-        model = _MODELS.get(key)
-        if model is None:
-            model = loader()
-            _MODELS[key] = model
+        # imported, not shipped: the store must be the worker's own module
+        from brook.operators.sentiment import worker_model
+
+        model = worker_model(cache_key, loader)
         for pdf in batches:
             res = score(model, pdf[text])
             res.index = pdf.index
-            yield pd.concat([pdf[list(keep)], res], axis=1)
+            yield pd.concat([pdf[keep], res], axis=1)
 
-    return df.select(*in_cols).mapInPandas(run, schema)
+    return df.select(*dict.fromkeys([*keep, text])).mapInPandas(run, schema)

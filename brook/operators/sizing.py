@@ -1,9 +1,8 @@
 """Broadcast only behind a size check.
 
 A side is broadcast when it provably has at most ``max_rows`` rows *and* at most
-``max_bytes`` of estimated row data.  Both are measured in one pass over
-``limit(max_rows + 1)``, so the check never reads more than ``max_rows + 1`` rows of
-the side, however large it is.  Beyond either bound the join is left to Spark: a
+``max_bytes`` of estimated row data.  Both are partial sums over the side's partitions (give it
+as a stored table), so no rows move for the check.  Beyond either bound the join is left to Spark: a
 shuffle join, which AQE may still turn into a broadcast from measured sizes and whose
 hot keys AQE's skew-join handling splits.
 """
@@ -44,8 +43,7 @@ def row_bytes(df: DataFrame) -> Column:
 
 def is_bounded(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
     """True when ``df`` has at most ``max_rows`` rows and ``max_bytes`` estimated bytes."""
-    head = df.limit(max_rows + 1)
-    n, size = head.agg(F.count(F.lit(1)), F.sum(row_bytes(head))).first()
+    n, size = df.agg(F.count(F.lit(1)), F.sum(row_bytes(df))).first()
     return n <= max_rows and (size or 0) <= max_bytes
 
 

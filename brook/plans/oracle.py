@@ -72,6 +72,17 @@ _SLIDING = f"""
     SELECT {U} - to_seconds(5 * r.i) AS ws, event_type, ts
     FROM events, (SELECT unnest(range(12)) AS i) r"""
 
+def _tag_lists(closed: str) -> str:
+    """Ranked tag lists per window; a post of an event has the tags #type, @user and #types."""
+    return f"""
+        WITH t AS (
+            SELECT event_id, {U} AS ws, unnest(['#' || event_type, '@user', '#' || event_type || 's']) AS whole, unnest([0, 1, 2]) AS pos FROM events),
+        k AS (SELECT event_id, ws, regexp_extract(whole, '[#@]+[A-Za-z'']+') AS token, pos FROM t WHERE regexp_matches(whole, '[#@]+[A-Za-z'']+')),
+        idx AS (SELECT token, row_number() OVER (ORDER BY min((event_id, pos)), token) - 1 AS idx FROM k GROUP BY token),
+        c AS (SELECT ws, token || '_' || idx AS token_idx, count(*) AS n FROM k JOIN idx USING (token) GROUP BY ALL)
+        SELECT ws, string_agg(token_idx || ':' || n, ',' ORDER BY n DESC, token_idx) AS ranked FROM c WHERE {closed} GROUP BY ws"""
+
+
 ORACLE: dict[str, str] = {
     "read_lines": _LINES,
     "drop_blank": f"SELECT doc_id, {_STRIP} AS line FROM ({_LINES}) WHERE regexp_matches(line, '\\S')",
@@ -156,4 +167,14 @@ ORACLE: dict[str, str] = {
                (row_number() OVER (ORDER BY doc_id, line_no) - 1)::BIGINT AS event_time,
                {_STRIP} AS data
         FROM ({_LINES_POS}) WHERE regexp_matches(line, '\\S')""",
+    "first_seen_index_event_time": """
+        SELECT user_id, (row_number() OVER (ORDER BY min((ts, event_id)), user_id) - 1)::BIGINT AS idx
+        FROM events WHERE user_id IS NOT NULL GROUP BY user_id""",
+    "indexed_tag_counts": _tag_lists("true"),
+    "indexed_tag_counts_stream": _tag_lists("ws + INTERVAL 5 SECOND <= (SELECT max(ts) FROM events) - INTERVAL 10 SECOND"),
+    "lexicon_sentiment_stream": f"SELECT s.*, d.text FROM ({_LEXICON_SQL}) s JOIN documents d USING (doc_id)",
+    "log_lines": "SELECT event_id, event_type, user_id FROM events",
+    "messages_roundtrip": """
+        SELECT nullif(event_type, 'view') AS data, (epoch_us(ts) // 1000000)::DOUBLE AS timestamp FROM events""",
+    "publish_raw": "SELECT props AS value FROM events",
 }

@@ -16,7 +16,7 @@ from brook.functions.text import TAG, WORD
 from brook.functions.time import epoch_micros
 from brook.operators.aggregate import count_by, rank_counts, ranked_list, render_ranked
 from brook.operators.filters import class_counts, classify_by_key, drop_blank, keyword_filter
-from brook.operators.index import first_seen_index, indexed_counts
+from brook.operators.index import first_seen_index, indexed_counts, indexed_tag_counts
 from brook.operators.records import decode_json, format_line_event, format_tweet, split_bad
 from brook.operators.running import running_counts_batch
 from brook.operators.sentiment import lexicon_sentiment, model_sentiment, score_with_model, train_sentiment
@@ -24,14 +24,16 @@ from brook.operators.tokens import explode_tokens
 from brook.operators.windows import assign_window, sliding_counts, tumbling_counts
 from brook.schemas import FILE_EVENT, PROPS, TWEET
 from brook.session import scratch_path, table
-from brook.sinks.messages import json_envelope
+from brook.sinks.log import log_sink
+from brook.sinks.messages import json_envelope, publish_json, publish_raw
 from brook.sinks.text import write_lines
 from brook.sources.feed import tracked_feed
 from brook.sources.lines import lines_of, read_lines
+from brook.sources.messages import read_messages
 from brook.sources.replay import replay_cycle
 from brook.streaming.index import FirstSeenIndexer
 from brook.streaming.ranked import windowed_ranked_lists
-from brook.streaming.runner import replay_splits, replay_to_table, run_to_table, spread_stream
+from brook.streaming.runner import replay_splits, replay_to_table, run_to_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -40,7 +42,7 @@ KEYWORD = "tion"  # the reference's 'bit' has no hit in the fixture document
 STREAM_KEYWORD = "ic"  # F1 on the event stream (event types as post text)
 TOPICS = ("the", "worthless")  # F4
 LANGS = ("en",)  # F5
-# F4 with a long keyword list (above the inline limit: one automaton pass per text)
+# F4 with a long keyword list
 TOPICS_MANY = (
     "bitcoin", "worthless", "market", "price", "crypto", "blockchain", "wallet", "token",
     "exchange", "mining", "coin", "trade", "invest", "money", "bank", "finance",
@@ -198,7 +200,7 @@ def q_word_count_stream(spark, sf):
     docs = _raw(spark, sf, "documents").select("doc_id", "text")
 
     def build(stream):
-        return count_by(explode_tokens(spread_stream(stream), "text", WORD, out="word"), ["word"])
+        return count_by(explode_tokens(stream, "text", WORD, out="word"), ["word"])
 
     return replay_to_table(docs, "doc_id", STREAM_SPLITS, "word_count", build, mode="update", keys=["word"])
 
@@ -219,8 +221,7 @@ def q_sliding_counts(spark, sf):
 
 
 def _raw(spark, sf, name):
-    """The table as stored (staging reads it once per split; no spreading shuffle)."""
-    return spark.read.parquet(f"{sf.rstrip('/')}/{name}.parquet")
+    return table(spark, sf, name)
 
 
 def _events_for_replay(spark, sf):
@@ -303,12 +304,44 @@ def q_indexed_counts(spark, sf):
     return indexed_counts(_events(spark, sf), "event_type", ["event_id"], "ts", WINDOW)
 
 
+def q_first_seen_index_event_time(spark, sf):
+    return first_seen_index(_events(spark, sf), "user_id", ["ts", "event_id"])
+
+
+def _posts(df):
+    """Events as posts with two tags each."""
+    return df.select("event_id", "ts", F.concat(F.lit("#"), "event_type", F.lit(" by @user, #"), "event_type", F.lit("s")).alias("text"))
+
+
+def q_indexed_tag_counts(spark, sf):
+    """Lesson 4 in batch: tags -> first-seen index -> 5 s counts -> ranked list per window."""
+    lists = indexed_tag_counts(_posts(_raw(spark, sf, "events")), "text", "ts", ["event_id"], WINDOW)
+    return lists.select("ws", render_ranked("ranked").alias("ranked"))
+
+
+def q_indexed_tag_counts_stream(spark, sf):
+    """Lesson 4 on a stream: tags -> first-seen dictionary -> 5 s counts -> ranked list per window."""
+    posts = _posts(_raw(spark, sf, "events"))
+    occ = scratch_path(spark, "tag-occ")
+    indexer = FirstSeenIndexer(
+        scratch_path(spark, "tag-dict"), token="token", order=["event_id", "pos"], occurrences_path=occ, carry=["ts", "event_id", "pos"]
+    )
+    ckpt = scratch_path(spark, "tag-ckpt")
+    for source in replay_splits(posts, "ts", STREAM_SPLITS, "tags"):
+        stream = spark.readStream.schema(posts.schema).parquet(source)
+        toks = explode_tokens(stream, "text", TAG, keep=["event_id", "ts"], out="token", pos="pos")
+        _await(indexer.start(toks, ckpt))
+    schema = "ts timestamp_ntz, event_id long, pos int, token_idx string, batch_id int"
+    lists = windowed_ranked_lists(spark.readStream.schema(schema).parquet(occ), "ts", "token_idx", WINDOW, DELAY)
+    return run_to_table(lists.select("ws", render_ranked("ranked").alias("ranked")), "tag_lists")
+
+
 def q_first_seen_index_stream(spark, sf):
     docs = _raw(spark, sf, "documents").select("doc_id", "text")
     indexer = FirstSeenIndexer(scratch_path(spark, "fsi-dict"), token="word", order=["doc_id", "pos"])
     ckpt = scratch_path(spark, "fsi-ckpt")
     for source in replay_splits(docs, "doc_id", STREAM_SPLITS, "fsi-docs"):
-        stream = spread_stream(spark.readStream.schema(docs.schema).parquet(source))
+        stream = spark.readStream.schema(docs.schema).parquet(source)
         toks = explode_tokens(stream, "text", WORD, keep=["doc_id"], out="word", pos="pos")
         _await(indexer.start(toks, ckpt))
     return indexer.dictionary(spark)
@@ -364,17 +397,13 @@ def _lexicon_scores(model, texts):
 
     import pandas as pd
 
-    word = re.compile(WORD)
-    pos, neu, neg = [], [], []
-    for t in texts:
-        toks = word.findall(t.lower()) if t is not None else []
-        n = len(toks)
-        p = sum(1 for w in toks if model.get(w) == "positive")
-        q = sum(1 for w in toks if model.get(w) == "negative")
-        pos.append(p / n if n else 0.0)
-        neu.append((n - p - q) / n if n else 1.0)
-        neg.append(q / n if n else 0.0)
-    return pd.DataFrame({"positive": pos, "neutral": neu, "negative": neg})
+    # one row per token of the batch, then sums per text
+    toks = texts.fillna("").str.lower().reset_index(drop=True).map(re.compile(WORD).findall).explode()
+    cls = toks.map(model)
+    per = pd.DataFrame({"n": toks.notna(), "p": cls == "positive", "q": cls == "negative"}).groupby(level=0).sum()
+    n = per["n"].where(per["n"] > 0, 1)
+    neutral = ((per["n"] - per["p"] - per["q"]) / n).where(per["n"] > 0, 1.0)
+    return pd.DataFrame({"positive": per["p"] / n, "neutral": neutral, "negative": per["q"] / n})
 
 
 def q_python_model_sentiment(spark, sf):
@@ -383,6 +412,41 @@ def q_python_model_sentiment(spark, sf):
     )
 
 
+def q_lexicon_sentiment_stream(spark, sf):
+    """Sentiment of a stream: the record kept beside its scores."""
+    docs = _raw(spark, sf, "documents").select("doc_id", "text")
+    lexicon = lexicon_df(spark)
+    return replay_to_table(
+        docs, "doc_id", STREAM_SPLITS, "sentiment", lambda s: lexicon_sentiment(s, "doc_id", "text", lexicon, keep=["text"])
+    )
+
+
+# -- K1 / K3 / K4 / S2 -------------------------------------------------------------
+
+
+def q_log_lines(spark, sf):
+    """Every event logged as one line; the log read back."""
+    path = scratch_path(spark, "log")
+    log_sink(_events(spark, sf).select("event_id", "event_type", "user_id"), path)
+    return spark.read.schema("event_id long, event_type string, user_id long").json(path)
+
+
+def q_messages_roundtrip(spark, sf):
+    """Events published as JSON messages, read as a topic and decoded."""
+    ev = _events(spark, sf)
+    path = scratch_path(spark, "messages")
+    publish_json(ev, {"event_time": F.floor(epoch_micros(ev, "ts") / F.lit(1_000_000)).cast("long"), "data": F.nullif("event_type", F.lit("view"))}, path=path)
+    good, _bad = split_bad(decode_json(read_messages(spark, "text", path, streaming=False), "value", FILE_EVENT))
+    return format_line_event(good)
+
+
+def q_publish_raw(spark, sf):
+    """Raw payloads published and read back as they are."""
+    path = scratch_path(spark, "raw")
+    publish_raw(_events(spark, sf), "props", path=path)
+    return read_messages(spark, "text", path, streaming=False).select(F.col("value").cast("string").alias("value"))
+
+
 # -- S4 ----------------------------------------------------------------------------
 
 
@@ -428,4 +492,11 @@ QUERIES: dict[str, Query] = {
     "model_sentiment": q_model_sentiment,
     "python_model_sentiment": q_python_model_sentiment,
     "replay_lines": q_replay_lines,
+    "first_seen_index_event_time": q_first_seen_index_event_time,
+    "indexed_tag_counts": q_indexed_tag_counts,
+    "indexed_tag_counts_stream": q_indexed_tag_counts_stream,
+    "lexicon_sentiment_stream": q_lexicon_sentiment_stream,
+    "log_lines": q_log_lines,
+    "messages_roundtrip": q_messages_roundtrip,
+    "publish_raw": q_publish_raw,
 }

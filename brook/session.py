@@ -67,7 +67,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current.rsplit("/", 1)[0] if _is_context_subdir(current) else current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        if not sc.master.startswith("local"):
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         configured = tempfile.mkdtemp(prefix="brook-ckpt-")
     sc.setCheckpointDir(configured)
@@ -109,22 +109,5 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A fixture table, spread over the cores when it is stored in fewer files than that."""
-    return spread_small_input(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
-
-
-def spread_small_input(df: DataFrame) -> DataFrame:
-    """Round-robin ``df`` over ``defaultParallelism`` tasks if its scan has fewer splits.
-
-    A parquet file with one row group is read by a single task, so per-row work (regex
-    tokenising, JSON parsing) would run on one core.  Filters and column pruning are
-    still pushed below the exchange into the scan.  At cluster scale a table has far
-    more files than cores and this is a no-op (no extra shuffle).
-    """
-    sc = _context(df.sparkSession)
-    if sc is None:
-        return df
-    n = sc.defaultParallelism
-    if df.rdd.getNumPartitions() < n:  # planning only: file splits, no job
-        return df.repartition(n)
-    return df
+    """A fixture table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

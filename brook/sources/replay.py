@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 
 from brook.functions.text import strip
 from brook.operators.filters import drop_blank
-from brook.operators.index import order_key
 from brook.operators.running import global_index
 from brook.session import materialize
 
@@ -24,9 +23,7 @@ from brook.session import materialize
 def indexed_lines(lines: DataFrame, line: str, order: Sequence[str]) -> DataFrame:
     """``(line_idx, data)``: stripped non-blank lines numbered 0.. in ``order``."""
     kept = drop_blank(lines, line).withColumn("data", strip(line))
-    return global_index(kept.select(*order, "data"), list(order), "line_idx", block_key=order_key(list(order))).select(
-        "line_idx", "data"
-    )
+    return global_index(kept.select(*order, "data"), list(order), "line_idx").select("line_idx", "data")
 
 
 def replay_cycle(

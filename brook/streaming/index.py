@@ -17,7 +17,7 @@ distinct tokens are ever numbered; nothing passes through the driver.
 Layout under the dictionary folder: ``parts/batch_id=<id>`` (the new tokens of each
 batch) and, every ``compact_every`` batches, ``snapshots/through=<id>`` (all tokens up
 to that batch).  A batch reads the latest snapshot plus the few ``parts`` folders after
-it by explicit path, so its cost does not grow with the number of batches run.
+it by explicit path, so its cost grows with the vocabulary, not with the number of batches run.
 Snapshots are rewritten identically on retry.
 """
 
@@ -27,10 +27,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
-from brook.operators.index import first_seen, order_key
+from brook.operators.index import first_seen
 from brook.operators.running import global_index
+from brook.streaming.runner import read_if_written
 
 
 class FirstSeenIndexer:
@@ -63,36 +63,29 @@ class FirstSeenIndexer:
         self.carry = list(carry)
 
     def _latest_snapshot(self, spark: SparkSession, before: int) -> int | None:
-        try:
-            snaps = spark.read.parquet(self.snapshots).select("through").where(F.col("through") < before)
-        except AnalysisException:
+        snaps = read_if_written(spark, self.snapshots)
+        if snaps is None:
             return None
-        return snaps.agg(F.max("through")).first()[0]
+        return snaps.select("through").where(F.col("through") < before).agg(F.max("through")).first()[0]
 
     def _known(self, spark: SparkSession, before: int) -> DataFrame | None:
-        """Dictionary rows of all batches with id < ``before`` (token, idx, first-seen keys)."""
+        """Dictionary rows of all batches with id < ``before`` (token, idx, first-seen keys).
+
+        Every part since the latest snapshot must be there: a missing one would give its
+        ids away again, so it is an error.
+        """
         if before <= 0:
             return None
         through = self._latest_snapshot(spark, before)
+        first = 0 if through is None else through + 1
         frames = []
         if through is not None:
             frames.append(spark.read.parquet(f"{self.snapshots}/through={through}").drop("through"))
-        first = 0 if through is None else through + 1
-        if first < before:
-            paths = [f"{self.parts}/batch_id={b}" for b in range(first, before)]
-            try:
-                recent = spark.read.option("basePath", self.parts).parquet(*paths)
-            except AnalysisException:  # a batch folder is missing: fall back to listing
-                try:
-                    recent = spark.read.parquet(self.parts).where(
-                        (F.col("batch_id") >= first) & (F.col("batch_id") < before)
-                    )
-                except AnalysisException:
-                    recent = None
-            if recent is not None:
-                frames.append(recent.drop("batch_id"))
-        if not frames:
-            return None
+        for b in range(first, before):
+            part = read_if_written(spark, f"{self.parts}/batch_id={b}")
+            if part is None:
+                raise RuntimeError(f"the dictionary lacks the part of batch {b} in {self.parts}")
+            frames.append(part)
         out = frames[0]
         for f in frames[1:]:
             out = out.unionByName(f)
@@ -120,7 +113,12 @@ class FirstSeenIndexer:
         tagged = batch.join(known, self.token).select(
             *self.carry, F.concat_ws("_", F.col(self.token), F.col(self.out).cast("string")).alias("token_idx")
         )
-        tagged.write.mode("overwrite").parquet(f"{self.occurrences}/batch_id={batch_id}")
+        # a repeated batch has the same rows: files that are there in full stay, as a reader downstream
+        # would take new ones for new input
+        path = f"{self.occurrences}/batch_id={batch_id}"
+        done = read_if_written(spark, path)
+        if done is None or done.count() != tagged.count():
+            tagged.write.mode("overwrite").parquet(path)
 
     def _index(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -129,17 +127,11 @@ class FirstSeenIndexer:
         offset = 0
         if earlier is not None:
             firsts = firsts.join(earlier.select(self.token), self.token, "left_anti")
-            offset = earlier.count()
-        # the batch's new tokens are read three times (quantiles, block sizes, numbering);
-        # cached for the life of this call only, and recomputable from the batch's input
-        firsts = firsts.persist()
-        try:
-            keys = [f"_f_{c}" for c in self.order]
-            ids = global_index(firsts, keys + [self.token], self.out, block_key=order_key(keys))
-            ids = ids.withColumn(self.out, F.col(self.out) + F.lit(offset))
-            ids.select(self.token, self.out, *keys).write.mode("overwrite").parquet(f"{self.parts}/batch_id={batch_id}")
-        finally:
-            firsts.unpersist()
+            offset = earlier.agg(F.coalesce(F.max(self.out) + 1, F.lit(0))).first()[0]
+        keys = [f"_f_{c}" for c in self.order]
+        ids = global_index(firsts, keys + [self.token], self.out)
+        ids = ids.withColumn(self.out, F.col(self.out) + F.lit(offset))
+        ids.select(self.token, self.out, *keys).write.mode("overwrite").parquet(f"{self.parts}/batch_id={batch_id}")
         if (batch_id + 1) % self.compact_every == 0:
             self._compact(spark, batch_id)
 

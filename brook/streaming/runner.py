@@ -12,8 +12,8 @@ from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
-from brook.functions.time import epoch_micros
 from brook.session import scratch_path
 
 
@@ -53,9 +53,11 @@ def run_to_table(
 
         w = w.outputMode(mode).foreachBatch(write).trigger(**trig)
         q = _start(spark, w.start, no_data_batches)
-    q.awaitTermination(timeout_s)
-    if q.isActive:
+    if timeout_s is None:
+        q.awaitTermination()
+    elif not q.awaitTermination(timeout_s):
         q.stop()
+        raise TimeoutError(f"streaming query {name} had not drained after {timeout_s} s")
     if q.exception() is not None:
         raise RuntimeError(f"streaming query {name} failed: {q.exception()}")
     if mode == "append":
@@ -83,11 +85,20 @@ def _start(spark: SparkSession, start: Callable, no_data_batches: bool):
         spark.conf.set(_NO_DATA, before)
 
 
+def read_if_written(spark: SparkSession, path: str) -> DataFrame | None:
+    """The parquet table at ``path``; None where nothing was ever written.  Any other failure is raised."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+
+
 def latest_per_key(spark: SparkSession, path: str, schema, keys: list[str]) -> DataFrame:
     """Current table of an update-mode result: per key, the row of the highest batch id."""
-    try:
-        changes = spark.read.parquet(path)
-    except Exception:  # nothing was ever written: empty input
+    changes = read_if_written(spark, path)
+    if changes is None:  # empty input
         return spark.createDataFrame([], schema)
     values = [c for c in schema.fieldNames() if c not in keys]
     latest = F.max_by(F.struct(*values), F.col("batch_id")).alias("_v")
@@ -96,9 +107,8 @@ def latest_per_key(spark: SparkSession, path: str, schema, keys: list[str]) -> D
 
 def latest_batch(spark: SparkSession, path: str, schema) -> DataFrame:
     """The last written ``batch_id`` folder of a complete-mode result."""
-    try:
-        all_batches = spark.read.parquet(path)
-    except Exception:  # nothing was ever written: empty input
+    all_batches = read_if_written(spark, path)
+    if all_batches is None:  # empty input
         return spark.createDataFrame([], schema)
     last = all_batches.agg(F.max("batch_id")).first()[0]
     return all_batches.where(F.col("batch_id") == last).drop("batch_id")
@@ -114,19 +124,20 @@ def replay_splits(df: DataFrame, order: str, n_splits: int, name: str) -> Iterat
     a restart from the checkpoint.  Test and replay scaffolding: a production stream
     arrives from its own source.
     """
-    spark = df.sparkSession
-    path = scratch_path(spark, f"{name}-source")
-    key = epoch_micros(df, order) if df.schema[order].dataType.typeName().startswith("timestamp") else F.col(order)
-    keyed = df.withColumn("_k", key)
-    lo, hi = keyed.agg(F.min("_k"), F.max("_k")).first()
-    if lo is None:  # empty input: an empty source, once per step
-        df.limit(0).write.mode("append").parquet(path)
-        for _ in range(n_splits):
-            yield path
-        return
-    split = F.floor((F.col("_k") - F.lit(lo)) * F.lit(n_splits) / F.lit(hi - lo + 1))
-    for i in range(n_splits):
-        keyed.where(split == i).drop("_k").write.mode("append").parquet(path)
+    path = scratch_path(df.sparkSession, f"{name}-source")
+    lo, hi = df.agg(F.min(order), F.max(order)).first()
+    kind = df.schema[order].dataType
+    # literal bounds on the column itself reach the scan; rows without order come first
+    at = lambda k: lo + ((hi - lo) * k // n_splits if isinstance(lo, int) else (hi - lo) * k / n_splits)
+    cuts = [] if lo is None else [F.lit(at(k)).cast(kind) for k in range(n_splits)]
+    for k in range(n_splits):
+        part = df.limit(0)
+        if not cuts:
+            part = df if k == 0 else part  # no row has an order
+        else:
+            inside = (F.col(order) >= cuts[k]) & ((F.col(order) < cuts[k + 1]) if k < n_splits - 1 else F.lit(True))
+            part = df.where(inside | F.col(order).isNull() if k == 0 else inside)
+        part.write.mode("append").parquet(path)
         yield path
 
 
@@ -153,9 +164,3 @@ def replay_to_table(
             build(stream), name, mode=mode, checkpoint=checkpoint, path=out, keys=keys, no_data_batches=last
         )
     return result
-
-
-def spread_stream(stream: DataFrame) -> DataFrame:
-    """Round-robin each micro-batch over the cores (per-row heavy work such as
-    tokenising, when a micro-batch arrives in fewer files than cores)."""
-    return stream.repartition(stream.sparkSession.sparkContext.defaultParallelism)

@@ -100,8 +100,16 @@ def test_write_lines_streaming(spark, tmp_dir):
     assert rows(spark.read.text(out)) == [("x",), ("y z",)]
 
 
-def test_log_sink_batch(spark, capsys):
-    from brook import log_sink
-
-    log_sink(spark.createDataFrame([("hello",)], "value string"))
-    assert "hello" in capsys.readouterr().out
+def test_log_sink_writes_every_row(spark, tmp_dir, capsys):
+    from brook import log_sink, preview
+
+    df = spark.range(100).selectExpr("id", "if(id = 3, null, 'x') AS v")
+    log_sink(df, f"{tmp_dir}/log")
+    lines = [r.value for r in spark.read.text(f"{tmp_dir}/log").collect()]
+    assert len(set(lines)) == 100 and '{"id":3,"v":null}' in lines
+    df.write.parquet(f"{tmp_dir}/in")
+    stream = spark.readStream.schema(df.schema).parquet(f"{tmp_dir}/in")
+    log_sink(stream, f"{tmp_dir}/slog", checkpoint=f"{tmp_dir}/ck", trigger={"availableNow": True}).awaitTermination()
+    assert spark.read.text(f"{tmp_dir}/slog").count() == 100
+    preview(df)
+    assert "id" in capsys.readouterr().out

@@ -37,9 +37,7 @@ def test_global_index_dense_and_ordered(spark):
 def test_global_index_hot_first_column(spark):
     # every row shares the first order column: blocks come from the second one
     df = spark.range(500).select(F.lit(1).alias("a"), (499 - F.col("id")).alias("b"))
-    from brook.operators.index import order_key
-
-    got = global_index(df, ["a", "b"], block_key=order_key(["a", "b"]), n_blocks=8).orderBy("b").collect()
+    got = global_index(df, ["a", "b"], n_blocks=8).orderBy("b").collect()
     assert [r.idx for r in got] == list(range(500))
 
 
@@ -72,3 +70,21 @@ def test_indexed_tag_counts_ranked_per_window(spark):
     ).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
     got = {r.ws.second: [(e.n, e.token) for e in r.ranked] for r in indexed_tag_counts(posts, "text", "ts", ["id"]).collect()}
     assert got == {0: [(2, "#a_1"), (2, "#b_0"), (1, "@c_2")], 5: [(1, "#a_1"), (1, "#b_0")]}
+
+
+def test_global_index_orders_of_any_type(spark):
+    # fractional times, local times, strings and doubles: ids follow row_number over the same order
+    base = spark.range(3000).select(
+        F.pmod(F.xxhash64("id"), F.lit(700)).alias("x"), F.col("id").alias("b"),
+    )
+    kinds = {
+        "fractional": F.timestamp_micros(F.col("x") * 1000 + 1_700_000_000_000_000),
+        "local": F.timestamp_micros(F.col("x") * 333_333).cast("timestamp_ntz"),
+        "text": F.concat(F.lit("u"), F.col("x")),
+        "double": F.col("x") / 7.0,
+    }
+    for name, col in kinds.items():
+        df = base.withColumn("a", col)
+        want = df.withColumn("idx", F.row_number().over(Window.orderBy("a", "b")) - 1)
+        got = global_index(df, ["a", "b"], n_blocks=16)
+        assert rows(got, "b", "idx") == rows(want, "b", "idx"), name

@@ -17,7 +17,7 @@ def test_lexicon_shares(spark):
         assert (got[i].n_tokens, got[i].positive, got[i].neutral, got[i].negative) == (0, 0.0, 1.0, 0.0)
     assert got[4].neutral == 1.0
     # past the size bound the lexicon is joined by a shuffle join, with the same scores
-    shuffled = lexicon_sentiment(docs, "doc_id", "text", lex, max_broadcast_rows=0)
+    shuffled = lexicon_sentiment(docs, "doc_id", "text", lex, max_literal_words=0)
     assert rows(shuffled) == rows(lexicon_sentiment(docs, "doc_id", "text", lex))
 
 
@@ -49,3 +49,36 @@ def test_score_with_python_model(spark):
     docs = spark.createDataFrame([(1, "good"), (2, "bad bad"), (3, None)], "doc_id long, text string")
     got = rows(score_with_model(docs, "text", load, score, keep=["doc_id"], cache_key="toy"))
     assert got == [(1, 1.0, 0.0, 0.0), (2, 0.0, 0.0, 1.0), (3, 0.0, 1.0, 0.0)]
+
+
+def test_records_keep_their_text_and_equal_ids(spark):
+    docs = spark.createDataFrame([(1, "good"), (1, "bad day")], "doc_id long, text string")
+    lex = spark.createDataFrame([("good", "positive"), ("bad", "negative")], "w string, cls string")
+    for bound in (10, 0):
+        got = lexicon_sentiment(docs, "doc_id", "text", lex, keep=["text"], max_literal_words=bound)
+        assert rows(got, "doc_id", "text", "n_tokens") == [(1, "bad day", 2), (1, "good", 1)]
+
+    def score(model, texts):
+        return pd.DataFrame({"positive": [1.0] * len(texts), "neutral": [0.0] * len(texts), "negative": [0.0] * len(texts)})
+
+    got = score_with_model(docs, "text", dict, score, cache_key="one", keep=["doc_id", "text"])
+    assert rows(got, "doc_id", "text") == [(1, "bad day"), (1, "good")]
+
+
+def test_model_loads_once_per_worker(spark, tmp_dir):
+    def load():
+        import os
+        import uuid
+
+        open(f"{tmp_dir}/{os.getpid()}-{uuid.uuid4().hex}", "w").close()
+        return None
+
+    def score(model, texts):
+        return pd.DataFrame({"positive": [1.0] * len(texts), "neutral": [0.0] * len(texts), "negative": [0.0] * len(texts)})
+
+    docs = spark.range(64).selectExpr("id AS doc_id", "'x' AS text").repartition(32)
+    assert score_with_model(docs, "text", load, score, cache_key=tmp_dir, keep=["doc_id"]).count() == 64
+    import os
+
+    loads = [f.split("-")[0] for f in os.listdir(tmp_dir)]
+    assert loads and len(loads) == len(set(loads))
