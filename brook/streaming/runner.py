@@ -128,7 +128,7 @@ def replay_splits(df: DataFrame, order: str, n_splits: int, name: str) -> Iterat
     lo, hi = df.agg(F.min(order), F.max(order)).first()
     kind = df.schema[order].dataType
     # literal bounds on the column itself reach the scan; rows without order come first
-    at = lambda k: lo + ((hi - lo) * k // n_splits if isinstance(lo, int) else (hi - lo) * k / n_splits)
+    at = lambda k: lo + ((hi - lo + 1) * k // n_splits if isinstance(lo, int) else (hi - lo) * k / n_splits)
     cuts = [] if lo is None else [F.lit(at(k)).cast(kind) for k in range(n_splits)]
     for k in range(n_splits):
         part = df.limit(0)

@@ -1,5 +1,6 @@
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from brook import count_by, explode_tokens, first_seen_index, rank_counts, ranked_list, render_ranked, tumbling_counts
@@ -106,3 +107,35 @@ def test_indexer_emits_indexed_occurrences(spark, tmp_dir):
         q.awaitTermination()
     got = rows(spark.read.parquet(occ).select("event_id", "token_idx"))
     assert got == [(1, "x_0"), (2, "y_1"), (3, "x_0"), (4, "z_2"), (5, "y_1")]
+
+
+def test_dictionary_with_a_gap_raises(spark, tmp_dir):
+    idx = FirstSeenIndexer(os.path.join(tmp_dir, "gap"), token="w", order=["doc_id", "pos"])
+    docs = spark.createDataFrame([(1, "a b"), (2, "c")], "doc_id long, text string")
+    idx.process_batch(_tokens(docs), 0)
+    with pytest.raises(RuntimeError, match="batch 1"):
+        idx.process_batch(_tokens(docs), 2)
+
+
+def test_repeated_batch_adds_nothing_downstream(spark, tmp_dir):
+    occ = os.path.join(tmp_dir, "occ")
+    idx = FirstSeenIndexer(os.path.join(tmp_dir, "rep"), token="w", order=["doc_id", "pos"], occurrences_path=occ, carry=["doc_id"])
+    toks = _tokens(spark.createDataFrame([(1, "a b"), (2, "c a")], "doc_id long, text string"))
+    schema = "doc_id long, token_idx string, batch_id int"
+    out = []
+    for _ in range(2):
+        idx.process_batch(toks, 0)
+        stream = spark.readStream.schema(schema).parquet(occ)
+        out.append(run_to_table(stream, "rep", checkpoint=f"{tmp_dir}/ck", path=f"{tmp_dir}/out").count())
+    assert out == [4, 4]
+
+
+def test_replay_keeps_rows_without_order(spark):
+    df = spark.createDataFrame([(None, "x"), (1, "y"), (7, "z")], "k long, v string")
+    assert rows(replay_to_table(df, "k", 3, "t-null", lambda s: s)) == rows(df)
+
+
+def test_timeout_raises(spark):
+    slow = spark.readStream.format("rate").option("rowsPerSecond", 1).load()
+    with pytest.raises(TimeoutError):
+        run_to_table(slow, "t-slow", trigger={"processingTime": "1 second"}, timeout_s=3)
