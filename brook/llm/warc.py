@@ -29,7 +29,11 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from brook.session import materialize
+
 END = "\r\n\r\n"
+#: Digests of repeated payloads that are broadcast at most (about 60 bytes each); beyond it pages are joined by shuffle.
+MAX_BROADCAST_DIGESTS = 500_000
 #: A gzip member without content.
 EMPTY_MEMBER = (lambda z: z.compress(b"") + z.flush())(zlib.compressobj(6, zlib.DEFLATED, 31))
 RECORDS = "archive string, offset long, length long, page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
@@ -49,8 +53,8 @@ def records(pages: DataFrame, page_id: str = "page_id", url: str = "url", html:
     rows = rows.withColumn("digest", F.sha1(F.encode("payload", "utf-8"))).withColumn("bytes", F.octet_length("payload").cast("long"))
     # only payloads that occur twice or more are joined back
     same = rows.filter(F.col("bytes") >= min_bytes).groupBy("digest").agg(F.count(F.lit(1)).alias("copies"), F.max("id").alias("first"))
-    same = same.filter("copies > 1 AND first IS NOT NULL").select("digest", "first")
-    rows = rows.join(same, "digest", "left")
+    same = materialize(same.filter("copies > 1 AND first IS NOT NULL").select("digest", "first"), "warc-same")
+    rows = rows.join(F.broadcast(same) if same.count() <= MAX_BROADCAST_DIGESTS else same, "digest", "left")
     revisit = F.col("first").isNotNull() & ~F.col("id").eqNullSafe(F.col("first"))
     line = lambda name, value: F.concat(F.lit(f"{name}: "), value, F.lit("\r\n"))
     urn = lambda c: F.concat(F.lit("<urn:page:"), F.coalesce(c.cast("string"), F.lit("none")), F.lit(">"))
@@ -174,9 +178,22 @@ def read_index(spark: SparkSession, path: str) -> DataFrame:
     return files.mapInPandas(lines, "archive string, offset long, length long, record_id string")
 
 
-def describe(member: bytes) -> tuple:
-    """What a record's member says: page_id, payload_bytes, payload_digest, record_type, refers_to."""
-    (headers, _, block), *_ = list(Reader().feed(b"".join(inflate(member))))
+def members(content: bytes, piece: int = 1 << 16) -> Iterator[tuple[int, int, bytes]]:
+    """(offset, length, content) of each gzip member of a file."""
+    at = 0
+    while at < len(content):
+        z, data, k = zlib.decompressobj(31), [], at
+        while not z.eof and k < len(content):
+            data.append(z.decompress(content[k : k + piece]))
+            k += piece
+        end = min(k, len(content)) - len(z.unused_data)
+        yield at, end - at, b"".join(data)
+        at = end
+
+
+def describe(record: bytes) -> tuple:
+    """What a record says: page_id, payload_bytes, payload_digest, record_type, refers_to."""
+    ((headers, _, block),) = Reader().feed(record)
     http, _, payload = block.partition(b"\r\n\r\n")
     kind = headers["warc-type"]
     if kind == "revisit":
@@ -193,18 +210,8 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for file, content in zip(batch["path"], batch["content"], strict=True):
-                rows, at = [], 0
-                while at < len(content) - len(EMPTY_MEMBER):
-                    z = zlib.decompressobj(31)
-                    size = 0
-                    for k in range(at, len(content), 1 << 16):
-                        z.decompress(content[k : k + (1 << 16)])
-                        size += len(content[k : k + (1 << 16)])
-                        if z.eof:
-                            break
-                    size -= len(z.unused_data)
-                    rows.append((_archive_of(file), at, size, *describe(content[at : at + size])))
-                    at += size
+                name = _archive_of(file)
+                rows = [(name, at, size, *describe(data)) for at, size, data in members(content) if data]
                 out = pd.DataFrame(rows, columns=[c.split()[0] for c in RECORDS.split(", ")])
                 yield out.astype({"page_id": "Int64", "refers_to": "Int64"})
 
