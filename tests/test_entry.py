@@ -10,7 +10,7 @@ SF = "/root/testdata/sf0.001"
 FAST = [
     "read_lines", "word_count", "keyword_filter", "track_filter", "decode_json", "format_tweet", "publish_json",
     "format_line_event", "tumbling_counts", "sliding_counts", "running_counts_batch", "ranked_list_window",
-    "first_seen_index", "first_seen_index_words", "indexed_counts", "lexicon_sentiment", "replay_lines",
+    "first_seen_index", "first_seen_index_words", "first_seen_index_event_time", "indexed_tag_counts", "log_lines", "messages_roundtrip", "publish_raw", "indexed_counts", "lexicon_sentiment", "replay_lines",
     "track_filter_many", "python_model_sentiment",
 ]
 
@@ -51,3 +51,17 @@ def test_query_matches_oracle(spark, duck, name):
     idx = [dcols.index(c) for c in sorted(dcols)]
     exp = sorted(tuple(_norm(r[i]) for i in idx) for r in cur.fetchall())
     assert got == exp
+
+
+def test_entry_works_without_the_optional_operators(tmp_dir):
+    import os
+    import shutil
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.abspath(entry.__file__))
+    shutil.copytree(os.path.join(root, "brook"), f"{tmp_dir}/brook", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    shutil.copy(os.path.join(root, "__spark_entry__.py"), tmp_dir)
+    code = "import __spark_entry__ as e; assert set(e.queries()) == set(e.QUERIES) and 'pipeline' not in e.oracle_sql()"
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    subprocess.run([sys.executable, "-c", code], cwd=tmp_dir, env=env, check=True)
