@@ -4,7 +4,7 @@ Every operator takes and returns a ``DataFrame`` and, unless its docstring says
 otherwise, runs unchanged on batch (``spark.read``) and streaming
 (``spark.readStream``) inputs.  Work is declared with built-in column
 expressions so Catalyst can prune, push down and fuse it; Python only runs
-where a model or keyword automaton has to be applied per Arrow batch.
+where a model has to be applied per Arrow batch.
 """
 
 from brook.functions.text import TAG, WORD, tokens
