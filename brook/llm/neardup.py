@@ -39,6 +39,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from brook.llm.slices import map_slices
 from brook.session import materialize
 
 SHINGLE = 5
@@ -66,7 +67,7 @@ _MUL = _mix(np.arange(5001, 5001 + K, dtype=np.uint64) * _GOLD) | np.uint64(1)
 class WordHashes(dict):
     """64-bit hashes of words; the store starts anew beyond ``limit`` words."""
 
-    def __init__(self, limit: int = 500_000):
+    def __init__(self, limit: int = 200_000):
         super().__init__()
         self.limit = limit
 
@@ -111,18 +112,17 @@ def signatures(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
     """(doc_id, n, fp, sig) per row; without shingles or id ``sig`` is null."""
     hashes = WordHashes()
 
-    def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            n, fps, sigs = [], [], []
-            for body, known in zip(batch["text"], batch["doc_id"].notna(), strict=True):
-                s = shingle_set(body, hashes)
-                n.append(len(s))
-                fps.append(fingerprint(s))
-                sigs.append(signature(s).view(np.int64) if len(s) and known else None)
-            yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "n": n, "fp": fps, "sig": sigs})
+    def sign(rows: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        n, fps, sigs = [], [], []
+        for body, known in zip(rows["text"], rows["doc_id"].notna(), strict=True):
+            s = shingle_set(body, hashes)
+            n.append(len(s))
+            fps.append(fingerprint(s))
+            sigs.append(signature(s).view(np.int64) if len(s) and known else None)
+        yield pd.DataFrame({"doc_id": rows["doc_id"].astype("Int64"), "n": n, "fp": fps, "sig": sigs})
 
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return rows.mapInPandas(sign, "doc_id long, n long, fp binary, sig array<long>")
+    return map_slices(rows, sign, "doc_id long, n long, fp binary, sig array<long>")
 
 
 def postings(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -157,22 +157,21 @@ def with_sets(routes: DataFrame, docs: DataFrame, text: str, doc_id: str, schema
     sent = texts.join(F.broadcast(routes) if entries <= MAX_BROADCAST_ROUTES else routes, "route_id")
     hashes = WordHashes()
 
-    def again(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            frames, held = [], 0
-            for row in batch.itertuples(index=False):
-                shingles = shingle_set(row.text, hashes)
-                if fingerprint(shingles) != bytes(row.fp):
-                    continue
-                frames.append(make(row, shingles))
-                held += len(frames[-1]) * max(1, len(shingles))
-                if held > 1_000_000:  # keep what a worker holds small
-                    yield pd.concat(frames)
-                    frames, held = [], 0
-            if frames:
+    def again(rows: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        frames, held = [], 0
+        for row in rows.itertuples(index=False):
+            shingles = shingle_set(row.text, hashes)
+            if fingerprint(shingles) != bytes(row.fp):
+                continue
+            frames.append(make(row, shingles))
+            held += len(frames[-1]) * max(1, len(shingles))
+            if held > 1_000_000:  # keep what a worker holds small
                 yield pd.concat(frames)
+                frames, held = [], 0
+        if frames:
+            yield pd.concat(frames)
 
-    return sent.mapInPandas(again, schema)
+    return map_slices(sent, again, schema)
 
 
 def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, text: str, doc_id: str, percent: int) -> DataFrame:

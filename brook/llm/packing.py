@@ -27,6 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from brook.llm.slices import map_slices
 from brook.session import materialize
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -81,22 +82,21 @@ def token_ids(text: str | None, path: str, end_id: int) -> np.ndarray:
 def token_pieces(docs: DataFrame, text: str, doc_id: str, size: int, path: str, end_id: int) -> DataFrame:
     """Documents -> pieces of at most ``size`` ids; of a longer document the first piece is the short one."""
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = []
-            for doc, body in zip(batch["doc_id"], batch["text"], strict=True):
-                ids = token_ids(body, path, end_id)
-                doc = None if pd.isna(doc) else int(doc)
-                first = len(ids) % size or size
-                ends = range(first, len(ids) + 1, size)
-                for k, end in enumerate(ends):
-                    start = max(0, end - size) if k else 0
-                    rows.append((doc, k, start, end - start, zlib.crc32(ids[start:end].tobytes())))
-            out = pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
-            out["doc_id"] = out["doc_id"].astype("Int64")
-            yield out
-
-    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInPandas(cut, PIECES)
+    def cut(docs: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        rows = []
+        for doc, body in zip(docs["doc_id"], docs["text"], strict=True):
+            ids = token_ids(body, path, end_id)
+            doc = None if pd.isna(doc) else int(doc)
+            first = len(ids) % size or size
+            ends = range(first, len(ids) + 1, size)
+            for k, end in enumerate(ends):
+                start = max(0, end - size) if k else 0
+                rows.append((doc, k, start, end - start, zlib.crc32(ids[start:end].tobytes())))
+        out = pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
+        out["doc_id"] = out["doc_id"].astype("Int64")
+        yield out
+
+    return map_slices(docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")), cut, PIECES)
 
 
 def sum_of_squares(lengths: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:

@@ -20,9 +20,11 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructType
+
+from brook.llm.slices import map_text
 
 #: Kinds in report order, and their patterns (the least length is checked on the match).
 KINDS = ("assign", "access", "hex", "identifier", "opaque", "endpoint")
@@ -134,21 +136,14 @@ def redact(text: str, spans: list[Span], mark: str = "[SECRET]") -> str:
 def find_secrets(docs: DataFrame, text: str = "text", reach: int = 200, findings: str = "findings") -> DataFrame:
     """``docs`` plus ``findings``: kind, start and end (code points, end exclusive) of every span."""
 
-    @F.pandas_udf(FINDINGS)
-    def scan_texts(texts: pd.Series) -> pd.Series:
-        return pd.Series([[{"kind": k, "start": s, "end": e} for k, s, e in scan(t, reach)] for t in texts])
-
-    return docs.withColumn(findings, scan_texts(F.col(text)))
+    as_rows = lambda texts: [[{"kind": k, "start": s, "end": e} for k, s, e in scan(t, reach)] for t in texts]
+    return map_text(docs, text, as_rows, findings, StructType.fromDDL(f"x {FINDINGS}")["x"].dataType)
 
 
 def redact_documents(docs: DataFrame, text: str = "text", reach: int = 200) -> DataFrame:
     """``docs`` with every finding replaced in the text; null texts stay null."""
 
-    @F.pandas_udf("string")
-    def without(texts: pd.Series) -> pd.Series:
-        return pd.Series([redact(t, scan(t, reach)) if t else t for t in texts], dtype=object)
-
-    return docs.withColumn(text, without(F.col(text)))
+    return map_text(docs, text, lambda texts: [redact(t, scan(t, reach)) if t else t for t in texts], text, StringType())
 
 
 def spans_text(findings: Column) -> Column:

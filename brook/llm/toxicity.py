@@ -28,16 +28,18 @@ import re
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
+
+from brook.llm.slices import map_text
 
 WORD = re.compile(r"[^\W_]+")
 GRAMS = (3, 4, 5)
 #: Minibatches a round of learning takes at least, for small training sets.
 MIN_STEPS = 300
 #: Words whose score a worker keeps; beyond it the store starts anew.
-MAX_KEPT_WORDS = 400_000
+MAX_KEPT_WORDS = 200_000
 
 
 def words_of(text: str) -> list[str]:
@@ -283,18 +285,7 @@ def fit_model(docs: DataFrame, labels: DataFrame, text="text", doc_id="doc_id",
     return train(*training_rows(docs, labels, text, doc_id, per_class, train_chars), **how)
 
 
-def score_column(model: Model, text: str):
-    kept: list[WordScores] = []
-
-    @F.pandas_udf("double")
-    def toxicity(texts: pd.Series) -> pd.Series:
-        if not kept:
-            kept.append(WordScores(model))
-        return pd.Series(model.probability(np.array([kept[0].score(t) for t in texts], dtype=np.float64)))
-
-    return toxicity(text)
-
-
 def score_documents(docs: DataFrame, model: Model, text: str = "text", score: str = "score") -> DataFrame:
     """``docs`` with a column ``score`` (0 to 1, higher: toxic likelier)."""
-    return docs.withColumn(score, score_column(model, text))
+    words = WordScores(model)
+    return map_text(docs, text, lambda texts: model.probability(np.array([words.score(t) for t in texts], dtype=np.float64)), score, DoubleType())
