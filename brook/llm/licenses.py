@@ -1,11 +1,12 @@
 """Licence scans by a positional rare-token index (DataFrame functions only).
 
 Templates are licence sentences with a mandatory key phrase.  The index posts every template
-word (common function words left out) with its position.  In a file, the licence words that are rare in
-the corpus - in at most ``max_df`` of its documents - are looked up; a hit at word i of a template
+word (common function words left out) with its position.  Of every key phrase the ``LOOKED_UP`` index words
+with the highest IDF are looked up, however many documents have them; a hit at word i of a template
 word at position p votes for the template starting at word i - p.  Starts with two
 votes or more are candidates, and a candidate counts when the template's key phrase stands word for
-word at its place.  Its score is the share of the template's words found at their places.
+word at its place: then its looked-up words stand there too, so no such place is missed, in a corpus of
+any size and with any share of licence headers.  Its score is the share of the template's words found at their places.
 
 Two passes over the text: document frequencies of the index's words (one row per
 word, about a hundred), then the scan, which stays inside the row.
@@ -48,6 +49,10 @@ TEMPLATES = (
 FUNCTION_WORDS = frozenset("0 1 2 4 a and any are as by for form forms from in into is it of or the this to under use v with without".split())
 
 
+#: Index words of each key phrase that are looked up; as many as the votes that a candidate needs.
+LOOKED_UP = 2
+
+
 def template_words() -> list[tuple[str, list[str], int, int]]:
     """(label, words, first and end position of the key phrase)."""
     out = []
@@ -73,14 +78,13 @@ def _let(value: Column, use) -> Column:
     return F.element_at(F.transform(F.array(value), use), 1)
 
 
-def rare_words(docs: DataFrame, text: str, max_df: float) -> list[str]:
-    """The index's words that at most ``max_df`` of the documents have (one row per index word comes back)."""
+def rare_words(docs: DataFrame, text: str) -> list[str]:
+    """The rarest index words of every key phrase, by their documents (one row per index word comes back)."""
     present = F.array_distinct(F.filter(words_of(text), lambda x: x.isin(index_words())))
-    n = F.count(F.lit(1))
-    have = docs.select(F.explode(present).alias("w")).groupBy("w").agg(n.alias("df")).collect()
-    total = docs.agg(n).first()[0]
-    common = {r["w"] for r in have if r["df"] > max_df * total}
-    return [w for w in index_words() if w not in common]
+    have = docs.select(F.explode(present).alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("df")).collect()
+    df = {r["w"]: r["df"] for r in have}
+    keys = [set(words[a:b]) - FUNCTION_WORDS for _, words, a, b in template_words()]
+    return sorted({w for key in keys for w in sorted(key, key=lambda w: (df.get(w, 0), w))[:LOOKED_UP]})
 
 
 def _phrase_at(w: Column, i: Column, words: list[str]) -> Column:
@@ -134,9 +138,9 @@ def _verified(w: Column, found: Column) -> Column:
     return F.transform(checked, lambda x: F.struct(x["label"].alias("label"), x["start"].alias("start"), x["score"].alias("score")))
 
 
-def scan_licenses(docs: DataFrame, text: str = "text", max_df: float = 0.05, out: str = "license") -> DataFrame:
+def scan_licenses(docs: DataFrame, text: str = "text", out: str = "license") -> DataFrame:
     """``docs`` plus a struct: n_words, base (label and start of every base phrase), found (label, start, score)."""
-    rare = rare_words(docs, text, max_df)
+    rare = rare_words(docs, text)
     looked_up = sorted({*rare, *[p.split()[0] for p in BASE]})
 
     def scan(w: Column) -> Column:

@@ -55,6 +55,24 @@ def test_licences(spark):
     assert licenses.scan_licenses(frame(spark, []), out="found").count() == 0
 
 
+def labels_of(spark, texts):
+    rows = licenses.scan_licenses(frame(spark, texts), out="found").select("doc_id", *licenses.digest("found")).orderBy("doc_id").collect()
+    return [(r["labels"], r["score"]) for r in rows]
+
+
+def test_licences_of_small_tables_and_common_headers(spark):
+    whole = [(text, label) for label, text, _ in licenses.TEMPLATES]
+    got = labels_of(spark, [text for text, _ in whole[:9]] + ["plain words"])
+    assert all(label in labels.split(",") and score == 1.0 for (_, label), (labels, score) in zip(whole[:9], got, strict=False)) and got[9] == ("", 0.0)
+    header = "Licensed under the Apache License, Version 2.0.\nfrom x import y"
+    got = labels_of(spark, [header if k % 3 == 0 else "plain words" for k in range(300)])
+    assert got == [("apache-2.0", 1.0) if k % 3 == 0 else ("", 0.0) for k in range(300)]
+
+
+def test_every_key_phrase_has_enough_index_words():
+    assert all(len(set(words[a:b]) - licenses.FUNCTION_WORDS) >= licenses.LOOKED_UP for _, words, a, b in licenses.template_words())
+
+
 PAGES = "page_id long, url string, html string, host string, paths string"
 
 
