@@ -44,6 +44,17 @@ TEMPLATES = (
     ("mpl-2.0", "this source code form is subject to the terms of the mozilla public license v 2 0", "mozilla public license"),
     ("reserved", "copyright all rights reserved", "all rights reserved"),
     ("unlicense", "this is free and unencumbered software released into the public domain", "free and unencumbered software"),
+    # short forms, as they stand in a line of their own
+    ("bsd", "released under the bsd license", "bsd license"),
+    ("bsd", "released under the bsd 2 clause license", "bsd 2 clause"),
+    ("bsd", "released under the bsd 3 clause license", "bsd 3 clause"),
+    ("isc", "released under the isc license", "isc license"),
+    ("mit", "released under the mit license", "mit license"),
+    ("mpl-2.0", "released under the mozilla public license version 2 0", "mozilla public license"),
+    ("mpl-2.0", "released under the mpl 2 0", "released under the mpl"),
+    ("mpl-2.0", "licensed under the mpl 2 0", "licensed under the mpl"),
+    ("unlicense", "released under the unlicense", "released under the unlicense"),
+    ("unlicense", "licensed under the unlicense", "licensed under the unlicense"),
 )
 #: Words that are never looked up (they still count in scores and key phrases).
 FUNCTION_WORDS = frozenset("0 1 2 4 a and any are as by for form forms from in into is it of or the this to under use v with without".split())

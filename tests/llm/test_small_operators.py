@@ -69,6 +69,26 @@ def test_licences_of_small_tables_and_common_headers(spark):
     assert got == [("apache-2.0", 1.0) if k % 3 == 0 else ("", 0.0) for k in range(300)]
 
 
+def test_licence_lines(spark):
+    lines = {  # the first five are the licence lines of documents
+        "This work is licensed under the GNU General Public License, version 3.": "gpl",
+        "All rights reserved.": "reserved",
+        "Released under the MIT License.": "mit",
+        "Licensed under CC BY-NC 4.0.": "cc-by,cc-by-nc",
+        "Licensed under the Apache License, Version 2.0.": "apache-2.0",
+        "Released under the BSD License.": "bsd",
+        "Released under the BSD 3-Clause License.": "bsd",
+        "Released under the ISC License.": "isc",
+        "Released under the Mozilla Public License, version 2.0.": "mpl-2.0",
+        "Released under the MPL 2.0.": "mpl-2.0",
+        "Released under the Unlicense.": "unlicense",
+        "The mit of a license, a bsd system and the unlicense.": "",
+    }
+    got = labels_of(spark, [*lines, *[f"Some words.\n{line} More words." for line in lines]])
+    assert [labels for labels, _ in got] == [*lines.values()] * 2
+    assert all((score > 0) == (labels != "") for labels, score in got) and got[2][1] == 1.0
+
+
 def test_every_key_phrase_has_enough_index_words():
     assert all(len(set(words[a:b]) - licenses.FUNCTION_WORDS) >= licenses.LOOKED_UP for _, words, a, b in licenses.template_words())
 
