@@ -25,9 +25,10 @@ collisions.  Confirmation reads the documents of the pairs once more and sends e
 its hub's group; a hub's members are dealt over groups of about 64.
 
 Defined cases: null, empty and wordless texts have no shingles and are linked with nothing; fewer
-than five words are one shingle; null doc_ids are linked with nothing, get a null component
-and are kept; repeated rows and rows with one doc_id are one document each with its text's component;
-an empty table gives an empty result.
+than five words are one shingle; every row is a document of its own by a stored row key, so rows
+with a null doc_id, with one doc_id and repeated rows are linked by their texts; a component's id is its smallest
+doc_id, null if no row has one; ``drop_near_duplicates`` keeps one row of each component and every row without
+shingles, whatever their ids; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -48,8 +49,10 @@ K, T = 40, 19
 BLOCK = 512
 #: Routes (documents and the groups that want their sets, about 30 bytes each) up to which the second read finds its documents by a broadcast.
 MAX_BROADCAST_ROUTES = 1_000_000
-#: Dropped ids that are broadcast at most (8 bytes each).
+#: Dropped rows whose keys are broadcast at most (8 bytes each).
 MAX_BROADCAST_IDS = 1_000_000
+#: Column of the stored row key.
+ROW = "dup_row_key"
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -108,21 +111,28 @@ def fingerprint(shingles: np.ndarray) -> bytes:
     return np.array([shingles.sum(dtype=np.uint64), _mix(shingles + _GOLD).sum(dtype=np.uint64)]).tobytes()
 
 
+def with_row_keys(docs: DataFrame) -> DataFrame:
+    """``docs``, stored with a key per row: rows can be equal in all else."""
+    if ROW in docs.columns:
+        raise ValueError(f"column {ROW} is taken")
+    return materialize(docs.withColumn(ROW, F.monotonically_increasing_id()), "dup-rows")
+
+
 def signatures(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
-    """(doc_id, n, fp, sig) per row; without shingles or id ``sig`` is null."""
+    """(row_key, doc_id, n, fp, sig) per row; without shingles ``sig`` is null."""
     hashes = WordHashes()
 
     def sign(rows: pd.DataFrame) -> Iterator[pd.DataFrame]:
         n, fps, sigs = [], [], []
-        for body, known in zip(rows["text"], rows["doc_id"].notna(), strict=True):
+        for body in rows["text"]:
             s = shingle_set(body, hashes)
             n.append(len(s))
             fps.append(fingerprint(s))
-            sigs.append(signature(s).view(np.int64) if len(s) and known else None)
-        yield pd.DataFrame({"doc_id": rows["doc_id"].astype("Int64"), "n": n, "fp": fps, "sig": sigs})
+            sigs.append(signature(s).view(np.int64) if len(s) else None)
+        yield pd.DataFrame({"row_key": rows["row_key"], "doc_id": rows["doc_id"].astype("Int64"), "n": n, "fp": fps, "sig": sigs})
 
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return map_slices(rows, sign, "doc_id long, n long, fp binary, sig array<long>")
+    rows = docs.select(F.col(ROW).alias("row_key"), F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    return map_slices(rows, sign, "row_key long, doc_id long, n long, fp binary, sig array<long>")
 
 
 def postings(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -150,9 +160,9 @@ def colliding(pairs: DataFrame, shared: DataFrame, percent: int) -> DataFrame:
     return both.filter(F.size(F.array_intersect("sa", "sb")) >= T).select("a", "b")
 
 
-def with_sets(routes: DataFrame, docs: DataFrame, text: str, doc_id: str, schema: str, make) -> DataFrame:
-    """Read the texts of ``routes`` (route_id, fp, ...) again: ``make(row, set)`` frames, without texts of another set."""
-    texts = docs.select(F.col(doc_id).cast("long").alias("route_id"), F.col(text).alias("text"))
+def with_sets(routes: DataFrame, docs: DataFrame, text: str, schema: str, make) -> DataFrame:
+    """Read the texts of ``routes`` (route_id, fp, ...) again: ``make(row, set)`` frames."""
+    texts = docs.select(F.col(ROW).alias("route_id"), F.col(text).alias("text"))
     entries = routes.agg(F.sum(F.size("goals") + 1) if "goals" in routes.columns else F.count(F.lit(1))).first()[0] or 0
     sent = texts.join(F.broadcast(routes) if entries <= MAX_BROADCAST_ROUTES else routes, "route_id")
     hashes = WordHashes()
@@ -161,8 +171,6 @@ def with_sets(routes: DataFrame, docs: DataFrame, text: str, doc_id: str, schema
         frames, held = [], 0
         for row in rows.itertuples(index=False):
             shingles = shingle_set(row.text, hashes)
-            if fingerprint(shingles) != bytes(row.fp):
-                continue
             frames.append(make(row, shingles))
             held += len(frames[-1]) * max(1, len(shingles))
             if held > 1_000_000:  # keep what a worker holds small
@@ -174,7 +182,7 @@ def with_sets(routes: DataFrame, docs: DataFrame, text: str, doc_id: str, schema
     return map_slices(sent, again, schema)
 
 
-def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, text: str, doc_id: str, percent: int) -> DataFrame:
+def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, text: str, percent: int) -> DataFrame:
     """Links among the pairs (a, b), by their documents' full sets."""
     degree = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / 64).alias("groups"))
     dealt = pairs.join(degree, "a").select("a", "b", F.pmod(F.xxhash64("b"), "groups").alias("grp"))
@@ -184,7 +192,7 @@ def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, text: str,
     goals = member.union(hub)
     parts = goals.groupBy("fp").agg(F.ceil(F.count(F.lit(1)) / 256).alias("parts"))
     goals = goals.join(parts, "fp").groupBy("fp", F.pmod(F.xxhash64("a", "grp"), "parts").alias("part")).agg(F.collect_list(F.struct("a", "grp")).alias("goals"))
-    routes = goals.join(classes.select("fp", "min_id"), "fp").select(F.col("min_id").alias("route_id"), "fp", "goals")
+    routes = goals.join(classes.select("fp", "lead.row_key"), "fp").select(F.col("row_key").alias("route_id"), "fp", "goals")
 
     def send(row, shingles: np.ndarray) -> pd.DataFrame:
         of = [(g["a"], g["grp"]) for g in row.goals]
@@ -201,7 +209,7 @@ def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, text: str,
                 out.append((hub, fp))
         return pd.DataFrame(out, columns=["a", "b"])
 
-    sets = with_sets(materialize(routes, "dup-routes"), docs, text, doc_id, "a binary, grp long, fp binary, shingles binary", send)
+    sets = with_sets(materialize(routes, "dup-routes"), docs, text, "a binary, grp long, fp binary, shingles binary", send)
     return materialize(sets.groupBy("a", "grp").applyInPandas(link, "a binary, b binary"), "dup-links")
 
 
@@ -244,7 +252,7 @@ def open_postings(posted: DataFrame, comps: DataFrame) -> DataFrame:
     return own.join(lists, "tok")
 
 
-def open_sets(classes: DataFrame, docs: DataFrame, text: str, doc_id: str, percent: int) -> DataFrame:
+def open_sets(classes: DataFrame, docs: DataFrame, text: str, percent: int) -> DataFrame:
     """(fp, n, u, cut) of the classes that can have a link to another of them.
 
     ``u``: how many of its ``n`` shingles no other of them has; ``cut``: the shingles' last 32 bits.
@@ -253,7 +261,7 @@ def open_sets(classes: DataFrame, docs: DataFrame, text: str, doc_id: str, perce
     def rows(row, shingles: np.ndarray) -> pd.DataFrame:
         return pd.DataFrame({"fp": [row.fp], "n": [row.n], "shingles": [shingles.view(np.int64)]})
 
-    sets = materialize(with_sets(classes, docs, text, doc_id, "fp binary, n long, shingles array<long>", rows).dropDuplicates(["fp"]), "dup-sets")
+    sets = materialize(with_sets(classes, docs, text, "fp binary, n long, shingles array<long>", rows).dropDuplicates(["fp"]), "dup-sets")
     owner = F.xxhash64("fp").alias("owner")
     once = sets.select(owner, F.explode("shingles").alias("sh")).groupBy("sh").agg(F.count(F.lit(1)).alias("f"), F.min("owner").alias("owner")).filter("f = 1")
     u = once.groupBy("owner").agg(F.count(F.lit(1)).alias("u"))
@@ -319,42 +327,55 @@ def open_pairs(lists: DataFrame, able: DataFrame, shared: DataFrame, percent: in
     return sent.groupBy("tok", "lo", "hi").applyInPandas(_meet(percent), "a binary, b binary").distinct()
 
 
-def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", percent: int = 75) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) per row of ``docs``."""
+def linked(docs: DataFrame, text: str, doc_id: str, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Rows (row_key, doc_id, n, fp) and their classes (fp, lead), of stored ``docs`` with row keys.
+
+    ``lead``: the component's first row (no_id, doc_id, row_key), by doc_id with nulls last, then by key.
+    """
     signed = materialize(signatures(docs, text, doc_id), "dup-signatures")
     usable = signed.filter("sig is not null")
-    classes = usable.groupBy("fp").agg(F.min("doc_id").alias("min_id"), F.first("n").alias("n"), F.first("sig").alias("sig"))
+    lead = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_key")).alias("lead")
+    classes = usable.groupBy("fp").agg(lead, F.first("n").alias("n"), F.first("sig").alias("sig"))
     classes = materialize(classes, "dup-classes")
 
     shared, posted = postings(classes)
     first = materialize(colliding(hub_pairs(posted), shared, percent), "dup-pairs")
-    links = confirmed(first, classes, docs, text, doc_id, percent)
+    links = confirmed(first, classes, docs, text, percent)
     comps = components(links)
 
-    left = open_postings(posted, comps).select("fp").distinct().join(classes, "fp").select("fp", "n", F.col("min_id").alias("route_id"))
+    left = open_postings(posted, comps).select("fp").distinct().join(classes, "fp").select("fp", "n", F.col("lead.row_key").alias("route_id"))
     left = materialize(left, "dup-open")
     if not left.isEmpty():
-        able = materialize(open_sets(left, docs, text, doc_id, percent), "dup-able")
+        able = materialize(open_sets(left, docs, text, percent), "dup-able")
         lists = materialize(open_postings(posted.join(able.select("fp"), "fp"), comps), "dup-lists")
         rest = materialize(open_pairs(lists, able, shared, percent), "dup-rest")
         if not rest.isEmpty():
-            comps = components(links.union(confirmed(rest, classes, docs, text, doc_id, percent)))
+            comps = components(links.union(confirmed(rest, classes, docs, text, percent)))
+
+    ids = classes.select("fp", "lead").join(comps, "fp")
+    lowest = ids.groupBy("comp").agg(F.min("lead").alias("lowest"))
+    of_class = classes.select("fp", "lead").join(ids.select("fp", "comp").join(lowest, "comp"), "fp", "left")
+    return signed.select("row_key", "doc_id", "n", "fp"), of_class.select("fp", F.coalesce("lowest", "lead").alias("lead"))
 
-    ids = classes.select("fp", "min_id").join(comps, "fp")
-    lowest = ids.groupBy("comp").agg(F.min("min_id").alias("lowest"))
-    of_class = classes.select("fp", "min_id").join(ids.select("fp", "comp").join(lowest, "comp"), "fp", "left")
-    of_class = of_class.select("fp", F.coalesce("lowest", "min_id").alias("class_id"))
+
+def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", percent: int = 75) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) per row of ``docs``; ``kept``: the row has its component's id."""
+    stored = with_row_keys(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")))
+    signed, of_class = linked(stored, "text", "doc_id", percent)
     known = F.when(F.col("n") > 0, F.col("fp"))  # rows without shingles meet no class
-    out = signed.select("doc_id", "n", known.alias("fp")).join(of_class, "fp", "left")
-    component = F.when(F.col("doc_id").isNotNull(), F.when(F.col("n") > 0, F.col("class_id")).otherwise(F.col("doc_id")))
+    out = signed.select("doc_id", "n", known.alias("fp")).join(of_class.select("fp", F.col("lead.doc_id").alias("class_id")), "fp", "left")
+    component = F.when(F.col("n") > 0, F.col("class_id")).otherwise(F.col("doc_id"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id")).withColumn(
         "kept", F.col("doc_id").eqNullSafe(F.col("component_id"))
     )
 
 
 def drop_near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", percent: int = 75) -> DataFrame:
-    """``docs`` with one document of each component: the one with the smallest id (rows sharing an id stay together)."""
-    found = near_duplicates(docs, text, doc_id, percent)
-    out = materialize(found.filter(~F.col("kept")).select(F.col("doc_id").alias("dropped_id")).distinct(), "dup-dropped")
+    """``docs`` with one row of each component: of the rows with the smallest id the first; rows without shingles stay."""
+    stored = with_row_keys(docs)
+    signed, of_class = linked(stored, text, doc_id, percent)
+    leads = of_class.select(F.col("lead.row_key").alias("row_key")).distinct()
+    out = signed.filter("n > 0").join(leads, "row_key", "left_anti").select(F.col("row_key").alias("dropped_key"))
+    out = materialize(out, "dup-dropped")
     small = out.count() <= MAX_BROADCAST_IDS
-    return docs.join(F.broadcast(out) if small else out, F.col(doc_id).cast("long") == F.col("dropped_id"), "left_anti")
+    return stored.join(F.broadcast(out) if small else out, F.col(ROW) == F.col("dropped_key"), "left_anti").drop(ROW)

@@ -75,6 +75,33 @@ def test_empty_and_pipeline_form(spark):
     assert kept.columns == docs.columns and sorted(r["doc_id"] for r in kept.collect()) == [3, 9]
 
 
+def test_one_row_of_each_component_stays(spark):
+    a, b, c, d = (" ".join(f"{x}{k}" for k in range(40)) for x in "abcd")
+    near = " ".join([*b.split()[:-1], "other"])
+    rows = [(1, a), (1, a), (1, a.upper()), (2, b), (3, near), (3, c), (None, c), (None, d), (None, d), (None, near), (4, None), (4, None), (None, "")]
+    docs = spark.createDataFrame([(k, t, "x", 1, "y") for k, t in rows], DOCS)
+    kept = sorted((r["doc_id"] or 0, (r["text"] or "").lower()) for r in neardup.drop_near_duplicates(docs).collect())
+    assert kept == sorted([(1, a), (2, b), (3, c), (0, d), (4, ""), (4, ""), (0, "")])
+    found = neardup.near_duplicates(docs).collect()
+    got = sorted((r["doc_id"] or 0, r["n_shingles"], r["component_id"] or 0) for r in found)
+    assert got == sorted([(1, 36, 1)] * 3 + [(2, 36, 2), (3, 36, 2), (3, 36, 3), (0, 36, 3), (0, 36, 0), (0, 36, 0), (0, 36, 2), (4, 0, 4), (4, 0, 4), (0, 0, 0)])
+
+
+def test_ids_match_sql(spark):
+    import duckdb
+
+    from brook.llm import oracle
+
+    a, b = (" ".join(f"{x}{k}" for k in range(30)) for x in "ab")
+    rows = [(5, a), (5, a), (5, b), (None, a), (None, b), (7, b), (None, "c d"), (None, "C d"), (8, None)]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+    want = sorted(map(str, con.execute(oracle.NEAR_DUPLICATES).fetchall()))
+    got = neardup.near_duplicates(spark.createDataFrame([(k, t, "x", 1, "y") for k, t in rows], DOCS)).collect()
+    assert sorted(str(tuple(r)) for r in got) == want
+
+
 def test_long_chain_is_one_component(spark):
     links = spark.createDataFrame([(bytes([k]), bytes([k + 1])) for k in range(60)], "a binary, b binary")
     comps = neardup.components(links).collect()
