@@ -3,9 +3,10 @@
 Base kinds (assign, access, hex) are reported wherever they stand.  Weaker candidates are
 reported only when complementary parts of a credential co-occur: parts take the roles
 *identifier*, *secret* and *endpoint*, a scope is a block of text between blank lines,
-and an interval join within the scope links an identifier to every secret that lies at
-most ``reach`` characters away.  A weak identifier or secret needs such a link; an
-endpoint needs to lie within reach of a linked part.
+and an interval join within the scope links an identifier or an endpoint to every secret that lies at
+most ``reach`` characters away (to an endpoint only secrets outside of all endpoints: a path is
+no second part).  From there a link goes on through all parts of the scope, each within reach of the one before, so
+that a key of many lines is taken whole, however long.
 
 The join runs as a sorted sweep inside the document (a window over start positions, so
 its work is bounded by the parts within reach), in one map over the text without a shuffle.
@@ -36,6 +37,9 @@ IDENTIFIER = re.compile(
 )
 OPAQUE = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}={0,2}")
 ENDPOINT = re.compile(r"(?a:\b[a-z][a-z0-9+]*://[A-Za-z0-9._~:/?#@!$&*+,;=%-]+)|(?<![A-Za-z0-9.-])[a-z0-9-]+(?:\.[a-z0-9-]+)+:[0-9]{2,5}(?![0-9])")
+#: A line of a key after one of at least ``KEY_LINE`` characters (line ends may be escaped, as in JSON).
+KEY_LINE = 60
+NEXT_LINE = re.compile(r"""(?:\r?\n[\x20\x09]*|\\n)([A-Za-z0-9+/_]+={0,2})(?=[\r\n\\"']|\Z)""")
 BLANK_LINE = re.compile(r"\n[\x20\x09\x0D]*\n")
 
 FINDINGS = "array<struct<kind:string,start:int,end:int>>"
@@ -54,9 +58,21 @@ def _is_opaque(token: str) -> bool:
     return any(c.isdigit() for c in token) and any(c.islower() for c in token) and any(c.isupper() for c in token)
 
 
+def _opaque_spans(text: str) -> list[Span]:
+    """Generated tokens, and the lines that carry on a key of full lines: short ones or without a digit."""
+    found = {m.span() for m in OPAQUE.finditer(text) if _is_opaque(m.group())}
+    ends = {e for _, e in found}
+    for start, end in sorted(found):
+        while end - start >= KEY_LINE and (m := NEXT_LINE.match(text, end)) and m.end(1) not in ends:
+            start, end = m.span(1)
+            found.add((start, end))
+            ends.add(end)
+    return [("opaque", *x) for x in sorted(found)]
+
+
 def weak_spans(text: str) -> list[Span]:
     found = [("identifier", *m.span()) for m in IDENTIFIER.finditer(text)]
-    found += [("opaque", *m.span()) for m in OPAQUE.finditer(text) if _is_opaque(m.group())]
+    found += _opaque_spans(text)
     return found + [("endpoint", *m.span()) for m in ENDPOINT.finditer(text)]
 
 
@@ -114,13 +130,27 @@ def _linked(text: str, base: list[Span], weak: list[Span], reach: int) -> list[S
     roles: dict[str, list[Span]] = {"identifier": [], "secret": [], "endpoint": []}
     for span in sorted(base + weak, key=lambda x: (x[1], x[2])):
         roles[ROLE[span[0]]].append(span)
-    if not (roles["identifier"] and roles["secret"]):
+    if not (roles["secret"] and (roles["identifier"] or roles["endpoint"])):
         return []
     scopes = [m.start() for m in BLANK_LINE.finditer(text)]
+    apart = _outside(roles["secret"], roles["endpoint"])
     linked = {x for pair in interval_join(roles["identifier"], roles["secret"], scopes, reach) for x in pair}
-    parts = sorted(linked, key=lambda x: (x[1], x[2]))
-    linked |= {a for a, _ in interval_join(roles["endpoint"], parts, scopes, reach)}
-    return [w for w in weak if w in linked]
+    linked |= {x for pair in interval_join(roles["endpoint"], apart, scopes, reach) for x in pair}
+    taken = {x for run in _runs(base + weak, scopes, reach) if not linked.isdisjoint(run) for x in run}
+    return [w for w in weak if w in taken]
+
+
+def _runs(parts: list[Span], scopes: list[int], reach: int) -> Iterator[list[Span]]:
+    """Parts of one scope, each at most ``reach`` characters behind those before."""
+    run, end = [], 0
+    for part in sorted(parts, key=lambda x: (x[1], x[2])):
+        if run and (part[1] - end > reach or _between(scopes, end, part[1])):
+            yield run
+            run = []
+        end = max(end, part[2]) if run else part[2]
+        run.append(part)
+    if run:
+        yield run
 
 
 def redact(text: str, spans: list[Span], mark: str = "[SECRET]") -> str:
