@@ -74,3 +74,15 @@ def test_long_texts_encode_alike_in_parts(limit):
     assert "".join(parts) == text and len(parts) > 1
     enc = packing.encoder(packing.rank_file())
     assert [i for p in parts for i in enc.encode_ordinary(p)] == enc.encode_ordinary(text)
+
+
+def test_added_tokens_as_in_the_unmodified_file():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    mark = "<|endoftext|>"
+    texts = [f"a {mark} b", mark, f"{mark}{mark}\n\n{mark} x", f"one  {mark}  two<|endoftext |>", f"é{mark}é", "none <|end", "", f"it's {mark}'s " * 50]
+    for text in texts:
+        assert packing.token_ids(text, packing.rank_file(), 2).tolist() == [*tok.encode(text, add_special_tokens=False).ids, 2]
+    assert 50256 in packing.token_ids(texts[0], packing.rank_file(), 2)
