@@ -115,10 +115,47 @@ SELECT doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, component_id, doc_id IS N
 FROM d JOIN m USING (k) LEFT JOIN n USING (k)
 """
 
+#: Shingles by position, hashes as hexadecimal text; the next document by a plain window.
+FINGERPRINTS = rf"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, ''))::BIGINT AS n_chars FROM documents),
+n AS (SELECT *, coalesce(lead(t) OVER (ORDER BY doc_id), first(t) OVER (ORDER BY doc_id)) AS nxt FROM d),
+e AS (SELECT doc_id, n_chars, t, nxt, substr(t, 1, n_chars - n_chars // 4) || substr(nxt, 1, n_chars // 4) AS ed FROM n),
+x AS (SELECT doc_id, unnest([0, 1, 2]) AS kind, unnest([t, ed, nxt]) AS t FROM e),
+w AS (SELECT doc_id, kind, list_filter(string_split_regex(t, '[\x20\x09-\x0D]+'), lambda v: v <> '') AS ws FROM x),
+h AS (SELECT doc_id, kind, CASE WHEN len(ws) >= 5 THEN list_transform(range(1, len(ws) - 3), lambda i: md5(array_to_string(ws[i:i + 4], ' '))[1:8])
+    WHEN len(ws) > 0 THEN [md5(array_to_string(ws, ' '))[1:8]] ELSE [] END AS hs FROM w),
+k AS (SELECT *, list_sort(list_distinct(list_filter(hs, lambda v: v < '40000000'))) AS low FROM h),
+s AS (SELECT doc_id, kind, CASE WHEN len(low) > 0 THEN low WHEN len(hs) > 0 THEN [list_min(hs)] ELSE [] END AS sk FROM k),
+f AS (SELECT a.doc_id, a.sk AS sa, b.sk AS sb, c.sk AS sc FROM s a JOIN s b ON a.doc_id = b.doc_id AND b.kind = 1 JOIN s c ON a.doc_id = c.doc_id AND c.kind = 2 WHERE a.kind = 0)
+SELECT doc_id, n_chars, sha256(ed) AS edited_sha256, array_to_string(sa, '') AS fingerprint, array_to_string(sb, '') AS edited_fingerprint,
+  (CASE WHEN sa = sb THEN 1.0 WHEN least(len(sa), len(sb)) = 0 THEN 0.0 ELSE len(list_intersect(sa, sb))::DOUBLE / least(len(sa), len(sb)) END)::DOUBLE AS near_edited,
+  (CASE WHEN sa = sc THEN 1.0 WHEN least(len(sa), len(sc)) = 0 THEN 0.0 ELSE len(list_intersect(sa, sc))::DOUBLE / least(len(sa), len(sc)) END)::DOUBLE AS near_next
+FROM f JOIN e USING (doc_id)
+"""
+
+#: Every document scored for every item.
+RANKED = r"""
+WITH tok AS (SELECT row_number() OVER () AS k, doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM documents),
+tf AS (SELECT k, doc_id, t, count(*) AS tf FROM tok GROUP BY ALL),
+n AS (SELECT k, sum(tf)::BIGINT AS n FROM tf GROUP BY k),
+s AS (SELECT count(*)::BIGINT AS nd, sum(n)::BIGINT AS l FROM n),
+df AS (SELECT t, count(*)::BIGINT AS df FROM tf GROUP BY t),
+q AS (SELECT DISTINCT j, item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM (SELECT row_number() OVER () AS j, * FROM benchmark)),
+w AS (SELECT j, item_id, t, floor(1000 * ln((2 * nd + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w FROM q JOIN df USING (t), s),
+c AS (SELECT j, item_id, k, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * nd) // l))))::BIGINT AS score
+  FROM w JOIN tf USING (t) JOIN n USING (k), s GROUP BY ALL),
+r AS (SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY j ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM c WHERE score > 0)
+SELECT item_id, rank::INT AS rank, doc_id, score FROM r WHERE rank <= 50
+"""
+
 ORACLE = {
     "op3_near_duplicates": NEAR_DUPLICATES,
     "op7_warc": WARC,
     "op8_licenses": _licenses(),
     "op9_mix_sources": MIX,
     "op4_quality_rules": QUALITY,
+    "op12_fingerprints": FINGERPRINTS,
+    "op13_ranked_search": RANKED,
 }

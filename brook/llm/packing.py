@@ -15,7 +15,8 @@ get their own ids wherever they stand.
 
 Defined cases: null or empty text is one piece, the end id alone; null or repeated doc_ids
 and repeated rows are packed as documents of their own; very long texts are encoded in
-parts cut where no token can span; an empty table gives no pieces.
+parts cut where no token can span, very long white space as one pre-token; an empty table gives
+no pieces; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -32,10 +33,12 @@ from pyspark.sql import functions as F
 from brook.llm.slices import map_slices
 from brook.session import materialize
 
-PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
-PACKED = PIECES + ", sequence_id long, offset long"
-#: Texts beyond this many characters are encoded in parts.
-LONG_TEXT = 1_000_000
+PACKED = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
+PIECES = "row long, doc_id long, piece int, start long, length long, ids_crc32 long"
+#: Texts beyond this many characters are encoded in parts, white space of this many as a pre-token of its own.
+LONG_TEXT, LONG_SPACE = 1_000_000, 10_000
+#: White space as the pre-token pattern knows it (Unicode White_Space).
+_LONG_RUN = re.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{%d,}" % LONG_SPACE)
 
 
 def rank_file() -> str:
@@ -77,7 +80,7 @@ def encoder(path: str):
 
 
 def text_parts(text: str, limit: int = LONG_TEXT) -> Iterator[str]:
-    """Cut before a space between two visible characters: no pre-token contains such a place inside."""
+    """Cut a text without long white space before a space between two visible characters: no pre-token contains such a place inside."""
     at = 0
     while len(text) - at > limit:
         cut = at + limit
@@ -90,14 +93,26 @@ def text_parts(text: str, limit: int = LONG_TEXT) -> Iterator[str]:
     yield text[at:]
 
 
+def encode_plain(enc, text: str) -> np.ndarray:
+    """Ids of a text of any length, added tokens taken as ordinary text.
+
+    The pattern's white-space rule needs stack for every character of a run, so a long run is
+    encoded as the one pre-token it is: all of it at the end of the text, else all but its last
+    character, with which the rest goes on.
+    """
+    ids, at = [], 0
+    for run in _LONG_RUN.finditer(text):
+        end = run.end() if run.end() == len(text) else run.end() - 1
+        ids += [enc.encode_to_numpy(p, disallowed_special=()) for p in text_parts(text[at : run.start()])]
+        ids.append(np.array(enc._core_bpe.encode_single_piece(text[run.start() : end].encode()), dtype=np.uint32))
+        at = end
+    ids += [enc.encode_to_numpy(p, disallowed_special=()) for p in text_parts(text[at:])]
+    return np.concatenate(ids)
+
+
 def token_ids(text: str | None, path: str, end_id: int) -> np.ndarray:
     enc, added = encoder(path), added_tokens()
-    ids = []
-    for piece in split_added(text or "", added):
-        if piece in added:
-            ids.append(np.array([added[piece]]))
-        else:
-            ids += [enc.encode_to_numpy(p, disallowed_special=()) for p in text_parts(piece)]
+    ids = [np.array([added[piece]]) if piece in added else encode_plain(enc, piece) for piece in split_added(text or "", added)]
     return np.concatenate([*ids, np.array([end_id])]).astype("<u4")
 
 
@@ -114,19 +129,20 @@ def token_pieces(docs: DataFrame, text: str, doc_id: str, size: int, path: str,
 
     def cut(docs: pd.DataFrame) -> Iterator[pd.DataFrame]:
         rows = []
-        for doc, body in zip(docs["doc_id"], docs["text"], strict=True):
+        for row, doc, body in zip(docs["row"], docs["doc_id"], docs["text"], strict=True):
             ids = token_ids(body, path, end_id)
             doc = None if pd.isna(doc) else int(doc)
             first = len(ids) % size or size
             ends = range(first, len(ids) + 1, size)
             for k, end in enumerate(ends):
                 start = max(0, end - size) if k else 0
-                rows.append((doc, k, start, end - start, zlib.crc32(ids[start:end].tobytes())))
-        out = pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
+                rows.append((row, doc, k, start, end - start, zlib.crc32(ids[start:end].tobytes())))
+        out = pd.DataFrame(rows, columns=["row", "doc_id", "piece", "start", "length", "ids_crc32"])
         out["doc_id"] = out["doc_id"].astype("Int64")
         yield out
 
-    return map_slices(docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")), cut, PIECES)
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    return map_slices(rows, cut, PIECES)
 
 
 def sum_of_squares(lengths: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -178,31 +194,28 @@ def _dissolve(lengths: np.ndarray, bin_of: np.ndarray, fill: np.ndarray, size: i
     is_candidate[candidates] = True
     for i in np.flatnonzero(is_candidate[bin_of]):
         pieces.setdefault(int(bin_of[i]), []).append(int(i))
-    by_gap: list[list[int]] = [[] for _ in range(size + 1)]
+    by_gap: list[dict[int, None]] = [{} for _ in range(size + 1)]
     count = np.zeros(size + 1, dtype=np.int64)
     where = {}
     for b in candidates[::-1].tolist():
-        by_gap[size - fill[b]].append(b)
+        by_gap[size - fill[b]][b] = None
         count[size - fill[b]] += 1
         where[b] = size - int(fill[b])
     out = bin_of.copy()
-    misses = 0
     for b in candidates.tolist():
-        if misses > 50:
-            break
         gap = where[b]
         count[gap] -= 1
-        by_gap[gap].remove(b)
+        del by_gap[gap][b]
         moved = []
         for i in sorted(pieces[b], key=lambda i: -lengths[i]):
             fits = np.flatnonzero(count[lengths[i] :])
             if not len(fits):
                 break
             g = int(lengths[i] + fits[0])
-            to = by_gap[g].pop()
+            to = by_gap[g].popitem()[0]
             count[g] -= 1
             where[to] = g - int(lengths[i])
-            by_gap[where[to]].append(to)
+            by_gap[where[to]][to] = None
             count[where[to]] += 1
             moved.append((i, to, g))
         if len(moved) == len(pieces[b]):
@@ -210,30 +223,29 @@ def _dissolve(lengths: np.ndarray, bin_of: np.ndarray, fill: np.ndarray, size: i
                 out[i] = to
                 pieces[to].append(i)
             continue
-        misses += 1
         for i, to, g in reversed(moved):
-            by_gap[where[to]].remove(to)
+            del by_gap[where[to]][to]
             count[where[to]] -= 1
             where[to] = g
-            by_gap[g].append(to)
+            by_gap[g][to] = None
             count[g] += 1
-        by_gap[gap].append(b)
+        by_gap[gap][b] = None
         count[gap] += 1
     return out
 
 
 def pack_pieces(pieces: DataFrame, size: int, group_rows: int = 50_000) -> DataFrame:
-    """Pieces (as a stored table) -> their sequence and offset."""
+    """Pieces (as a stored table) -> their sequence and offset; groups by the stored row key, so equal rows spread over all."""
     groups = max(1, -(-pieces.count() // group_rows))
 
     def pack(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["length", "doc_id", "piece", "start", "ids_crc32"], ascending=[False, True, True, True, True], kind="stable")
+        rows = rows.sort_values(["length", "row", "piece"], ascending=[False, True, True], kind="stable")
         bin_of, offset = sum_of_squares(rows["length"].to_numpy(dtype=np.int64), size)
-        rows = rows.drop(columns="grp").assign(sequence_id=(int(key[0]) << 36) + bin_of, offset=offset)
+        rows = rows.drop(columns=["grp", "row"]).assign(sequence_id=(int(key[0]) << 36) + bin_of, offset=offset)
         rows["doc_id"] = rows["doc_id"].astype("Int64")
         return rows
 
-    group = F.pmod(F.xxhash64("doc_id", "piece", "start", "length", "ids_crc32"), F.lit(groups))
+    group = F.pmod(F.xxhash64("row", "piece"), F.lit(groups))
     return pieces.withColumn("grp", group).groupBy("grp").applyInPandas(pack, PACKED)
 
 

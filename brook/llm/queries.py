@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brook.llm import ann, htmltext, licenses, mixing, neardup, oracle, packing, quality, secrets, toxicity, warc
-
-
+from brook.llm import (
+    alignment, ann, fingerprint, htmltext, lexical, licenses, mixing, neardup, oracle, packing, quality, secrets, toxicity, warc,
+)
 from brook.session import scratch_path
 
 
@@ -68,6 +68,18 @@ def q_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest_neighbours(read(spark, sf_dir, "embeddings"), F.pmod("vec_id", F.lit(50)) == 0)
 
 
+def q_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(read(spark, sf_dir, "documents"))
+
+
+def q_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.fingerprints(read(spark, sf_dir, "documents"))
+
+
+def q_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(lexical.build_index(read(spark, sf_dir, "documents")), read(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_pack_sequences": q_pack_sequences,
     "op2_toxicity": q_toxicity,
@@ -79,6 +91,9 @@ QUERIES = {
     "op8_licenses": q_licenses,
     "op9_mix_sources": q_mix_sources,
     "op10_neighbours": q_neighbours,
+    "op11_token_alignment": q_token_alignment,
+    "op12_fingerprints": q_fingerprints,
+    "op13_ranked_search": q_ranked_search,
 }
 
 ORACLE: dict[str, str] = oracle.ORACLE

@@ -15,7 +15,6 @@ def reference_ids(text):
     from tokenizers import Tokenizer
 
     tok = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tok.encode_special_tokens = True
     return [*tok.encode(text, add_special_tokens=False).ids, 2]
 
 
@@ -86,3 +85,18 @@ def test_added_tokens_as_in_the_unmodified_file():
     for text in texts:
         assert packing.token_ids(text, packing.rank_file(), 2).tolist() == [*tok.encode(text, add_special_tokens=False).ids, 2]
     assert 50256 in packing.token_ids(texts[0], packing.rank_file(), 2)
+
+
+def test_white_space_of_any_length():
+    """Ids of the unmodified tokenizers file, where the pattern's own matching runs out of stack."""
+    texts = ["a" + " " * 3_000_000 + "b", "\n" * 2_000_000, "x \t" + "\r\n\u3000" * 40_000 + " end", " " * 20_000, "q" + " " * 20_000 + "\x1c" + " " * 20_000]
+    for text in texts:
+        assert packing.token_ids(text, packing.rank_file(), 2).tolist() == reference_ids(text)
+
+
+def test_equal_rows_spread_over_all_groups(spark):
+    docs = spark.createDataFrame([(1, "the same words")] * 10_000, "doc_id long, text string").repartition(4)
+    pieces = packing.materialize(packing.token_pieces(docs, "text", "doc_id", 64, packing.rank_file(), 2), "pieces")
+    got = packing.pack_pieces(pieces, 64, group_rows=1000).toPandas()
+    sizes = got.groupby(got["sequence_id"] // 2**36).size()
+    assert len(got) == 10_000 and len(sizes) == 10 and sizes.max() < 1300
