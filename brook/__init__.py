@@ -18,12 +18,14 @@ from brook.operators.filters import (
     track_filter,
 )
 from brook.operators.index import first_seen_index, indexed_counts, indexed_tag_counts
-from brook.operators.records import decode_json, format_line_event, format_tweet, split_bad
+from brook.operators.records import decode_json, decode_variant, field, format_line_event, format_tweet, split_bad
 from brook.operators.running import global_index, running_counts_batch
 from brook.operators.sentiment import (
     lexicon_sentiment,
     model_sentiment,
+    naive_bayes_sentiment,
     score_with_model,
+    train_naive_bayes,
     train_sentiment,
 )
 from brook.operators.tokens import explode_tokens
@@ -37,19 +39,22 @@ from brook.sources.messages import read_messages
 from brook.sources.replay import replay_cycle, replay_lines
 from brook.streaming.index import FirstSeenIndexer
 from brook.streaming.ranked import windowed_ranked_lists
-from brook.streaming.runner import replay_splits, replay_to_table, run_to_table
+from brook.streaming.runner import batches_to_table, replay_batches_to_table, replay_splits, replay_to_table, run_to_table
 
 __all__ = [
     "FirstSeenIndexer",
     "TAG",
     "WORD",
     "assign_window",
+    "batches_to_table",
     "class_counts",
     "classify_by_key",
     "count_by",
     "decode_json",
+    "decode_variant",
     "drop_blank",
     "explode_tokens",
+    "field",
     "first_seen_index",
     "format_line_event",
     "format_tweet",
@@ -63,6 +68,7 @@ __all__ = [
     "log_sink",
     "preview",
     "model_sentiment",
+    "naive_bayes_sentiment",
     "publish_json",
     "publish_raw",
     "rank_counts",
@@ -70,6 +76,7 @@ __all__ = [
     "read_lines",
     "read_messages",
     "render_ranked",
+    "replay_batches_to_table",
     "replay_cycle",
     "replay_lines",
     "replay_splits",
@@ -82,6 +89,7 @@ __all__ = [
     "tokens",
     "track_filter",
     "tracked_feed",
+    "train_naive_bayes",
     "train_sentiment",
     "tumbling_counts",
     "windowed_ranked_lists",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import groupby
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,11 +28,35 @@ def lang_filter(df: DataFrame, langs: Sequence[str], lang: str = "lang") -> Data
 
 
 def any_keyword(text: str, keywords: Sequence[str]) -> Column:
-    """One quoted alternation over the lower-cased text, however many keywords there are."""
+    """One match over the lower-cased text against the keywords' prefix tree.
+
+    A plain alternation tries every keyword at every place of the text.  In the tree, keywords with a
+    common start share it, so a place costs as many steps as there are first letters, and
+    further ones only where a keyword goes on: hardly more for 2,000 keywords than for 40.
+    """
     kws = sorted({k.lower() for k in keywords if k})
     if not kws:
         return F.lit(False)
-    return F.lower(F.col(text)).rlike("|".join(_quoted(k) for k in kws))
+    return F.lower(F.col(text)).rlike(prefix_tree(kws))
+
+
+def prefix_tree(keywords: Sequence[str]) -> str:
+    """A regular expression that is found where one of ``keywords`` stands."""
+    return _subtree(sorted(keywords), 0)
+
+
+def _subtree(kws: list[str], at: int) -> str:
+    """What follows the first ``at`` characters, common to the sorted ``kws``."""
+    if len(kws[0]) == at:  # a keyword ends here; longer ones add nothing to the search
+        return ""
+    common = at
+    while common < min(len(kws[0]), len(kws[-1])) and kws[0][common] == kws[-1][common]:
+        common += 1
+    start = _quoted(kws[0][at:common])
+    if common == len(kws[0]):
+        return start
+    branches = [_subtree(list(group), common) for _, group in groupby(kws, key=lambda k: k[common])]
+    return f"{start}(?:{'|'.join(branches)})"
 
 
 def _quoted(keyword: str) -> str:

@@ -4,6 +4,9 @@ The reference unpickles a third-party model that is not in its tree (only a git-
 pointer), so two stand-ins are offered:
 
 * :func:`lexicon_sentiment` — token shares by class from a word lexicon, pure SQL;
+* :func:`train_naive_bayes` / :func:`naive_bayes_sentiment` — naive Bayes as tables: token
+  counts per class become weights, a record's score is a join and a sum, so its results can be
+  checked by SQL;
 * :func:`train_sentiment` / :func:`model_sentiment` — a Spark ML pipeline
   (tokenizer, hashed term frequencies, multinomial naive Bayes) fitted on labelled
   documents; scoring stays in the JVM.
@@ -14,12 +17,15 @@ for any Python model.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from brook.functions.text import WORD, tokens
+from brook.operators.sizing import broadcast_if_bounded
 from brook.session import materialize
 
 CLASSES = ("positive", "neutral", "negative")
@@ -123,6 +129,67 @@ def model_sentiment(df: DataFrame, model, text: str = "text", keep: Sequence[str
     return scored.select(*[F.col(f"_keep.{c}").alias(c) for c in keep], *cols)
 
 
+#: Log-probabilities are kept as whole millionths, so that sums don't depend on their order.
+LOG_UNIT = 1_000_000
+
+
+@dataclass(frozen=True)
+class NaiveBayes:
+    """Multinomial naive Bayes: a weight per token and class (stored table ``token, w0, w1, ..``) and the
+    classes' priors (None for a class without training records)."""
+
+    weights: DataFrame
+    priors: tuple[int | None, ...]
+
+
+def train_naive_bayes(
+    docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", n_classes: int = len(CLASSES), smoothing: float = 1.0
+) -> NaiveBayes:
+    """Count the tokens of the labelled ``docs`` per class (``labels``: ``doc_id``, ``label`` from 0).
+
+    ``weight = ln((count + smoothing) / (tokens of the class + smoothing * vocabulary))`` in whole
+    ``LOG_UNIT`` parts.  One partial + final aggregate over (token), whose classes are columns; the
+    vocabulary stays a distributed table.
+    """
+    train = docs.select(F.col(doc_id).alias("doc_id"), tokens(F.lower(F.col(text)), WORD).alias("_tok")).join(labels.select("doc_id", "label"), "doc_id")
+    is_class = [F.col("label") == i for i in range(n_classes)]
+    counted = train.select("label", F.explode("_tok").alias("token")).groupBy("token")
+    counts = materialize(counted.agg(*[F.count_if(c).alias(f"c{i}") for i, c in enumerate(is_class)]), "token-counts")
+    sums = counts.agg(F.count(F.lit(1)).alias("v"), *[F.coalesce(F.sum(f"c{i}"), F.lit(0)).alias(f"c{i}") for i in range(n_classes)]).first()
+    records = train.agg(*[F.count_if(c).alias(f"d{i}") for i, c in enumerate(is_class)]).first()
+    total = sum(records)
+    priors = tuple(round(math.log(d / total) * LOG_UNIT) if d else None for d in records)
+    weight = lambda i: F.round(
+        F.ln((F.col(f"c{i}") + smoothing) / F.lit(float(sums[f"c{i}"] + smoothing * sums["v"]))) * LOG_UNIT
+    ).cast("long")
+    return NaiveBayes(materialize(counts.select("token", *[weight(i).alias(f"w{i}") for i in range(n_classes)]), "token-weights"), priors)
+
+
+def naive_bayes_sentiment(
+    df: DataFrame, model: NaiveBayes, text: str = "text", keep: Sequence[str] = ("doc_id",), classes: Sequence[str] = CLASSES, digits: int = 6
+) -> DataFrame:
+    """Class probabilities of every record of a batch, rounded to ``digits``; on a stream score each
+    micro-batch (:func:`brook.streaming.runner.batches_to_table`).
+
+    Tokens join their weights (broadcast when the table passes the size check, else by a shuffle whose hot
+    tokens AQE splits); partial sums per record come before the shuffle.  Tokens unknown to the model add
+    nothing; a null or tokenless text has the priors, and a model without training records gives nulls.
+    """
+    stored = df.select(F.monotonically_increasing_id().alias("_id"), F.struct(*keep).alias("_keep"), tokens(F.lower(F.col(text)), WORD).alias("_tok"))
+    records = materialize(stored, "records")
+    n = len(model.priors)
+    hits = records.select("_id", F.explode("_tok").alias("token")).join(broadcast_if_bounded(model.weights), "token")
+    sums = hits.groupBy("_id").agg(*[F.sum(f"w{i}").alias(f"s{i}") for i in range(n)])
+    score = [F.coalesce(F.col(f"s{i}"), F.lit(0)) + F.lit(p) for i, p in enumerate(model.priors)]
+    scored = records.select("_id", "_keep").join(sums, "_id", "left").select("_keep", *[s.cast("long").alias(f"s{i}") for i, s in enumerate(score)])
+    best = F.greatest(*[F.col(f"s{i}") for i in range(n)])  # ignores classes without a prior
+    scored = scored.select("_keep", *[F.exp((F.col(f"s{i}") - best) / float(LOG_UNIT)).alias(f"e{i}") for i in range(n)])
+    parts = [F.coalesce(F.col(f"e{i}"), F.lit(0.0)) for i in range(n)]
+    whole = sum(parts[1:], parts[0])
+    shares = [F.round(p / F.nullif(whole, F.lit(0.0)), digits).alias(c) for p, c in zip(parts, classes, strict=True)]
+    return scored.select(*[F.col(f"_keep.{c}").alias(c) for c in keep], *shares)
+
+
 _MODELS: dict = {}
 
 

@@ -68,6 +68,28 @@ _LEXICON_SQL = f"""
                CASE WHEN coalesce(nt, 0) = 0 THEN 0.0 ELSE ng / nt END AS negative
         FROM documents d LEFT JOIN hits USING (doc_id)"""
 
+# naive Bayes by counts; weights in whole millionths
+_MODEL_SQL = f"""
+        WITH lab AS (SELECT doc_id, CASE WHEN toxic = 1 THEN 2 WHEN quality = 1 THEN 0 ELSE 1 END AS c FROM labels),
+        tr AS (SELECT c, unnest(regexp_extract_all(lower(text), {WORD_RE})) AS w FROM documents JOIN lab USING (doc_id)),
+        cnt AS (SELECT w, count(*) FILTER (c = 0) AS c0, count(*) FILTER (c = 1) AS c1, count(*) FILTER (c = 2) AS c2 FROM tr GROUP BY w),
+        n AS (SELECT count(*) AS v, sum(c0) AS n0, sum(c1) AS n1, sum(c2) AS n2 FROM cnt),
+        p AS (SELECT count(*) AS d, count(*) FILTER (c = 0) AS d0, count(*) FILTER (c = 1) AS d1, count(*) FILTER (c = 2) AS d2
+              FROM documents JOIN lab USING (doc_id)),
+        wt AS (SELECT w, round(ln((c0 + 1.0::DOUBLE) / (n0 + v)::DOUBLE) * 1000000)::BIGINT AS w0,
+                      round(ln((c1 + 1.0::DOUBLE) / (n1 + v)::DOUBLE) * 1000000)::BIGINT AS w1,
+                      round(ln((c2 + 1.0::DOUBLE) / (n2 + v)::DOUBLE) * 1000000)::BIGINT AS w2 FROM cnt, n),
+        tok AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), {WORD_RE})) AS w FROM documents),
+        s AS (SELECT doc_id, sum(w0) AS s0, sum(w1) AS s1, sum(w2) AS s2 FROM tok JOIN wt USING (w) GROUP BY doc_id),
+        t AS (SELECT documents.doc_id, (coalesce(s0, 0) + round(ln(d0::DOUBLE / d) * 1000000))::BIGINT AS s0,
+                     (coalesce(s1, 0) + round(ln(d1::DOUBLE / d) * 1000000))::BIGINT AS s1,
+                     (coalesce(s2, 0) + round(ln(d2::DOUBLE / d) * 1000000))::BIGINT AS s2
+              FROM documents LEFT JOIN s USING (doc_id), p),
+        e AS (SELECT doc_id, exp((s0 - greatest(s0, s1, s2)) / 1000000.0::DOUBLE) AS e0, exp((s1 - greatest(s0, s1, s2)) / 1000000.0::DOUBLE) AS e1,
+                     exp((s2 - greatest(s0, s1, s2)) / 1000000.0::DOUBLE) AS e2 FROM t)
+        SELECT doc_id, round(e0 / (e0 + e1 + e2), 6) AS positive, round(e1 / (e0 + e1 + e2), 6) AS neutral,
+               round(e2 / (e0 + e1 + e2), 6) AS negative FROM e"""
+
 _SLIDING = f"""
     SELECT {U} - to_seconds(5 * r.i) AS ws, event_type, ts
     FROM events, (SELECT unnest(range(12)) AS i) r"""
@@ -102,6 +124,21 @@ ORACLE: dict[str, str] = {
         SELECT doc_id FROM documents
         WHERE lang IN ('en') AND (contains(lower(text), 'the') OR contains(lower(text), 'worthless'))""",
     "track_filter_many": _track_many(),
+    "track_filter_2000": """
+        WITH k AS (SELECT a || b || c AS k
+            FROM (SELECT unnest(string_split('ba ce di fo gu la me ni po ru sa te vi wo ki ra li mo nu so', ' ')) AS a),
+                 (SELECT unnest(string_split('n r s t l m c p d g', ' ')) AS b),
+                 (SELECT unnest(string_split('al en ir os um ab ed il ot ur', ' ')) AS c))
+        SELECT doc_id FROM documents WHERE lang IN ('en') AND EXISTS (SELECT 1 FROM k WHERE contains(lower(text), k.k))""",
+    "decode_variant": """
+        WITH x AS (SELECT event_id, event_id % 20 AS r, ['', '  ', 'null', '[1, 2]', NULL, '{"id": 1', '{"id": 1} {"id": 2}', '{"id": 1} tail', '7', '"text"'] AS bad,
+            '{"id": ' || event_id || ', "user": {"id": ' || user_id || ', "tags": ["' || event_type || '", "t' || (event_id % 7) || '"]}, "props": ' || props || ', "extended_tweet": null}' AS j FROM events)
+        SELECT event_id, CASE WHEN r >= 10 THEN (j::JSON ->> '$.user.id')::BIGINT END AS user_id,
+            CASE WHEN r >= 10 THEN j::JSON ->> '$.user.tags[0]' END AS tag, CASE WHEN r >= 10 THEN j::JSON ->> '$.user.tags[1]' END AS second_tag,
+            CASE WHEN r >= 10 THEN (j::JSON ->> '$.props.k')::BIGINT END AS k, CASE WHEN r >= 10 THEN j::JSON ->> '$.user.name' END AS name,
+            CASE WHEN r < 10 THEN coalesce(bad[r + 1], '') END AS bad FROM x""",
+    "model_sentiment": _MODEL_SQL,
+    "model_sentiment_stream": _MODEL_SQL,
     "decode_json": "SELECT event_id, (props::JSON ->> 'k')::BIGINT AS k FROM events",
     "classify_by_key": "SELECT event_id, json_exists(props, '$.k') AS is_extended FROM events",
     "classify_counts": "SELECT json_exists(props, '$.k') AS is_extended, count(*) AS n FROM events GROUP BY 1",

@@ -17,12 +17,12 @@ from brook.functions.time import epoch_micros
 from brook.operators.aggregate import count_by, rank_counts, ranked_list, render_ranked
 from brook.operators.filters import class_counts, classify_by_key, drop_blank, keyword_filter
 from brook.operators.index import first_seen_index, indexed_counts, indexed_tag_counts
-from brook.operators.records import decode_json, format_line_event, format_tweet, split_bad
+from brook.operators.records import decode_json, decode_variant, field, format_line_event, format_tweet, split_bad
 from brook.operators.running import running_counts_batch
-from brook.operators.sentiment import lexicon_sentiment, model_sentiment, score_with_model, train_sentiment
+from brook.operators.sentiment import lexicon_sentiment, naive_bayes_sentiment, score_with_model, sentiment_labels, train_naive_bayes
 from brook.operators.tokens import explode_tokens
 from brook.operators.windows import assign_window, sliding_counts, tumbling_counts
-from brook.schemas import FILE_EVENT, PROPS, TWEET
+from brook.schemas import CORRUPT, FILE_EVENT, PROPS, TWEET
 from brook.session import scratch_path, table
 from brook.sinks.log import log_sink
 from brook.sinks.messages import json_envelope, publish_json, publish_raw
@@ -33,7 +33,7 @@ from brook.sources.messages import read_messages
 from brook.sources.replay import replay_cycle
 from brook.streaming.index import FirstSeenIndexer
 from brook.streaming.ranked import windowed_ranked_lists
-from brook.streaming.runner import replay_splits, replay_to_table, run_to_table
+from brook.streaming.runner import replay_batches_to_table, replay_splits, replay_to_table, run_to_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -50,6 +50,11 @@ TOPICS_MANY = (
     "asset", "capital", "credit", "debt", "dollar", "euro", "yen", "gold",
     "silver", "oil", "energy", "tech", "startup", "venture", "equity", "tionou",
 )
+# F4 with 2,000 keywords: syllables put together by rule
+TOPICS_2000 = tuple(
+    f"{a}{b}{c}" for a in "ba ce di fo gu la me ni po ru sa te vi wo ki ra li mo nu so".split()
+    for b in "n r s t l m c p d g".split() for c in "al en ir os um ab ed il ot ur".split()
+)
 JSON_KEY = "k"  # key whose presence classifies a payload
 WINDOW = "5 seconds"  # W1/W3 fixed window (reference value)
 SLIDE_SIZE, SLIDE_STEP = "60 seconds", "5 seconds"  # W2 (reference's alternate)
@@ -130,6 +135,10 @@ def q_track_filter_many(spark, sf):
     return tracked_feed(_documents(spark, sf), "text", "lang", TOPICS_MANY, LANGS).select("doc_id")
 
 
+def q_track_filter_2000(spark, sf):
+    return tracked_feed(_documents(spark, sf), "text", "lang", TOPICS_2000, LANGS).select("doc_id")
+
+
 # -- P1-P4 / F3 / A4 / K3 ---------------------------------------------------------
 
 
@@ -161,6 +170,34 @@ def q_decode_json(spark, sf):
     return good.select("event_id", F.col("j.k").alias("k"))
 
 
+def _any_payloads(spark, sf):
+    """Events as nested JSON payloads; some blank, null, cut, followed by text, or no object."""
+    ev = _events(spark, sf)
+    nested = F.format_string(
+        '{"id": %d, "user": {"id": %d, "tags": ["%s", "t%d"]}, "props": %s, "extended_tweet": null}',
+        "event_id", "user_id", "event_type", F.pmod("event_id", F.lit(7)), "props",
+    )
+    bad = ["", "  ", "null", "[1, 2]", None, '{"id": 1', '{"id": 1} {"id": 2}', '{"id": 1} tail', "7", '"text"']
+    payload = nested
+    for i, text in enumerate(bad):
+        payload = F.when(F.pmod("event_id", F.lit(20)) == i, F.lit(text)).otherwise(payload)
+    return ev.select("event_id", payload.cast("binary").alias("value"))
+
+
+def q_decode_variant(spark, sf):
+    """Payloads of any shape; bad ones set aside with their text."""
+    msgs = decode_variant(_any_payloads(spark, sf), "value")
+    return msgs.select(
+        "event_id",
+        field("msg", "$.user.id", "long").alias("user_id"),
+        field("msg", "$.user.tags[0]").alias("tag"),
+        field("msg", "$.user.tags[1]").alias("second_tag"),
+        field("msg", "$.props.k", "long").alias("k"),
+        field("msg", "$.user.name").alias("name"),
+        F.col(CORRUPT).alias("bad"),
+    )
+
+
 def q_classify_by_key(spark, sf):
     return classify_by_key(_events(spark, sf), "props", JSON_KEY).select("event_id", "is_extended")
 
@@ -383,8 +420,15 @@ def q_lexicon_sentiment(spark, sf):
 
 def q_model_sentiment(spark, sf):
     docs = _documents(spark, sf)
-    model = train_sentiment(docs, table(spark, sf, "labels"))
-    return model_sentiment(docs, model)
+    return naive_bayes_sentiment(docs, train_naive_bayes(docs, sentiment_labels(table(spark, sf, "labels"))))
+
+
+def q_model_sentiment_stream(spark, sf):
+    """A fitted model applied to a stream of documents, micro-batch by micro-batch."""
+    docs = _raw(spark, sf, "documents").select("doc_id", "text")
+    model = train_naive_bayes(docs, sentiment_labels(table(spark, sf, "labels")))
+    schema = "doc_id long, positive double, neutral double, negative double"
+    return replay_batches_to_table(docs, "doc_id", STREAM_SPLITS, "model_sentiment", lambda b: naive_bayes_sentiment(b, model), schema)
 
 
 def _lexicon_model():
@@ -465,7 +509,9 @@ QUERIES: dict[str, Query] = {
     "keyword_filter_stream": q_keyword_filter_stream,
     "track_filter": q_track_filter,
     "track_filter_many": q_track_filter_many,
+    "track_filter_2000": q_track_filter_2000,
     "decode_json": q_decode_json,
+    "decode_variant": q_decode_variant,
     "classify_by_key": q_classify_by_key,
     "classify_counts": q_classify_counts,
     "format_tweet": q_format_tweet,
@@ -490,6 +536,7 @@ QUERIES: dict[str, Query] = {
     "indexed_counts_stream": q_indexed_counts_stream,
     "lexicon_sentiment": q_lexicon_sentiment,
     "model_sentiment": q_model_sentiment,
+    "model_sentiment_stream": q_model_sentiment_stream,
     "python_model_sentiment": q_python_model_sentiment,
     "replay_lines": q_replay_lines,
     "first_seen_index_event_time": q_first_seen_index_event_time,

@@ -67,6 +67,44 @@ def run_to_table(
     return latest_batch(spark, path, df.schema)
 
 
+def batches_to_table(
+    df: DataFrame,
+    name: str,
+    each: Callable[[DataFrame], DataFrame],
+    schema,
+    checkpoint: str | None = None,
+    path: str | None = None,
+    trigger: dict | None = None,
+) -> DataFrame:
+    """Every micro-batch of ``df`` through the batch function ``each``, its rows (of ``schema``) into folder
+    ``batch_id=`` of ``path``, which a repeated batch overwrites; the drained stream's rows.
+
+    For operators that need more than one pass or a join back to the record, such as model scores."""
+    spark = df.sparkSession
+    path = path or scratch_path(spark, f"{name}-out")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        each(batch).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+    checkpoint = checkpoint or scratch_path(spark, f"{name}-ckpt")
+    q = df.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write).trigger(**(trigger or {"availableNow": True})).start()
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(f"streaming query {name} failed: {q.exception()}")
+    rows = read_if_written(spark, path)
+    return spark.createDataFrame([], schema) if rows is None else rows.drop("batch_id")
+
+
+def replay_batches_to_table(df: DataFrame, order: str, n_splits: int, name: str, each: Callable[[DataFrame], DataFrame], schema) -> DataFrame:
+    """Replay ``df`` as ``n_splits`` micro-batches through the batch function ``each`` (see :func:`batches_to_table`)."""
+    spark = df.sparkSession
+    checkpoint, out = scratch_path(spark, f"{name}-ckpt"), scratch_path(spark, f"{name}-out")
+    result = None
+    for source in replay_splits(df, order, n_splits, name):
+        result = batches_to_table(spark.readStream.schema(df.schema).parquet(source), name, each, schema, checkpoint, out)
+    return result
+
+
 _NO_DATA = "spark.sql.streaming.noDataMicroBatches.enabled"
 
 

@@ -47,3 +47,20 @@ def test_many_keywords_take_the_same_path(spark):
     d = docs(spark)
     many = ["bit"] + [f"zz{i}.*|({i}" for i in range(200)]
     assert rows(track_filter(d, "text", many), "id") == rows(keyword_filter(d, "text", "bit"), "id")
+
+
+def test_any_of_many_keywords_equals_substring_search(spark):
+    import random
+
+    from brook.operators.filters import prefix_tree
+
+    rng = random.Random(1)
+    keywords = {"".join(rng.choices("abcd. +\u00e9", k=rng.randint(1, 9))) for _ in range(2000)} | {"ab", "abc", "x" * 3000, "x" * 3000 + "y", "a|b", "[q]"}
+    texts = ["".join(rng.choices("abcdefgh. +\u00e9[]|q", k=rng.randint(0, 30))) for _ in range(300)] + ["", None, "x" * 2999, "z" + "X" * 3000]
+    few = [k for k in keywords if len(k) > 3]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id long, text string")
+    for kws in (few, list(keywords)):
+        got = sorted(r.id for r in track_filter(df, "text", kws).collect())
+        assert got == [i for i, t in enumerate(texts) if t is not None and any(k in t.lower() for k in kws)]
+    assert prefix_tree(["abcd", "abxy", "ab"]) == "ab"
+    assert prefix_tree(["abcd", "abxy", "q"]) == "(?:ab(?:cd|xy)|q)"

@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from brook import decode_json, format_line_event, format_tweet, split_bad
+from brook import decode_json, decode_variant, field, format_line_event, format_tweet, run_to_table, split_bad
 from brook.schemas import FILE_EVENT, TWEET
 
 from conftest import rows
@@ -41,3 +41,36 @@ def test_format_line_event(spark):
     good, _ = split_bad(decode_json(df, "value", FILE_EVENT))
     r = format_line_event(good).first()
     assert (r.data, r.timestamp) == ("line one", 1700000000.0)
+
+
+BAD = ["", "  ", "\n\t", None, "null", "true", "7", '"text"', "[1, 2]", '{"text": "a"', '{"text": "a"} tail', '{"text": "a"}{"text": "b"}', "{'text': 1}",
+       '{"text": "a"}] [', '{"text": "a"}} {', '{"text": "a"}, {"text": "b"}', '{"text": "a"}, "v": 2', '{"text": "a"},']
+GOOD = ['{"text": "a"}', ' \n{"text": "a"}\t ', "{}", '{"text": null, "deep": {"x": [{"y": [1, "\u00e9"]}]}}']
+
+
+def test_only_one_object_is_a_good_payload(spark):
+    data = [(i, t) for i, t in enumerate(BAD + GOOD)]
+    for kind in ("string", "binary"):
+        df = spark.createDataFrame(data, "id long, value string").withColumn("value", F.col("value").cast(kind))
+        for decoded in (decode_json(df, "value", TWEET), decode_variant(df, "value")):
+            good, bad = split_bad(decoded)
+            assert sorted(r.id for r in good.select("id", F.to_json("msg")).collect()) == list(range(len(BAD), len(data)))
+            assert {r.id: r._corrupt for r in bad.collect()} == {i: t or "" for i, t in enumerate(BAD)}
+
+
+def test_variant_fields_of_any_nesting(spark):
+    deep = '{"user": {"tags": ["x", {"n": 5}], "id": 12345678901}, "ok": true, "a.b": 1.5}'
+    df = decode_variant(spark.createDataFrame([(deep,), ("{}",)], "value string"))
+    got = df.select(
+        field("msg", "$.user.tags[1].n", "int").alias("n"), field("msg", "$.user.id", "long").alias("id"),
+        field("msg", "$.ok", "boolean").alias("ok"), field("msg", '$["a.b"]', "double").alias("ab"), field("msg", "$.user.tags", "int").alias("no"),
+    )
+    assert [tuple(r) for r in got.collect()] == [(5, 12345678901, True, 1.5, None), (None, None, None, None, None)]
+
+
+def test_decoding_on_a_stream(spark, tmp_dir):
+    spark.createDataFrame([(t,) for t in BAD + GOOD], "value string").write.parquet(f"{tmp_dir}/in")
+    stream = spark.readStream.schema("value string").parquet(f"{tmp_dir}/in")
+    good, bad = split_bad(decode_variant(stream))
+    assert run_to_table(bad.select("_corrupt"), "variant_bad").count() == len(BAD)
+    assert run_to_table(good.select(field("msg", "$.text").alias("text")), "variant_good").count() == len(GOOD)

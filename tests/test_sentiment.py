@@ -1,6 +1,9 @@
+import math
+from collections import Counter
+
 import pandas as pd
 
-from brook import lexicon_sentiment, model_sentiment, score_with_model, train_sentiment
+from brook import batches_to_table, lexicon_sentiment, model_sentiment, naive_bayes_sentiment, score_with_model, train_naive_bayes, train_sentiment
 
 from conftest import rows
 
@@ -82,3 +85,51 @@ def test_model_loads_once_per_worker(spark, tmp_dir):
 
     loads = [f.split("-")[0] for f in os.listdir(tmp_dir)]
     assert loads and len(loads) == len(set(loads))
+
+
+TRAIN = [(1, "good good day", 0), (2, "bad day", 2), (3, "a plain day", 1), (4, "Good", 0), (5, None, 1), (6, "bad bad bad", 2)]
+
+
+def _posterior(text, train):
+    """Naive Bayes by a plain loop."""
+    words = {c: Counter(w for _, t, k in train if k == c and t for w in t.lower().split()) for c in range(3)}
+    vocabulary = set().union(*words.values())
+    docs = Counter(k for _, _, k in train)
+    score = [
+        math.log(docs[c] / len(train)) + sum(math.log((words[c][w] + 1) / (sum(words[c].values()) + len(vocabulary))) for w in text.lower().split() if w in vocabulary)
+        for c in range(3)
+    ]
+    parts = [math.exp(s - max(score)) for s in score]
+    return [p / sum(parts) for p in parts]
+
+
+def _model(spark, train=TRAIN):
+    docs = spark.createDataFrame([t[:2] for t in train], "doc_id long, text string")
+    return train_naive_bayes(docs, spark.createDataFrame([(t[0], float(t[2])) for t in train], "doc_id long, label double"))
+
+
+def test_naive_bayes_equals_a_plain_loop(spark):
+    texts = ["good", "bad day", "nothing known", "", None, "Day day good plain bad " * 300, "good"]
+    df = spark.createDataFrame([(i // 2, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = naive_bayes_sentiment(df, _model(spark), keep=["doc_id", "text"]).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        want = _posterior(r.text or "", TRAIN)
+        assert all(abs(a - b) < 2e-6 for a, b in zip((r.positive, r.neutral, r.negative), want, strict=True))
+
+
+def test_naive_bayes_with_an_empty_class_and_without_training(spark):
+    df = spark.createDataFrame([(1, "good"), (2, "day")], "doc_id long, text string")
+    two = naive_bayes_sentiment(df, _model(spark, [t for t in TRAIN if t[2] != 1])).collect()
+    assert all(r.neutral == 0.0 and abs(r.positive + r.negative - 1) < 2e-6 for r in two)
+    none = naive_bayes_sentiment(df, _model(spark, [])).collect()
+    assert len(none) == 2 and all(r.positive is None for r in none)
+
+
+def test_naive_bayes_on_a_stream_equals_the_batch(spark, tmp_dir):
+    df = spark.createDataFrame([(i, ("good day", "bad plain", None)[i % 3]) for i in range(30)], "doc_id long, text string")
+    model = _model(spark)
+    df.repartition(5).write.parquet(f"{tmp_dir}/in")
+    stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 2).parquet(f"{tmp_dir}/in")
+    batch = naive_bayes_sentiment(df, model)
+    assert rows(batches_to_table(stream, "nb", lambda b: naive_bayes_sentiment(b, model), batch.schema)) == rows(batch)
