@@ -12,8 +12,9 @@ The line is cut into at most ``blocks`` equal blocks, which are the unit of the
    until one node per output shard is left.  A node draws its left half by a
    multivariate hypergeometric (a chain of conditional draws over the sources), so the
    shards get exact, disjoint and randomly mixed quotas.
-4. *Draw*: the permuted blocks of a source go to the shards in runs of their quotas;
-   rows carry a hash to shuffle by inside their shard.
+4. *Draw*: the permuted blocks of a source go to the shards in runs of their quotas.  A document's part
+   in one block is a row of its own with a hash to shuffle by inside its shard, so shards
+   hold exactly what the tree drew.  Shards and the shuffled parts of a shard follow from the words taken.
 
 Scale: documents are placed on the line with a two-level prefix sum keyed by
 (source, hash bucket), so a source that holds a third of all rows is spread over all
@@ -21,8 +22,9 @@ buckets.  Only sums per (source, bucket) and rows per source or block are moved
 besides the documents' own row.
 
 Defined cases: null text has size 0 and is never taken; null source is a source of its
-own, last in order; null doc_id orders first; repeated rows take places of their own;
-an empty table gives an empty result; extra columns are ignored or carried under their name.
+own, last in order; repeated and null doc_ids are placed by their texts too, so reruns agree; equal rows take
+places of their own (and are alike); an empty table gives an empty result; extra columns are
+ignored or carried under their name.
 """
 
 from __future__ import annotations
@@ -34,9 +36,11 @@ from pyspark.sql import functions as F
 
 from brook.session import materialize
 
-WORD = r"[^\x20\x09-\x0D]+"
+WORD, SPACE = r"[^\x20\x09-\x0D]+", r"[\x20\x09-\x0D]"
 #: Rows per source are broadcast up to this many sources (about 4 KB each), beyond it they are joined by shuffle.
 MAX_BROADCAST_SOURCES = 10_000
+#: Words of an output shard and of a part of it that is shuffled at once, and the least number of shards.
+SHARD_WORDS, SLICE_WORDS, MIN_SHARDS = 1 << 26, 1 << 20, 16
 
 
 def word_count(text: str | Column) -> Column:
@@ -199,16 +203,18 @@ def mix(
     share: float = 1.5,
     cap: int = 2,
     blocks: int = 256,
-    shards: int = 16,
+    shards: int | None = None,
     seed: str = "mix",
 ) -> DataFrame:
     """One row per document with its part of the mix.
 
     Columns: ``doc_id, source, <carry>, size, source_size, target, passes`` (whole times it
     is taken), ``segments`` (array of ``shard, epoch, block, from_word, n_words`` over all passes,
-    in order; words of the document from 0), ``taken`` (words, repeats counted).
+    in order; words of the document from 0), ``taken`` (words, repeats counted), ``slices`` (parts a
+    shard is shuffled in).  ``shards`` (a power of two) follows from the words taken where not given.
     """
-    key = F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(F.col(doc_id).cast("string"), F.lit(""))))
+    # by the text too: rows of one id, or of none, have places that don't depend on how they arrive
+    key = F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(F.col(doc_id).cast("string"), F.lit("")), F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary"))))
     sized = docs.select(
         F.struct(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), *[F.col(c).alias(f"carry_{c}") for c in carry]).alias("row"),
         F.coalesce(F.concat(F.lit("s"), F.col(source)), F.lit("n")).alias("sk"),
@@ -220,7 +226,9 @@ def mix(
         sized = small
     counts = small.groupBy("sk").agg(F.first("row.source").alias("source"), F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("rows"))
     counts = materialize(counts, "mix-sources")  # one row per source
-    n, n_sources = counts.agg(F.coalesce(F.sum("rows"), F.lit(0)), F.count(F.lit(1))).first()
+    n, n_sources, n_words = counts.agg(F.coalesce(F.sum("rows"), F.lit(0)), F.count(F.lit(1)), F.coalesce(F.sum("source_size"), F.lit(0))).first()
+    shards = shards or max(MIN_SHARDS, 1 << math.ceil(math.log2(max(1.0, share * n_words / SHARD_WORDS))))
+    slices = max(1, math.ceil(share * n_words / shards / SLICE_WORDS))
     buckets = max(256, math.ceil(n / 1024))
     bucket = F.floor(F.conv(F.substring("h", 1, 8), 16, 10).cast("double") * (buckets / 2.0**32)).cast("int")
     sized = sized.withColumn("bucket", bucket)
@@ -228,13 +236,13 @@ def mix(
     offsets = small.withColumn("bucket", bucket).groupBy("sk", "bucket").agg(F.sum("size").alias("bucket_size"))
     before = Window.partitionBy("sk").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = offsets.select("sk", "bucket", F.coalesce(F.sum("bucket_size").over(before), F.lit(0)).alias("offset"))
-    inside = Window.partitionBy("sk", "bucket").orderBy("h", "row.doc_id").rowsBetween(Window.unboundedPreceding, 0)
+    inside = Window.partitionBy("sk", "bucket").orderBy("h").rowsBetween(Window.unboundedPreceding, 0)
     placed = sized.join(offsets, ["sk", "bucket"]).withColumn("start", F.col("offset") + F.sum("size").over(inside) - F.col("size"))
     rows = placed.join(F.broadcast(plan) if n_sources <= MAX_BROADCAST_SOURCES else plan, "sk")
     rows = rows.withColumn("segments", F.when(F.col("size") > 0, _segments()).otherwise(F.expr("filter(array(named_struct('shard', 0, 'epoch', 0L, 'block', 0L, 'from_word', 0L, 'n_words', 0L)), x -> false)")))
     return rows.select(
         "row.doc_id", "row.source", *[F.col(f"row.carry_{c}").alias(c) for c in carry], "size", "source_size", "target", "passes", "segments",
-        F.aggregate("segments", F.lit(0).cast("long"), lambda a, x: a + x["n_words"]).alias("taken"),
+        F.aggregate("segments", F.lit(0).cast("long"), lambda a, x: a + x["n_words"]).alias("taken"), F.lit(slices).alias("slices"),
     )
 
 
@@ -261,25 +269,25 @@ def _segments() -> Column:
 
 
 def mixed_texts(mixed: DataFrame, text: str, columns: list[str], seed: str = "mix") -> DataFrame:
-    """Rows of the mix with the taken words as text: one per document and pass (``mixed`` carries ``columns``).
+    """Rows of the mix with the taken words as text: one per document, pass and block (``mixed`` carries ``columns``).
 
-    A pass that takes the whole document keeps its text as it is; otherwise the taken words are
-    joined by one space.  ``shard`` and ``shuffle_key`` give the order inside an output shard.
+    A part that takes the whole document keeps its text as it is; any other is cut out of it from its first word on, with the
+    white space behind its words.  ``shard``, ``slice`` and ``shuffle_key`` give the place in the output.
     """
-    passes = mixed.select(
-        *columns, "size", "segments", F.explode(F.array_distinct(F.transform("segments", lambda x: x["epoch"]))).alias("epoch")
-    ).withColumn("parts", F.filter("segments", lambda x: x["epoch"] == F.col("epoch")))
-    words = F.regexp_extract_all(F.col(text), F.lit(f"({WORD})"), 1)
-    got = F.aggregate("parts", F.lit(0).cast("long"), lambda a, x: a + x["n_words"])
-    cut = _let(words, lambda ws: F.array_join(F.flatten(F.transform("parts", lambda p: F.slice(ws, p["from_word"].cast("int") + 1, p["n_words"].cast("int")))), " "))
-    return passes.select(
-        *[F.when(got < F.col("size"), cut).otherwise(F.col(text)).alias(text) if c == text else F.col(c) for c in columns],
-        F.element_at("parts", 1)["shard"].alias("shard"),
-        F.md5(F.concat_ws(":", F.lit(seed), F.element_at("parts", 1)["shard"], F.element_at("parts", 1)["block"], F.col("epoch"), F.element_at("parts", 1)["from_word"], F.col("size"))).alias("shuffle_key"),
+    words = F.regexp_extract_all(F.col(text), F.lit(f"({WORD}{SPACE}*)"), 1)
+    whole = F.forall("segments", lambda p: p["n_words"] == F.col("size"))
+    part = lambda p, t: F.struct(p.alias("at"), t.alias("text"))
+    cut = _let(words, lambda ws: F.transform("segments", lambda p: part(p, F.array_join(F.slice(ws, p["from_word"].cast("int") + 1, p["n_words"].cast("int")), ""))))
+    parts = F.when(whole, F.transform("segments", lambda p: part(p, F.col(text)))).otherwise(cut)
+    rows = mixed.select(*[F.col(c) for c in columns if c != text], "size", "slices", F.explode(parts).alias("part"))
+    at = lambda name: F.col(f"part.at.{name}")
+    key = F.md5(F.concat_ws(":", F.lit(seed), at("shard"), at("block"), at("epoch"), at("from_word"), "size", F.md5(F.col("part.text").cast("binary"))))
+    return rows.select(
+        *[F.col("part.text").alias(text) if c == text else F.col(c) for c in columns],
+        at("shard").alias("shard"), F.pmod(F.xxhash64(key), F.col("slices")).alias("slice"), key.alias("shuffle_key"),
     )
 
 
-def shuffled(rows: DataFrame, columns: list[str], slices: int = 8) -> DataFrame:
-    """The rows of ``mixed_texts`` in shards, each in ``slices`` parts by hash, shuffled inside a part."""
-    part = F.pmod(F.xxhash64("shuffle_key"), F.lit(slices))
-    return rows.withColumn("slice", part).repartition("shard", "slice").sortWithinPartitions("shard", "slice", "shuffle_key").select(*columns)
+def shuffled(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """The rows of ``mixed_texts`` in shards, each in parts by hash, shuffled inside a part."""
+    return rows.repartition("shard", "slice").sortWithinPartitions("shard", "slice", "shuffle_key").select(*columns)

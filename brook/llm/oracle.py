@@ -79,7 +79,7 @@ FROM d LEFT JOIN bb USING (k) LEFT JOIN f USING (k) LEFT JOIN l USING (k)
 MIX = rf"""
 WITH d AS (
   SELECT row_number() OVER () AS k, doc_id, source, coalesce('s' || source, 'n') AS sk, coalesce(len(regexp_extract_all(text, '{WORD}')), 0)::BIGINT AS size,
-    md5('mix:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+    md5('mix:' || coalesce(doc_id::VARCHAR, '') || ':' || md5(coalesce(text, ''))) AS h FROM documents),
 s0 AS (SELECT sk, any_value(source) AS source, sum(size)::BIGINT AS source_size FROM d GROUP BY sk),
 s1 AS (SELECT *, [3.0, 1.0, 2.0][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT]::DOUBLE AS w, source_size * 2.0::DOUBLE AS cap FROM s0),
 s2 AS (SELECT *, row_number() OVER fill AS place,
@@ -95,7 +95,7 @@ b0 AS (SELECT sk, block, source_size, round(target - passes * source_size)::BIGI
 b1 AS (SELECT *, least(block, source_size - b * block) AS len, md5('mix:' || sk || ':' || b) AS key FROM b0),
 b AS (SELECT sk, b * block AS lo, b * block + greatest(0, least(len, rest - sum(len) OVER (PARTITION BY sk ORDER BY key, b) + len)) AS hi FROM b1),
 p AS (SELECT d.*, s.source_size, s.target, s.passes,
-    sum(size) OVER (PARTITION BY sk ORDER BY h, doc_id NULLS FIRST ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - size AS start FROM d JOIN s USING (sk)),
+    sum(size) OVER (PARTITION BY sk ORDER BY h ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - size AS start FROM d JOIN s USING (sk)),
 o AS (SELECT k, sum(least(p.start + p.size, b.hi) - greatest(p.start, b.lo)) AS part FROM p JOIN b ON p.sk = b.sk AND b.hi > p.start AND b.lo < p.start + p.size AND b.hi > b.lo GROUP BY k)
 SELECT doc_id, size, source_size, target::DOUBLE AS target, (passes * size + coalesce(part, 0))::BIGINT AS taken FROM p LEFT JOIN o USING (k)
 """

@@ -56,13 +56,41 @@ def test_draws_follow_the_hypergeometric_law(spark):
     assert np.var(x) == pytest.approx(30 * (1 / 3) * (2 / 3) * 30 / 59, rel=0.02)
 
 
-def test_texts_hold_the_words_taken(spark):
+def test_texts_hold_the_words_taken_and_shards_their_quotas(spark):
     rows, docs = docs_of(spark)
-    mixed = mixing.mix(docs, carry=("text",), blocks=16)
-    taken = mixed.agg(F.sum("taken")).first()[0]
+    mixed = mixing.mix(docs, carry=("text",), blocks=16, shards=4)
+    quotas = {r["shard"]: r["n"] for r in mixed.select(F.explode("segments").alias("s")).groupBy("s.shard").agg(F.sum("s.n_words").alias("n")).collect()}
+    parts = mixing.mixed_texts(mixed, "text", ["doc_id", "text", "source"]).collect()
+    words = {}
+    for r in parts:
+        words[r["shard"]] = words.get(r["shard"], 0) + len(r["text"].split())
+    assert words == quotas and sum(words.values()) == mixed.agg(F.sum("taken")).first()[0]
+    # every part is a piece of its document as it stands, line breaks included
+    of = {}
+    for k, t, *_ in rows:
+        of.setdefault(k, []).append(t or "")
+    assert all(any(r["text"] in t for t in of[r["doc_id"]]) for r in parts)
     texts = mixing.shuffled(mixing.mixed_texts(mixed, "text", ["doc_id", "text", "source"]), ["doc_id", "text", "source"])
-    assert texts.columns == ["doc_id", "text", "source"]
-    assert sum(len(r["text"].split()) for r in texts.collect()) == taken
+    assert texts.columns == ["doc_id", "text", "source"] and texts.count() == len(parts)
+
+
+def test_line_breaks_survive_a_cut(spark):
+    text = "\n".join(f"line {i}\tof words" for i in range(50))
+    docs = spark.createDataFrame([(1, text, "a"), (2, "b " * 10, "b")], "doc_id long, text string, source string")
+    parts = mixing.mixed_texts(mixing.mix(docs, carry=("text",), blocks=4), "text", ["doc_id", "text", "source"]).collect()
+    cut = [r["text"] for r in parts if r["doc_id"] == 1]
+    assert len(cut) >= 4 and all(t in text for t in cut)
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_reruns_agree_with_several_texts_under_one_id(spark, seed):
+    rows = [(7, " ".join(f"w{i}" for i in range(5 + 13 * k)), "a") for k in range(6)]
+    rows += [(None, f"no id {k} " * (k + 1), "a") for k in range(6)] + [(k, "other words " * 20, "b") for k in range(9)]
+    random.Random(seed).shuffle(rows)
+    got = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(seed)).collect()
+    got = sorted((r["doc_id"] or -1, r["size"], r["taken"]) for r in got)
+    want = sorted((r["doc_id"] or -1, r["size"], r["taken"]) for r in mixing.mix(spark.createDataFrame(sorted(rows, key=str), "doc_id long, text string, source string")).collect())
+    assert got == want
 
 
 def test_empty_table(spark):
