@@ -38,6 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
+from brook.llm.slices import batches_of
 from brook.operators.running import global_index
 from brook.session import materialize
 
@@ -46,15 +47,18 @@ _FOLD = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122
 #: Signature positions of a key, and signature length per key of a block's largest document.
 HASHES, BITS_PER_KEY = 4, 16
 #: Bounds of a block: documents, and signature positions times documents.
-BLOCK_DOCS, BLOCK_BITS = 256, 1 << 24
+BLOCK_DOCS, BLOCK_BITS = 128, 1 << 23
 #: Documents (and their distinct terms) a task sorts by length at a time.
-POOL_DOCS, POOL_TERMS = 2048, 1_000_000
+POOL_DOCS, POOL_TERMS = 1024, 500_000
 SEED_LOTS = 16
+#: Blocks (and texts) come to a worker in batches of this size.
+BATCH = "8m"
 #: Sorts after every doc_id.
 _LAST = np.iinfo(np.int64).max
 
+#: A block: its bounds, signature, and flat arrays over its documents and their terms (terms as bytes, a line per document).
 INDEX = (
-    "lot int, m int, top int, slices binary, doc_ids array<long>, n array<long>, terms array<binary>, tfs array<binary>"
+    "lot int, m int, top int, n_docs long, n_terms long, slices binary, doc_ids binary, n binary, distinct binary, terms binary, tfs binary"
 )
 
 
@@ -99,11 +103,17 @@ def _block_row(docs: list[tuple]) -> dict:
             bits[positions(hashes, level, j, m), column] = True
     slices = np.packbits(bits, axis=1).tobytes()
     return {
-        "lot": zlib.crc32(slices) % SEED_LOTS, "m": m, "top": top, "slices": slices, "doc_ids": [d[1] for d in docs],
-        "n": [d[2] for d in docs], "terms": [b" ".join(d[3]) for d in docs], "tfs": [d[4].astype("<u4").tobytes() for d in docs],
+        "lot": zlib.crc32(slices) % SEED_LOTS, "m": m, "top": top, "n_docs": len(docs), "n_terms": sum(d[2] for d in docs), "slices": slices,
+        "doc_ids": _flat([_LAST if d[1] is None else d[1] for d in docs], "<i8"), "n": _flat([d[2] for d in docs], "<i8"),
+        "distinct": _flat([len(d[3]) for d in docs], "<i8"), "terms": b"\n".join(b" ".join(d[3]) for d in docs),
+        "tfs": _flat(np.concatenate([d[4] for d in docs]), "<u4"),
     }
 
 
+def _flat(values: list | np.ndarray, kind: str) -> bytes:
+    return np.asarray(values, dtype=kind).tobytes()
+
+
 def _blocks(pool: list[tuple]) -> Iterator[dict]:
     """Blocks of documents with a similar number of keys."""
     pool.sort(key=lambda d: d[0])
@@ -141,7 +151,8 @@ def build_index(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") ->
                     held = 0
         yield from rows(pool)
 
-    return materialize(docs.select(F.col(doc_id).cast("long"), F.col(text)).mapInArrow(run, INDEX), "lexical-index")
+    with batches_of(docs.sparkSession, BATCH):
+        return materialize(docs.select(F.col(doc_id).cast("long"), F.col(text)).mapInArrow(run, INDEX), "lexical-index")
 
 
 class Items:
@@ -165,8 +176,8 @@ def weights(df: np.ndarray, n_docs: int) -> np.ndarray:
     return np.array([math.floor(1000 * math.log((2 * n_docs + 2) / (2 * int(d) + 1))) for d in df], dtype=np.int64)
 
 
-def lengths_norm(n: list[int], n_docs: int, n_terms: int) -> np.ndarray:
-    return np.array([50 + (50 * x * n_docs) // n_terms for x in n], dtype=np.int64)
+def lengths_norm(n: bytes, n_docs: int, n_terms: int) -> np.ndarray:
+    return np.array([50 + (50 * x * n_docs) // n_terms for x in np.frombuffer(n, dtype="<i8").tolist()], dtype=np.int64)
 
 
 def term_parts(tf: np.ndarray, weight: np.ndarray, norm: np.ndarray) -> np.ndarray:
@@ -201,15 +212,17 @@ def upper_bounds(items: Items, weight: np.ndarray, norm: np.ndarray, m: int, top
     return items.sums(parts)
 
 
-def exact_scores(items: Items, weight: np.ndarray, norm: np.ndarray, terms: list[bytes], tfs: list[bytes]) -> np.ndarray:
-    """(items, documents) from the documents' own terms."""
-    parts = np.zeros((len(items.hashes), len(terms)), dtype=np.int64)
-    for d, (blob, counts) in enumerate(zip(terms, tfs, strict=True)):
-        places = list(map(items.vocabulary.get, blob.split(b" ")))
-        hit = np.array([p is not None for p in places])
-        at = np.array([p for p in places if p is not None], dtype=np.int64)
-        tf = np.frombuffer(counts, dtype="<u4")[hit].astype(np.int64)
-        parts[at, d] = term_parts(tf, weight[at], norm[d])
+def exact_scores(items: Items, weight: np.ndarray, norm: np.ndarray, docs: np.ndarray, distinct: bytes, terms: bytes, tfs: bytes) -> np.ndarray:
+    """(items, ``docs`` of a block) from the documents' own terms."""
+    parts = np.zeros((len(items.hashes), len(docs)), dtype=np.int64)
+    ends = np.cumsum(np.frombuffer(distinct, dtype="<i8"))
+    counts, lines = np.frombuffer(tfs, dtype="<u4"), terms.split(b"\n")
+    for column, d in enumerate(docs.tolist()):
+        places = list(map(items.vocabulary.get, lines[d].split(b" ")))
+        hit = [i for i, p in enumerate(places) if p is not None]
+        at = np.array([places[i] for i in hit], dtype=np.int64)
+        tf = counts[ends[d] - len(places) + np.array(hit, dtype=np.int64)].astype(np.int64)
+        parts[at, column] = term_parts(tf, weight[at], norm[d])
     return items.sums(parts)
 
 
@@ -220,9 +233,10 @@ def document_frequencies(index: DataFrame, items: Items) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         df = np.zeros(len(vocabulary), dtype=np.int64)
         for batch in batches:
-            for blob in batch.column(0).flatten():
-                for t in vocabulary.keys() & blob.as_py().split(b" "):
-                    df[vocabulary[t]] += 1
+            for block in batch.column(0):
+                for line in block.as_py().split(b"\n"):
+                    for t in vocabulary.keys() & line.split(b" "):
+                        df[vocabulary[t]] += 1
         seen = np.flatnonzero(df)
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(df[seen])], names=["term", "df"])
 
@@ -235,21 +249,22 @@ def document_frequencies(index: DataFrame, items: Items) -> np.ndarray:
 def _best(index: DataFrame, items: Items, weight: np.ndarray, n_docs: int, n_terms: int, k: int, floor: np.ndarray) -> DataFrame:
     """(item, doc_id, score): per task the best ``k`` of each item, leaving out documents bounded below ``floor``."""
 
+    used = ("m", "top", "slices", "doc_ids", "n", "distinct", "terms", "tfs")
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         least = np.maximum(floor, 1)  # scores above 0 only
         ids = [np.zeros(0, dtype=np.int64) for _ in items.numbers]
         scores = [np.zeros(0, dtype=np.int64) for _ in items.numbers]
         for batch in batches:
             for at in range(batch.num_rows):
-                block = {c: batch.column(c)[at].as_py() for c in ("m", "top", "slices", "doc_ids", "n")}
+                block = {c: batch.column(c)[at].as_py() for c in used}
                 norm = lengths_norm(block["n"], n_docs, n_terms)
                 candidate = upper_bounds(items, weight, norm, block["m"], block["top"], block["slices"]) >= least[:, None]
                 docs = np.flatnonzero(candidate.any(axis=0))
                 if not len(docs):
                     continue
-                terms, tfs = batch.column("terms")[at], batch.column("tfs")[at]
-                exact = exact_scores(items, weight, norm[docs], [terms[int(d)].as_py() for d in docs], [tfs[int(d)].as_py() for d in docs])
-                doc_ids = np.array([_LAST if x is None else x for x in block["doc_ids"]], dtype=np.int64)[docs]
+                exact = exact_scores(items, weight, norm, docs, block["distinct"], block["terms"], block["tfs"])
+                doc_ids = np.frombuffer(block["doc_ids"], dtype="<i8")[docs]
                 good = candidate[:, docs] & (exact >= least[:, None])
                 for i in np.flatnonzero(good.any(axis=1)):
                     score, doc = np.concatenate([scores[i], exact[i][good[i]]]), np.concatenate([ids[i], doc_ids[good[i]]])
@@ -262,7 +277,7 @@ def _best(index: DataFrame, items: Items, weight: np.ndarray, n_docs: int, n_ter
         columns = [pa.array(item), pa.array(doc, mask=doc == _LAST), pa.array(np.concatenate([np.zeros(0, dtype=np.int64), *scores]))]
         yield pa.RecordBatch.from_arrays(columns, names=["item", "doc_id", "score"])
 
-    found = index.select("m", "top", "slices", "doc_ids", "n", "terms", "tfs").mapInArrow(run, "item long, doc_id long, score long")
+    found = index.select(*used).mapInArrow(run, "item long, doc_id long, score long")
     order = Window.partitionBy("item").orderBy(F.desc("score"), F.col("doc_id").asc_nulls_last())
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
@@ -275,17 +290,18 @@ def search(
     result = spark.createDataFrame([], "item long, rank int, doc_id long, score long")
     keyed = items.select(F.col(item_id).alias("item_id"), F.col(text).alias("text"))
     keyed = materialize(global_index(keyed, ["item_id", "text"], out="item"), "items")
-    n_docs, n_terms = index.agg(F.sum(F.size("n")), F.sum(F.aggregate("n", F.lit(0).cast("long"), lambda a, x: a + x))).first()
+    n_docs, n_terms = index.agg(F.sum("n_docs"), F.sum("n_terms")).first()
     for lo in range(0, keyed.count() if n_docs else 0, items_per_block):
         rows = keyed.filter((F.col("item") >= lo) & (F.col("item") < lo + items_per_block)).select("item", "text").collect()
         block = Items([tuple(r) for r in rows])
         if not block.numbers:
             continue
-        weight = weights(document_frequencies(index, block), n_docs)
-        floor = np.zeros(len(block.numbers), dtype=np.int64)
-        seeds = _best(index.filter(F.col("lot") == 0), block, weight, n_docs, n_terms, k, floor)
-        known = {r["item"]: r["score"] for r in seeds.filter(F.col("rank") == k).select("item", "score").collect()}
-        floor = np.array([known.get(no, 0) for no in block.numbers], dtype=np.int64)
-        best = _best(index, block, weight, n_docs, n_terms, k, floor)
-        result = result.unionByName(materialize(best.select("item", F.col("rank").cast("int"), "doc_id", "score"), "ranked"))
+        with batches_of(spark, BATCH):
+            weight = weights(document_frequencies(index, block), n_docs)
+            floor = np.zeros(len(block.numbers), dtype=np.int64)
+            seeds = _best(index.filter(F.col("lot") == 0), block, weight, n_docs, n_terms, k, floor)
+            known = {r["item"]: r["score"] for r in seeds.filter(F.col("rank") == k).select("item", "score").collect()}
+            floor = np.array([known.get(no, 0) for no in block.numbers], dtype=np.int64)
+            best = _best(index, block, weight, n_docs, n_terms, k, floor)
+            result = result.unionByName(materialize(best.select("item", F.col("rank").cast("int"), "doc_id", "score"), "ranked"))
     return result.join(keyed.select("item", "item_id"), "item").select("item_id", "rank", "doc_id", "score")

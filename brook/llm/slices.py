@@ -3,14 +3,28 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import DataType, StructField, StructType
 
 ROWS = 256
+_BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+@contextmanager
+def batches_of(spark: SparkSession, size: str) -> Iterator[None]:
+    """Jobs started inside send Arrow batches of at most about ``size`` to Python: for rows of a megabyte, which would
+    otherwise come by the dozen, in the JVM and in the worker at once."""
+    before = spark.conf.get(_BATCH_BYTES)
+    spark.conf.set(_BATCH_BYTES, size)
+    try:
+        yield
+    finally:
+        spark.conf.set(_BATCH_BYTES, before)
 
 
 def map_slices(df: DataFrame, make: Callable[[pd.DataFrame], Iterable[pd.DataFrame]], schema: str, rows: int = ROWS) -> DataFrame:

@@ -98,7 +98,7 @@ def test_bounds_hold_and_exclude(corpus):
     for block in lexical._blocks(pool):
         norm = lexical.lengths_norm(block["n"], n, total)
         bound = lexical.upper_bounds(block_items, weight, norm, block["m"], block["top"], block["slices"])
-        exact = lexical.exact_scores(block_items, weight, norm, block["terms"], block["tfs"])
+        exact = lexical.exact_scores(block_items, weight, norm, np.arange(len(norm)), block["distinct"], block["terms"], block["tfs"])
         assert (bound >= exact).all()
         tenth = np.sort(exact, axis=1)[:, -min(10, exact.shape[1])][:, None]
         kept, every = kept + (bound >= tenth).sum(), every + exact.size
