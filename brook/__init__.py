@@ -8,7 +8,7 @@ where a model has to be applied per Arrow batch.
 """
 
 from brook.functions.text import TAG, WORD, tokens
-from brook.operators.aggregate import count_by, rank_counts, ranked_list, render_ranked
+from brook.operators.aggregate import count_by, rank_counts, ranked_list, ranked_pages, render_ranked
 from brook.operators.filters import (
     class_counts,
     classify_by_key,
@@ -35,17 +35,21 @@ from brook.sinks.messages import publish_json, publish_raw
 from brook.sinks.text import write_lines
 from brook.sources.feed import tracked_feed
 from brook.sources.lines import lines_of, read_lines
-from brook.sources.messages import read_messages
+from brook.sources.messages import attribute, read_messages
 from brook.sources.replay import replay_cycle, replay_lines
+from brook.streaming.firstseen import FirstSeenState
 from brook.streaming.index import FirstSeenIndexer
-from brook.streaming.ranked import windowed_ranked_lists
+from brook.streaming.panes import running_panes, with_rocksdb
+from brook.streaming.ranked import windowed_ranked_lists, windowed_ranked_pages
 from brook.streaming.runner import batches_to_table, replay_batches_to_table, replay_splits, replay_to_table, run_to_table
 
 __all__ = [
     "FirstSeenIndexer",
+    "FirstSeenState",
     "TAG",
     "WORD",
     "assign_window",
+    "attribute",
     "batches_to_table",
     "class_counts",
     "classify_by_key",
@@ -73,6 +77,7 @@ __all__ = [
     "publish_raw",
     "rank_counts",
     "ranked_list",
+    "ranked_pages",
     "read_lines",
     "read_messages",
     "render_ranked",
@@ -83,6 +88,7 @@ __all__ = [
     "replay_to_table",
     "run_to_table",
     "running_counts_batch",
+    "running_panes",
     "score_with_model",
     "sliding_counts",
     "split_bad",
@@ -93,5 +99,7 @@ __all__ = [
     "train_sentiment",
     "tumbling_counts",
     "windowed_ranked_lists",
+    "windowed_ranked_pages",
+    "with_rocksdb",
     "write_lines",
 ]

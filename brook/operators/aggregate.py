@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from brook.operators.running import running_counts_batch
+
 
 def count_by(df: DataFrame, keys: Sequence[str | Column], out: str = "n") -> DataFrame:
     """A1: rows per key.  Planned as partial (map-side) + final hash aggregate, so a hot
@@ -52,6 +54,26 @@ def ranked_list(
     return res if by else res.drop("_all")
 
 
+def ranked_pages(counts: DataFrame, token: str = "token", n: str = "n", by: Sequence[str] = (), page_size: int = 1000, out: str = "ranked") -> DataFrame:
+    """A2+O1 in pages: ``(by.., page, ranked)``, the list of :func:`ranked_list` cut into rows of ``page_size`` entries.
+
+    An entry's rank inside its group is its place in its block of the order (count descending, token) plus
+    the sizes of the group's earlier blocks, so neither a group with most of the tokens nor
+    the one overall list (no ``by``) is ever gathered: no row holds more than a page.  Pages
+    count from 0; an empty input gives no row.  Batch; on a stream page every micro-batch of closed windows
+    (:func:`brook.streaming.ranked.windowed_ranked_pages`).
+    """
+    by = list(by)
+    group = F.struct(*by) if by else F.struct(F.lit(1).alias("_all"))
+    rows = counts.select(group.alias("_g"), (-F.col(n)).alias("_neg"), F.col(token).alias("_token"))
+    ranked = running_counts_batch(rows, "_g", ["_g", "_neg", "_token"], out="_rank")
+    page = F.floor((F.col("_rank") - 1) / page_size).cast("long")
+    entry = F.struct("_rank", F.col("_token").alias("token"), (-F.col("_neg")).cast("long").alias("n"))
+    pages = ranked.groupBy("_g", page.alias("page")).agg(F.sort_array(F.collect_list(entry)).alias("_l"))
+    as_pairs = F.transform("_l", lambda e: F.struct(e["n"].alias("n"), e["token"].alias("token")))
+    return pages.select(*[F.col(f"_g.{c}").alias(c) for c in by], "page", as_pairs.alias(out))
+
+
 def render_ranked(ranked: str | Column, sep: str = ",") -> Column:
     """``token:n`` entries joined by ``sep`` in list order (for logs and value hashing)."""
     c = F.col(ranked) if isinstance(ranked, str) else ranked

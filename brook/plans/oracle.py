@@ -105,6 +105,18 @@ def _tag_lists(closed: str) -> str:
         SELECT ws, string_agg(token_idx || ':' || n, ',' ORDER BY n DESC, token_idx) AS ranked FROM c WHERE {closed} GROUP BY ws"""
 
 
+def _pages(closed: str) -> str:
+    return f"""
+        WITH c AS (SELECT time_bucket(INTERVAL '1 day', ts, TIMESTAMP '1970-01-01') AS ws, concat_ws('_', event_type, user_id) AS token, count(*) AS n
+            FROM events GROUP BY ALL),
+        r AS (SELECT *, row_number() OVER (PARTITION BY ws ORDER BY n DESC, token) - 1 AS r FROM c WHERE {closed})
+        SELECT ws, (r // 100)::BIGINT AS page, string_agg(token || ':' || n, ',' ORDER BY r) AS ranked FROM r GROUP BY ALL"""
+
+
+_LOG_SQL = """
+        SELECT [props || chr(10) || event_type, props || chr(13) || chr(10), '', NULL, props][event_id % 5 + 1] AS value, ts, event_type AS kind,
+            CASE WHEN event_id % 3 > 0 THEN user_id::VARCHAR END AS user, CASE WHEN event_id % 3 > 0 THEN 2 ELSE 1 END::INT AS n_headers FROM events"""
+
 ORACLE: dict[str, str] = {
     "read_lines": _LINES,
     "drop_blank": f"SELECT doc_id, {_STRIP} AS line FROM ({_LINES}) WHERE regexp_matches(line, '\\S')",
@@ -214,4 +226,16 @@ ORACLE: dict[str, str] = {
     "messages_roundtrip": """
         SELECT nullif(event_type, 'view') AS data, (epoch_us(ts) // 1000000)::DOUBLE AS timestamp FROM events""",
     "publish_raw": "SELECT props AS value FROM events",
+    "ranked_pages": _pages("true"),
+    "ranked_pages_global": f"""
+        WITH c AS (SELECT word, count(*) AS n FROM (SELECT unnest(regexp_extract_all(text, {WORD_RE})) AS word FROM documents) GROUP BY 1),
+        r AS (SELECT *, row_number() OVER (ORDER BY n DESC, word) - 1 AS r FROM c)
+        SELECT (r // 1000)::BIGINT AS page, string_agg(word || ':' || n, ',' ORDER BY r) AS ranked FROM r GROUP BY 1""",
+    "ranked_pages_stream": _pages("ws + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 10 SECOND"),
+    "running_panes_stream": """
+        SELECT event_id, event_type,
+               count(*) OVER (PARTITION BY event_type ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS n
+        FROM events""",
+    "messages_with_headers": _LOG_SQL,
+    "messages_with_headers_stream": _LOG_SQL,
 }

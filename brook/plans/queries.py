@@ -13,8 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brook.functions.text import TAG, WORD
-from brook.functions.time import epoch_micros
-from brook.operators.aggregate import count_by, rank_counts, ranked_list, render_ranked
+from brook.functions.time import epoch_micros, instant_to_local
+from brook.operators.aggregate import count_by, rank_counts, ranked_list, ranked_pages, render_ranked
 from brook.operators.filters import class_counts, classify_by_key, drop_blank, keyword_filter
 from brook.operators.index import first_seen_index, indexed_counts, indexed_tag_counts
 from brook.operators.records import decode_json, decode_variant, field, format_line_event, format_tweet, split_bad
@@ -29,10 +29,12 @@ from brook.sinks.messages import json_envelope, publish_json, publish_raw
 from brook.sinks.text import write_lines
 from brook.sources.feed import tracked_feed
 from brook.sources.lines import lines_of, read_lines
-from brook.sources.messages import read_messages
+from brook.sources.messages import attribute, read_messages
 from brook.sources.replay import replay_cycle
+from brook.streaming.firstseen import FirstSeenState
 from brook.streaming.index import FirstSeenIndexer
-from brook.streaming.ranked import windowed_ranked_lists
+from brook.streaming.panes import running_panes, with_rocksdb
+from brook.streaming.ranked import windowed_ranked_lists, windowed_ranked_pages
 from brook.streaming.runner import replay_batches_to_table, replay_splits, replay_to_table, run_to_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,6 +60,7 @@ TOPICS_2000 = tuple(
 JSON_KEY = "k"  # key whose presence classifies a payload
 WINDOW = "5 seconds"  # W1/W3 fixed window (reference value)
 SLIDE_SIZE, SLIDE_STEP = "60 seconds", "5 seconds"  # W2 (reference's alternate)
+PAGE_WINDOW, PAGE_SIZE = "1 day", 100  # A2 in pages
 DELAY = "10 seconds"  # W5 watermark delay of the streaming forms
 STREAM_SPLITS = 4  # micro-batches the staged tables are replayed in
 # Sentiment lexicon (ours; the reference's model is absent).
@@ -318,6 +321,42 @@ def q_ranked_list_global(spark, sf):
     return ranked_list(counts, token="event_type").select(render_ranked("ranked").alias("ranked"))
 
 
+def _actions(df):
+    """Events with the token ``type_user``: many distinct ones per window."""
+    return df.select("event_id", "ts", F.concat_ws("_", "event_type", "user_id").alias("token"))
+
+
+def q_ranked_pages(spark, sf):
+    """Ranked lists per window in pages of 100 entries."""
+    counts = tumbling_counts(_actions(_events(spark, sf)), "ts", ["token"], PAGE_WINDOW)
+    return ranked_pages(counts, by=["ws"], page_size=PAGE_SIZE).select("ws", "page", render_ranked("ranked").alias("ranked"))
+
+
+def q_ranked_pages_global(spark, sf):
+    """One ranked list of all words, in pages."""
+    words = count_by(explode_tokens(_documents(spark, sf), "text", WORD, out="word"), ["word"])
+    return ranked_pages(words, token="word").select("page", render_ranked("ranked").alias("ranked"))
+
+
+def q_ranked_pages_stream(spark, sf):
+    events = _actions(_raw(spark, sf, "events"))
+    ckpt, out = scratch_path(spark, "pages-ckpt"), scratch_path(spark, "pages-out")
+    for source in replay_splits(events, "ts", STREAM_SPLITS, "pages"):
+        stream = spark.readStream.schema(events.schema).parquet(source)
+        result = windowed_ranked_pages(stream, "ts", "token", "pages", PAGE_WINDOW, DELAY, PAGE_SIZE, ckpt, out)
+    return result.select("ws", "page", render_ranked("ranked").alias("ranked"))
+
+
+def q_running_panes_stream(spark, sf):
+    """The running count after every event, fired by each element."""
+    events = _events_for_replay(spark, sf).select("event_id", "ts", "event_type")
+    ckpt, out = scratch_path(spark, "panes-ckpt"), scratch_path(spark, "panes-out")
+    for source in replay_splits(events, "event_id", STREAM_SPLITS, "panes"):
+        panes = running_panes(spark.readStream.schema(events.schema).parquet(source), "event_type", ["event_id"])
+        result = with_rocksdb(spark, lambda panes=panes: run_to_table(panes, "panes", checkpoint=ckpt, path=out))
+    return result.select("event_id", "event_type", "n")
+
+
 # -- T1 / T2 -----------------------------------------------------------------------
 
 
@@ -375,7 +414,7 @@ def q_indexed_tag_counts_stream(spark, sf):
 
 def q_first_seen_index_stream(spark, sf):
     docs = _raw(spark, sf, "documents").select("doc_id", "text")
-    indexer = FirstSeenIndexer(scratch_path(spark, "fsi-dict"), token="word", order=["doc_id", "pos"])
+    indexer = FirstSeenState(scratch_path(spark, "fsi-dict"), token="word", order=["doc_id", "pos"])
     ckpt = scratch_path(spark, "fsi-ckpt")
     for source in replay_splits(docs, "doc_id", STREAM_SPLITS, "fsi-docs"):
         stream = spark.readStream.schema(docs.schema).parquet(source)
@@ -491,6 +530,40 @@ def q_publish_raw(spark, sf):
     return read_messages(spark, "text", path, streaming=False).select(F.col("value").cast("string").alias("value"))
 
 
+def _log_payload():
+    """Payloads that a line can't hold: breaks of both kinds, nulls, empty ones."""
+    k = F.pmod("event_id", F.lit(5))
+    return (
+        F.when(k == 0, F.concat("props", F.lit("\n"), "event_type")).when(k == 1, F.concat("props", F.lit("\r\n")))
+        .when(k == 2, F.lit("")).when(k == 3, F.lit(None).cast("string")).otherwise(F.col("props"))
+    )
+
+
+def _published_log(spark, sf, name):
+    path = scratch_path(spark, name)
+    ev = _events(spark, sf).withColumn("payload", _log_payload())
+    user = F.when(F.pmod("event_id", F.lit(3)) > 0, F.col("user_id").cast("string"))
+    publish_raw(ev, "payload", fmt="parquet", path=path, headers={"kind": "event_type", "user": user}, timestamp="ts")
+    return path
+
+
+def _log_rows(messages):
+    return messages.select(
+        F.col("value").cast("string").alias("value"), instant_to_local("timestamp").alias("ts"),
+        attribute("kind").alias("kind"), attribute("user").alias("user"), F.size("headers").alias("n_headers"),
+    )
+
+
+def q_messages_with_headers(spark, sf):
+    """Payloads of any bytes with attributes and publish time through the message log."""
+    return _log_rows(read_messages(spark, "parquet", _published_log(spark, sf, "log"), with_attributes=True, streaming=False))
+
+
+def q_messages_with_headers_stream(spark, sf):
+    path = _published_log(spark, sf, "log-stream")
+    return run_to_table(_log_rows(read_messages(spark, "parquet", path, with_attributes=True)), "log_messages")
+
+
 # -- S4 ----------------------------------------------------------------------------
 
 
@@ -546,4 +619,10 @@ QUERIES: dict[str, Query] = {
     "log_lines": q_log_lines,
     "messages_roundtrip": q_messages_roundtrip,
     "publish_raw": q_publish_raw,
+    "ranked_pages": q_ranked_pages,
+    "ranked_pages_global": q_ranked_pages_global,
+    "ranked_pages_stream": q_ranked_pages_stream,
+    "running_panes_stream": q_running_panes_stream,
+    "messages_with_headers": q_messages_with_headers,
+    "messages_with_headers_stream": q_messages_with_headers_stream,
 }

@@ -7,6 +7,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from brook.functions.time import as_instant
+from brook.schemas import HEADER
+
 
 def json_envelope(
     df: DataFrame, fields: Mapping[str, str | Column], out: str = "value", keep: Sequence[str] = ()
@@ -30,6 +33,20 @@ def _write(df: DataFrame, fmt: str, path: str | None, checkpoint: str | None, mo
     return None
 
 
+def _messages(df: DataFrame, value: Column, fmt: str, headers: Mapping[str, str | Column] | None, timestamp: str | None) -> DataFrame:
+    """The columns a sink of ``fmt`` takes."""
+    if fmt not in ("kafka", "parquet"):
+        if headers:
+            raise ValueError(f"messages of format {fmt!r} have no attributes")
+        return df.select(value.cast("string").alias("value"))
+    pair = lambda k, v: F.struct(F.lit(k).alias("key"), (F.col(v) if isinstance(v, str) else v).cast("string").cast("binary").alias("value"))
+    all_headers = F.array(*[pair(k, v) for k, v in headers.items()]) if headers else F.array().cast(f"array<{HEADER.simpleString()}>")
+    columns = [value.cast("binary").alias("value"), F.filter(all_headers, lambda h: h["value"].isNotNull()).alias("headers")]
+    if fmt == "parquet":  # a topic stamps its messages itself
+        columns.append((as_instant(df, timestamp) if timestamp else F.current_timestamp()).alias("timestamp"))
+    return df.select(*columns)
+
+
 def publish_json(
     df: DataFrame,
     fields: Mapping[str, str | Column],
@@ -37,17 +54,19 @@ def publish_json(
     path: str | None = None,
     checkpoint: str | None = None,
     mode: str = "append",
+    headers: Mapping[str, str | Column] | None = None,
+    timestamp: str | None = None,
     **options,
 ):
     """K3: publish ``to_json(struct(fields))`` as the message value (UTF-8).
 
-    ``fmt="kafka"`` writes the topic named in ``options``; ``"text"`` writes one JSON
-    message per line into ``path`` (the message-folder stand-in).
+    ``fmt="kafka"`` writes the topic named in ``options``; ``"parquet"`` appends to the message log at ``path``;
+    ``"text"`` writes one JSON message per line.  ``headers`` are the messages' attributes (a null one is left
+    out), ``timestamp`` the log's publish time (now, if not given).
     """
-    env = json_envelope(df, fields)
-    if fmt == "kafka":
-        env = env.select(F.col("value").cast("binary").alias("value"))
-    return _write(env, fmt, path, checkpoint, mode, options)
+    cols = [(F.col(v) if isinstance(v, str) else v).alias(k) for k, v in fields.items()]
+    value = F.to_json(F.struct(*cols), {"ignoreNullFields": "false"})
+    return _write(_messages(df, value, fmt, headers, timestamp), fmt, path, checkpoint, mode, options)
 
 
 def publish_raw(
@@ -57,8 +76,13 @@ def publish_raw(
     path: str | None = None,
     checkpoint: str | None = None,
     mode: str = "append",
+    headers: Mapping[str, str | Column] | None = None,
+    timestamp: str | None = None,
     **options,
 ):
-    """K4: publish the original payload unchanged, whatever class the record is in."""
-    cast = "binary" if fmt == "kafka" else "string"
-    return _write(df.select(F.col(payload).cast(cast).alias("value")), fmt, path, checkpoint, mode, options)
+    """K4: publish the original payload unchanged, whatever class the record is in.
+
+    A topic and the message log (``"parquet"``) take any bytes and null; a text folder can't hold a
+    line break or a null, so such payloads need one of the others.
+    """
+    return _write(_messages(df, F.col(payload), fmt, headers, timestamp), fmt, path, checkpoint, mode, options)

@@ -2,16 +2,18 @@
 
 With a Kafka connector on the classpath, ``fmt="kafka"`` reads the topic as is:
 ``value`` (binary payload), ``timestamp`` (publish time) and, with attributes,
-``headers``.  The file formats are the stand-in for a message bus: each file that
-lands in the folder is a batch of messages, one per line, and the file's
-modification time is the publish time.
+``headers``.  Two folder formats stand in for a message bus.  ``"parquet"`` is a message log:
+rows ``value, headers, timestamp`` as the message sinks write them, any bytes and null payloads unchanged, batch
+and stream.  ``"text"`` holds one message per line, and the file's modification time is the publish time, so
+it takes no payload with a line break, no null and no attributes.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from brook.schemas import ENVELOPE as MESSAGE
 from brook.schemas import HEADER, LINE
 
 
@@ -31,6 +33,9 @@ def read_messages(
         df = reader.format("kafka").options(**options).load()
         cols = ["value", "timestamp"] + (["headers"] if with_attributes else [])
         return df.select(*cols)
+    if fmt == "parquet":
+        df = reader.schema(MESSAGE).options(**options).parquet(path)
+        return df.select("value", "timestamp", *(["headers"] if with_attributes else []))
     if fmt not in ("text", "json"):
         raise ValueError(f"unsupported message format {fmt!r}")
     if streaming:
@@ -40,3 +45,9 @@ def read_messages(
     if with_attributes:
         cols.append(F.array().cast(f"array<{HEADER.simpleString()}>").alias("headers"))
     return df.select(*cols)
+
+
+def attribute(name: str, headers: str = "headers") -> Column:
+    """The text of a message's first attribute ``name``; null where it has none."""
+    found = F.filter(F.col(headers), lambda h: h["key"] == name)
+    return F.get(found, F.lit(0))["value"].cast("string")

@@ -11,6 +11,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from brook.functions.time import as_instant, instant_to_local, is_ntz
+from brook.operators.aggregate import ranked_pages
+from brook.operators.windows import tumbling_counts
+from brook.streaming.runner import batches_to_table
 
 _ET = "_event_time"
 
@@ -40,3 +43,27 @@ def windowed_ranked_lists(
         ranked = F.slice(ranked, 1, k)
     ws = instant_to_local(F.col("window.start")) if ntz else F.col("window.start")
     return lists.select(ws.alias(start), ranked.alias(out))
+
+
+def windowed_ranked_pages(
+    stream: DataFrame,
+    ts: str,
+    token: str,
+    name: str,
+    size: str = "5 seconds",
+    delay: str = "10 seconds",
+    page_size: int = 1000,
+    checkpoint: str | None = None,
+    path: str | None = None,
+    trigger: dict | None = None,
+) -> DataFrame:
+    """``(ws, page, ranked)`` of every closed window, drained into a table: the lists of :func:`windowed_ranked_lists` in pages.
+
+    The counts per window and token are the only state.  The watermark gives out a window whole,
+    in one micro-batch, whose counts are then ranked and cut by :func:`ranked_pages`.
+    """
+    counts = tumbling_counts(stream, ts, [token], size, delay=delay)
+    kind = counts.schema
+    schema = f"ws {kind['ws'].dataType.simpleString()}, page long, ranked array<struct<n: bigint, token: {kind[token].dataType.simpleString()}>>"
+    each = lambda batch: ranked_pages(batch, token=token, by=["ws"], page_size=page_size)
+    return batches_to_table(counts, name, each, schema, checkpoint, path, trigger)
