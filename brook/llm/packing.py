@@ -101,7 +101,7 @@ def encode_plain(enc, text: str) -> np.ndarray:
     character, with which the rest goes on.
     """
     ids, at = [], 0
-    for run in _LONG_RUN.finditer(text):
+    for run in _LONG_RUN.finditer(text) if len(text) >= LONG_SPACE else ():
         end = run.end() if run.end() == len(text) else run.end() - 1
         ids += [enc.encode_to_numpy(p, disallowed_special=()) for p in text_parts(text[at : run.start()])]
         ids.append(np.array(enc._core_bpe.encode_single_piece(text[run.start() : end].encode()), dtype=np.uint32))
