@@ -28,6 +28,7 @@ from brook.operators.sentiment import (
     train_naive_bayes,
     train_sentiment,
 )
+from brook.operators.tablefn import apply_table_function
 from brook.operators.tokens import explode_tokens
 from brook.operators.windows import assign_window, sliding_counts, tumbling_counts
 from brook.sinks.log import log_sink, preview
@@ -36,9 +37,10 @@ from brook.sinks.text import write_lines
 from brook.sources.feed import tracked_feed
 from brook.sources.lines import lines_of, read_lines
 from brook.sources.messages import attribute, read_messages
-from brook.sources.replay import replay_cycle, replay_lines
+from brook.sources.replay import replay_cycle, replay_lines, replay_ticks, staged_ticks
 from brook.streaming.firstseen import FirstSeenState
 from brook.streaming.index import FirstSeenIndexer
+from brook.streaming.late import mark_late
 from brook.streaming.panes import running_panes, with_rocksdb
 from brook.streaming.ranked import windowed_ranked_lists, windowed_ranked_pages
 from brook.streaming.runner import batches_to_table, replay_batches_to_table, replay_splits, replay_to_table, run_to_table
@@ -48,6 +50,7 @@ __all__ = [
     "FirstSeenState",
     "TAG",
     "WORD",
+    "apply_table_function",
     "assign_window",
     "attribute",
     "batches_to_table",
@@ -70,6 +73,7 @@ __all__ = [
     "lexicon_sentiment",
     "lines_of",
     "log_sink",
+    "mark_late",
     "preview",
     "model_sentiment",
     "naive_bayes_sentiment",
@@ -85,6 +89,7 @@ __all__ = [
     "replay_cycle",
     "replay_lines",
     "replay_splits",
+    "replay_ticks",
     "replay_to_table",
     "run_to_table",
     "running_counts_batch",
@@ -92,6 +97,7 @@ __all__ = [
     "score_with_model",
     "sliding_counts",
     "split_bad",
+    "staged_ticks",
     "tokens",
     "track_filter",
     "tracked_feed",

@@ -50,7 +50,8 @@ def lexicon_sentiment(
     Tokens are the reference's word tokens of the lower-cased text.  A lexicon of up to
     ``max_literal_words`` words becomes part of a column expression: one map over the records, batch or
     stream, in which equal ids stay records of their own.  A larger one is joined to the
-    exploded tokens of a batch frame, whose records then get a key of their own.
+    exploded tokens of a batch frame, whose records then get a key of their own; a stream scores each of its
+    micro-batches that way (:func:`brook.streaming.runner.batches_to_table`).
     ``keep`` carries further record columns, the text too if named.
     """
     classes = lexicon.groupBy(F.col(word).alias("_w")).agg(F.min(cls).alias("_cls"))
@@ -66,6 +67,8 @@ def lexicon_sentiment(
             hits("positive").cast("long").alias("pos_hits"),
             hits("negative").cast("long").alias("neg_hits"),
         )
+    elif df.isStreaming:
+        raise ValueError(f"a lexicon of more than {max_literal_words} words is joined: score each micro-batch (batches_to_table)")
     else:
         agg = _joined_hits(df, columns, toks, classes)
     nt = F.col("n_tokens")

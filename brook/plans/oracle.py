@@ -117,6 +117,30 @@ _LOG_SQL = """
         SELECT [props || chr(10) || event_type, props || chr(13) || chr(10), '', NULL, props][event_id % 5 + 1] AS value, ts, event_type AS kind,
             CASE WHEN event_id % 3 > 0 THEN user_id::VARCHAR END AS user, CASE WHEN event_id % 3 > 0 THEN 2 ELSE 1 END::INT AS n_headers FROM events"""
 
+_MIXED_SQL = """
+        SELECT event_id, coalesce(['{"j": 1}', '{"j": {"k": 1}}', '{"k": null}', '{}', NULL][event_id % 5 + 1], props) AS props FROM events"""
+
+# arrival in four parts; a part's watermark is the largest time of the parts before less 10 seconds
+_MARKED_SQL = f"""
+        WITH a AS (SELECT *, epoch_us(ts) + CASE WHEN event_id % 10 = 0 THEN 12 * 86400000000 ELSE 0 END AS arrival FROM events),
+        b AS (SELECT min(arrival) AS lo, max(arrival) - min(arrival) + 1 AS w FROM a),
+        p AS (SELECT a.*, (arrival >= lo + w * 1 // 4)::INT + (arrival >= lo + w * 2 // 4)::INT + (arrival >= lo + w * 3 // 4)::INT AS part FROM a, b),
+        m AS (SELECT k.part, date_trunc('milliseconds', max(p.ts)) - INTERVAL 10 SECOND AS watermark
+              FROM (SELECT unnest([1, 2, 3]) AS part) k JOIN p ON p.part < k.part GROUP BY 1),
+        x AS (SELECT p.*, watermark, coalesce({U} + INTERVAL 5 SECOND <= watermark, false) AS is_late FROM p LEFT JOIN m USING (part))"""
+
+_LARGE_LEXICON_SQL = f"""
+        WITH toks AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), {WORD_RE})) AS w FROM documents),
+        lex AS (SELECT DISTINCT w, CASE WHEN md5(w)[1] <= '5' THEN 'positive' WHEN md5(w)[1] <= 'b' THEN 'negative' ELSE 'neutral' END AS cls FROM toks),
+        hits AS (
+            SELECT doc_id, count(*) AS nt, count(*) FILTER (WHERE cls = 'positive') AS p, count(*) FILTER (WHERE cls = 'negative') AS ng
+            FROM toks JOIN lex USING (w) GROUP BY 1)
+        SELECT d.doc_id, coalesce(nt, 0) AS n_tokens, coalesce(p, 0) AS pos_hits, coalesce(ng, 0) AS neg_hits,
+               CASE WHEN coalesce(nt, 0) = 0 THEN 0.0 ELSE p / nt END AS positive,
+               CASE WHEN coalesce(nt, 0) = 0 THEN 1.0 ELSE (nt - p - ng) / nt END AS neutral,
+               CASE WHEN coalesce(nt, 0) = 0 THEN 0.0 ELSE ng / nt END AS negative
+        FROM documents d LEFT JOIN hits USING (doc_id)"""
+
 ORACLE: dict[str, str] = {
     "read_lines": _LINES,
     "drop_blank": f"SELECT doc_id, {_STRIP} AS line FROM ({_LINES}) WHERE regexp_matches(line, '\\S')",
@@ -238,4 +262,28 @@ ORACLE: dict[str, str] = {
         FROM events""",
     "messages_with_headers": _LOG_SQL,
     "messages_with_headers_stream": _LOG_SQL,
+    "drop_blank_padded": f"""
+        WITH l AS (SELECT doc_id, line_no::INT AS line_no, line, ['  ', chr(9), '', ' ' || chr(9) || ' '][(doc_id + line_no) % 4 + 1] AS pad FROM ({_LINES_POS})),
+        x AS (SELECT doc_id, line_no, pad || line || pad AS line FROM l
+              UNION ALL SELECT doc_id, line_no, unnest(['', ' ' || chr(9) || ' ']) FROM l WHERE (doc_id + line_no) % 4 = 1)
+        SELECT doc_id, line_no, {_STRIP} AS line FROM x WHERE regexp_matches(line, '\\S')""",
+    "track_filter_comma": """
+        SELECT doc_id FROM documents
+        WHERE lang IN ('en') AND (contains(lower(text), 'the') OR contains(lower(text), 'worthless'))""",
+    "classify_by_key_mixed": f"SELECT event_id, json_exists(props, '$.k') AS is_extended FROM ({_MIXED_SQL})",
+    "classify_counts_mixed": f"SELECT json_exists(props, '$.k') AS is_extended, count(*) AS n FROM ({_MIXED_SQL}) GROUP BY 1",
+    "late_rows_stream": f"{_MARKED_SQL} SELECT event_id, ts, watermark FROM x WHERE is_late",
+    "on_time_counts_stream": f"{_MARKED_SQL} SELECT {U} AS ws, event_type, count(*) AS n FROM x WHERE NOT is_late GROUP BY 1, 2",
+    "large_lexicon_stream": _LARGE_LEXICON_SQL,
+    "word_spans": f"""
+        WITH d AS (SELECT doc_id, regexp_extract_all(text, {WORD_RE}) AS words, string_split_regex(text, {WORD_RE}) AS gaps FROM documents),
+        u AS (SELECT doc_id, unnest(words) AS word, unnest(gaps[1:len(words)]) AS gap, unnest(generate_series(0, len(words) - 1)) AS pos
+              FROM d WHERE len(words) > 0),
+        s AS (SELECT *, sum(length(gap) + length(word)) OVER (PARTITION BY doc_id ORDER BY pos) AS stop FROM u)
+        SELECT doc_id, pos::INT AS pos, word, (stop - length(word))::INT AS start, stop::INT AS stop FROM s""",
+    "replay_lines_stream": f"""
+        WITH l AS (SELECT row_number() OVER (ORDER BY doc_id, line_no) - 1 AS i, {_STRIP} AS data FROM ({_LINES_POS}) WHERE regexp_matches(line, '\\S')),
+        c AS (SELECT count(*) AS n, (5 * count(*) + 15) // 16 AS per_batch FROM l),
+        t AS (SELECT unnest(range(4 * per_batch)) AS tick, n, per_batch FROM c)
+        SELECT tick::BIGINT AS tick, (tick // per_batch)::BIGINT AS event_time, data FROM t JOIN l ON l.i = t.tick % t.n""",
 }

@@ -20,19 +20,21 @@ from brook.operators.index import first_seen_index, indexed_counts, indexed_tag_
 from brook.operators.records import decode_json, decode_variant, field, format_line_event, format_tweet, split_bad
 from brook.operators.running import running_counts_batch
 from brook.operators.sentiment import lexicon_sentiment, naive_bayes_sentiment, score_with_model, sentiment_labels, train_naive_bayes
+from brook.operators.tablefn import WordSpans, apply_table_function
 from brook.operators.tokens import explode_tokens
 from brook.operators.windows import assign_window, sliding_counts, tumbling_counts
 from brook.schemas import CORRUPT, FILE_EVENT, PROPS, TWEET
-from brook.session import scratch_path, table
+from brook.session import materialize, scratch_path, table
 from brook.sinks.log import log_sink
 from brook.sinks.messages import json_envelope, publish_json, publish_raw
 from brook.sinks.text import write_lines
 from brook.sources.feed import tracked_feed
 from brook.sources.lines import lines_of, read_lines
 from brook.sources.messages import attribute, read_messages
-from brook.sources.replay import replay_cycle
+from brook.sources.replay import indexed_lines, replay_cycle, replay_ticks, staged_ticks
 from brook.streaming.firstseen import FirstSeenState
 from brook.streaming.index import FirstSeenIndexer
+from brook.streaming.late import mark_late
 from brook.streaming.panes import running_panes, with_rocksdb
 from brook.streaming.ranked import windowed_ranked_lists, windowed_ranked_pages
 from brook.streaming.runner import replay_batches_to_table, replay_splits, replay_to_table, run_to_table
@@ -62,6 +64,7 @@ WINDOW = "5 seconds"  # W1/W3 fixed window (reference value)
 SLIDE_SIZE, SLIDE_STEP = "60 seconds", "5 seconds"  # W2 (reference's alternate)
 PAGE_WINDOW, PAGE_SIZE = "1 day", 100  # A2 in pages
 DELAY = "10 seconds"  # W5 watermark delay of the streaming forms
+LATE_MICROS = 12 * 86_400_000_000  # W5: how much later than its time a held-up event arrives
 STREAM_SPLITS = 4  # micro-batches the staged tables are replayed in
 # Sentiment lexicon (ours; the reference's model is absent).
 LEXICON = [
@@ -110,6 +113,22 @@ def q_write_lines_roundtrip(spark, sf):
     return read_lines(spark, path).select(F.col("value").alias("line"))
 
 
+def _padded_lines(spark, sf):
+    """Document lines with white space around them, and some blank ones put between."""
+    k = F.pmod(F.col("doc_id") + F.col("line_no"), F.lit(4))
+    pad = F.element_at(F.array(*[F.lit(x) for x in ("  ", "\t", "", " \t ")]), (k + 1).cast("int"))
+    blank = F.when(k == 1, F.array(F.lit(""), F.lit(" \t "))).otherwise(F.array().cast("array<string>"))
+    lines = F.explode(F.concat(F.array(F.concat(pad, F.coalesce("line", F.lit("")), pad)), blank))
+    return _doc_lines(spark, sf, pos="line_no").select("doc_id", "line_no", lines.alias("line"))
+
+
+def q_drop_blank_padded(spark, sf):
+    """Padded and blank lines: blank ones go, the rest is stripped."""
+    from brook.functions.text import strip
+
+    return drop_blank(_padded_lines(spark, sf), "line").select("doc_id", "line_no", strip("line").alias("line"))
+
+
 # -- P5 / P6 / A1 / O1 ----------------------------------------------------------
 
 
@@ -142,6 +161,11 @@ def q_track_filter_2000(spark, sf):
     return tracked_feed(_documents(spark, sf), "text", "lang", TOPICS_2000, LANGS).select("doc_id")
 
 
+def q_track_filter_comma(spark, sf):
+    """Topics as the comma-separated string of a command line."""
+    return tracked_feed(_documents(spark, sf), "text", "lang", " the, worthless ,,", LANGS).select("doc_id")
+
+
 # -- P1-P4 / F3 / A4 / K3 ---------------------------------------------------------
 
 
@@ -209,6 +233,21 @@ def q_classify_counts(spark, sf):
     return class_counts(classify_by_key(_events(spark, sf), "props", JSON_KEY))
 
 
+def _keyed_or_not(spark, sf):
+    """Events of which some payloads lack the key, nest it, or have it without a value."""
+    k = F.pmod("event_id", F.lit(5))
+    other = F.when(k == 0, F.lit('{"j": 1}')).when(k == 1, F.lit('{"j": {"k": 1}}')).when(k == 2, F.lit('{"k": null}')).when(k == 3, F.lit("{}"))
+    return _events(spark, sf).select("event_id", F.coalesce(other, F.col("props")).alias("props"))
+
+
+def q_classify_by_key_mixed(spark, sf):
+    return classify_by_key(_keyed_or_not(spark, sf), "props", JSON_KEY).select("event_id", "is_extended")
+
+
+def q_classify_counts_mixed(spark, sf):
+    return class_counts(classify_by_key(_keyed_or_not(spark, sf), "props", JSON_KEY))
+
+
 def q_format_tweet(spark, sf):
     good, _bad = split_bad(decode_json(_tweet_messages(spark, sf), "value", TWEET))
     return format_tweet(good, keep=["event_id"])
@@ -288,6 +327,24 @@ def q_sliding_counts_stream(spark, sf):
     )
 
 
+def _marked_stream(spark, sf, name):
+    """Events that arrive in ``STREAM_SPLITS`` parts, every tenth one twelve days after its time, marked when late."""
+    ev = _events_for_replay(spark, sf)
+    held = F.when(F.pmod("event_id", F.lit(10)) == 0, F.lit(LATE_MICROS)).otherwise(F.lit(0))
+    arrivals = ev.withColumn("arrival", epoch_micros(ev, "ts") + held)
+    return replay_to_table(arrivals, "arrival", STREAM_SPLITS, name, lambda s: mark_late(s, "ts", DELAY, WINDOW))
+
+
+def q_late_rows_stream(spark, sf):
+    """Rows behind the watermark, set aside with the watermark they missed."""
+    return _marked_stream(spark, sf, "late_rows").where("is_late").select("event_id", "ts", "watermark")
+
+
+def q_on_time_counts_stream(spark, sf):
+    """Counts per window of the rows that came in time."""
+    return tumbling_counts(_marked_stream(spark, sf, "on_time").where(~F.col("is_late")), "ts", ["event_type"], WINDOW)
+
+
 def q_running_counts_batch(spark, sf):
     ev = _events(spark, sf).select("event_id", "event_type")
     return running_counts_batch(ev, "event_type", "event_id")
@@ -504,6 +561,28 @@ def q_lexicon_sentiment_stream(spark, sf):
     )
 
 
+def _word_lexicon(spark, sf):
+    """A lexicon as large as the documents' vocabulary: a word's class follows from its hash."""
+    words = explode_tokens(_documents(spark, sf).select(F.lower("text").alias("text")), "text", WORD, out="w").distinct()
+    first = F.substring(F.md5("w"), 1, 1)
+    return words.select("w", F.when(first <= "5", "positive").when(first <= "b", "negative").otherwise("neutral").alias("cls"))
+
+
+def q_large_lexicon_stream(spark, sf):
+    """Sentiment of a stream by a lexicon that is joined, micro-batch by micro-batch."""
+    docs = _raw(spark, sf, "documents").select("doc_id", "text")
+    lexicon = materialize(_word_lexicon(spark, sf), "lexicon")
+    schema = "doc_id long, n_tokens long, pos_hits long, neg_hits long, positive double, neutral double, negative double"
+    return replay_batches_to_table(
+        docs, "doc_id", STREAM_SPLITS, "large_lexicon", lambda b: lexicon_sentiment(b, "doc_id", "text", lexicon, max_literal_words=0), schema
+    )
+
+
+def q_word_spans(spark, sf):
+    """A table function of the user's own: words with their places in the text."""
+    return apply_table_function(_documents(spark, sf), WordSpans, WordSpans.returns, ["text"], keep=["doc_id"])
+
+
 # -- K1 / K3 / K4 / S2 -------------------------------------------------------------
 
 
@@ -571,6 +650,18 @@ def q_replay_lines(spark, sf):
     return replay_cycle(_doc_lines(spark, sf, pos="line_no"), "line", ["doc_id", "line_no"])
 
 
+def q_replay_lines_stream(spark, sf):
+    """The paced, endless replay: one and a quarter cycles over all lines in STREAM_SPLITS micro-batches of ticks."""
+    idx = materialize(indexed_lines(_doc_lines(spark, sf, pos="line_no"), "line", ["doc_id", "line_no"]), "replay-lines")
+    n = idx.count()
+    if n == 0:
+        return spark.createDataFrame([], "tick long, event_time long, data string")
+    ckpt, out = scratch_path(spark, "replay-ckpt"), scratch_path(spark, "replay-out")
+    per_batch = -(-5 * n // (4 * STREAM_SPLITS))
+    for _ in range(STREAM_SPLITS):
+        result = run_to_table(replay_ticks(staged_ticks(spark, per_batch), idx, n), "replay", checkpoint=ckpt, path=out)
+    return result
+
 
 QUERIES: dict[str, Query] = {
     "read_lines": q_read_lines,
@@ -625,4 +716,13 @@ QUERIES: dict[str, Query] = {
     "running_panes_stream": q_running_panes_stream,
     "messages_with_headers": q_messages_with_headers,
     "messages_with_headers_stream": q_messages_with_headers_stream,
+    "drop_blank_padded": q_drop_blank_padded,
+    "track_filter_comma": q_track_filter_comma,
+    "classify_by_key_mixed": q_classify_by_key_mixed,
+    "classify_counts_mixed": q_classify_counts_mixed,
+    "late_rows_stream": q_late_rows_stream,
+    "on_time_counts_stream": q_on_time_counts_stream,
+    "large_lexicon_stream": q_large_lexicon_stream,
+    "word_spans": q_word_spans,
+    "replay_lines_stream": q_replay_lines_stream,
 }

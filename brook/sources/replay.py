@@ -47,11 +47,21 @@ def replay_lines(
     small and shuffles otherwise.
     """
     idx = materialize(indexed_lines(lines, line, order), "replay-lines")
-    n = idx.count()
+    ticks = spark.readStream.format("rate").option("rowsPerSecond", rows_per_second).load()
+    return replay_ticks(ticks, idx, idx.count()).select("event_time", "data")
+
+
+def replay_ticks(ticks: DataFrame, idx: DataFrame, n: int) -> DataFrame:
+    """``tick, event_time, data``: the line of each tick of a stream ``(timestamp, value)``, cycling over the ``n`` stored
+    lines ``idx`` of :func:`indexed_lines`; ``event_time`` is the tick's own time in epoch seconds."""
     if n == 0:
         raise ValueError("no non-blank line to replay")
-    ticks = spark.readStream.format("rate").option("rowsPerSecond", rows_per_second).load()
-    keyed = ticks.select((F.col("value") % F.lit(n)).alias("line_idx"), "timestamp")
-    return keyed.join(idx, "line_idx").select(
-        F.unix_timestamp("timestamp").alias("event_time"), "data"
-    )
+    keyed = ticks.select((F.col("value") % F.lit(n)).alias("line_idx"), F.col("value").alias("tick"), "timestamp")
+    return keyed.join(idx, "line_idx").select("tick", F.unix_timestamp("timestamp").alias("event_time"), "data")
+
+
+def staged_ticks(spark: SparkSession, rows_per_batch: int, start_epoch: int = 0, advance_ms: int = 1000, partitions: int = 8) -> DataFrame:
+    """A reproducible tick stream: every micro-batch has ``rows_per_batch`` ticks of one time, ``advance_ms`` after the
+    one before, whatever the wall clock says (``availableNow`` runs one such batch)."""
+    source = spark.readStream.format("rate-micro-batch").option("rowsPerBatch", rows_per_batch).option("numPartitions", partitions)
+    return source.option("startTimestamp", start_epoch * 1000).option("advanceMillisPerBatch", advance_ms).load()
