@@ -8,17 +8,19 @@ most ``reach`` characters away (to an endpoint only secrets outside of all endpo
 no second part).  From there a link goes on through all parts of the scope, each within reach of the one before, so
 that a key of many lines is taken whole, however long.
 
-The join runs as a sorted sweep inside the document (a window over start positions, so
-its work is bounded by the parts within reach), in one map over the text without a shuffle.
+The join is a semi-join of sorted spans inside the document (which parts have a partner, not which pairs
+there are), so its work follows the number of parts; it runs in one map over the text without a shuffle.
 
 Defined cases: null and empty texts have no findings; every row is scanned by itself, so
 repeated rows, repeated or null ids are fine; whole texts are scanned, however long;
-equal starts are ordered by kind; an empty table gives an empty result; other columns are kept.
+equal starts are ordered by kind; an empty table gives an empty result; other columns are kept,
+but one named like the output is replaced by it.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame
@@ -76,25 +78,31 @@ def weak_spans(text: str) -> list[Span]:
     return found + [("endpoint", *m.span()) for m in ENDPOINT.finditer(text)]
 
 
-def interval_join(left: list[Span], right: list[Span], scopes: list[int], reach: int) -> Iterator[tuple[Span, Span]]:
-    """Pairs in one scope whose gap is at most ``reach`` characters; both sides sorted by start."""
-    longest = max((r[2] - r[1] for r in right), default=0)
-    first = 0
-    for a in left:
-        while first < len(right) and right[first][1] < a[1] - reach - longest:
-            first += 1
-        k = first
-        while k < len(right) and right[k][1] <= a[2] + reach:
-            b = right[k]
-            lo, hi = min(a[2], b[2]), max(a[1], b[1])
-            if hi - lo <= reach and not any(lo <= s < hi for s in _between(scopes, lo, hi)):
-                yield a, b
-            k += 1
+def interval_join(left: list[Span], right: list[Span], scopes: list[int], reach: int) -> set[Span]:
+    """The spans of either side that have one of the other in their scope, at most ``reach`` characters away.
 
+    No span holds a scope's border.  A scope's spans are sorted by start, with the greatest end so far: those that
+    start early enough are a prefix, and one of them reaches far enough where its greatest end does.
+    """
+    return _met(left, right, scopes, reach) | _met(right, left, scopes, reach)
+
+
+def _met(spans: list[Span], others: list[Span], scopes: list[int], reach: int) -> set[Span]:
+    by_scope: dict[int, tuple[list[int], list[int]]] = {}
+    for _, start, end in sorted(others, key=lambda x: x[1]):
+        starts, ends = by_scope.setdefault(bisect_left(scopes, start), ([], []))
+        starts.append(start)
+        ends.append(max(end, ends[-1]) if ends else end)
+    found = set()
+    for span in spans:
+        starts, ends = by_scope.get(bisect_left(scopes, span[1]), ((), ()))
+        before = bisect_right(starts, span[2] + reach)
+        if before and ends[before - 1] >= span[1] - reach:
+            found.add(span)
+    return found
 
-def _between(scopes: list[int], lo: int, hi: int) -> list[int]:
-    from bisect import bisect_left
 
+def _between(scopes: list[int], lo: int, hi: int) -> list[int]:
     return scopes[bisect_left(scopes, lo) : bisect_left(scopes, hi)]
 
 
@@ -113,8 +121,6 @@ def scan(text: str | None, reach: int = 200) -> list[Span]:
 
 def _outside(spans: list[Span], taken: list[Span]) -> list[Span]:
     """The spans that overlap none of ``taken``."""
-    from bisect import bisect_left
-
     starts, ends = [], []
     for _, s, e in sorted(taken, key=lambda x: x[1]):  # their union, as disjoint stretches
         if ends and s <= ends[-1]:
@@ -134,8 +140,7 @@ def _linked(text: str, base: list[Span], weak: list[Span], reach: int) -> list[S
         return []
     scopes = [m.start() for m in BLANK_LINE.finditer(text)]
     apart = _outside(roles["secret"], roles["endpoint"])
-    linked = {x for pair in interval_join(roles["identifier"], roles["secret"], scopes, reach) for x in pair}
-    linked |= {x for pair in interval_join(roles["endpoint"], apart, scopes, reach) for x in pair}
+    linked = interval_join(roles["identifier"], roles["secret"], scopes, reach) | interval_join(roles["endpoint"], apart, scopes, reach)
     taken = {x for run in _runs(base + weak, scopes, reach) if not linked.isdisjoint(run) for x in run}
     return [w for w in weak if w in taken]
 

@@ -33,15 +33,44 @@ def test_base_spans_match_brute_force(text):
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.tuples(st.integers(0, 60), st.integers(1, 8)), max_size=12), st.lists(st.tuples(st.integers(0, 60), st.integers(1, 8)), max_size=12), st.lists(st.integers(0, 70), max_size=4).map(sorted), st.integers(0, 20))
 def test_interval_join_matches_all_pairs(a, b, scopes, reach):
-    left = sorted({("l", s, s + n) for s, n in a}, key=lambda x: x[1:])
-    right = sorted({("r", s, s + n) for s, n in b}, key=lambda x: x[1:])
+    whole = lambda s, n: not any(s <= x < s + n for x in scopes)  # noqa: E731 - no span holds a border
+    left = sorted({("l", s, s + n) for s, n in a if whole(s, n)}, key=lambda x: x[1:])
+    right = sorted({("r", s, s + n) for s, n in b if whole(s, n)}, key=lambda x: x[1:])
     want = set()
     for x in left:
         for y in right:
             lo, hi = min(x[2], y[2]), max(x[1], y[1])
             if hi - lo <= reach and not any(lo <= s < hi for s in scopes):
-                want.add((x, y))
-    assert set(secrets.interval_join(left, right, scopes, reach)) == want
+                want |= {x, y}
+    assert secrets.interval_join(left, right, scopes, reach) == want
+
+
+SPANS = st.lists(st.tuples(st.integers(0, 80), st.integers(1, 12)), max_size=14).map(lambda x: [("s", s, s + n) for s, n in x])
+
+
+@settings(max_examples=200, deadline=None)
+@given(SPANS, SPANS, st.lists(st.integers(0, 90), max_size=4).map(sorted), st.integers(0, 15))
+def test_runs_and_outside_match_brute_force(a, b, scopes, reach):
+    apart = lambda x, y: x[2] <= y[1] or y[2] <= x[1]
+    assert secrets._outside(a, b) == [x for x in a if all(apart(x, y) for y in b)]
+    parts = [x for x in a if not any(x[1] <= s < x[2] for s in scopes)]
+    # runs are the components of parts that are near and in one scope
+    near = lambda x, y: max(x[1], y[1]) - min(x[2], y[2]) <= reach and not any(min(x[2], y[2]) <= s < max(x[1], y[1]) for s in scopes)
+    groups = []
+    for x in parts:
+        met = [g for g in groups if any(near(x, y) for y in g)]
+        groups = [g for g in groups if g not in met] + [[x] + [y for g in met for y in g]]
+    assert sorted(sorted(r) for r in secrets._runs(parts, scopes, reach)) == sorted(sorted(g) for g in groups)
+
+
+def test_a_long_token_among_many_identifiers_takes_linear_time():
+    import time
+
+    key = "Zx9Kq2Lm8Pw4Rt6Yv1Bn3Cd5"
+    text = key * 16_000 + "".join(f" user: u{k} {key}{k}" for k in range(20_000))
+    start = time.monotonic()
+    found = secrets.scan(text)
+    assert time.monotonic() - start < 5 and len(found) == 40_001
 
 
 def test_weak_parts_need_each_other():
