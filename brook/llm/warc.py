@@ -205,7 +205,7 @@ def describe(record: bytes) -> tuple:
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
-    """Records of normalised archives (columns ``RECORDS``), each met with its line of the sidecar index."""
+    """Records of normalised archives (columns ``RECORDS``), each met with its line of the sidecar index; a record without one is an error."""
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -216,4 +216,6 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
                 yield out.astype({"page_id": "Int64", "refers_to": "Int64"})
 
     files = _binary_files(spark, path, "*").filter(F.col("path").contains("/kind=warc/"))
-    return files.mapInPandas(scan, RECORDS).join(read_index(spark, path), ["archive", "offset", "length"])
+    met = files.mapInPandas(scan, RECORDS).join(read_index(spark, path), ["archive", "offset", "length"], "left")
+    lost = F.raise_error(F.concat(F.lit("no index line for the record at "), "offset", F.lit(" of "), "archive"))
+    return met.filter(F.coalesce("record_id", lost).isNotNull())

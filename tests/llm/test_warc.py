@@ -2,6 +2,8 @@ import base64
 import gzip
 import hashlib
 
+import pytest
+
 from brook.llm import warc
 from brook.session import scratch_path
 
@@ -62,3 +64,12 @@ def test_min_bytes_and_empty_table(spark):
     assert kinds[3] == kinds[4] == "response" and kinds[1] == "revisit"
     _, path = archived(spark, spark.createDataFrame([], PAGES))
     assert warc.read_archives(spark, path).count() == 0
+
+
+def test_a_record_without_its_index_line_is_an_error(spark, monkeypatch):
+    _, df = pages(spark)
+    _, path = archived(spark, df)
+    index = warc.read_index(spark, path)
+    monkeypatch.setattr(warc, "read_index", lambda *_: index.filter("record_id <> '<urn:page:7>'"))
+    with pytest.raises(Exception, match="no index line"):
+        warc.read_archives(spark, path).select("page_id").collect()
