@@ -21,7 +21,8 @@ to all tasks; it is bounded by ``max_leaves``.  On the check tables, where vecto
 Defined cases: null vectors, vectors holding null or non-finite components and zero vectors take no
 part, nor do vectors of another length than the most frequent one (the larger on a tie); null ids take no part; repeated
 rows of one id are one candidate per different vector; ties go to the smaller id; fewer candidates
-than ``k`` give fewer rows; an empty table gives an empty result.
+than ``k`` give fewer rows; an empty table gives an empty result;
+other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations

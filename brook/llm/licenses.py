@@ -14,7 +14,7 @@ word, about a hundred), then the scan, which stays inside the row.
 Defined cases: null and empty texts have no words, no labels, score 0 and null places; rows are
 judged one by one, so repeated rows, repeated or null ids are fine; ties don't arise (labels are
 sets, the score a maximum); very long texts cost one sort of their votes; an empty table
-gives an empty result; other columns are kept.
+gives an empty result; other columns are kept, but one named like the output is replaced by it.
 """
 
 from __future__ import annotations

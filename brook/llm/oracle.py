@@ -1,7 +1,5 @@
 """DuckDB SQL of the queries that SQL can express."""
 
-from brook.llm import licenses
-
 WORD = r"[^\x20\x09-\x0D]+"
 
 QUALITY = rf"""
@@ -45,33 +43,49 @@ FROM g
 """
 
 
-def _licenses() -> str:
-    known = licenses.template_words()
-    words = ", ".join(f"({t}, {p}, '{w}', {str(a <= p < b).lower()}, '{label}', {len(ws)})" for t, (label, ws, a, b) in enumerate(known) for p, w in enumerate(ws))
-    index = ", ".join(f"'{w}'" for w in licenses.index_words())
-    base = " UNION ALL ".join(
-        f"SELECT k, '{label}' AS label, i FROM n WHERE " + " AND ".join(f"ws[i + {j}] = '{w}'" for j, w in enumerate(phrase.split()))
-        for phrase, label in licenses.BASE.items()
-    )
-    return rf"""
-WITH t(t, p, w, key, label, size) AS (VALUES {words}),
+#: Every place of a key phrase, searched word by word without an index.
+LICENSES = r"""
+WITH t0(t, label, template, key) AS (VALUES
+  (1, 'agpl', 'under the terms of the gnu affero general public license', 'affero general public license'),
+  (2, 'apache-2.0', 'licensed under the apache license version 2 0', 'apache license'),
+  (3, 'bsd', 'redistribution and use in source and binary forms with or without modification are permitted', 'source and binary forms'),
+  (4, 'cc-by-nc', 'licensed under cc by nc 4 0', 'cc by nc'),
+  (5, 'cc-by-nd', 'licensed under cc by nd 4 0', 'cc by nd'),
+  (6, 'cc-by-sa', 'licensed under cc by sa 4 0', 'cc by sa'),
+  (7, 'cc-by', 'licensed under the creative commons attribution 4 0 international license', 'creative commons attribution'),
+  (8, 'cc0', 'creative commons cc0 1 0 universal public domain dedication', 'cc0 1 0 universal'),
+  (9, 'gpl', 'under the terms of the gnu general public license as published by the free software foundation', 'gnu general public license'),
+  (10, 'isc', 'permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted', 'permission to use copy modify'),
+  (11, 'lgpl', 'under the terms of the gnu lesser general public license', 'lesser general public license'),
+  (12, 'mit', 'permission is hereby granted free of charge to any person obtaining a copy of this software', 'permission is hereby granted free of charge'),
+  (13, 'mpl-2.0', 'this source code form is subject to the terms of the mozilla public license v 2 0', 'mozilla public license'),
+  (14, 'reserved', 'copyright all rights reserved', 'all rights reserved'),
+  (15, 'unlicense', 'this is free and unencumbered software released into the public domain', 'free and unencumbered software'),
+  (16, 'bsd', 'released under the bsd license', 'bsd license'),
+  (17, 'bsd', 'released under the bsd 2 clause license', 'bsd 2 clause'),
+  (18, 'bsd', 'released under the bsd 3 clause license', 'bsd 3 clause'),
+  (19, 'isc', 'released under the isc license', 'isc license'),
+  (20, 'mit', 'released under the mit license', 'mit license'),
+  (21, 'mpl-2.0', 'released under the mozilla public license version 2 0', 'mozilla public license'),
+  (22, 'mpl-2.0', 'released under the mpl 2 0', 'released under the mpl'),
+  (23, 'mpl-2.0', 'licensed under the mpl 2 0', 'licensed under the mpl'),
+  (24, 'unlicense', 'released under the unlicense', 'released under the unlicense'),
+  (25, 'unlicense', 'licensed under the unlicense', 'licensed under the unlicense')),
+t AS (SELECT t, label, string_split(template, ' ') AS words, string_split(key, ' ') AS key,
+    len(string_split(trim(split_part(' ' || template || ' ', ' ' || key || ' ', 1)), ' ')) * (NOT starts_with(template, key))::INT AS ahead FROM t0),
+q(label, phrase) AS (VALUES ('cc-by', 'cc by'), ('gpl', 'general public license'), ('reserved', 'all rights reserved')),
 d AS (SELECT row_number() OVER () AS k, doc_id, list_filter(string_split_regex(
     translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS ws FROM documents),
 n AS (SELECT k, ws, unnest(range(1, len(ws) + 1)) AS i FROM d),
-df AS (SELECT ws[i] AS w, count(DISTINCT k) AS docs FROM n WHERE ws[i] IN ({index}) GROUP BY 1),
-rare AS (SELECT w FROM df WHERE docs <= 0.05 * (SELECT count(*) FROM d)),
-v AS (SELECT n.k, t.t, n.i - 1 - t.p AS s FROM n JOIN t ON n.ws[n.i] = t.w WHERE t.w IN (SELECT w FROM rare)),
-c AS (SELECT k, t, s FROM v GROUP BY ALL HAVING count(*) > 1),
-m AS (SELECT c.k, t.label, c.t, c.s, avg(CASE WHEN c.s + t.p >= 0 AND d.ws[c.s + t.p + 1] = t.w THEN 1.0 ELSE 0.0 END) AS score,
-    bool_and(NOT t.key OR coalesce(c.s + t.p >= 0 AND d.ws[c.s + t.p + 1] = t.w, false)) AS ok
-  FROM c JOIN t USING (t) JOIN d USING (k) GROUP BY ALL),
-b AS ({base}),
+f AS (SELECT k, label, (SELECT avg(CASE WHEN i - ahead + p >= 1 AND ws[i - ahead + p] = words[p + 1] THEN 1.0 ELSE 0.0 END) FROM (SELECT unnest(range(len(words))) AS p)) AS score
+  FROM n JOIN t ON ws[i] = t.key[1] AND ws[i:i + len(t.key) - 1] = t.key),
+b AS (SELECT k, label, i FROM n JOIN q ON ws[i] = split_part(phrase, ' ', 1) AND ws[i:i + len(string_split(phrase, ' ')) - 1] = string_split(phrase, ' ')),
 bb AS (SELECT k, count(*) AS n_base, min(i) - 1 AS first_word, max(i) - 1 AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM b GROUP BY k),
-f AS (SELECT k, max(score) AS score FROM m WHERE ok GROUP BY k),
-l AS (SELECT k, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM (SELECT k, label FROM b UNION ALL SELECT k, label FROM m WHERE ok) GROUP BY k)
+s AS (SELECT k, max(score) AS score FROM f GROUP BY k),
+l AS (SELECT k, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM (SELECT k, label FROM b UNION ALL SELECT k, label FROM f) GROUP BY k)
 SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word::BIGINT AS first_word, last_word::BIGINT AS last_word,
-  coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, CASE WHEN n_base > 0 THEN 1.0 ELSE coalesce(f.score, 0.0) END::DOUBLE AS score
-FROM d LEFT JOIN bb USING (k) LEFT JOIN f USING (k) LEFT JOIN l USING (k)
+  coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, CASE WHEN n_base > 0 THEN 1.0 ELSE coalesce(s.score, 0.0) END::DOUBLE AS score
+FROM d LEFT JOIN bb USING (k) LEFT JOIN s USING (k) LEFT JOIN l USING (k)
 """
 
 
@@ -153,7 +167,7 @@ SELECT item_id, rank::INT AS rank, doc_id, score FROM r WHERE rank <= 50
 ORACLE = {
     "op3_near_duplicates": NEAR_DUPLICATES,
     "op7_warc": WARC,
-    "op8_licenses": _licenses(),
+    "op8_licenses": LICENSES,
     "op9_mix_sources": MIX,
     "op4_quality_rules": QUALITY,
     "op12_fingerprints": FINGERPRINTS,

@@ -14,7 +14,8 @@ twice or more.  Everything is computed inside the row, in one map over the text.
 
 Defined cases: null text counts as empty (no words: base rules fail, the cleaned text is
 empty); repeated rows and null ids are judged row by row; very long texts need one sort
-of their windows' hashes (64 bit); an empty table gives an empty result; other columns are kept as they are.
+of their windows' hashes (64 bit); an empty table gives an empty result; other columns are kept as they are,
+but one named like the output is replaced by it.
 """
 
 from __future__ import annotations

@@ -18,7 +18,8 @@ needs one number per bucket.
 
 Defined cases: null and empty texts and texts without a word get the score of an empty
 bag, below 0.5; rows keep their own result, so repeated rows and ids and null ids are
-fine; with labels of one class only every score is the same side of 0.5; an empty table gives an empty result.
+fine; with labels of one class only every score is the same side of 0.5; an empty table gives an empty result;
+other columns are kept, but one named like the output is replaced by it.
 """
 
 from __future__ import annotations
@@ -265,8 +266,11 @@ def held_out(doc_id):
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, text: str, doc_id: str, per_class: int, train_chars: int) -> tuple[list[str], np.ndarray]:
-    """At most ``per_class`` texts of each label outside the held-out rows, in hash order."""
+    """At most ``per_class`` texts of each label outside the held-out rows, of at most ``train_chars`` characters, in hash order."""
     known = labels.filter("doc_id is not null and toxic in (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("toxic")).filter(~held_out("doc_id"))
+    # texts that are too long to train on are left out before the limit, so that they don't use it up
+    fits = docs.filter(F.length(text) <= train_chars).select(F.col(doc_id).alias("doc_id")).distinct()
+    known = known.join(fits, "doc_id", "left_semi")
     by_class = [known.filter(F.col("toxic") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class) for c in (0, 1)]
     chosen = by_class[0].union(by_class[1]).select(F.col("doc_id").alias("chosen_id"), "toxic")
     rows = (

@@ -1,9 +1,12 @@
 """Quality rules, licences, HTML and toxicity on small and odd inputs."""
 
+import zlib
+
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from brook.llm import htmltext, licenses, quality, toxicity
+from brook.llm import htmltext, licenses, quality, secrets, toxicity
 
 DOCS = "doc_id long, text string, quality string, license string, score string"
 
@@ -173,3 +176,24 @@ def test_windows_of_long_words_hash_alike():
         alone, _ = toxicity.bags([w], 1 << 16)
         end = starts[k + 1] if k + 1 < len(starts) else len(a)
         assert sorted(a[starts[k] : end]) == sorted(alone)
+
+
+def test_an_output_replaces_a_column_of_its_name(spark, model):
+    docs = frame(spark, [PROSE, None]).withColumn("findings", F.lit("old"))
+    made = {
+        "quality": quality.judge_documents(docs), "license": licenses.scan_licenses(docs),
+        "findings": secrets.find_secrets(docs), "score": toxicity.score_documents(docs, model),
+    }
+    for name, df in made.items():
+        assert sorted(df.columns) == sorted(docs.columns)
+        old = docs.schema[name].dataType
+        assert df.schema[name].dataType != old and df.count() == 2
+        assert all(df.schema[c].dataType == docs.schema[c].dataType for c in docs.columns if c != name)
+
+
+def test_long_texts_dont_use_up_the_training_limit(spark):
+    ids = [k for k in range(200) if zlib.crc32(str(k).encode()) % 5]
+    docs = spark.createDataFrame([(k, "w " * (2 if k % 4 == 0 else 5_000)) for k in ids], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 8 // 4) for k in ids], "doc_id long, toxic int")
+    texts, toxic = toxicity.training_rows(docs, labels, "text", "doc_id", 5, 100)
+    assert len(texts) == 10 and sorted(toxic) == [0] * 5 + [1] * 5 and set(texts) == {"w w "}
