@@ -3,6 +3,7 @@
 import zlib
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -197,3 +198,16 @@ def test_long_texts_dont_use_up_the_training_limit(spark):
     labels = spark.createDataFrame([(k, k % 8 // 4) for k in ids], "doc_id long, toxic int")
     texts, toxic = toxicity.training_rows(docs, labels, "text", "doc_id", 5, 100)
     assert len(texts) == 10 and sorted(toxic) == [0] * 5 + [1] * 5 and set(texts) == {"w w "}
+
+
+def test_licence_sql_finds_common_headers_in_small_tables(spark):
+    import duckdb
+
+    from brook.llm import oracle
+
+    texts = [text for _, text, _ in licenses.TEMPLATES] + ["Released under the MIT License."] * 9 + [None, "", "cc by nc", "x by the terms of the gnu general public license"]
+    docs = pd.DataFrame({"doc_id": range(len(texts)), "text": texts})
+    con = duckdb.connect()
+    con.register("documents", docs)
+    got = con.execute(f"SELECT labels, score FROM ({oracle.LICENSES}) ORDER BY doc_id").fetchall()
+    assert [(x, round(y, 9)) for x, y in got] == [(x, round(y, 9)) for x, y in labels_of(spark, texts)]
