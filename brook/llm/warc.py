@@ -7,10 +7,15 @@ with equal payloads one is a response and the others are revisit records without
 ``normalise`` is the monolithic gzip normaliser: one map over the archives inflates every
 stream once, piece by piece, and rewrites each record as a gzip member of its own, next to
 a sidecar index with a line per record (offset, length, record id).  A worker holds one
-compressed archive and one record at a time; archives have at most ``records_per_file`` records.
+compressed archive, one record and ``CHUNK`` bytes of finished members at a time.
 
-Both outputs go through the text writer with raw bytes as values: its line end is
-an empty gzip member, which readers skip.
+An archive has at most ``records_per_file`` records, fewer where they are larger than
+``RECORD_BYTES``: records are told apart by size classes, each eight times the last, and
+a file takes one class and an eighth of the records of the class before, so it holds at most
+records_per_file * RECORD_BYTES bytes (64 MB at the defaults) or a single record.
+
+Both outputs go through the text writer with raw bytes as values: its line end, after each
+chunk, is an empty gzip member, which readers skip and offsets count.
 
 Defined cases: null html is an empty payload, null or odd urls are left out or percent-coded; a page without id
 revisits an equal payload that has one and is else a response; repeated rows with the largest
@@ -34,6 +39,10 @@ from brook.session import materialize
 END = "\r\n\r\n"
 #: Digests of repeated payloads that are broadcast at most (about 60 bytes each); beyond it pages are joined by shuffle.
 MAX_BROADCAST_DIGESTS = 500_000
+#: Bytes of a record of the smallest size class at most.
+RECORD_BYTES = 1 << 15
+#: Finished members that leave a task as one row.
+CHUNK = 8 << 20
 #: A gzip member without content.
 EMPTY_MEMBER = (lambda z: z.compress(b"") + z.flush())(zlib.compressobj(6, zlib.DEFLATED, 31))
 RECORDS = "archive string, offset long, length long, page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
@@ -79,9 +88,14 @@ def records(pages: DataFrame, page_id: str = "page_id", url: str = "url", html:
 
 
 def write_archives(pages: DataFrame, path: str, records_per_file: int = 2000, **columns) -> str:
-    """Monolithic gzip archives of all pages under ``path``."""
-    out = records(pages, **columns).write.option("lineSep", END).option("compression", "gzip").option("maxRecordsPerFile", records_per_file)
-    out.text(path)
+    """Monolithic gzip archives of all pages under ``path``, ``size=<class>/run=<number>`` apart."""
+    size = F.octet_length("record")
+    classes = [F.when(size > RECORD_BYTES << 3 * k, 1).otherwise(0) for k in range(6)]  # a value has less than 2 GiB
+    row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))  # inside the task: consecutive rows, whatever their class
+    out = records(pages, **columns).withColumn("size", sum(classes[1:], classes[0]))
+    limit = F.get(F.array(*[F.lit(max(1, records_per_file >> 3 * k)) for k in range(len(classes) + 1)]), "size")
+    out = out.withColumn("row", row).select("record", "size", F.floor(F.col("row") / limit).alias("run"))
+    out.write.partitionBy("size", "run").option("lineSep", END).option("compression", "gzip").text(path)
     return path
 
 
@@ -143,24 +157,42 @@ def normalise(spark: SparkSession, source: str, target: str) -> str:
     def rewrite(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for path, content in zip(batch["path"], batch["content"], strict=True):
-                name = path.rsplit("/", 1)[1].removesuffix(".gz").removesuffix(".txt")
-                reader, members, lines, offset = Reader(), [], [], 0
+                name = _name(path)
+                reader, members, lines, held, offset, part = Reader(), [], [], 0, 0, 0
+
+                def chunk(name, part, members, lines) -> pd.DataFrame:
+                    index = gzip_member("".join(lines).encode())
+                    return pd.DataFrame({"archive": [name] * 2, "kind": ["warc", "index"], "part": [part] * 2, "value": [b"".join(members), index]})
+
                 for data in inflate(content):
                     for headers, record, _ in reader.feed(data):
                         members.append(gzip_member(record))
-                        lines.append(f"{offset} {len(members[-1])} {headers['warc-record-id']}")
+                        lines.append(f"{offset} {len(members[-1])} {headers['warc-record-id']}\n")
                         offset += len(members[-1])
+                        held += len(members[-1])
+                        if held >= CHUNK:
+                            yield chunk(name, part, members, lines)
+                            members, lines, held, part = [], [], 0, part + 1
+                            offset += len(EMPTY_MEMBER)
                 if reader.rest:
                     raise ValueError(f"{path}: {len(reader.rest)} bytes after the last record")
-                index = gzip_member("".join(f"{x}\n" for x in lines).encode())
-                yield pd.DataFrame({"archive": [name] * 2, "kind": ["warc", "index"], "value": [b"".join(members), index]})
+                if members or not part:
+                    yield chunk(name, part, members, lines)
 
-    rows = _binary_files(spark, source, "*.gz").mapInPandas(rewrite, "archive string, kind string, value binary")
-    out = rows.withColumn("value", F.col("value").cast("string")).write.partitionBy("archive", "kind")
+    rows = _binary_files(spark, source, "*.gz").mapInPandas(rewrite, "archive string, kind string, part int, value binary")
+    # an archive's chunks come from one task; the writer keeps this order
+    rows = rows.sortWithinPartitions("archive", "kind", "part").select("archive", "kind", F.col("value").cast("string").alias("value"))
+    out = rows.write.partitionBy("archive", "kind")
     out.option("encoding", "ISO-8859-1").option("lineSep", EMPTY_MEMBER.decode("latin-1")).text(target)
     return target
 
 
+def _name(path: str) -> str:
+    """An archive's name: its file's, after those of the folders of the partitioned write."""
+    *folders, file = path.split("/")
+    return "-".join([*(x.replace("=", "") for x in folders[-2:] if "=" in x), file.removesuffix(".gz").removesuffix(".txt")])
+
+
 def _archive_of(path: str) -> str:
     return next(x for x in path.split("/") if x.startswith("archive="))[8:]
 

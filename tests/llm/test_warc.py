@@ -1,6 +1,7 @@
 import base64
 import gzip
 import hashlib
+import random
 
 import pytest
 
@@ -73,3 +74,33 @@ def test_a_record_without_its_index_line_is_an_error(spark, monkeypatch):
     monkeypatch.setattr(warc, "read_index", lambda *_: index.filter("record_id <> '<urn:page:7>'"))
     with pytest.raises(Exception, match="no index line"):
         warc.read_archives(spark, path).select("page_id").collect()
+
+
+def test_archives_bounded_by_bytes_and_chunks(spark, monkeypatch):
+    monkeypatch.setattr(warc, "RECORD_BYTES", 1 << 10)
+    rng = random.Random(3)
+    sizes = [*[200] * 150, *[5_000] * 30, *[40_000] * 12, 300_000, 1_200_000]
+    rng.shuffle(sizes)
+    rows = [(k, f"http://h/{k}", "".join(rng.choices("abcdefgh", k=n)), "x", "y") for k, n in enumerate(sizes)]
+    whole = warc.write_archives(spark.createDataFrame(rows, PAGES).coalesce(2), scratch_path(spark, "t-whole"), records_per_file=64)
+    streams = [gzip.decompress(bytes(r["content"])) for r in warc._binary_files(spark, whole, "*.gz").collect()]
+    assert all(len(x) <= 64 << 10 or x.count(b"WARC/1.0\r\n") == 1 for x in streams)
+    assert sum(x.count(b"WARC/1.0\r\n") for x in streams) == len(rows)
+    digests = sorted((k, digest(h)) for k, _, h, *_ in rows)
+    path = warc.normalise(spark, whole, scratch_path(spark, "t-warc"))
+    assert sorted((r["page_id"], r["payload_digest"]) for r in warc.read_archives(spark, path).collect()) == digests
+
+
+def test_chunks_keep_order_and_offsets(spark):
+    rng = random.Random(5)
+    rows = [(k, f"http://h/{k}", "".join(rng.choices("abcdefghijklmnopqrstuvwxyz0123456789", k=1 << 15)), "x", "y") for k in range(700)]
+    df = spark.createDataFrame(rows, PAGES).coalesce(1)
+    whole = warc.write_archives(df, scratch_path(spark, "t-whole"), records_per_file=8000)
+    path = warc.normalise(spark, whole, scratch_path(spark, "t-warc"))
+    files = {warc._archive_of(r["path"]): bytes(r["content"]) for r in warc._binary_files(spark, path, "*").collect() if "/kind=warc/" in r["path"]}
+    index = warc.read_index(spark, path).collect()
+    assert len(index) == len(rows) and max(map(len, files.values())) > warc.CHUNK
+    html = {f"<urn:page:{k}>": h.encode() for k, _, h, *_ in rows}
+    for r in index:
+        assert html[r["record_id"]] in gzip.decompress(files[r["archive"]][r["offset"] : r["offset"] + r["length"]])
+    assert warc.read_archives(spark, path).count() == len(rows)
