@@ -7,7 +7,8 @@ distance over its squared distance then follows a chi-square law with ``dims`` d
    before the shuffle, so a vector that a third of the rows share is one row.
 2. A kd-tree of at most ``max_leaves`` leaves is fitted on the projections of a bounded sample
    (``sample_rows`` points in hash order); every point is put into its leaf.  Leaves with more than
-   ``block_rows`` points are dealt over several blocks.
+   ``block_rows`` points are dealt over several blocks, and the queries that visit a leaf over blocks of
+   ``block_queries``: a task compares one block of each.
 3. Round one searches a query's own leaf; round two every leaf that can still hold a neighbour.  In
    both, the projected neighbours of a block come nearest first and are verified on the original
    vectors until the next one's squared projected distance exceeds the chi-square quantile
@@ -33,7 +34,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from brook.session import materialize
@@ -182,7 +183,7 @@ def _search(size: int, keep: int, quantile: float):
 
 def nearest_neighbours(
     table: DataFrame, queries: Column, vec_id: str = "vec_id", vector: str = "embedding", k: int = 5, dims: int = 10, confidence: float = 0.98,
-    sample_rows: int = 20_000, leaf_rows: int = 1024, max_leaves: int = 1024, block_rows: int = 2048, seed: int = 11,
+    sample_rows: int = 20_000, leaf_rows: int = 1024, max_leaves: int = 1024, block_rows: int = 2048, block_queries: int = 2048, seed: int = 11,
 ) -> DataFrame:
     """(query_id, rank, vec_id, score) of the ``k`` nearest by cosine of every row that ``queries`` marks (a condition on ``vec_id``)."""
     lengths = table.filter(F.col(vector).isNotNull()).groupBy(F.size(vector).alias("size")).count().orderBy(F.desc("count"), F.desc("size")).first()
@@ -209,14 +210,20 @@ def nearest_neighbours(
 
     def visit(visits: DataFrame) -> DataFrame:
         """Search the leaves of ``visits`` (key, vec, proj, leaf, bound), all their blocks."""
-        each = visits.join(F.broadcast(blocks), "leaf").withColumn("blk", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - F.lit(1).cast("long")))).drop("blocks")
-        found = placed.groupBy("leaf", "blk").cogroup(each.groupBy("leaf", "blk"))
+        asking = visits.groupBy("leaf").agg(F.ceil(F.count(F.lit(1)) / block_queries).cast("int").alias("asking"))
+        asking = materialize(blocks.join(asking, "leaf"), "ann-asking")  # one row per leaf
+        every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - F.lit(1).cast("long")))
+        each = visits.join(F.broadcast(asking), "leaf").withColumn("ask", F.pmod(F.xxhash64("key"), "asking")).withColumn("blk", every("blocks"))
+        held = placed.join(F.broadcast(asking), "leaf").withColumn("ask", every("asking")).drop("blocks", "asking")
+        found = held.groupBy("leaf", "blk", "ask").cogroup(each.drop("blocks", "asking").groupBy("leaf", "blk", "ask"))
         return found.applyInPandas(_search(size, keep, quantile), "key binary, ids array<long>, score double")
 
     def best(found: DataFrame) -> DataFrame:
-        """(key, near): the ``keep`` best (score, ids) of each query."""
-        ordered = F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("cost"), F.element_at("ids", 1).alias("low"), "ids")))
-        return found.groupBy("key").agg(F.slice(ordered, 1, keep).alias("near"))
+        """(key, near): the ``keep`` best (score, ids) of each query; Spark limits each task's share of a query before the shuffle."""
+        near = F.struct((-F.col("score")).alias("cost"), F.element_at("ids", 1).alias("low"), "ids")
+        place = F.row_number().over(Window.partitionBy("key").orderBy("x"))
+        ordered = found.select("key", near.alias("x")).withColumn("place", place).filter(F.col("place") <= keep)
+        return ordered.groupBy("key").agg(F.array_sort(F.collect_list("x")).alias("near"))
 
     first = materialize(best(visit(asked_points.withColumn("bound", F.lit(float("inf"))))), "ann-first")
     bound = F.when(F.size("near") == keep, F.greatest(F.lit(0.0), 2 + 2 * F.element_at("near", keep)["cost"])).otherwise(F.lit(float("inf")))

@@ -68,3 +68,27 @@ def test_boxes_hold_their_points():
     for point, leaf in zip(x[:50], tree.leaf(x[:50]), strict=True):
         d = tree.box_distances(point)
         assert d[leaf] == 0 and len(d) == 16
+
+
+def test_many_leaves_and_query_blocks(spark):
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(60, 24))[rng.integers(0, 60, 6_000)] * 2 + rng.normal(size=(6_000, 24)) * 0.5
+    rows = [(k, [float(v) for v in np.float32(row)], "x", 1) for k, row in enumerate(x)]
+    df = spark.createDataFrame(rows, TABLE)
+    want = {q: near for q, near in exact_of(np.array([r[1] for r in rows]), 5).items()}
+    got = ann.nearest_neighbours(df, F.pmod("vec_id", F.lit(50)) == 0, leaf_rows=256, block_rows=100, block_queries=7).collect()
+    by = {}
+    for r in sorted(got, key=lambda r: (r["query_id"], r["rank"])):
+        by.setdefault(r["query_id"], []).append(r["vec_id"])
+    assert set(by) == set(want) and all(len(v) == 5 for v in by.values())
+    assert sum(len(set(by[q]) & set(want[q])) for q in want) >= 0.95 * 5 * len(want)
+
+
+def exact_of(x, k):
+    unit = x / np.sqrt((x * x).sum(axis=1))[:, None]
+    out = {}
+    for q in range(0, len(x), 50):
+        s = unit @ unit[q]
+        s[q] = -2
+        out[q] = np.argsort(-s, kind="stable")[:k].tolist()
+    return out
