@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 #: The rules' patterns and phrases.
+MARK = r"[#*$%&|<>]"
 MARKED_WORD = r"[^\x20\x09-\x0D#*$%&|<>]*[#*$%&|<>][^\x20\x09-\x0D]*"
 SHOUTED_WORD = r"[^\x20\x09-\x0D!]*(?:![^\x20\x09-\x0D!]+)*!![^\x20\x09-\x0D]*"
 SENTENCE = r"[.!?…。！？]"
@@ -37,8 +38,12 @@ def _let(value: Column, use) -> Column:
     return F.element_at(F.transform(F.array(value), use), 1)
 
 
-def chars_without(text: Column, pattern: str) -> Column:
-    return F.char_length(F.regexp_replace(text, pattern, ""))
+def words_of(text: Column) -> Column:
+    return F.array_remove(F.split(text, SPACE), "")
+
+
+def chars_of(words: Column) -> Column:
+    return F.char_length(F.array_join(words, "")).cast("long")
 
 
 def repeated_words(words: Column) -> Column:
@@ -53,15 +58,13 @@ def repeated_words(words: Column) -> Column:
         return F.aggregate(span, F.lit(0), lambda a, x: a + x)
 
     def windows(w: Column) -> Column:
-        hashed = F.transform(
-            F.sequence(F.lit(0), F.size(w) - 3),
-            lambda i: F.struct(F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)).alias("h"), i.alias("i")),
-        )
+        hashes = F.transform(F.sequence(F.lit(0), F.size(w) - 3), lambda i: F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)))
+        placed = lambda x: F.transform(x, lambda h, i: F.struct(h.alias("h"), i.alias("i")))
         # without two equal windows, the usual case of short texts, no sort is needed
         return _let(
-            hashed,
-            lambda x: F.when(F.size(F.array_distinct(F.transform(x, lambda y: y["h"]))) == F.size(x), F.lit(0)).otherwise(
-                _let(F.array_sort(x), lambda z: _let(marked(z), covered))
+            hashes,
+            lambda x: F.when(F.size(F.array_distinct(x)) == F.size(x), F.lit(0)).otherwise(
+                _let(F.array_sort(placed(x)), lambda z: _let(marked(z), covered))
             ),
         )
 
@@ -70,12 +73,13 @@ def repeated_words(words: Column) -> Column:
 
 def line_fails(line: Column) -> Column:
     count = lambda pattern: F.regexp_count(line, F.lit(pattern))
-    n = count(WORD)
-    return (
-        (100 * count(MARKED_WORD) >= 30 * n)
-        | (100 * count(SHOUTED_WORD) >= 50 * n)
+    # marked and shouted words are only counted in lines that hold a mark or ``!!``
+    return _let(
+        F.size(words_of(line)),
+        lambda n: (line.rlike(MARK) & (100 * count(MARKED_WORD) >= 30 * n))
+        | (line.contains("!!") & (100 * count(SHOUTED_WORD) >= 50 * n))
         | ((n >= 8) & ~line.rlike(SENTENCE))
-        | ((n <= 30) & F.lower(line).rlike(BOILERPLATE))
+        | ((n <= 30) & F.lower(line).rlike(BOILERPLATE)),
     )
 
 
@@ -86,7 +90,6 @@ def judge_documents(docs: DataFrame, text: str = "text", min_words: int = 50, ma
     (boolean), lost_chars (long, word characters of failing lines) and clean_text (the lines that pass).
     """
     body = F.coalesce(F.col(text), F.lit(""))
-    words = F.filter(F.split(body, SPACE), lambda x: x != "")
     lines = F.filter(F.split(body, "\n"), lambda x: x.rlike(WORD))
 
     def of_lines(all_lines: Column) -> Column:
@@ -97,30 +100,30 @@ def judge_documents(docs: DataFrame, text: str = "text", min_words: int = 50, ma
             passing,
             lambda ok: F.struct(
                 (F.size(all_lines) - F.size(distinct)).cast("long").alias("dups"),
-                F.aggregate(ok, F.lit(0).cast("long"), lambda a, x: a + chars_without(x, SPACE)).alias("chars"),
+                chars_of(words_of(F.array_join(ok, "\n"))).alias("chars"),
                 F.array_join(ok, "\n").alias("text"),
             ),
         )
 
     def of_words(w: Column) -> Column:
-        return F.struct(F.size(w).cast("long").alias("n"), repeated_words(w).alias("repeats"))
+        return F.struct(F.size(w).cast("long").alias("n"), chars_of(w).alias("chars"), repeated_words(w).alias("repeats"))
 
     counted = docs.withColumn(
         "quality",
         F.struct(
-            _let(words, of_words).alias("w"),
+            _let(words_of(body), of_words).alias("w"),
             _let(lines, of_lines).alias("l"),
-            chars_without(body, SPACE).cast("long").alias("word_chars"),
-            chars_without(body, r"[^#*$%&|<>]+").cast("long").alias("n_symbols"),
+            F.char_length(F.regexp_replace(body, r"[^#*$%&|<>]+", "")).cast("long").alias("n_symbols"),
         ),
     )
 
     def verdict(q: Column) -> Column:
         failed = (q["w"]["n"] < min_words) | (100 * q["w"]["repeats"] > max_repeat * q["w"]["n"])
-        lost = q["word_chars"] - q["l"]["chars"]
+        word_chars = q["w"]["chars"]
+        lost = word_chars - q["l"]["chars"]
         return F.struct(
-            q["w"]["n"].alias("n_words"), q["word_chars"].alias("word_chars"), q["n_symbols"].alias("n_symbols"), q["l"]["dups"].alias("n_dup_lines"),
-            q["w"]["repeats"].alias("n_repeat_words"), failed.alias("base_failed"), (~failed & (100 * lost <= max_loss * q["word_chars"])).alias("kept"),
+            q["w"]["n"].alias("n_words"), word_chars.alias("word_chars"), q["n_symbols"].alias("n_symbols"), q["l"]["dups"].alias("n_dup_lines"),
+            q["w"]["repeats"].alias("n_repeat_words"), failed.alias("base_failed"), (~failed & (100 * lost <= max_loss * word_chars)).alias("kept"),
             lost.alias("lost_chars"), q["l"]["text"].alias("clean_text"),
         )
 
