@@ -12,7 +12,7 @@ compressed archive, one record and ``CHUNK`` bytes of finished members at a time
 An archive has at most ``records_per_file`` records, fewer where they are larger than
 ``RECORD_BYTES``: records are told apart by size classes, each eight times the last, and
 a file takes one class and an eighth of the records of the class before, so it holds at most
-records_per_file * RECORD_BYTES bytes (64 MB at the defaults) or a single record.
+records_per_file * RECORD_BYTES bytes (256 MB before compression at the defaults) or a single record.
 
 Both outputs go through the text writer with raw bytes as values: its line end, after each
 chunk, is an empty gzip member, which readers skip and offsets count.
@@ -39,8 +39,8 @@ from brook.session import materialize
 END = "\r\n\r\n"
 #: Digests of repeated payloads that are broadcast at most (about 60 bytes each); beyond it pages are joined by shuffle.
 MAX_BROADCAST_DIGESTS = 500_000
-#: Bytes of a record of the smallest size class at most.
-RECORD_BYTES = 1 << 15
+#: Bytes of a record of the smallest size class at most; most pages are smaller, so few archives hold another class.
+RECORD_BYTES = 1 << 17
 #: Finished members that leave a task as one row.
 CHUNK = 8 << 20
 #: A gzip member without content.
@@ -90,7 +90,7 @@ def records(pages: DataFrame, page_id: str = "page_id", url: str = "url", html:
 def write_archives(pages: DataFrame, path: str, records_per_file: int = 2000, **columns) -> str:
     """Monolithic gzip archives of all pages under ``path``, ``size=<class>/run=<number>`` apart."""
     size = F.octet_length("record")
-    classes = [F.when(size > RECORD_BYTES << 3 * k, 1).otherwise(0) for k in range(6)]  # a value has less than 2 GiB
+    classes = [F.when(size > RECORD_BYTES << 3 * k, 1).otherwise(0) for k in range(5)]  # a value has less than 2 GiB
     row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))  # inside the task: consecutive rows, whatever their class
     out = records(pages, **columns).withColumn("size", sum(classes[1:], classes[0]))
     limit = F.get(F.array(*[F.lit(max(1, records_per_file >> 3 * k)) for k in range(len(classes) + 1)]), "size")
@@ -193,8 +193,12 @@ def _name(path: str) -> str:
     return "-".join([*(x.replace("=", "") for x in folders[-2:] if "=" in x), file.removesuffix(".gz").removesuffix(".txt")])
 
 
-def _archive_of(path: str) -> str:
-    return next(x for x in path.split("/") if x.startswith("archive="))[8:]
+def archive_files(spark: SparkSession, path: str, kind: str) -> DataFrame:
+    """(archive, content) of the normalised files of a kind; the files of the other are pruned by their folder."""
+    files = spark.read.format("binaryFile").load(path)
+    if "kind" not in files.columns:  # no archive was written
+        return spark.createDataFrame([], "archive string, content binary")
+    return files.filter(F.col("kind") == kind).select("archive", "content")
 
 
 def read_index(spark: SparkSession, path: str) -> DataFrame:
@@ -202,12 +206,11 @@ def read_index(spark: SparkSession, path: str) -> DataFrame:
 
     def lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for file, content in zip(batch["path"], batch["content"], strict=True):
+            for name, content in zip(batch["archive"], batch["content"], strict=True):
                 rows = [x.split(" ", 2) for x in b"".join(inflate(content)).decode().splitlines()]
-                yield pd.DataFrame([(_archive_of(file), int(a), int(b), c) for a, b, c in rows], columns=["archive", "offset", "length", "record_id"])
+                yield pd.DataFrame([(name, int(a), int(b), c) for a, b, c in rows], columns=["archive", "offset", "length", "record_id"])
 
-    files = _binary_files(spark, path, "*").filter(F.col("path").contains("/kind=index/"))
-    return files.mapInPandas(lines, "archive string, offset long, length long, record_id string")
+    return archive_files(spark, path, "index").mapInPandas(lines, "archive string, offset long, length long, record_id string")
 
 
 def members(content: bytes, piece: int = 1 << 16) -> Iterator[tuple[int, int, bytes]]:
@@ -241,13 +244,11 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for file, content in zip(batch["path"], batch["content"], strict=True):
-                name = _archive_of(file)
+            for name, content in zip(batch["archive"], batch["content"], strict=True):
                 rows = [(name, at, size, *describe(data)) for at, size, data in members(content) if data]
                 out = pd.DataFrame(rows, columns=[c.split()[0] for c in RECORDS.split(", ")])
                 yield out.astype({"page_id": "Int64", "refers_to": "Int64"})
 
-    files = _binary_files(spark, path, "*").filter(F.col("path").contains("/kind=warc/"))
-    met = files.mapInPandas(scan, RECORDS).join(read_index(spark, path), ["archive", "offset", "length"], "left")
+    met = archive_files(spark, path, "warc").mapInPandas(scan, RECORDS).join(read_index(spark, path), ["archive", "offset", "length"], "left")
     lost = F.raise_error(F.concat(F.lit("no index line for the record at "), "offset", F.lit(" of "), "archive"))
     return met.filter(F.coalesce("record_id", lost).isNotNull())

@@ -39,7 +39,7 @@ def test_round_trip(spark):
 def test_members_offsets_and_payloads(spark):
     rows, df = pages(spark)
     whole, path = archived(spark, df)
-    files = {warc._archive_of(r["path"]): bytes(r["content"]) for r in warc._binary_files(spark, path, "*").collect() if "/kind=warc/" in r["path"]}
+    files = {r["archive"]: bytes(r["content"]) for r in warc.archive_files(spark, path, "warc").collect()}
     found = {}
     for r in warc.read_index(spark, path).collect():
         record = gzip.decompress(files[r["archive"]][r["offset"] : r["offset"] + r["length"]])  # one member, one record
@@ -97,7 +97,7 @@ def test_chunks_keep_order_and_offsets(spark):
     df = spark.createDataFrame(rows, PAGES).coalesce(1)
     whole = warc.write_archives(df, scratch_path(spark, "t-whole"), records_per_file=8000)
     path = warc.normalise(spark, whole, scratch_path(spark, "t-warc"))
-    files = {warc._archive_of(r["path"]): bytes(r["content"]) for r in warc._binary_files(spark, path, "*").collect() if "/kind=warc/" in r["path"]}
+    files = {r["archive"]: bytes(r["content"]) for r in warc.archive_files(spark, path, "warc").collect()}
     index = warc.read_index(spark, path).collect()
     assert len(index) == len(rows) and max(map(len, files.values())) > warc.CHUNK
     html = {f"<urn:page:{k}>": h.encode() for k, _, h, *_ in rows}
