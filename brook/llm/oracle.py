@@ -16,7 +16,7 @@ m AS (
   FROM l),
 p AS (
   SELECT k, sum(chars) AS chars FROM m
-  WHERE NOT (100 * marked >= 30 * n OR 100 * shouted >= 50 * n OR (n >= 8 AND NOT regexp_matches(line, '[.!?…。！？]'))
+  WHERE NOT (100 * marked >= 30 * n OR 100 * shouted >= 50 * n OR (n >= 8 AND NOT regexp_matches(line, '[.!?…。！？｡।॥؟۔։።፧។။]'))
     OR (n <= 30 AND regexp_matches(lower(line), 'cookie|javascript|all rights reserved|click here|subscribe|terms of (use|service)|privacy policy|lorem ipsum')))
   GROUP BY k),
 f AS (

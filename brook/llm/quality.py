@@ -4,7 +4,7 @@ A line fails if
 
 * marks or menu separators (``#*$%&|<>``) stand in at least 30 % of its words (navigation, symbol junk),
 * at least half of its words carry ``!!`` (shouting),
-* it has 8 words or more and no sentence punctuation at all,
+* it has 8 words or more and no sentence punctuation of any script at all,
 * it has at most 30 words and a boilerplate phrase (cookie notices, terms, lorem ipsum ...),
 * it equals an earlier line of the document.
 
@@ -29,7 +29,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 MARK = r"[#*$%&|<>]"
 MARKED_WORD = r"[^\x20\x09-\x0D#*$%&|<>]*[#*$%&|<>][^\x20\x09-\x0D]*"
 SHOUTED_WORD = r"[^\x20\x09-\x0D!]*(?:![^\x20\x09-\x0D!]+)*!![^\x20\x09-\x0D]*"
-SENTENCE = r"[.!?…。！？]"
+# sentence marks: Latin, CJK, Devanagari, Arabic and Urdu, Armenian, Ethiopic, Khmer, Myanmar
+SENTENCE = r"[.!?…。！？｡।॥؟۔։።፧។။]"
 BOILERPLATE = r"cookie|javascript|all rights reserved|click here|subscribe|terms of (use|service)|privacy policy|lorem ipsum"
 
 

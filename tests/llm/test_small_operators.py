@@ -36,6 +36,14 @@ def test_quality_counts_and_verdicts(spark):
     assert quality.judge_documents(frame(spark, []).drop("quality")).count() == 0
 
 
+def test_lines_end_in_the_marks_of_their_script(spark):
+    ends = [".", "।", "؟", "۔", "。", "։", "።", "។", "။", ""]
+    texts = ["\n".join(" ".join(f"क{i}x{k}" for k in range(12)) + end for i in range(8)) for end in ends]
+    got = judged(spark, texts)
+    assert [q["kept"] for q in got] == [True] * 9 + [False]
+    assert not got[9]["base_failed"] and got[9]["clean_text"] == "" and got[9]["lost_chars"] == got[9]["word_chars"]
+
+
 def brute_repeats(words):
     grams = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]
     hit = {j for i, g in enumerate(grams) if grams.count(g) > 1 for j in range(i, i + 3)}
