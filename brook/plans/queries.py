@@ -476,6 +476,7 @@ def q_first_seen_index_stream(spark, sf):
     for source in replay_splits(docs, "doc_id", STREAM_SPLITS, "fsi-docs"):
         stream = spark.readStream.schema(docs.schema).parquet(source)
         toks = explode_tokens(stream, "text", WORD, keep=["doc_id"], out="word", pos="pos")
+        toks = toks.withColumn("pos", F.col("pos").cast("int"))  # a place in an array is one
         _await(indexer.start(toks, ckpt))
     return indexer.dictionary(spark)
 

@@ -139,3 +139,19 @@ def test_json_messages_with_attributes(spark, tmp_dir):
     assert {r.s for r in got.select(attribute("source").alias("s")).collect()} == {"file"} and got.where("timestamp is null").count() == 0
     with pytest.raises(ValueError, match="attributes"):
         publish_json(df, {"data": "data"}, fmt="text", path=f"{tmp_dir}/text", headers={"a": F.lit("b")})
+
+
+def test_first_seen_state_hashes_and_orders_nulls_first(spark, tmp_dir):
+    big = 2**63 - 1
+    data = [(big, 2**31 - 1, "z"), (None, 5, "b"), (0, None, "c"), (0, -(2**31), "d"), (None, None, "a"), (-big - 1, 0, "e"), (0, 7, "f"), (-big - 1, None, "g"), (0, 7, None)]
+    df, stream = _source(spark, data[::-1], "id long, pos int, token string", f"{tmp_dir}/in", "id", files=1)
+    state = FirstSeenState(f"{tmp_dir}/dict", order=["id", "pos"])
+    batch = df.where("token IS NOT NULL").groupBy("token").agg(F.min(F.struct("id", "pos")).alias("at")).orderBy("at")
+    _drain(state.start(stream, f"{tmp_dir}/ckpt"))
+    assert [r.token for r in state.dictionary(spark).orderBy("idx").collect()] == [r.token for r in batch.collect()]
+    # occurrences are not sorted to find the first of each token
+    plan = state.firsts(df)._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
+    # other positions keep the struct
+    wide = df.withColumn("pos", F.col("pos").cast("string"))
+    assert rows(state.firsts(wide).select("token"), "token") == rows(batch.select("token"))
