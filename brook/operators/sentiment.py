@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from brook.functions.text import WORD, tokens
-from brook.operators.sizing import broadcast_if_bounded
+from brook.operators.lookup import token_sums
 from brook.session import materialize
 
 CLASSES = ("positive", "neutral", "negative")
@@ -154,9 +154,10 @@ def train_naive_bayes(
     ``LOG_UNIT`` parts.  One partial + final aggregate over (token), whose classes are columns; the
     vocabulary stays a distributed table.
     """
-    train = docs.select(F.col(doc_id).alias("doc_id"), tokens(F.lower(F.col(text)), WORD).alias("_tok")).join(labels.select("doc_id", "label"), "doc_id")
+    # the join carries the text, and only labelled texts are cut into tokens
+    train = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("_text")).join(labels.select("doc_id", "label"), "doc_id")
     is_class = [F.col("label") == i for i in range(n_classes)]
-    counted = train.select("label", F.explode("_tok").alias("token")).groupBy("token")
+    counted = train.select("label", F.explode(tokens(F.lower("_text"), WORD)).alias("token")).groupBy("token")
     counts = materialize(counted.agg(*[F.count_if(c).alias(f"c{i}") for i, c in enumerate(is_class)]), "token-counts")
     sums = counts.agg(F.count(F.lit(1)).alias("v"), *[F.coalesce(F.sum(f"c{i}"), F.lit(0)).alias(f"c{i}") for i in range(n_classes)]).first()
     records = train.agg(*[F.count_if(c).alias(f"d{i}") for i, c in enumerate(is_class)]).first()
@@ -174,16 +175,15 @@ def naive_bayes_sentiment(
     """Class probabilities of every record of a batch, rounded to ``digits``; on a stream score each
     micro-batch (:func:`brook.streaming.runner.batches_to_table`).
 
-    Tokens join their weights (broadcast when the table passes the size check, else by a shuffle whose hot
-    tokens AQE splits); partial sums per record come before the shuffle.  Tokens unknown to the model add
+    Tokens are looked up in their weights by :func:`brook.operators.lookup.token_sums`: by a broadcast when the table
+    passes the size check, else common tokens by a broadcast and only rare ones by a shuffle.  Tokens unknown to the model add
     nothing; a null or tokenless text has the priors, and a model without training records gives nulls.
     """
     stored = df.select(F.monotonically_increasing_id().alias("_id"), F.struct(*keep).alias("_keep"), tokens(F.lower(F.col(text)), WORD).alias("_tok"))
     records = materialize(stored, "records")
     n = len(model.priors)
-    hits = records.select("_id", F.explode("_tok").alias("token")).join(broadcast_if_bounded(model.weights), "token")
-    sums = hits.groupBy("_id").agg(*[F.sum(f"w{i}").alias(f"s{i}") for i in range(n)])
-    score = [F.coalesce(F.col(f"s{i}"), F.lit(0)) + F.lit(p) for i, p in enumerate(model.priors)]
+    sums = token_sums(records, model.weights, [f"w{i}" for i in range(n)])
+    score = [F.coalesce(F.col(f"w{i}"), F.lit(0)) + F.lit(p) for i, p in enumerate(model.priors)]
     scored = records.select("_id", "_keep").join(sums, "_id", "left").select("_keep", *[s.cast("long").alias(f"s{i}") for i, s in enumerate(score)])
     best = F.greatest(*[F.col(f"s{i}") for i in range(n)])  # ignores classes without a prior
     scored = scored.select("_keep", *[F.exp((F.col(f"s{i}") - best) / float(LOG_UNIT)).alias(f"e{i}") for i in range(n)])

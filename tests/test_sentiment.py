@@ -2,6 +2,7 @@ import math
 from collections import Counter
 
 import pandas as pd
+from pyspark.sql import functions as F
 
 from brook import batches_to_table, lexicon_sentiment, model_sentiment, naive_bayes_sentiment, score_with_model, train_naive_bayes, train_sentiment
 
@@ -133,3 +134,55 @@ def test_naive_bayes_on_a_stream_equals_the_batch(spark, tmp_dir):
     stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 2).parquet(f"{tmp_dir}/in")
     batch = naive_bayes_sentiment(df, model)
     assert rows(batches_to_table(stream, "nb", lambda b: naive_bayes_sentiment(b, model), batch.schema)) == rows(batch)
+
+
+def _zipf_records(spark):
+    import random
+
+    rng = random.Random(7)
+    texts = [[f"w{int(rng.paretovariate(0.7)) % 900}" for _ in range(rng.randrange(40))] for _ in range(200)] + [["w1"] * 50, [], None]
+    return texts, spark.createDataFrame(list(enumerate(texts)), "_id long, _tok array<string>")
+
+
+def test_token_sums_broadcast_the_common_tokens_and_shuffle_the_rest(spark, monkeypatch):
+    from brook.operators.lookup import token_sums
+
+    texts, records = _zipf_records(spark)
+    known = {f"w{i}": (i - 400, None if i % 5 == 0 else i) for i in range(900) if i % 7}  # w0, w7, .. are unknown
+    table = spark.createDataFrame([(w, a, b) for w, (a, b) in known.items()], "token string, a long, b long")
+    want = []
+    for i, t in enumerate(texts):
+        found = [known[w] for w in t or [] if w in known]
+        if found:
+            some = [b for _, b in found if b is not None]
+            want.append((i, sum(a for a, _ in found), sum(some) if some else None))
+    for broadcast, most in ((None, 0), (True, 0), (False, 0), (False, 8), (False, 10_000)):
+        assert rows(token_sums(records, table, ["a", "b"], max_common=most, broadcast_table=broadcast)) == sorted(want)
+    # the common tokens, as many as the bound allows, meet a broadcast: what is shuffled to the table is the rest
+    counts = Counter(w for t in texts for w in t or [])
+    from brook.operators.lookup import common_tokens
+
+    table_of_counts = spark.createDataFrame(list(counts.items()), "token string, n long")
+    common = {r.token for r in common_tokens(table_of_counts, "token", 8).collect()}
+    assert 0 < len(common) <= 8 and min(counts[w] for w in common) > max(n for w, n in counts.items() if w not in common)
+    from brook.operators import lookup
+    from brook.session import materialize
+
+    stored = {}
+    monkeypatch.setattr(lookup, "materialize", lambda df, name: stored.setdefault(name, materialize(df, name)))
+    token_sums(records, table, ["a", "b"], max_common=8, broadcast_table=False)
+    looked_up = stored["looked-up"].where("token IS NOT NULL")
+    assert looked_up.count() and not looked_up.where(F.col("token").isin(*common)).count()
+
+
+def test_a_large_model_shuffles_no_common_token(spark, monkeypatch):
+    from brook.operators import lookup
+
+    monkeypatch.setattr(lookup, "is_bounded", lambda table: False)
+    texts = ["good bad day " * 40, "plain", None, "unknown", "Day"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = naive_bayes_sentiment(df, _model(spark))
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "looked-up" in "".join(got.inputFiles()) and "explode" not in plan  # all five words are common: no occurrence is joined here
+    for r in got.collect():
+        assert all(abs(a - b) < 2e-6 for a, b in zip((r.positive, r.neutral, r.negative), _posterior(texts[r.doc_id] or "", TRAIN), strict=True))
