@@ -51,10 +51,13 @@ def lexicon_sentiment(
     ``max_literal_words`` words becomes part of a column expression: one map over the records, batch or
     stream, in which equal ids stay records of their own.  A larger one is joined to the
     exploded tokens of a batch frame, whose records then get a key of their own; a stream scores each of its
-    micro-batches that way (:func:`brook.streaming.runner.batches_to_table`).
+    micro-batches that way (:func:`brook.streaming.runner.batches_to_table`).  Beyond the broadcast bounds common
+    tokens are still looked up by a broadcast, rare ones by a shuffle (:func:`brook.operators.lookup.token_sums`).
     ``keep`` carries further record columns, the text too if named.
     """
     classes = lexicon.groupBy(F.col(word).alias("_w")).agg(F.min(cls).alias("_cls"))
+    if lexicon.limit(max_literal_words + 1).count() > max_literal_words:
+        classes = materialize(classes, "classes")  # read several times
     found = classes.limit(max_literal_words + 1).collect()
     columns = list(dict.fromkeys([id_col, *keep]))
     toks = tokens(F.lower(F.col(text)), WORD)
@@ -87,13 +90,12 @@ def lexicon_sentiment(
 def _joined_hits(df: DataFrame, columns: Sequence[str], toks, classes: DataFrame) -> DataFrame:
     # stored once, so that a record's key is the same wherever the plan reads it
     records = materialize(df.select(F.monotonically_increasing_id().alias("_id"), *columns, toks.alias("_tok")), "records")
-    hits = records.select("_id", F.explode("_tok").alias("_w")).join(classes, "_w", "left").groupBy("_id").agg(
-        F.count("_w").alias("n_tokens"),
-        F.count_if(F.col("_cls") == "positive").alias("pos_hits"),
-        F.count_if(F.col("_cls") == "negative").alias("neg_hits"),
-    )
-    counts = [F.coalesce(c, F.lit(0)).alias(c) for c in ("n_tokens", "pos_hits", "neg_hits")]
-    return records.drop("_tok").join(hits, "_id", "left").select(*columns, *counts)
+    is_cls = {c: (F.col("_cls") == c).cast("long").alias(c) for c in ("positive", "negative")}
+    signed = classes.where(F.col("_w").isNotNull() & F.col("_cls").isin(*is_cls)).select(F.col("_w").alias("token"), *is_cls.values())
+    hits = token_sums(records, signed, [*is_cls]).select("_id", F.col("positive").alias("pos_hits"), F.col("negative").alias("neg_hits"))
+    counts = [F.coalesce(c, F.lit(0)).alias(c) for c in ("pos_hits", "neg_hits")]
+    found = records.select("_id", *columns, F.size("_tok").cast("long").alias("n_tokens")).join(hits, "_id", "left")
+    return found.select(*columns, "n_tokens", *counts)
 
 
 def sentiment_labels(labels: DataFrame) -> DataFrame:

@@ -18,6 +18,7 @@ from brook import (
 )
 from brook.functions.text import tokens
 from brook.operators.tablefn import WordSpans
+from brook.session import materialize
 from brook.sources.replay import indexed_lines
 
 from conftest import rows
@@ -112,3 +113,18 @@ def test_a_joined_lexicon_on_a_stream(spark, tmp_dir):
         stream, "lexicon", lambda b: lexicon_sentiment(b, "doc_id", "text", lexicon, max_literal_words=0), one.schema, f"{tmp_dir}/ckpt", f"{tmp_dir}/out"
     )
     assert rows(got) == rows(one)
+
+
+def test_a_large_joined_lexicon_shuffles_no_common_token(spark, monkeypatch):
+    from brook.operators import lookup
+
+    monkeypatch.setattr(lookup, "is_bounded", lambda table: False)
+    data = [(1, "good good bad x"), (1, "good"), (2, None), (3, ""), (4, "Plain X")]
+    df = spark.createDataFrame(data, "doc_id long, text string")
+    words = [("good", "positive"), ("bad", "negative"), ("good", "neutral"), ("x", "neutral"), (None, "positive")]
+    lexicon = spark.createDataFrame(words, "w string, cls string")
+    for most in (0, 200_000):
+        monkeypatch.setattr(lookup, "common_tokens", lambda counts, token, _, f=lookup.common_tokens, most=most: f(counts, token, most))
+        got = lexicon_sentiment(df, "doc_id", "text", lexicon, max_literal_words=0)
+        assert "looked-up" in "".join(got.inputFiles())
+        assert rows(got) == rows(lexicon_sentiment(df, "doc_id", "text", lexicon))
