@@ -205,6 +205,23 @@ def worker_model(key: str, loader: Callable[[], object]) -> object:
     return _MODELS[key]
 
 
+#: Characters of text that a model scores at once: what it makes of them is held in the Python worker together.
+SCORE_CHARS = 1 << 20
+
+
+def text_slices(texts, most: int = SCORE_CHARS):
+    """(start, stop) of consecutive runs of ``texts`` with at most ``most`` characters each, or one longer text."""
+    start, held = 0, 0
+    for i, value in enumerate(texts):
+        size = len(value) if isinstance(value, (str, bytes)) else 1
+        if i > start and held + size > most:
+            yield start, i
+            start, held = i, 0
+        held += size
+    if start < len(texts):
+        yield start, len(texts)
+
+
 def score_with_model(
     df: DataFrame,
     text: str,
@@ -214,10 +231,11 @@ def score_with_model(
     out_schema: str = "positive double, neutral double, negative double",
     keep: Sequence[str] = (),
 ) -> DataFrame:
-    """Apply a Python model per Arrow batch, loading it once per Python worker.
+    """Apply a Python model to the texts of each Arrow batch, loading it once per Python worker.
 
     ``loader()`` builds the model (the reference's ``setup``); ``score(model, texts)``
-    returns a pandas frame matching ``out_schema`` for a batch of texts.  ``cache_key`` names
+    returns a pandas frame matching ``out_schema`` for a batch of texts: a stretch of the Arrow batch of at most
+    ``SCORE_CHARS`` characters, so that a worker's memory doesn't follow the rows' lengths.  ``cache_key`` names
     the model: two models need two keys.  ``keep`` may name the text.
     """
     import pandas as pd
@@ -228,12 +246,14 @@ def score_with_model(
 
     def run(batches):
         # imported, not shipped: the store must be the worker's own module
-        from brook.operators.sentiment import worker_model
+        from brook.operators.sentiment import text_slices, worker_model
 
         model = worker_model(cache_key, loader)
         for pdf in batches:
-            res = score(model, pdf[text])
-            res.index = pdf.index
-            yield pd.concat([pdf[keep], res], axis=1)
+            for start, stop in text_slices(pdf[text]):
+                part = pdf.iloc[start:stop]
+                res = score(model, part[text])
+                res.index = part.index
+                yield pd.concat([part[keep], res], axis=1)
 
     return df.select(*dict.fromkeys([*keep, text])).mapInPandas(run, schema)

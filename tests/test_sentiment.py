@@ -186,3 +186,18 @@ def test_a_large_model_shuffles_no_common_token(spark, monkeypatch):
     assert "looked-up" in "".join(got.inputFiles()) and "explode" not in plan  # all five words are common: no occurrence is joined here
     for r in got.collect():
         assert all(abs(a - b) < 2e-6 for a, b in zip((r.positive, r.neutral, r.negative), _posterior(texts[r.doc_id] or "", TRAIN), strict=True))
+
+
+def test_a_model_scores_bounded_stretches_of_text(spark):
+    from brook.operators.sentiment import SCORE_CHARS, text_slices
+
+    assert list(text_slices(["ab", None, "cd", "efghijk", "", "l"], 4)) == [(0, 2), (2, 3), (3, 4), (4, 6)]
+    assert list(text_slices([], 4)) == []
+
+    def score(model, texts):
+        n = float(sum(len(t or "") for t in texts))
+        return pd.DataFrame({"positive": [n] * len(texts), "neutral": [0.0] * len(texts), "negative": [0.0] * len(texts)})
+
+    docs = spark.range(0, 40, 1, 1).selectExpr("id AS doc_id", "if(id = 7, NULL, repeat('x', 100000)) AS text")
+    got = rows(score_with_model(docs, "text", dict, score, cache_key="bounded", keep=["doc_id"]))
+    assert [r[0] for r in got] == list(range(40)) and 100_000 <= max(r[1] for r in got) <= SCORE_CHARS
