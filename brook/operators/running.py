@@ -20,17 +20,28 @@ from pyspark.sql import functions as F
 from brook.session import materialize
 
 BLOCK = "_blk"
+PLACE = "_nth"
 ROWS_PER_BLOCK = 1_000_000
 
 
+def blocks_of(rows: int) -> int:
+    """The number of blocks for ``rows`` rows."""
+    return max(1, -(-rows // ROWS_PER_BLOCK))
+
+
+def _sized(df: DataFrame, n_blocks: int | None) -> tuple[DataFrame, int]:
+    if n_blocks is None:
+        df = materialize(df, "numbered")  # counted from its footers, read once more to be ranged
+        n_blocks = blocks_of(df.count())
+    return df, n_blocks
+
+
 def with_blocks(df: DataFrame, order: Sequence[str], n_blocks: int | None = None) -> DataFrame:
     """``df`` as a stored table with integer column ``_blk``, which never decreases along ``order``.
 
     Rows with equal order columns share a block; nulls sort first.
     """
-    if n_blocks is None:
-        df = materialize(df, "numbered")  # counted from its footers, read once more to be ranged
-        n_blocks = max(1, -(-df.count() // ROWS_PER_BLOCK))
+    df, n_blocks = _sized(df, n_blocks)
     ranged = df.repartitionByRange(n_blocks, *order).withColumn(BLOCK, F.spark_partition_id())
     return materialize(ranged, "blocks")
 
@@ -38,20 +49,23 @@ def with_blocks(df: DataFrame, order: Sequence[str], n_blocks: int | None = None
 def global_index(df: DataFrame, order: Sequence[str], out: str = "idx", n_blocks: int | None = None) -> DataFrame:
     """Dense 0-based position of each row in the order ``order`` (ties: any order).
 
-    Equivalent to ``row_number() OVER (ORDER BY order) - 1`` for order columns of any types.
-    The offset table has one row per block, so broadcasting it is bounded by the block
-    count (rows / ``ROWS_PER_BLOCK``), not by the data.
+    Equivalent to ``row_number() OVER (ORDER BY order) - 1`` for order columns of any types.  The blocks are
+    stored sorted, each row with its place, so the rows are shuffled and written once.  The offset table has one
+    row per block, so broadcasting it is bounded by the block count (rows / ``ROWS_PER_BLOCK``), not by the data.
     """
     order = list(order)
-    blocked = with_blocks(df, order, n_blocks)
-    sizes = blocked.groupBy(BLOCK).agg(F.count(F.lit(1)).alias("_c"))
+    df, n_blocks = _sized(df, n_blocks)
+    place = F.monotonically_increasing_id()  # partition << 33 | place in the partition
+    blocked = materialize(df.repartitionByRange(n_blocks, *order).sortWithinPartitions(*order).withColumn(PLACE, place), "blocks")
+    block = F.shiftright(PLACE, 33).alias(BLOCK)
+    sizes = blocked.groupBy(block).agg(F.count(F.lit(1)).alias("_c"))
     before = Window.orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)  # one row per block
     offsets = sizes.select(BLOCK, F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_off"))
-    local = Window.partitionBy(BLOCK).orderBy(*order)
     return (
-        blocked.join(F.broadcast(offsets), BLOCK)
-        .withColumn(out, (F.col("_off") + F.row_number().over(local) - 1).cast("long"))
-        .drop(BLOCK, "_off")
+        blocked.withColumn(BLOCK, block)
+        .join(F.broadcast(offsets), BLOCK)
+        .withColumn(out, (F.col("_off") + F.col(PLACE).bitwiseAND(F.lit(2**33 - 1))).cast("long"))
+        .drop(BLOCK, "_off", PLACE)
     )
 
 

@@ -31,13 +31,13 @@ from brook.sinks.text import write_lines
 from brook.sources.feed import tracked_feed
 from brook.sources.lines import lines_of, read_lines
 from brook.sources.messages import attribute, read_messages
-from brook.sources.replay import indexed_lines, replay_cycle, replay_ticks, staged_ticks
+from brook.sources.replay import indexed_lines, replay_batch, replay_cycle, staged_ticks
 from brook.streaming.firstseen import FirstSeenState
 from brook.streaming.index import FirstSeenIndexer
 from brook.streaming.late import mark_late
 from brook.streaming.panes import running_panes, with_rocksdb
 from brook.streaming.ranked import windowed_ranked_lists, windowed_ranked_pages
-from brook.streaming.runner import replay_batches_to_table, replay_splits, replay_to_table, run_to_table
+from brook.streaming.runner import batches_to_table, replay_batches_to_table, replay_splits, replay_to_table, run_to_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -660,7 +660,8 @@ def q_replay_lines_stream(spark, sf):
     ckpt, out = scratch_path(spark, "replay-ckpt"), scratch_path(spark, "replay-out")
     per_batch = -(-5 * n // (4 * STREAM_SPLITS))
     for _ in range(STREAM_SPLITS):
-        result = run_to_table(replay_ticks(staged_ticks(spark, per_batch), idx, n), "replay", checkpoint=ckpt, path=out)
+        ticks = staged_ticks(spark, per_batch)
+        result = batches_to_table(ticks, "replay", lambda b: replay_batch(b, idx, n), "tick long, event_time long, data string", ckpt, out)
     return result
 
 

@@ -16,14 +16,16 @@ from pyspark.sql import functions as F
 
 from brook.functions.text import strip
 from brook.operators.filters import drop_blank
-from brook.operators.running import global_index
+from brook.operators.running import blocks_of, global_index
 from brook.session import materialize
 
 
 def indexed_lines(lines: DataFrame, line: str, order: Sequence[str]) -> DataFrame:
     """``(line_idx, data)``: stripped non-blank lines numbered 0.. in ``order``."""
-    kept = drop_blank(lines, line).withColumn("data", strip(line))
-    return global_index(kept.select(*order, "data"), list(order), "line_idx").select("line_idx", "data")
+    # counted here, so that no text is written only to be counted; stripped after the shuffle, which samples its input
+    kept = drop_blank(lines, line).select(*dict.fromkeys([*order, line]))
+    numbered = global_index(kept, list(order), "line_idx", n_blocks=blocks_of(kept.count()))
+    return numbered.select("line_idx", strip(line).alias("data"))
 
 
 def replay_cycle(
@@ -60,6 +62,16 @@ def replay_ticks(ticks: DataFrame, idx: DataFrame, n: int) -> DataFrame:
     return keyed.join(idx, "line_idx").select("tick", F.unix_timestamp("timestamp").alias("event_time"), "data")
 
 
+def replay_batch(ticks: DataFrame, idx: DataFrame, n: int) -> DataFrame:
+    """:func:`replay_ticks` for one micro-batch: only the stretch of lines between its first and last tick is joined,
+    not the whole table (stored in order by :func:`indexed_lines`, so the scan skips the rest of its files)."""
+    first, last = ticks.agg(F.min("value"), F.max("value")).first()
+    if first is not None and first >= 0 and last - first + 1 < n:
+        at, a, b = F.col("line_idx"), first % n, last % n
+        idx = idx.where((at >= a) & (at <= b) if a <= b else (at >= a) | (at <= b))
+    return replay_ticks(ticks, idx, n)
+
+
 def staged_ticks(spark: SparkSession, rows_per_batch: int, start_epoch: int = 0, advance_ms: int = 1000, partitions: int = 8) -> DataFrame:
     """A reproducible tick stream: every micro-batch has ``rows_per_batch`` ticks of one time, ``advance_ms`` after the
     one before, whatever the wall clock says (``availableNow`` runs one such batch)."""

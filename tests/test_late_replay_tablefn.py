@@ -128,3 +128,29 @@ def test_a_large_joined_lexicon_shuffles_no_common_token(spark, monkeypatch):
         got = lexicon_sentiment(df, "doc_id", "text", lexicon, max_literal_words=0)
         assert "looked-up" in "".join(got.inputFiles())
         assert rows(got) == rows(lexicon_sentiment(df, "doc_id", "text", lexicon))
+
+
+def test_a_batch_of_ticks_joins_only_its_lines(spark):
+    from brook.sources.replay import replay_batch
+
+    docs = spark.range(50).selectExpr("id AS doc_id", "concat(' l', id, '\n\n') AS text")
+    idx = materialize(indexed_lines(lines_of(docs, "text", keep=["doc_id"], out="line", pos="k"), "line", ["doc_id", "k"]), "lines")
+    for first, last, joined in ((0, 12, 13), (45, 57, 13), (99, 100, 2), (10, 80, 50)):
+        ticks = spark.range(first, last + 1).selectExpr("timestamp_seconds(7) AS timestamp", "id AS value")
+        got = replay_batch(ticks, idx, 50)
+        assert rows(got) == [(t, 7, f"l{t % 50}") for t in range(first, last + 1)]
+        read = [p for p in got._jdf.queryExecution().optimizedPlan().toString().splitlines() if "line_idx" in p and "Filter" in p]
+        assert joined == 50 or any(f">= {first % 50}" in p and f"<= {last % 50}" in p for p in read)
+    assert replay_batch(ticks.limit(0), idx, 50).count() == 0
+
+
+def test_numbering_writes_and_shuffles_the_rows_once(spark, monkeypatch):
+    from brook.operators import running
+
+    stored = []
+    monkeypatch.setattr(running, "materialize", lambda df, name: stored.append(name) or materialize(df, name))
+    docs = spark.createDataFrame([(3, "c"), (1, " a \nb"), (2, None), (1, "z")], "doc_id long, text string")
+    got = indexed_lines(lines_of(docs, "text", keep=["doc_id"], out="line", pos="k"), "line", ["doc_id", "k"])
+    assert stored == ["blocks"] and "hashpartitioning" not in got._jdf.queryExecution().executedPlan().toString().split("BroadcastExchange")[0]
+    found = dict(rows(got))
+    assert sorted(found) == [0, 1, 2, 3] and {found[0], found[1]} == {"a", "z"} and (found[2], found[3]) == ("b", "c")
